@@ -8,7 +8,7 @@ differently (SURVEY 7.4); the operators keep the reference's digits as default.
 
 from __future__ import annotations
 
-from contrail.plans import kpi
+from contrail.plans import kpi, metrics
 from contrail.plans.oracle import with_flights
 from contrail.sources import bindings
 
@@ -46,3 +46,481 @@ SELECT airline_name, total_flights, cancelled_flights,
 FROM s"""))
 def q_f11(spark, sf_dir):
     return kpi.carrier_reliability(star(spark, sf_dir), digits=D)
+
+
+def raw(spark, sf_dir):
+    return bindings.raw(spark, sf_dir)
+
+
+def tables(spark, sf_dir):
+    return bindings.normalized(spark, sf_dir)
+
+
+_PCT = "round(CAST({n} AS DOUBLE) / {d} * 100, " + str(D) + ")"
+_PCT0 = "round(coalesce(CAST({n} AS DOUBLE) * 100.0 / {d}, 0.0), " + str(D) + ")"
+
+
+def P(n, d):
+    return _PCT.format(n=n, d=d)
+
+
+def P0(n, d):
+    return _PCT0.format(n=n, d=d)
+
+
+def R(x):
+    return f"round({x}, {D})"
+
+
+# =========================================================================== KPI batch (cont.)
+@register("q_f12_airport_efficiency", with_flights(f"""
+g AS (SELECT ORIGIN_AIRPORT AS airport_code, ORIGIN_AIRPORT AS airport_name,
+        count(*) AS total_departures, avg(DEPARTURE_DELAY) AS av,
+        count_if(DEPARTURE_DELAY > 15) AS delayed_departures
+      FROM fl GROUP BY ORIGIN_AIRPORT HAVING count(*) > 50)
+SELECT airport_code, airport_name, total_departures, {R('av')} AS avg_dep_delay,
+  delayed_departures, {P('delayed_departures', 'total_departures')} AS delay_rate,
+  CAST(dense_rank() OVER (ORDER BY av ASC NULLS FIRST) AS BIGINT) AS efficiency_rank
+FROM g"""))
+def q_f12(spark, sf_dir):
+    return kpi.airport_efficiency(star(spark, sf_dir), digits=D)
+
+
+@register("q_f13_route_intelligence", with_flights(f"""
+SELECT ORIGIN_AIRPORT AS origin, DESTINATION_AIRPORT AS destination,
+  ORIGIN_AIRPORT || ' → ' || DESTINATION_AIRPORT AS route, count(*) AS flights,
+  {R('avg(ARRIVAL_DELAY)')} AS avg_arr_delay,
+  {P('count_if(CANCELLED = 1)', 'count(*)')} AS cancellation_rate
+FROM fl GROUP BY ORIGIN_AIRPORT, DESTINATION_AIRPORT HAVING count(*) > 20"""))
+def q_f13(spark, sf_dir):
+    return kpi.route_intelligence(star(spark, sf_dir), min_flights=21, digits=D)
+
+
+@register("q_f14_monthly_trend", with_flights(f"""
+SELECT d.month_name, d.month, count(*) AS total_flights,
+  {R('avg(DEPARTURE_DELAY)')} AS avg_delay,
+  {P('count_if(CANCELLED = 1)', 'count(*)')} AS cancellation_rate,
+  CAST(sum(count(*)) OVER (ORDER BY d.month) AS BIGINT) AS running_total_flights
+FROM fl JOIN dd d USING (date_key) GROUP BY d.month_name, d.month"""))
+def q_f14(spark, sf_dir):
+    return kpi.monthly_trend(star(spark, sf_dir), digits=D)
+
+
+@register("q_f15_delay_risk", with_flights(f"""
+SELECT airline_name, {R('avg(WEATHER_DELAY)')} AS weather_risk,
+  {R('avg(SECURITY_DELAY)')} AS security_risk,
+  {R('avg(LATE_AIRCRAFT_DELAY)')} AS late_aircraft_risk, {R('avg(AIR_SYSTEM_DELAY)')} AS nas_risk
+FROM fl WHERE ARRIVAL_DELAY > 0 GROUP BY airline_name"""))
+def q_f15(spark, sf_dir):
+    return kpi.delay_risk(star(spark, sf_dir), digits=D)
+
+
+_F11_RAW = """
+a AS (SELECT airline_name, count(*) AS total_flights,
+        CAST(count_if(CANCELLED = 1) AS DOUBLE) / count(*) AS cf, avg(ARRIVAL_DELAY) AS av
+      FROM fl GROUP BY airline_name),
+ar AS (SELECT *, rank() OVER (ORDER BY cf ASC NULLS FIRST, av ASC NULLS FIRST) AS rk FROM a),
+p AS (SELECT ORIGIN_AIRPORT AS airport_code, ORIGIN_AIRPORT AS airport_name,
+        count(*) AS total_departures, avg(DEPARTURE_DELAY) AS av
+      FROM fl GROUP BY ORIGIN_AIRPORT HAVING count(*) > 50),
+pr AS (SELECT *, dense_rank() OVER (ORDER BY av ASC NULLS FIRST) AS rk FROM p),
+r AS (SELECT ORIGIN_AIRPORT || ' → ' || DESTINATION_AIRPORT AS route, count(*) AS flights,
+        CAST(count_if(CANCELLED = 1) AS DOUBLE) / count(*) * 100 AS rate
+      FROM fl GROUP BY ORIGIN_AIRPORT, DESTINATION_AIRPORT HAVING count(*) > 20)"""
+
+
+@register("q_f16_scorecard", with_flights(_F11_RAW + """
+SELECT 'airline' AS subject,
+  (SELECT airline_name FROM ar ORDER BY rk, airline_name LIMIT 1) AS best,
+  (SELECT airline_name FROM ar ORDER BY rk DESC, airline_name DESC LIMIT 1) AS worst
+UNION ALL SELECT 'airport',
+  (SELECT airport_name FROM pr ORDER BY rk, airport_code LIMIT 1),
+  (SELECT airport_name FROM pr ORDER BY rk DESC, airport_code DESC LIMIT 1)
+UNION ALL SELECT 'route',
+  (SELECT route FROM r ORDER BY rate, flights DESC, route LIMIT 1),
+  (SELECT route FROM r ORDER BY rate DESC, flights, route DESC LIMIT 1)"""))
+def q_f16(spark, sf_dir):
+    return kpi.scorecard(star(spark, sf_dir))
+
+
+@register("q_f17_insights", with_flights(_F11_RAW + """
+SELECT 'busiest_airline' AS insight,
+  (SELECT airline_name FROM ar ORDER BY total_flights DESC, airline_name LIMIT 1) AS value
+UNION ALL SELECT 'busiest_airport',
+  (SELECT airport_name FROM pr ORDER BY total_departures DESC, airport_code LIMIT 1)
+UNION ALL SELECT 'top_reliability_airline',
+  (SELECT airline_name FROM ar ORDER BY rk, airline_name LIMIT 1)
+UNION ALL SELECT 'riskiest_route',
+  (SELECT route FROM r ORDER BY rate DESC, flights, route DESC LIMIT 1)"""))
+def q_f17(spark, sf_dir):
+    return kpi.insights(star(spark, sf_dir))
+
+
+@register("q_f18_geo_density", with_flights("""
+SELECT a.airport_code, a.airport_name, a.city, a.state, a.latitude, a.longitude,
+  count(*) AS departures
+FROM fl JOIN dim_apt a ON fl.ORIGIN_AIRPORT = a.airport_code
+WHERE a.latitude IS NOT NULL AND a.longitude IS NOT NULL
+GROUP BY a.airport_code, a.airport_name, a.city, a.state, a.latitude, a.longitude"""))
+def q_f18(spark, sf_dir):
+    return kpi.geo_density(star(spark, sf_dir))
+
+
+@register("q_g05_moving_average", with_flights("""
+v AS (SELECT full_date, count(*) AS flights FROM fl GROUP BY full_date)
+SELECT full_date, flights,
+  avg(flights) OVER (ORDER BY full_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS flights_ma7
+FROM v"""))
+def q_g05(spark, sf_dir):
+    return kpi.moving_average(kpi.daily_volume(star(spark, sf_dir)), "flights", "full_date", 7)
+
+
+@register("q_g06_period_change", with_flights("""
+v AS (SELECT d.year, d.month, count(*) AS flights FROM fl JOIN dd d USING (date_key)
+      GROUP BY d.year, d.month),
+l AS (SELECT *, lag(flights) OVER (ORDER BY year, month) AS prev_flights FROM v)
+SELECT year, month, flights, prev_flights, flights - prev_flights AS flights_change,
+  CAST(flights - prev_flights AS DOUBLE) / prev_flights * 100 AS flights_change_pct
+FROM l"""))
+def q_g06(spark, sf_dir):
+    return kpi.period_change(kpi.monthly_volume(star(spark, sf_dir)), "flights",
+                             ["year", "month"])
+
+
+# =========================================================================== metrics: cleaned fact
+@register("q_f01_business_metrics", with_flights(f"""
+g AS (SELECT count(*) AS t, CAST(coalesce(sum(CANCELLED), 0) AS BIGINT) AS c,
+        CAST(coalesce(sum(DIVERTED), 0) AS BIGINT) AS d, avg(DEPARTURE_DELAY) AS dep,
+        avg(ARRIVAL_DELAY) AS arr, count_if(DEPARTURE_DELAY <= 0 AND ARRIVAL_DELAY <= 0) AS ot
+      FROM fl)
+SELECT t AS total_flights, c AS cancelled_flights,
+  coalesce(CAST(c AS DOUBLE) / t * 100, 0.0) AS cancelled_percentage, d AS diverted_flights,
+  coalesce(CAST(d AS DOUBLE) / t * 100, 0.0) AS diverted_percentage,
+  {R('dep')} AS avg_departure_delay, {R('arr')} AS avg_arrival_delay, ot AS on_time_flights,
+  coalesce(CAST(ot AS DOUBLE) / t * 100, 0.0) AS on_time_percentage FROM g"""))
+def q_f01(spark, sf_dir):
+    return metrics.business_metrics(raw(spark, sf_dir), digits=D)
+
+
+@register("q_f05_paired_delay_avg", with_flights(f"""
+SELECT {R('coalesce(avg(DEPARTURE_DELAY), 0.0)')} AS avg_departure_delay,
+  {R('coalesce(avg(ARRIVAL_DELAY), 0.0)')} AS avg_arrival_delay
+FROM fl WHERE DEPARTURE_DELAY IS NOT NULL AND ARRIVAL_DELAY IS NOT NULL"""))
+def q_f05(spark, sf_dir):
+    return metrics.paired_delay_avg(raw(spark, sf_dir), digits=D)
+
+
+def _flag_sql(flag):
+    return with_flights(f"""
+SELECT '{flag}' AS flag, count(*) AS total, CAST(coalesce(sum({flag}), 0) AS BIGINT) AS flag_count,
+  coalesce(CAST(coalesce(sum({flag}), 0) AS DOUBLE) / count(*) * 100, 0.0) AS rate FROM fl""")
+
+
+@register("q_f06_cancellation_rate", _flag_sql("CANCELLED"))
+def q_f06c(spark, sf_dir):
+    return metrics.flag_rate(raw(spark, sf_dir), "CANCELLED")
+
+
+@register("q_f06_diversion_rate", _flag_sql("DIVERTED"))
+def q_f06d(spark, sf_dir):
+    return metrics.flag_rate(raw(spark, sf_dir), "DIVERTED")
+
+
+@register("q_f40_aircraft_utilization", with_flights("""
+SELECT AIRCRAFT_ID, MODEL, count(*) AS flights FROM fl WHERE AIRCRAFT_ID IS NOT NULL
+GROUP BY AIRCRAFT_ID, MODEL"""))
+def q_f40(spark, sf_dir):
+    return metrics.aircraft_utilization(raw(spark, sf_dir))
+
+
+@register("q_f41_delayed_averages", with_flights("""
+SELECT avg(DEPARTURE_DELAY) AS avg_dep_delay, avg(ARRIVAL_DELAY) AS avg_arr_delay,
+  avg(AIR_SYSTEM_DELAY) AS air_system, avg(WEATHER_DELAY) AS weather
+FROM fl WHERE DEPARTURE_DELAY > 0"""))
+def q_f41(spark, sf_dir):
+    return metrics.delayed_averages(raw(spark, sf_dir))
+
+
+@register("q_f42_column_counts", with_flights("""
+SELECT 'FLIGHT_NUMBER' AS column_name, count(FLIGHT_NUMBER) AS non_null_count,
+  count(DISTINCT FLIGHT_NUMBER) AS distinct_count FROM fl
+UNION ALL SELECT 'AIRCRAFT_ID', count(AIRCRAFT_ID), count(DISTINCT AIRCRAFT_ID) FROM fl
+UNION ALL SELECT 'CANCELLATION_REASON', count(CANCELLATION_REASON),
+  count(DISTINCT CANCELLATION_REASON) FROM fl"""))
+def q_f42(spark, sf_dir):
+    return metrics.column_counts(raw(spark, sf_dir),
+                                 ["FLIGHT_NUMBER", "AIRCRAFT_ID", "CANCELLATION_REASON"])
+
+
+@register("q_d01_find_flight", with_flights("""
+SELECT * EXCLUDE (full_date, date_key, airline_name, origin_name, dest_name, origin_state,
+                  origin_lat, origin_lon)
+FROM fl WHERE FLIGHT_NUMBER = '17' AND "YEAR" = 1996"""))
+def q_d01(spark, sf_dir):
+    return metrics.find_flights(raw(spark, sf_dir), "17", 1996)
+
+
+# =========================================================================== metrics: normalized
+@register("q_f02_load_totals", with_flights("""
+SELECT (SELECT count(*) FROM fl) AS total_flights, (SELECT count(*) FROM air) AS total_airlines,
+  (SELECT count(*) FROM apt) AS total_airports"""))
+def q_f02(spark, sf_dir):
+    return metrics.load_totals(tables(spark, sf_dir))
+
+
+@register("q_f03_top_airlines", with_flights("""
+SELECT AIRLINE AS airline, count(*) AS flight_count FROM fl GROUP BY AIRLINE
+ORDER BY flight_count DESC, airline LIMIT 10"""))
+def q_f03(spark, sf_dir):
+    return metrics.top_carriers_by_code(tables(spark, sf_dir))
+
+
+@register("q_f04_top_origin_airports", with_flights("""
+SELECT ORIGIN_AIRPORT AS airport, count(*) AS flight_count FROM fl GROUP BY ORIGIN_AIRPORT
+ORDER BY flight_count DESC, airport LIMIT 10"""))
+def q_f04o(spark, sf_dir):
+    return metrics.top_airports_by_role(tables(spark, sf_dir), "origin")
+
+
+@register("q_f04_top_destination_airports", with_flights("""
+SELECT DESTINATION_AIRPORT AS airport, count(*) AS flight_count FROM fl
+GROUP BY DESTINATION_AIRPORT ORDER BY flight_count DESC, airport LIMIT 10"""))
+def q_f04d(spark, sf_dir):
+    return metrics.top_airports_by_role(tables(spark, sf_dir), "destination")
+
+
+@register("q_f07_executive_summary", with_flights(f"""
+SELECT count(*) AS TOTAL_FLIGHTS, (SELECT count(*) FROM air) AS TOTAL_AIRLINES,
+  (SELECT count(*) FROM apt) AS TOTAL_AIRPORTS,
+  {P0('count_if(CANCELLED = 1)', 'count(*)')} AS CANCELLATION_RATE,
+  {P0('count_if(DIVERTED = 1)', 'count(*)')} AS DIVERSION_RATE,
+  {R('coalesce(avg(DEPARTURE_DELAY), 0.0)')} AS AVG_DEPARTURE_DELAY,
+  {R('coalesce(avg(ARRIVAL_DELAY), 0.0)')} AS AVG_ARRIVAL_DELAY
+FROM fl"""))
+def q_f07(spark, sf_dir):
+    return metrics.executive_summary(tables(spark, sf_dir), rate_digits=D, avg_digits=D)
+
+
+_F08 = with_flights(f"""
+SELECT AIRLINE AS AIRLINE_CODE, count(*) AS FLIGHT_COUNT,
+  {R('coalesce(avg(DEPARTURE_DELAY), 0.0)')} AS AVG_DEPARTURE_DELAY,
+  {R('coalesce(avg(ARRIVAL_DELAY), 0.0)')} AS AVG_ARRIVAL_DELAY,
+  {P0('count_if(CANCELLED = 1)', 'count(*)')} AS CANCELLATION_RATE,
+  {P0('count_if(DIVERTED = 1)', 'count(*)')} AS DIVERSION_RATE
+FROM fl GROUP BY AIRLINE""")
+
+
+@register("q_f08_airline_performance", _F08)
+def q_f08(spark, sf_dir):
+    return metrics.carrier_performance(tables(spark, sf_dir), rate_digits=D, avg_digits=D)
+
+
+@register("q_f49_cancellation_ranking", _F08)
+def q_f49(spark, sf_dir):
+    return metrics.carrier_performance(tables(spark, sf_dir), order="cancellation",
+                                       ascending=False, rate_digits=D, avg_digits=D)
+
+
+@register("q_f44_ranked_slice", with_flights(f"""
+p AS (
+  SELECT AIRLINE AS AIRLINE_CODE, count(*) AS FLIGHT_COUNT,
+  {R('coalesce(avg(DEPARTURE_DELAY), 0.0)')} AS AVG_DEPARTURE_DELAY,
+  {R('coalesce(avg(ARRIVAL_DELAY), 0.0)')} AS AVG_ARRIVAL_DELAY,
+  {P0('count_if(CANCELLED = 1)', 'count(*)')} AS CANCELLATION_RATE,
+  {P0('count_if(DIVERTED = 1)', 'count(*)')} AS DIVERSION_RATE
+  FROM fl GROUP BY AIRLINE)
+SELECT *, CAST(row_number() OVER (ORDER BY FLIGHT_COUNT DESC, AIRLINE_CODE) AS BIGINT) AS "rank"
+FROM p ORDER BY FLIGHT_COUNT DESC, AIRLINE_CODE LIMIT 10"""))
+def q_f44(spark, sf_dir):
+    perf = metrics.carrier_performance(tables(spark, sf_dir), rate_digits=D, avg_digits=D)
+    return metrics.ranked_slice(perf, [("FLIGHT_COUNT", True), ("AIRLINE_CODE", False)], 10)
+
+
+@register("q_f09_airport_traffic", with_flights("""
+o AS (SELECT ORIGIN_AIRPORT AS code, count(*) AS n FROM fl GROUP BY 1),
+d AS (SELECT DESTINATION_AIRPORT AS code, count(*) AS n FROM fl GROUP BY 1)
+SELECT a.airport_code AS AIRPORT_CODE, coalesce(o.n, 0) AS ORIGIN_FLIGHTS,
+  coalesce(d.n, 0) AS DESTINATION_FLIGHTS, coalesce(o.n, 0) + coalesce(d.n, 0) AS TOTAL_TRAFFIC
+FROM apt a LEFT JOIN o ON a.airport_code = o.code LEFT JOIN d ON a.airport_code = d.code
+WHERE o.n IS NOT NULL OR d.n IS NOT NULL"""))
+def q_f09(spark, sf_dir):
+    return metrics.airport_traffic(tables(spark, sf_dir))
+
+
+@register("q_f10_delay_analysis", with_flights(f"""
+SELECT AIRLINE AS AIRLINE_CODE,
+  {R('coalesce(avg(WEATHER_DELAY), 0.0)')} AS AVG_WEATHER_DELAY,
+  {R('coalesce(avg(AIRLINE_DELAY), 0.0)')} AS AVG_AIRLINE_DELAY,
+  {R('coalesce(avg(SECURITY_DELAY), 0.0)')} AS AVG_SECURITY_DELAY,
+  {R('coalesce(avg(AIR_SYSTEM_DELAY), 0.0)')} AS AVG_AIR_SYSTEM_DELAY,
+  {R('coalesce(avg(LATE_AIRCRAFT_DELAY), 0.0)')} AS AVG_LATE_AIRCRAFT_DELAY
+FROM fl GROUP BY AIRLINE"""))
+def q_f10(spark, sf_dir):
+    return metrics.delay_analysis(tables(spark, sf_dir), digits=D)
+
+
+# =========================================================================== metrics: star
+@register("q_f19_executive_kpis", with_flights(f"""
+g AS (SELECT count(*) AS total_flights, (SELECT count(*) FROM air) AS total_airlines,
+        (SELECT count(*) FROM apt) AS total_airports,
+        {P('count_if(CANCELLED = 1)', 'count(*)')} AS cancel_rate,
+        {P('count_if(DIVERTED = 1)', 'count(*)')} AS divert_rate,
+        {R('avg(DEPARTURE_DELAY)')} AS avg_dep, {R('avg(ARRIVAL_DELAY)')} AS avg_arr FROM fl)
+SELECT *, {R('100.0 - cancel_rate - divert_rate')} AS completed_pct FROM g"""))
+def q_f19(spark, sf_dir):
+    return metrics.executive_kpis(star(spark, sf_dir), rate_digits=D, avg_digits=D)
+
+
+@register("q_f20_top_airlines_by_name", with_flights("""
+SELECT airline_name, count(*) AS flights FROM fl GROUP BY airline_name
+ORDER BY flights DESC, airline_name LIMIT 10"""))
+def q_f20(spark, sf_dir):
+    return metrics.top_carriers(star(spark, sf_dir))
+
+
+@register("q_f21_top_airports_by_traffic", with_flights("""
+SELECT code AS airport_code, count(*) AS traffic FROM roles GROUP BY code
+ORDER BY traffic DESC, airport_code LIMIT 10"""))
+def q_f21(spark, sf_dir):
+    return metrics.top_airports(star(spark, sf_dir))
+
+
+_CAUSES_WIDE = f"""
+w AS (SELECT {R('avg(WEATHER_DELAY)')} AS "Weather", {R('avg(AIRLINE_DELAY)')} AS "Airline",
+        {R('avg(SECURITY_DELAY)')} AS "Security", {R('avg(AIR_SYSTEM_DELAY)')} AS "NAS",
+        {R('avg(LATE_AIRCRAFT_DELAY)')} AS "Late Aircraft" FROM fl WHERE ARRIVAL_DELAY > 0)"""
+
+
+@register("q_f22_network_delay_causes", with_flights(_CAUSES_WIDE + """
+SELECT 'Weather' AS category, "Weather" AS avg_minutes FROM w
+UNION ALL SELECT 'Airline', "Airline" FROM w UNION ALL SELECT 'Security', "Security" FROM w
+UNION ALL SELECT 'NAS', "NAS" FROM w UNION ALL SELECT 'Late Aircraft', "Late Aircraft" FROM w"""))
+def q_f22(spark, sf_dir):
+    return metrics.cause_averages(star(spark, sf_dir), arr_gt=0, long=True, digits=D)
+
+
+@register("q_f30_delay_causes_filtered", with_flights(_CAUSES_WIDE + "\nSELECT * FROM w"))
+def q_f30(spark, sf_dir):
+    return metrics.cause_averages(star(spark, sf_dir), arr_gt=0, carrier_key=None,
+                                  date_key=None, digits=D)
+
+
+@register("q_f23_airline_drilldown", with_flights(f"""
+SELECT k.airline_key, k.airline_name, count(*) AS flights, {R('avg(DEPARTURE_DELAY)')} AS avg_dep,
+  {R('avg(ARRIVAL_DELAY)')} AS avg_arr, {P('count_if(CANCELLED = 1)', 'count(*)')} AS cancel_rate
+FROM fl JOIN dim_air k ON fl.AIRLINE = k.airline_code GROUP BY k.airline_key, k.airline_name"""))
+def q_f23(spark, sf_dir):
+    return metrics.carrier_kpis(star(spark, sf_dir), None, rate_digits=D, avg_digits=D)
+
+
+@register("q_f24_daily_volume", with_flights("""
+SELECT full_date, d.day_name, count(*) AS flights,
+  d.day_name || ' (' || strftime(full_date, '%Y-%m-%d') || ')' AS date_label
+FROM fl JOIN dd d USING (full_date) GROUP BY full_date, d.day_name"""))
+def q_f24(spark, sf_dir):
+    return metrics.carrier_daily(star(spark, sf_dir), None)
+
+
+@register("q_f25_airline_comparison", with_flights(f"""
+SELECT airline_name, count(*) AS flights, {R('avg(ARRIVAL_DELAY)')} AS avg_delay,
+  {P('count_if(CANCELLED = 1)', 'count(*)')} AS cancel_rate FROM fl GROUP BY airline_name"""))
+def q_f25(spark, sf_dir):
+    return metrics.carrier_comparison(star(spark, sf_dir), rate_digits=D, avg_digits=D)
+
+
+@register("q_f26_airport_drilldown", with_flights(f"""
+r AS (SELECT ORIGIN_AIRPORT AS code, 1 AS o, 0 AS a, DEPARTURE_DELAY AS v FROM fl
+      UNION ALL SELECT DESTINATION_AIRPORT, 0, 1, NULL FROM fl),
+g AS (SELECT code, CAST(sum(o) AS BIGINT) AS departures, CAST(sum(a) AS BIGINT) AS arrivals,
+        avg(v) AS av FROM r GROUP BY code)
+SELECT k.airport_key, k.airport_code, k.airport_name, k.city, k.state, departures, arrivals,
+  coalesce({R('av')}, 0.0) AS avg_dep_delay
+FROM g JOIN dim_apt k ON g.code = k.airport_code"""))
+def q_f26(spark, sf_dir):
+    return metrics.airport_kpis(star(spark, sf_dir), None, avg_digits=D)
+
+
+@register("q_f27_top_destinations", with_flights("""
+g AS (SELECT ORIGIN_AIRPORT AS hub, DESTINATION_AIRPORT AS code, count(*) AS flights
+      FROM fl GROUP BY 1, 2),
+rk AS (SELECT h.airport_key AS hub_key, g.code AS airport_code, g.code AS airport_name, flights,
+         CAST(row_number() OVER (PARTITION BY hub ORDER BY flights DESC, g.code) AS BIGINT)
+           AS dest_rank
+       FROM g JOIN dim_apt h ON h.airport_code = g.hub)
+SELECT * FROM rk WHERE dest_rank <= 10"""))
+def q_f27(spark, sf_dir):
+    return metrics.top_destinations(star(spark, sf_dir), None, 10)
+
+
+@register("q_f28_airport_rankings", with_flights("""
+t AS (SELECT code AS airport_code, count(*) AS total_traffic FROM roles GROUP BY code)
+SELECT airport_code, total_traffic,
+  CAST(dense_rank() OVER (ORDER BY total_traffic DESC) AS BIGINT) AS "rank"
+FROM t ORDER BY "rank", airport_code LIMIT 25"""))
+def q_f28(spark, sf_dir):
+    return metrics.airport_rankings(star(spark, sf_dir), 25)
+
+
+@register("q_f29_route_table", with_flights(f"""
+SELECT ORIGIN_AIRPORT AS origin, DESTINATION_AIRPORT AS destination,
+  ORIGIN_AIRPORT || ' -> ' || DESTINATION_AIRPORT AS route, count(*) AS flights,
+  {R('avg(ARRIVAL_DELAY)')} AS avg_delay, {P('count_if(CANCELLED = 1)', 'count(*)')} AS cancel_rate,
+  {R('avg(DISTANCE)')} AS avg_distance_mi
+FROM fl GROUP BY ORIGIN_AIRPORT, DESTINATION_AIRPORT HAVING count(*) >= 20
+ORDER BY flights DESC, origin, destination LIMIT 20"""))
+def q_f29(spark, sf_dir):
+    return metrics.routes(star(spark, sf_dir), min_flights=20, limit=20, avg_digits=D,
+                          rate_digits=D, dist_digits=D)
+
+
+@register("q_f31_airline_arrival_delay", with_flights(f"""
+SELECT airline_name, {R('avg(ARRIVAL_DELAY)')} AS avg_delay FROM fl WHERE ARRIVAL_DELAY > 0
+GROUP BY airline_name"""))
+def q_f31(spark, sf_dir):
+    return metrics.carrier_delay(star(spark, sf_dir), arr_gt=0, digits=D)
+
+
+@register("q_f32_daily_trend", with_flights(f"""
+SELECT full_date, d.day_name, d.is_weekend, count(*) AS flights,
+  {R('avg(DEPARTURE_DELAY)')} AS avg_dep_delay, {R('avg(ARRIVAL_DELAY)')} AS avg_arr_delay,
+  {P('count_if(CANCELLED = 1)', 'count(*)')} AS cancel_rate,
+  d.day_name || ' ' || strftime(full_date, '%m-%d') AS label
+FROM fl JOIN dd d USING (full_date) GROUP BY full_date, d.day_name, d.is_weekend"""))
+def q_f32(spark, sf_dir):
+    return metrics.daily_trend(star(spark, sf_dir), rate_digits=D, avg_digits=D)
+
+
+@register("q_f33_airline_by_day", with_flights("""
+SELECT full_date, d.day_name, airline_name, count(*) AS flights,
+  d.day_name || ' ' || strftime(full_date, '%m-%d') AS label
+FROM fl JOIN dd d USING (full_date) GROUP BY full_date, d.day_name, airline_name"""))
+def q_f33(spark, sf_dir):
+    return metrics.carrier_by_day(star(spark, sf_dir))
+
+
+@register("q_f34_weekday_weekend", with_flights(f"""
+SELECT CASE WHEN d.is_weekend THEN 'Weekend' ELSE 'Weekday' END AS day_type, count(*) AS flights,
+  {R('avg(DEPARTURE_DELAY)')} AS avg_delay
+FROM fl JOIN dd d USING (full_date) GROUP BY day_type"""))
+def q_f34(spark, sf_dir):
+    return metrics.day_type(star(spark, sf_dir), digits=D)
+
+
+@register("q_f43_airline_options", with_flights(
+    "SELECT airline_key, airline_name FROM dim_air"))
+def q_f43a(spark, sf_dir):
+    return metrics.filter_options(star(spark, sf_dir), "airlines")
+
+
+@register("q_f43_airport_options", with_flights("""
+SELECT airport_key, airport_code || ' - ' || airport_name AS label FROM dim_apt
+WHERE airport_code IN (SELECT code FROM roles)"""))
+def q_f43p(spark, sf_dir):
+    return metrics.filter_options(star(spark, sf_dir), "airports")
+
+
+@register("q_f43_date_options", with_flights("""
+SELECT date_key, full_date, day_name,
+  day_name || ' (' || strftime(full_date, '%Y-%m-%d') || ')' AS label FROM dd"""))
+def q_f43d(spark, sf_dir):
+    return metrics.filter_options(star(spark, sf_dir), "dates")

@@ -69,7 +69,19 @@ dd AS (
 apt AS (
   SELECT DISTINCT code AS airport_code FROM (
     SELECT ORIGIN_AIRPORT AS code FROM fl UNION ALL SELECT DESTINATION_AIRPORT FROM fl)),
-air AS (SELECT DISTINCT AIRLINE AS airline_code, airline_name FROM fl)
+air AS (SELECT DISTINCT AIRLINE AS airline_code, airline_name FROM fl),
+dim_air AS (
+  SELECT CAST(row_number() OVER (ORDER BY airline_code) AS INTEGER) AS airline_key,
+         airline_code, airline_name FROM air),
+dim_apt AS (
+  SELECT CAST(row_number() OVER (ORDER BY a.airport_code) AS INTEGER) AS airport_key,
+         a.airport_code, n.n_name AS airport_name, n.n_name AS city, r.r_name AS state,
+         r.r_name AS country, CAST(n.n_nationkey AS DOUBLE) AS latitude,
+         CAST(n.n_regionkey AS DOUBLE) AS longitude
+  FROM apt a LEFT JOIN nation n ON a.airport_code = n.n_name
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey),
+roles AS (
+  SELECT ORIGIN_AIRPORT AS code FROM fl UNION ALL SELECT DESTINATION_AIRPORT AS code FROM fl)
 """
 
 

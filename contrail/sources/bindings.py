@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from contrail.operators import model
 from contrail.session import scratch_path
-from contrail.spec import Star
+from contrail.spec import Star, Tables
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,6 +109,7 @@ def airports_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _STAR_CACHE: dict = {}
+_PATHS: dict = {}
 _LOCK = threading.Lock()
 
 
@@ -123,9 +124,34 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
         build_and_write_star(spark, sf_dir, path)
         s = model.read_star(spark, path)
         _STAR_CACHE[key] = s
+        _PATHS[key] = path
         return s
 
 
+def _path(spark: SparkSession, sf_dir: str) -> str:
+    star(spark, sf_dir)
+    return _PATHS[(spark.sparkContext.applicationId, sf_dir.rstrip("/"))]
+
+
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flight-shaped table as written by the star build (A4/A5 round trip)."""
+    return spark.read.parquet(f"{_path(spark, sf_dir)}/flights")
+
+
+def normalized(spark: SparkSession, sf_dir: str) -> Tables:
+    """Normalized layer (C10) of ``sf_dir``: written members with ids and the
+    keyed fact (the warehouse fact with the id names of the normalized DDL)."""
+    p = _path(spark, sf_dir)
+    s = star(spark, sf_dir)
+    airlines = spark.read.parquet(f"{p}/airlines")
+    airports = spark.read.parquet(f"{p}/airports")
+    flights = s.fact.withColumnsRenamed({"airline_key": "AIRLINE_ID",
+                                         "origin_airport_key": "ORIGIN_AIRPORT_ID",
+                                         "dest_airport_key": "DESTINATION_AIRPORT_ID"})
+    return Tables(airlines=airlines, airports=airports, flights=flights,
+                  counts={"airlines": s.rows["dim_airline"], "airports": s.rows["dim_airport"]})
+
+
 def build_and_write_star(spark: SparkSession, sf_dir: str, path: str) -> None:
     """The reference's batch flow on Spark: flights written once (the 4-way
     join runs once, A4), members extracted and counted (their counts bound
