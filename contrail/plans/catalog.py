@@ -524,3 +524,230 @@ SELECT date_key, full_date, day_name,
   day_name || ' (' || strftime(full_date, '%Y-%m-%d') || ')' AS label FROM dd"""))
 def q_f43d(spark, sf_dir):
     return metrics.filter_options(star(spark, sf_dir), "dates")
+
+
+# =========================================================================== profile (B) / clean (C)
+from contrail.operators import clean, model, profile  # noqa: E402
+from contrail.plans.oracle import RAW_COLUMNS, STRING_COLUMNS, q  # noqa: E402
+from contrail.spec import DELAY_COLUMNS  # noqa: E402
+
+_NUM_PATTERN = r"^(-*[0-9]*\.?[0-9]+|-*[0-9]+\.?|nan)$"
+
+
+def _miss(c, is_float):
+    return f"({q(c)} IS NULL OR isnan({q(c)}))" if is_float else f"{q(c)} IS NULL"
+
+
+def text_flights(spark, sf_dir):
+    return bindings.text_flights(spark, sf_dir)
+
+
+@register("q_b01_profile", with_flights(f"""
+SELECT 'flights' AS dataset, count(*) AS row_count, {len(RAW_COLUMNS)} AS column_count,
+  '{",".join(c for c, _ in RAW_COLUMNS)}' AS columns FROM rf"""))
+def q_b01(spark, sf_dir):
+    return profile.profile(raw(spark, sf_dir), "flights").select(
+        "dataset", "row_count", "column_count",
+        __import__("pyspark.sql.functions", fromlist=["x"]).array_join("columns", ",")
+        .alias("columns"))
+
+
+@register("q_b02_missing_values", with_flights("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count_if({_miss(c, fl_)}) AS missing_count, "
+    f"CAST(count_if({_miss(c, fl_)}) AS DOUBLE) / count(*) * 100 AS missing_pct FROM rf"
+    for c, fl_ in RAW_COLUMNS)))
+def q_b02(spark, sf_dir):
+    return profile.missing_report(raw(spark, sf_dir))
+
+
+@register("q_b02_missing_summary", with_flights(f"""
+m AS (SELECT count(*) AS r, {' + '.join(f'count_if({_miss(c, f)})' for c, f in RAW_COLUMNS)} AS t
+      FROM rf)
+SELECT CAST(t AS BIGINT) AS total_missing, CAST(r * {len(RAW_COLUMNS)} AS BIGINT) AS total_cells,
+  coalesce(CAST(t AS DOUBLE) / CAST(r * {len(RAW_COLUMNS)} AS DOUBLE) * 100, 0.0)
+    AS total_missing_percentage FROM m"""))
+def q_b02s(spark, sf_dir):
+    return profile.missing_summary(raw(spark, sf_dir))
+
+
+def _dup_sql(cols):
+    sel = ", ".join(q(c) for c in cols)
+    return with_flights(f"""
+t AS (SELECT count(*) AS total_rows FROM rf),
+u AS (SELECT count(*) AS unique_rows FROM (SELECT DISTINCT {sel} FROM rf))
+SELECT total_rows, unique_rows, total_rows - unique_rows AS duplicate_rows,
+  coalesce(CAST(total_rows - unique_rows AS DOUBLE) / total_rows * 100, 0.0)
+    AS duplicate_percentage FROM t, u""")
+
+
+DUP_KEYS = ["AIRLINE", "FLIGHT_NUMBER", "YEAR"]
+
+
+@register("q_b03_duplicate_rows", _dup_sql([c for c, _ in RAW_COLUMNS]))
+def q_b03(spark, sf_dir):
+    return profile.duplicate_report(raw(spark, sf_dir))
+
+
+@register("q_b03_duplicate_keys", _dup_sql(DUP_KEYS))
+def q_b03k(spark, sf_dir):
+    return profile.duplicate_report(raw(spark, sf_dir), DUP_KEYS)
+
+
+def _quality_sql(src, text_cols):
+    n = len(RAW_COLUMNS)
+    miss = " + ".join(f"count_if({_miss(c, f and c not in text_cols)})" for c, f in RAW_COLUMNS)
+    bad = [f"least(2.0, coalesce(CAST(count_if(TRY_CAST(trim({q(c)}) AS DOUBLE) IS NULL "
+           f"OR isnan(TRY_CAST(trim({q(c)}) AS DOUBLE))) AS DOUBLE) / count(*), 0.0) * 10)"
+           for c in text_cols]
+    ded = " + ".join(bad) if bad else "0.0"
+    return with_flights(f"""
+m AS (SELECT count(*) AS r, {miss} AS t, {ded} AS tded FROM {src}),
+u AS (SELECT count(*) AS uq FROM (SELECT DISTINCT * FROM {src})),
+s AS (SELECT r, coalesce(CAST(t AS DOUBLE) / (CAST(r AS DOUBLE) * {n}) * 100, 0.0) AS mp,
+        coalesce(CAST(r - uq AS DOUBLE) / CAST(r AS DOUBLE) * 100, 0.0) AS dp,
+        least(10.0, tded) AS td FROM m, u),
+f AS (SELECT *, CAST(floor(greatest(0.0, least(100.0,
+        100.0 - least(30.0, mp * 0.5) - least(20.0, dp * 0.5) - td))) AS INTEGER) AS qs FROM s)
+SELECT r AS total_rows, mp AS missing_percentage, dp AS duplicate_percentage,
+  td AS type_deduction, qs AS quality_score,
+  CASE WHEN qs >= 90 THEN 'Excellent' WHEN qs >= 75 THEN 'Good' WHEN qs >= 60 THEN 'Fair'
+       ELSE 'Poor' END AS grade FROM f""")
+
+
+@register("q_b06_quality_score", _quality_sql("rf", []))
+def q_b06(spark, sf_dir):
+    return profile.quality_score(raw(spark, sf_dir))
+
+
+@register("q_b06_quality_score_text_feed", _quality_sql("tf", DELAY_COLUMNS))
+def q_b06t(spark, sf_dir):
+    return profile.quality_score(text_flights(spark, sf_dir))
+
+
+def _to_num(c):
+    v = f"TRY_CAST(trim({q(c)}) AS DOUBLE)"
+    return f"CASE WHEN isnan({v}) THEN NULL ELSE {v} END"
+
+
+@register("q_c03_validate_numeric", with_flights(
+    "SELECT * REPLACE (" + ", ".join(f"{_to_num(c)} AS {q(c)}" for c in DELAY_COLUMNS)
+    + ") FROM tf"))
+def q_c03(spark, sf_dir):
+    return clean.validate_numeric(text_flights(spark, sf_dir))
+
+
+@register("q_c04_invalid_numeric", with_flights("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count_if(NOT ({q(c)} IS NULL OR "
+    f"regexp_matches(trim({q(c)}), '{_NUM_PATTERN}'))) AS invalid_count FROM tf"
+    for c in DELAY_COLUMNS)))
+def q_c04(spark, sf_dir):
+    return clean.invalid_numeric_report(text_flights(spark, sf_dir))
+
+
+def _imputed_select(src):
+    parts = []
+    for c, _ in RAW_COLUMNS:
+        if c in STRING_COLUMNS:
+            parts.append(f"coalesce({q(c)}, 'UNKNOWN') AS {q(c)}")
+        else:
+            parts.append(f"coalesce(CAST({q(c)} AS DOUBLE), "
+                         f"(SELECT median(CAST({q(c)} AS DOUBLE)) FROM {src})) AS {q(c)}")
+    return "SELECT " + ", ".join(parts) + f" FROM {src}"
+
+
+@register("q_c01_impute", with_flights(_imputed_select("rf")))
+def q_c01(spark, sf_dir):
+    return clean.impute(raw(spark, sf_dir))
+
+
+@register("q_c02_keep_first", with_flights(f"""
+k AS (SELECT *, row_number() OVER (PARTITION BY {', '.join(q(c) for c in DUP_KEYS)}
+        ORDER BY {', '.join(q(c) + ' ASC NULLS FIRST' for c, _ in RAW_COLUMNS if c not in DUP_KEYS)})
+        AS rn FROM rf)
+SELECT * EXCLUDE (rn) FROM k WHERE rn = 1"""))
+def q_c02(spark, sf_dir):
+    f = raw(spark, sf_dir)
+    return clean.dedupe(f, DUP_KEYS, [c for c in f.columns if c not in DUP_KEYS])
+
+
+@register("q_c02_drop_duplicates", with_flights(
+    "SELECT DISTINCT AIRLINE, ORIGIN_AIRPORT, DESTINATION_AIRPORT, \"YEAR\" FROM rf"))
+def q_c02d(spark, sf_dir):
+    return clean.dedupe(raw(spark, sf_dir).select("AIRLINE", "ORIGIN_AIRPORT",
+                                                   "DESTINATION_AIRPORT", "YEAR"))
+
+
+@register("q_c05_clean_report", with_flights(f"""
+c AS (SELECT DISTINCT * FROM ({_imputed_select("rf")})),
+b AS (SELECT count(*) AS initial_rows,
+        {' + '.join(f'count_if({_miss(c, f)})' for c, f in RAW_COLUMNS)} AS total_missing FROM rf),
+u AS (SELECT count(*) AS uq FROM (SELECT DISTINCT * FROM rf)),
+a AS (SELECT count(*) AS t, CAST(sum(CANCELLED) AS BIGINT) AS cc, CAST(sum(DIVERTED) AS BIGINT) AS dv,
+        avg(DEPARTURE_DELAY) AS dep, avg(ARRIVAL_DELAY) AS arr,
+        count_if(DEPARTURE_DELAY <= 0 AND ARRIVAL_DELAY <= 0) AS ot FROM c),
+s AS (SELECT initial_rows, CAST(total_missing AS BIGINT) AS total_missing,
+        initial_rows - uq AS duplicates_before,
+        CAST(floor(greatest(0.0, least(100.0, 100.0
+          - least(30.0, CAST(total_missing AS DOUBLE) / (initial_rows * {len(RAW_COLUMNS)}.0) * 100 * 0.5)
+          - least(20.0, CAST(initial_rows - uq AS DOUBLE) / initial_rows * 100 * 0.5)))) AS INTEGER)
+          AS quality_score FROM b, u)
+SELECT total_missing, initial_rows, duplicates_before, quality_score,
+  CASE WHEN quality_score >= 90 THEN 'Excellent' WHEN quality_score >= 75 THEN 'Good'
+       WHEN quality_score >= 60 THEN 'Fair' ELSE 'Poor' END AS grade,
+  t AS final_rows, cc AS cancelled_flights, CAST(cc AS DOUBLE) / t * 100 AS cancelled_percentage,
+  dv AS diverted_flights, CAST(dv AS DOUBLE) / t * 100 AS diverted_percentage,
+  {R('dep')} AS avg_departure_delay, {R('arr')} AS avg_arrival_delay, ot AS on_time_flights,
+  CAST(ot AS DOUBLE) / t * 100 AS on_time_percentage, initial_rows - t AS rows_removed
+FROM s, a"""))
+def q_c05(spark, sf_dir):
+    return clean.clean_fact(raw(spark, sf_dir), digits=D)[1]
+
+
+# =========================================================================== model
+@register("q_c06_airline_members", with_flights("SELECT DISTINCT AIRLINE FROM fl"))
+def q_c06(spark, sf_dir):
+    return model.members(raw(spark, sf_dir), "AIRLINE", "AIRLINE")
+
+
+@register("q_c08_airport_keys", with_flights("""
+SELECT code AS AIRPORT, CAST(row_number() OVER (ORDER BY code) AS INTEGER) AS AIRPORT_ID
+FROM (SELECT DISTINCT code FROM roles)"""))
+def q_c08(spark, sf_dir):
+    m = model.members(raw(spark, sf_dir), ["ORIGIN_AIRPORT", "DESTINATION_AIRPORT"], "AIRPORT")
+    return model.surrogate_keys(m, "AIRPORT", "AIRPORT_ID")
+
+
+@register("q_c08_airline_keys_distributed", with_flights("""
+SELECT airline_code AS AIRLINE, airline_key AS AIRLINE_ID FROM dim_air"""))
+def q_c08d(spark, sf_dir):
+    """Surrogate keys through the distributed ranking path (no size bound)."""
+    m = model.members(raw(spark, sf_dir), "AIRLINE", "AIRLINE")
+    return model.surrogate_keys(m, "AIRLINE", "AIRLINE_ID", bound=None)
+
+
+@register("q_c11_dim_airport", with_flights("SELECT * FROM dim_apt"))
+def q_c11(spark, sf_dir):
+    return star(spark, sf_dir).dim_airport
+
+
+@register("q_c12_dim_airline", with_flights("SELECT * FROM dim_air"))
+def q_c12(spark, sf_dir):
+    return star(spark, sf_dir).dim_airline
+
+
+@register("q_c13_dim_date", with_flights("SELECT * FROM dd"))
+def q_c13(spark, sf_dir):
+    return star(spark, sf_dir).dim_date
+
+
+@register("q_c14_fact_flights", with_flights("""
+SELECT a.airline_key, o.airport_key AS origin_airport_key, d.airport_key AS dest_airport_key,
+  fl.date_key, CAST(fl.date_key / 10000 AS INTEGER) AS year,
+  fl.* EXCLUDE ("YEAR", "MONTH", "DAY", DAY_OF_WEEK, AIRLINE, ORIGIN_AIRPORT, DESTINATION_AIRPORT,
+                full_date, date_key, airline_name, origin_name, dest_name, origin_state,
+                origin_lat, origin_lon)
+FROM fl JOIN dim_air a ON fl.AIRLINE = a.airline_code
+JOIN dim_apt o ON fl.ORIGIN_AIRPORT = o.airport_code
+JOIN dim_apt d ON fl.DESTINATION_AIRPORT = d.airport_code"""))
+def q_c14(spark, sf_dir):
+    return star(spark, sf_dir).fact

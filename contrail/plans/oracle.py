@@ -81,9 +81,44 @@ dim_apt AS (
   FROM apt a LEFT JOIN nation n ON a.airport_code = n.n_name
   LEFT JOIN region r ON n.n_regionkey = r.r_regionkey),
 roles AS (
-  SELECT ORIGIN_AIRPORT AS code FROM fl UNION ALL SELECT DESTINATION_AIRPORT AS code FROM fl)
+  SELECT ORIGIN_AIRPORT AS code FROM fl UNION ALL SELECT DESTINATION_AIRPORT AS code FROM fl),
+rf AS (
+  SELECT "YEAR", "MONTH", "DAY", DAY_OF_WEEK, AIRLINE, FLIGHT_NUMBER, TAIL_NUMBER,
+    ORIGIN_AIRPORT, DESTINATION_AIRPORT, DEPARTURE_DELAY, DISTANCE, ARRIVAL_DELAY, DIVERTED,
+    CANCELLED, CANCELLATION_REASON, AIR_SYSTEM_DELAY, SECURITY_DELAY, AIRLINE_DELAY,
+    LATE_AIRCRAFT_DELAY, WEATHER_DELAY, AIRCRAFT_ID, MODEL
+  FROM fl),
+tf AS (
+  SELECT * REPLACE (
+    CASE WHEN CANCELLED = 1 THEN 'N/A' ELSE CAST(DEPARTURE_DELAY AS VARCHAR) END AS DEPARTURE_DELAY,
+    CASE WHEN DIVERTED = 1 THEN 'nan' ELSE CAST(ARRIVAL_DELAY AS VARCHAR) END AS ARRIVAL_DELAY,
+    CAST(AIR_SYSTEM_DELAY AS VARCHAR) AS AIR_SYSTEM_DELAY,
+    CAST(SECURITY_DELAY AS VARCHAR) AS SECURITY_DELAY,
+    CAST(AIRLINE_DELAY AS VARCHAR) AS AIRLINE_DELAY,
+    CAST(LATE_AIRCRAFT_DELAY AS VARCHAR) AS LATE_AIRCRAFT_DELAY,
+    CAST(WEATHER_DELAY AS VARCHAR) AS WEATHER_DELAY)
+  FROM rf)
 """
 
+# Raw flight columns and whether they are floating point (NaN counts as missing).
+RAW_COLUMNS = [
+    ("YEAR", False), ("MONTH", False), ("DAY", False), ("DAY_OF_WEEK", False),
+    ("AIRLINE", False), ("FLIGHT_NUMBER", False), ("TAIL_NUMBER", False),
+    ("ORIGIN_AIRPORT", False), ("DESTINATION_AIRPORT", False), ("DEPARTURE_DELAY", True),
+    ("DISTANCE", True), ("ARRIVAL_DELAY", True), ("DIVERTED", False), ("CANCELLED", False),
+    ("CANCELLATION_REASON", False), ("AIR_SYSTEM_DELAY", True), ("SECURITY_DELAY", True),
+    ("AIRLINE_DELAY", True), ("LATE_AIRCRAFT_DELAY", True), ("WEATHER_DELAY", True),
+    ("AIRCRAFT_ID", False), ("MODEL", False),
+]
+STRING_COLUMNS = {"AIRLINE", "FLIGHT_NUMBER", "TAIL_NUMBER", "ORIGIN_AIRPORT",
+                  "DESTINATION_AIRPORT", "CANCELLATION_REASON", "AIRCRAFT_ID", "MODEL"}
+
+
+def q(c: str) -> str:
+    """Quoted identifier."""
+    return f'"{c}"'
+
+
 
 def with_flights(sql: str) -> str:
     """Prefix a query that reads ``fl``/``dd``/``apt``/``air`` with the binding CTEs.

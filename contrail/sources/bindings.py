@@ -162,3 +162,18 @@ def build_and_write_star(spark: SparkSession, sf_dir: str, path: str) -> None:
     refs = {"airlines": airlines_ref(spark, sf_dir), "airports": airports_ref(spark, sf_dir)}
     s = model.build_star(tables, refs["airlines"], refs["airports"])
     model.write_star(s, path)
+
+
+def text_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flights as a text feed would carry them: every delay column is a
+    string; a cancelled flight's departure delay reads 'N/A' and a diverted
+    flight's arrival delay reads 'nan' (inputs for C3/C4/B6 type checks)."""
+    f = raw(spark, sf_dir)
+    delays = ["DEPARTURE_DELAY", "ARRIVAL_DELAY", "AIR_SYSTEM_DELAY", "SECURITY_DELAY",
+              "AIRLINE_DELAY", "LATE_AIRCRAFT_DELAY", "WEATHER_DELAY"]
+    cols = {c: F.col(c).cast("string") for c in delays}
+    cols["DEPARTURE_DELAY"] = F.when(F.col("CANCELLED") == 1, F.lit("N/A")).otherwise(
+        F.col("DEPARTURE_DELAY").cast("string"))
+    cols["ARRIVAL_DELAY"] = F.when(F.col("DIVERTED") == 1, F.lit("nan")).otherwise(
+        F.col("ARRIVAL_DELAY").cast("string"))
+    return f.withColumns(cols)
