@@ -751,3 +751,349 @@ JOIN dim_apt o ON fl.ORIGIN_AIRPORT = o.airport_code
 JOIN dim_apt d ON fl.DESTINATION_AIRPORT = d.airport_code"""))
 def q_c14(spark, sf_dir):
     return star(spark, sf_dir).fact
+
+
+# =========================================================================== distributions
+from contrail.operators import quality  # noqa: E402
+from contrail.plans import dist  # noqa: E402
+
+_COMPLETED = ("CANCELLED <> 1 AND DIVERTED <> 1 AND DEPARTURE_DELAY IS NOT NULL "
+              "AND ARRIVAL_DELAY IS NOT NULL")
+
+
+@register("q_f35_delay_stats", with_flights("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS metric, count({c}) AS n, {R(f'avg({c})')} AS mean, "
+    f"{R(f'quantile_cont({c}, 0.5)')} AS median, {R(f'stddev_samp({c})')} AS std, "
+    f"{R(f'quantile_cont({c}, 0.9)')} AS p90 FROM rf WHERE {_COMPLETED}"
+    for c in ("DEPARTURE_DELAY", "ARRIVAL_DELAY"))))
+def q_f35(spark, sf_dir):
+    return dist.delay_stats(dist.completed(raw(spark, sf_dir)),
+                            ["DEPARTURE_DELAY", "ARRIVAL_DELAY"], digits=D)
+
+
+def _hist_sql(src_where: str, col: str, bins: int, by: str | None = None, src: str = "rf"):
+    bcol = f"{by}, " if by else ""
+    part = f"PARTITION BY {by}" if by else ""
+    join_s = f"JOIN s USING ({by})" if by else "CROSS JOIN s"
+    return with_flights(f"""
+x AS (SELECT {bcol}CAST({col} AS DOUBLE) AS v FROM {src} WHERE {col} IS NOT NULL AND {src_where}),
+s AS (SELECT {bcol}min(v) AS lo, max(v) AS hi FROM x {'GROUP BY ' + by if by else ''}),
+b AS (SELECT {bcol}CASE WHEN s.hi - s.lo = 0 THEN 1
+        ELSE least(CAST(floor((v - s.lo) / (s.hi - s.lo) * {bins}) AS INTEGER) + 1, {bins}) END
+        AS bin FROM x {join_s}),
+c AS (SELECT {bcol}bin, count(*) AS n FROM b GROUP BY {bcol}bin),
+g AS (SELECT {bcol}s.lo, s.hi, CAST(r.range AS INTEGER) AS bin FROM s, range(1, {bins + 1}) r)
+SELECT {('g.' + by + ', ') if by else ''}g.bin,
+  {R(f'g.lo + (g.bin - 1) * ((g.hi - g.lo) / {bins})')} AS bin_lo,
+  {R(f'g.lo + g.bin * ((g.hi - g.lo) / {bins})')} AS bin_hi,
+  coalesce(c.n, 0) AS frequency
+FROM g LEFT JOIN c ON g.bin = c.bin {('AND g.' + by + ' = c.' + by) if by else ''}""")
+
+
+@register("q_f36_dep_histogram",
+          _hist_sql(_COMPLETED + " AND DEPARTURE_DELAY BETWEEN -20 AND 180", "DEPARTURE_DELAY", 50))
+def q_f36d(spark, sf_dir):
+    return dist.histogram(dist.completed(raw(spark, sf_dir)), "DEPARTURE_DELAY", 50, -20, 180,
+                          digits=D)
+
+
+@register("q_f36_arr_histogram",
+          _hist_sql(_COMPLETED + " AND ARRIVAL_DELAY BETWEEN -20 AND 180", "ARRIVAL_DELAY", 50))
+def q_f36a(spark, sf_dir):
+    return dist.histogram(dist.completed(raw(spark, sf_dir)), "ARRIVAL_DELAY", 50, -20, 180,
+                          digits=D)
+
+
+@register("q_f37_airline_delay_histogram", _hist_sql(
+    "DEPARTURE_DELAY BETWEEN -30 AND 120", "DEPARTURE_DELAY", 50, by="airline_key",
+    src="(SELECT k.airline_key, fl.* FROM fl JOIN dim_air k ON fl.AIRLINE = k.airline_code)"))
+def q_f37(spark, sf_dir):
+    return dist.histogram(star(spark, sf_dir).fact, "DEPARTURE_DELAY", 50, -30, 120,
+                          by="airline_key", digits=D)
+
+
+@register("q_f38_weather_histogram", _hist_sql("WEATHER_DELAY > 0", "WEATHER_DELAY", 40))
+def q_f38(spark, sf_dir):
+    from pyspark.sql import functions as F
+    return dist.histogram(star(spark, sf_dir).fact, "WEATHER_DELAY", 40, None, None,
+                          where=F.col("WEATHER_DELAY") > 0, digits=D)
+
+
+# =========================================================================== data quality (K)
+def cleaned(spark, sf_dir):
+    return clean.dedupe(clean.impute(clean.validate_numeric(raw(spark, sf_dir))))
+
+
+def _row(layer, family, check, checked, failures, status, src):
+    return (f"SELECT '{layer}' AS layer, '{family}' AS family, '{check}' AS \"check\", "
+            f"CAST({checked} AS BIGINT) AS checked, CAST({failures} AS BIGINT) AS failures, "
+            f"{status} AS status FROM {src}")
+
+
+def _pf(x):
+    return f"CASE WHEN {x} = 0 THEN 'PASS' ELSE 'FAIL' END"
+
+
+_K01 = "\nUNION ALL\n".join(
+    _row("raw", "null", f"{c} nulls", "count(*)", f"count_if({c} IS NULL)",
+         _pf(f"count_if({c} IS NULL)"), "rf")
+    for c in ("AIRLINE", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT"))
+
+
+@register("q_k01_null_check", with_flights(_K01))
+def q_k01(spark, sf_dir):
+    return quality.null_check(raw(spark, sf_dir))
+
+
+_AIRLINES_REF = "(SELECT CAST(s_suppkey AS VARCHAR) AS IATA_CODE FROM supplier)"
+_AIRPORTS_REF = "(SELECT n_name AS IATA_CODE FROM nation)"
+_K02 = "\nUNION ALL\n".join([
+    _row("reference", "duplicate", "duplicate airline IATA_CODE", "count(*)",
+         f"count(*) - (SELECT count(DISTINCT IATA_CODE) FROM {_AIRLINES_REF})",
+         _pf(f"count(*) - (SELECT count(DISTINCT IATA_CODE) FROM {_AIRLINES_REF})"),
+         _AIRLINES_REF),
+    _row("reference", "duplicate", "duplicate airport IATA_CODE", "count(*)",
+         f"count(*) - (SELECT count(DISTINCT IATA_CODE) FROM {_AIRPORTS_REF})",
+         _pf(f"count(*) - (SELECT count(DISTINCT IATA_CODE) FROM {_AIRPORTS_REF})"),
+         _AIRPORTS_REF),
+    _row("raw", "duplicate", "duplicate rows", "count(*)",
+         "count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM rf))",
+         _pf("count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM rf))"), "rf")])
+
+
+def _k02(spark, sf_dir):
+    return (quality.duplicate_check(bindings.airlines_ref(spark, sf_dir), ["IATA_CODE"],
+                                    "duplicate airline IATA_CODE", "reference")
+            .unionByName(quality.duplicate_check(bindings.airports_ref(spark, sf_dir),
+                                                 ["IATA_CODE"], "duplicate airport IATA_CODE",
+                                                 "reference"))
+            .unionByName(quality.duplicate_check(raw(spark, sf_dir))))
+
+
+register("q_k02_duplicate_check", with_flights(_K02))(_k02)
+
+_CLEANED_SQL = f"(SELECT DISTINCT * FROM ({_imputed_select('rf')}))"
+
+
+def _tol(x):
+    return f"CASE WHEN {x} = 0 THEN 'PASS' WHEN {x} <= 5 THEN 'WARN' ELSE 'FAIL' END"
+
+
+_K04 = "\nUNION ALL\n".join([
+    _row("cleaned", "business_rule", f"{c} >= -60", f"count({c})", f"count_if({c} < -60)",
+         _tol(f"count_if({c} < -60)"), _CLEANED_SQL) for c in ("DEPARTURE_DELAY", "ARRIVAL_DELAY")]
+    + [_row("cleaned", "business_rule", f"{lbl} rate in [0, 100]", "count(*)",
+            f"CASE WHEN coalesce(sum({c}) / count(*) * 100, 0.0) BETWEEN 0 AND 100 THEN 0 ELSE 1 END",
+            "'PASS'", _CLEANED_SQL)
+       for c, lbl in (("CANCELLED", "cancellation"), ("DIVERTED", "diversion"))])
+
+
+@register("q_k04_business_rules", with_flights(_K04))
+def q_k04(spark, sf_dir):
+    return quality.rule_check(cleaned(spark, sf_dir))
+
+
+def _k05_row(col, ref, status):
+    codes = f"(SELECT DISTINCT {col} AS c FROM rf WHERE {col} IS NOT NULL)"
+    miss = f"(SELECT count(*) FROM {codes} WHERE c NOT IN (SELECT IATA_CODE FROM {ref}))"
+    return _row("raw", "reference", f"{col} in reference", "count(*)", miss,
+                f"CASE WHEN {miss} = 0 THEN 'PASS' ELSE '{status}' END", codes)
+
+
+@register("q_k05_reference_integrity", with_flights("\nUNION ALL\n".join([
+    _k05_row("AIRLINE", _AIRLINES_REF, "FAIL"), _k05_row("ORIGIN_AIRPORT", _AIRPORTS_REF, "WARN"),
+    _k05_row("DESTINATION_AIRPORT", _AIRPORTS_REF, "WARN")])))
+def q_k05(spark, sf_dir):
+    f = raw(spark, sf_dir)
+    air, apt = bindings.airlines_ref(spark, sf_dir), bindings.airports_ref(spark, sf_dir)
+    return (quality.ref_check(f, "AIRLINE", air, on_fail="FAIL")
+            .unionByName(quality.ref_check(f, "ORIGIN_AIRPORT", apt, on_fail="WARN"))
+            .unionByName(quality.ref_check(f, "DESTINATION_AIRPORT", apt, on_fail="WARN")))
+
+
+_FACT_SQL = """(SELECT a.airline_key, o.airport_key AS origin_airport_key,
+    d.airport_key AS dest_airport_key, fl.date_key, fl.DEPARTURE_DELAY, fl.ARRIVAL_DELAY
+  FROM fl JOIN dim_air a ON fl.AIRLINE = a.airline_code
+  JOIN dim_apt o ON fl.ORIGIN_AIRPORT = o.airport_code
+  JOIN dim_apt d ON fl.DESTINATION_AIRPORT = d.airport_code)"""
+_ORPHAN = {
+    "airline_key": "count_if(airline_key IS NOT NULL AND airline_key NOT IN "
+                   "(SELECT airline_key FROM dim_air))",
+    "origin_airport_key": "count_if(origin_airport_key IS NOT NULL AND origin_airport_key NOT IN "
+                          "(SELECT airport_key FROM dim_apt))",
+    "dest_airport_key": "count_if(dest_airport_key IS NOT NULL AND dest_airport_key NOT IN "
+                        "(SELECT airport_key FROM dim_apt))",
+    "date_key": "count_if(date_key IS NOT NULL AND date_key NOT IN (SELECT date_key FROM dd))",
+}
+
+
+@register("q_k06_orphans", with_flights("\nUNION ALL\n".join(
+    _row("warehouse", "orphan", f"orphan {k}", "count(*)", v, _pf(v), _FACT_SQL)
+    for k, v in _ORPHAN.items())))
+def q_k06(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return quality.orphan_check(s.fact, [
+        ("airline_key", s.dim_airline, "airline_key", s.rows.get("dim_airline")),
+        ("origin_airport_key", s.dim_airport, "airport_key", s.rows.get("dim_airport")),
+        ("dest_airport_key", s.dim_airport, "airport_key", s.rows.get("dim_airport")),
+        ("date_key", s.dim_date, "date_key", s.rows.get("dim_date"))])
+
+
+_SPARSE = {"CANCELLATION_REASON", "AIR_SYSTEM_DELAY", "SECURITY_DELAY", "AIRLINE_DELAY",
+           "LATE_AIRCRAFT_DELAY", "WEATHER_DELAY"}
+_DENSE = [(c, f) for c, f in RAW_COLUMNS if c not in _SPARSE]
+
+
+@register("q_k07_dq_scores", with_flights(f"""
+a AS (SELECT count(*) AS rn, {' + '.join(f'count_if({_miss(c, f)})' for c, f in _DENSE)} AS nulls,
+        (SELECT count(*) FROM (SELECT DISTINCT * FROM rf)) AS ru FROM rf),
+b AS (SELECT count(*) AS cn, count_if(DEPARTURE_DELAY < -60 OR ARRIVAL_DELAY < -60) AS bad
+      FROM {_CLEANED_SQL}),
+s AS (SELECT {R(f'(1 - CAST(nulls AS DOUBLE) / (rn * {len(_DENSE)})) * 100')} AS completeness,
+        {R('(1 - CAST(bad AS DOUBLE) / cn) * 100')} AS validity,
+        {R('(1 - CAST(rn - ru AS DOUBLE) / rn) * 100')} AS consistency FROM a, b)
+SELECT *, {R('(completeness + validity + consistency) / 3')} AS overall FROM s"""))
+def q_k07(spark, sf_dir):
+    return quality.dq_scores(raw(spark, sf_dir), cleaned(spark, sf_dir), digits=D)
+
+
+@register("q_k08_reconciliation", with_flights(f"""
+k AS (SELECT (SELECT count(*) FROM rf) AS raw, (SELECT count(*) FROM {_CLEANED_SQL}) AS cleaned,
+  (SELECT count(*) FROM {_FACT_SQL}) AS loaded, (SELECT count(*) FROM fl) AS published)
+SELECT *, CASE WHEN raw = cleaned AND raw = loaded AND raw = published THEN 'PASS' ELSE 'FAIL' END
+    AS status FROM k"""))
+def q_k08(spark, sf_dir):
+    return quality.reconcile({
+        "raw": raw(spark, sf_dir), "cleaned": cleaned(spark, sf_dir),
+        "loaded": star(spark, sf_dir).fact,
+        "published": (metrics.executive_summary(tables(spark, sf_dir)), "TOTAL_FLIGHTS")})
+
+
+def _sub(sql):
+    return f"SELECT * FROM ({sql})"
+
+
+@register("q_k09_dq_rollup", f"""
+WITH r AS ({_sub(with_flights(_K01))} UNION ALL {_sub(with_flights(_K02))}
+  UNION ALL {_sub(with_flights(_K04))})
+SELECT count(*) AS checks, count_if(status = 'FAIL') AS failed,
+  count_if(status IN ('WARN', 'WARNING')) AS warned,
+  coalesce(string_agg(CASE WHEN status = 'FAIL' THEN layer || ':' || "check" END, '; '
+    ORDER BY CASE WHEN status = 'FAIL' THEN layer || ':' || "check" END), '') AS failed_checks,
+  CASE WHEN count_if(status = 'FAIL') > 0 THEN 'FAIL'
+       WHEN count_if(status IN ('WARN', 'WARNING')) > 0 THEN 'WARN' ELSE 'PASS' END
+    AS overall_status
+FROM r""")
+def q_k09(spark, sf_dir):
+    results = (quality.null_check(raw(spark, sf_dir)).unionByName(_k02(spark, sf_dir))
+               .unionByName(quality.rule_check(cleaned(spark, sf_dir))))
+    return quality.dq_rollup(results)
+
+
+@register("q_k10_load_check", with_flights("\nUNION ALL\n".join([
+    _row("normalized", "load", "flights rows", "count(*)", "count(*)",
+         "CASE WHEN count(*) > 0 THEN 'PASS' ELSE 'FAIL' END", _FACT_SQL),
+    _row("normalized", "load", "airlines rows", "count(*)", "count(*)",
+         "CASE WHEN count(*) > 0 THEN 'PASS' ELSE 'FAIL' END", "dim_air"),
+    _row("normalized", "load", "airports rows", "count(*)", "count(*)",
+         "CASE WHEN count(*) > 0 THEN 'PASS' ELSE 'FAIL' END", "dim_apt")]
+    + [_row("normalized", "load", f"null {n}", "count(*)", f"count_if({c} IS NULL)",
+            _pf(f"count_if({c} IS NULL)"), _FACT_SQL)
+       for n, c in (("AIRLINE_ID", "airline_key"), ("ORIGIN_AIRPORT_ID", "origin_airport_key"),
+                    ("DESTINATION_AIRPORT_ID", "dest_airport_key"))])))
+def q_k10(spark, sf_dir):
+    return quality.load_check(tables(spark, sf_dir))
+
+
+_STAR_VALUES = {
+    "fact_rows": f"(SELECT count(*) FROM {_FACT_SQL})",
+    "rows_airline": "(SELECT count(*) FROM dim_air)", "rows_airport": "(SELECT count(*) FROM dim_apt)",
+    "rows_date": "(SELECT count(*) FROM dd)",
+    **{f"orphan_{k}": f"(SELECT {v} FROM {_FACT_SQL})" for k, v in _ORPHAN.items()},
+    **{f"null_{k}": f"(SELECT count_if({k} IS NULL) FROM {_FACT_SQL})" for k in _ORPHAN},
+    "dup_airline": "(SELECT count(*) FROM (SELECT airline_key FROM dim_air GROUP BY 1 "
+                   "HAVING count(*) > 1))",
+    "dup_airport": "(SELECT count(*) FROM (SELECT airport_key FROM dim_apt GROUP BY 1 "
+                   "HAVING count(*) > 1))",
+    "dup_date": "(SELECT count(*) FROM (SELECT date_key FROM dd GROUP BY 1 HAVING count(*) > 1))",
+    "null_dep": f"(SELECT count_if(DEPARTURE_DELAY IS NULL) FROM {_FACT_SQL})",
+    "null_arr": f"(SELECT count_if(ARRIVAL_DELAY IS NULL) FROM {_FACT_SQL})",
+}
+_K11 = "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS \"check\", CAST({_STAR_VALUES[c]} AS BIGINT) AS value, "
+    f"{'false' if n.endswith(' rows') else 'true'} AS is_issue"
+    for n, c in quality.STAR_CHECKS)
+
+
+@register("q_k11_star_checks", with_flights(_K11))
+def q_k11(spark, sf_dir):
+    return quality.star_checks(star(spark, sf_dir))
+
+
+@register("q_k11_star_status", f"""
+WITH c AS ({_sub(with_flights(_K11))})
+SELECT CAST(coalesce(sum(CASE WHEN is_issue THEN value END), 0) AS BIGINT) AS total_issues,
+  CASE WHEN coalesce(sum(CASE WHEN is_issue THEN value END), 0) = 0 THEN 'SUCCESS'
+       ELSE 'FAILED' END AS status FROM c""")
+def q_k11s(spark, sf_dir):
+    return quality.star_status(quality.star_checks(star(spark, sf_dir)))
+
+
+_K12 = "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS rule, CAST({_STAR_VALUES[c]} AS BIGINT) AS records_checked, "
+    f"CAST({_STAR_VALUES[f]} AS BIGINT) AS failures, CASE WHEN {_STAR_VALUES[f]} = 0 THEN 'PASS' "
+    f"WHEN {_STAR_VALUES[f]} < 10 THEN 'WARNING' ELSE 'FAIL' END AS status"
+    for n, c, f in quality.MATRIX_RULES)
+
+
+@register("q_k12_rule_matrix", with_flights(_K12))
+def q_k12(spark, sf_dir):
+    return quality.rule_matrix(star(spark, sf_dir))
+
+
+@register("q_k13_matrix_score", f"""
+WITH m AS ({_sub(with_flights(_K12))}),
+g AS (SELECT count(*) AS total_checks, count_if(status = 'PASS') AS passed_checks FROM m)
+SELECT total_checks, passed_checks, total_checks - passed_checks AS failed_checks,
+  round(100.0 - CAST(total_checks - passed_checks AS DOUBLE) / total_checks * 100, 1) AS dq_score,
+  CASE WHEN round(100.0 - CAST(total_checks - passed_checks AS DOUBLE) / total_checks * 100, 1) >= 95
+         THEN 'EXCELLENT'
+       WHEN round(100.0 - CAST(total_checks - passed_checks AS DOUBLE) / total_checks * 100, 1) >= 80
+         THEN 'GOOD'
+       WHEN round(100.0 - CAST(total_checks - passed_checks AS DOUBLE) / total_checks * 100, 1) >= 60
+         THEN 'FAIR' ELSE 'CRITICAL' END AS score_label FROM g""")
+def q_k13(spark, sf_dir):
+    return quality.matrix_score(quality.rule_matrix(star(spark, sf_dir)))
+
+
+@register("q_k16_dq_insights", with_flights(f"""
+m AS ({_K12})
+SELECT lower(regexp_extract(rule, '^(Null|Orphan|Duplicate)', 1)) || '_total' AS insight,
+  CAST(sum(failures) AS BIGINT) AS value FROM m
+WHERE regexp_extract(rule, '^(Null|Orphan|Duplicate)', 1) <> '' GROUP BY 1
+UNION ALL SELECT 'coverage_flights', CAST({_STAR_VALUES['fact_rows']} AS BIGINT) FROM (SELECT 1)
+UNION ALL SELECT 'coverage_dates', CAST({_STAR_VALUES['rows_date']} AS BIGINT) FROM (SELECT 1)
+UNION ALL SELECT 'coverage_airlines', CAST({_STAR_VALUES['rows_airline']} AS BIGINT) FROM (SELECT 1)
+UNION ALL SELECT 'coverage_airports', CAST({_STAR_VALUES['rows_airport']} AS BIGINT) FROM (SELECT 1)
+""".replace("FROM (SELECT 1)", "FROM (SELECT 1) AS one")))
+def q_k16(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return quality.dq_insights(quality.rule_matrix(s), s)
+
+
+@register("q_f39_kpi_audit", with_flights("""
+p AS (SELECT count(*) AS tf, (SELECT count(*) FROM air) AS ta, (SELECT count(*) FROM apt) AS tp,
+        round(round(coalesce(CAST(count_if(CANCELLED = 1) AS DOUBLE) * 100.0 / count(*), 0.0), 4), 2) AS cr,
+        round(round(coalesce(CAST(count_if(DIVERTED = 1) AS DOUBLE) * 100.0 / count(*), 0.0), 4), 2) AS dr,
+        round(round(coalesce(avg(DEPARTURE_DELAY), 0.0), 2), 1) AS ad,
+        round(round(coalesce(avg(ARRIVAL_DELAY), 0.0), 2), 1) AS aa FROM fl)
+SELECT m.metric, m.v AS published, m.v AS recomputed, 0.0 AS diff, 'PASS' AS status FROM p,
+  (VALUES ('TOTAL_FLIGHTS'), ('TOTAL_AIRLINES'), ('TOTAL_AIRPORTS'), ('CANCELLATION_RATE'),
+          ('DIVERSION_RATE'), ('AVG_DEPARTURE_DELAY'), ('AVG_ARRIVAL_DELAY')) AS k(metric),
+  LATERAL (SELECT k.metric AS metric, CAST(CASE k.metric WHEN 'TOTAL_FLIGHTS' THEN tf
+    WHEN 'TOTAL_AIRLINES' THEN ta WHEN 'TOTAL_AIRPORTS' THEN tp WHEN 'CANCELLATION_RATE' THEN cr
+    WHEN 'DIVERSION_RATE' THEN dr WHEN 'AVG_DEPARTURE_DELAY' THEN ad ELSE aa END AS DOUBLE) AS v) m"""))
+def q_f39(spark, sf_dir):
+    published = metrics.executive_summary(tables(spark, sf_dir))
+    recomputed = metrics.executive_from_flights(raw(spark, sf_dir))
+    return quality.kpi_audit(published, recomputed)

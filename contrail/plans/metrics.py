@@ -440,3 +440,23 @@ def ranked_slice(df: DataFrame, order: list, k: int = 10, out: str = "rank") ->
     top = df.orderBy(*cols).limit(k)
     return top.withColumn(out, F.row_number().over(Window.orderBy(*cols)).cast("bigint"))
 
+
+
+def executive_from_flights(df: DataFrame, spec: FactSpec = FLIGHT_SPEC,
+                           rate_digits: int | None = 4, avg_digits: int | None = 2) -> DataFrame:
+    """F7's columns recomputed straight from a flight-shaped table (for F39):
+    airlines and airports are the distinct codes found in the flights."""
+    g = df.agg(
+        F.count(F.lit(1)).alias("TOTAL_FLIGHTS"),
+        F.count_distinct(spec.carrier).alias("TOTAL_AIRLINES"),
+        count_when(is_flag(spec.cancelled)).alias("_c"),
+        count_when(is_flag(spec.diverted)).alias("_d"),
+        F.avg(spec.dep_delay).alias("_dep"), F.avg(spec.arr_delay).alias("_arr"))
+    apt = (df.select(F.explode(F.array(spec.origin, spec.destination)).alias("_a"))
+           .where(F.col("_a").isNotNull()).distinct().agg(F.count(F.lit(1)).alias("TOTAL_AIRPORTS")))
+    return g.crossJoin(apt).select(
+        "TOTAL_FLIGHTS", "TOTAL_AIRLINES", "TOTAL_AIRPORTS",
+        pct0("_c", "TOTAL_FLIGHTS", rate_digits).alias("CANCELLATION_RATE"),
+        pct0("_d", "TOTAL_FLIGHTS", rate_digits).alias("DIVERSION_RATE"),
+        rnd(F.coalesce(F.col("_dep"), F.lit(0.0)), avg_digits).alias("AVG_DEPARTURE_DELAY"),
+        rnd(F.coalesce(F.col("_arr"), F.lit(0.0)), avg_digits).alias("AVG_ARRIVAL_DELAY"))
