@@ -1097,3 +1097,125 @@ def q_f39(spark, sf_dir):
     published = metrics.executive_summary(tables(spark, sf_dir))
     recomputed = metrics.executive_from_flights(raw(spark, sf_dir))
     return quality.kpi_audit(published, recomputed)
+
+
+# =========================================================================== run log
+from contrail.plans.oracle import with_runlog  # noqa: E402
+from contrail.session import scratch_path  # noqa: E402
+from contrail.sources import io, runlog  # noqa: E402
+from contrail.operators import contract  # noqa: E402
+
+
+def log(spark, sf_dir):
+    return runlog.read_log(spark, bindings.run_log_path(spark, sf_dir))
+
+
+@register("q_a11_run_json_roundtrip", with_runlog("""
+SELECT id, run_id, phase_name, status, duration_seconds, start_time, end_time,
+  CAST(NULL AS VARCHAR) AS error_message FROM ph"""))
+def q_a11(spark, sf_dir):
+    runs, phases = log(spark, sf_dir)
+    path = scratch_path(spark, "run-json")
+    runlog.to_metadata(runs, phases).write.mode("overwrite").json(path)
+    return runlog.read_run_json(spark, path, multiline=False)[1]
+
+
+@register("q_f45_latest_run", with_runlog("""
+SELECT run_timestamp, overall_status, total_duration FROM runs
+ORDER BY run_timestamp DESC, run_id DESC LIMIT 1"""))
+def q_f45(spark, sf_dir):
+    return runlog.latest_run(log(spark, sf_dir)[0])
+
+
+@register("q_f46_phase_timeline", with_runlog("""
+SELECT r.run_timestamp, p.phase_name, p.status, p.duration_seconds, p.start_time, p.end_time
+FROM ph p JOIN runs r USING (run_id)"""))
+def q_f46(spark, sf_dir):
+    return runlog.phase_timeline(*log(spark, sf_dir))
+
+
+@register("q_f47_dq_trend", with_runlog("SELECT run_timestamp, dq_score, records_loaded FROM runs"))
+def q_f47(spark, sf_dir):
+    return runlog.dq_trend(log(spark, sf_dir)[0])
+
+
+@register("q_f48_run_report", with_runlog(f"""
+SELECT run_id, count(*) AS total_phases, count_if(status = 'SUCCESS') AS successful_phases,
+  count_if(status = 'FAILED') AS failed_phases, count_if(status = 'SKIPPED') AS skipped_phases,
+  {R("CAST(count_if(status = 'SUCCESS') AS DOUBLE) / count(*) * 100")} AS success_rate,
+  {R('sum(duration_seconds)')} AS total_runtime
+FROM ph GROUP BY run_id"""))
+def q_f48(spark, sf_dir):
+    return runlog.run_report(log(spark, sf_dir)[1], digits=D)
+
+
+FRESHNESS_NOW = "2024-02-01 00:00:00"
+
+
+@register("q_k14_freshness", with_runlog(f"""
+l AS (SELECT max(CAST(run_timestamp AS TIMESTAMP)) AS last_run FROM runs)
+SELECT last_run,
+  (epoch(TIMESTAMP '{FRESHNESS_NOW}') - epoch(last_run)) / 3600.0 AS hours_ago,
+  CASE WHEN last_run IS NULL THEN 'Unknown'
+       WHEN (epoch(TIMESTAMP '{FRESHNESS_NOW}') - epoch(last_run)) / 3600.0 < 24 THEN 'Fresh'
+       WHEN (epoch(TIMESTAMP '{FRESHNESS_NOW}') - epoch(last_run)) / 3600.0 < 72 THEN 'Aging'
+       ELSE 'Stale' END AS freshness FROM l"""))
+def q_k14(spark, sf_dir):
+    return runlog.freshness(log(spark, sf_dir)[0], FRESHNESS_NOW)
+
+
+@register("q_k15_health", with_runlog("""
+l AS (SELECT overall_status FROM runs ORDER BY run_timestamp DESC, run_id DESC LIMIT 1)
+SELECT coalesce(overall_status, 'UNKNOWN') AS overall_status,
+  CASE WHEN overall_status = 'SUCCESS' THEN 'HEALTHY' WHEN overall_status = 'WARNING' THEN 'WARNING'
+       ELSE coalesce(overall_status, 'UNKNOWN') END AS health FROM l"""))
+def q_k15(spark, sf_dir):
+    return runlog.health(log(spark, sf_dir)[0])
+
+
+# =========================================================================== io (A) / contract
+@register("q_a01_reference_csv_roundtrip", with_flights(
+    "SELECT CAST(s_suppkey AS VARCHAR) AS IATA_CODE, s_name AS AIRLINE FROM supplier"))
+def q_a01(spark, sf_dir):
+    from contrail.spec import AIRLINES_SCHEMA
+    path = scratch_path(spark, "airlines-csv")
+    io.write_table(bindings.airlines_ref(spark, sf_dir), path, fmt="csv")
+    return io.read_reference(spark, path, AIRLINES_SCHEMA)
+
+
+@register("q_a02_fact_csv_roundtrip", with_flights("SELECT * FROM rf"))
+def q_a02(spark, sf_dir):
+    """A4 -> A2: cleaned flights written as CSV and read back with the full
+    flights schema (columns the feed lacks come back NULL and are dropped)."""
+    from contrail.spec import FLIGHTS_SCHEMA
+    f = raw(spark, sf_dir)
+    path = scratch_path(spark, "flights-csv")
+    io.write_table(f, path, fmt="csv", require_rows=True)
+    from pyspark.sql import types as T
+    schema = T.StructType([FLIGHTS_SCHEMA[c] for c in f.columns])
+    return io.read_fact(spark, path, schema)
+
+
+@register("q_a12_table_inventory", with_flights("""
+SELECT 'dim_airline' AS table_name, c.column_name, c.data_type,
+  (SELECT count(*) FROM dim_air) AS row_count
+FROM (VALUES ('airline_key', 'int'), ('airline_code', 'string'), ('airline_name', 'string'))
+  AS c(column_name, data_type)
+UNION ALL
+SELECT 'dim_date', c.column_name, c.data_type, (SELECT count(*) FROM dd)
+FROM (VALUES ('full_date', 'date'), ('date_key', 'int'), ('year', 'int'), ('quarter', 'int'),
+  ('month', 'int'), ('month_name', 'string'), ('week', 'int'), ('day', 'int'),
+  ('day_name', 'string'), ('is_weekend', 'boolean')) AS c(column_name, data_type)"""))
+def q_a12(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return io.table_inventory({"dim_airline": s.dim_airline, "dim_date": s.dim_date})
+
+
+@register("q_b10_select_compatible", with_flights("""
+SELECT "YEAR", "MONTH", "DAY", DAY_OF_WEEK, FLIGHT_NUMBER, TAIL_NUMBER, DEPARTURE_DELAY, DISTANCE,
+  ARRIVAL_DELAY, DIVERTED, CANCELLED, CANCELLATION_REASON, AIR_SYSTEM_DELAY, SECURITY_DELAY,
+  AIRLINE_DELAY, LATE_AIRCRAFT_DELAY, WEATHER_DELAY, AIRCRAFT_ID, MODEL FROM rf"""))
+def q_b10(spark, sf_dir):
+    """Flights projected onto the normalized table's columns (natural codes drop out)."""
+    from contrail.spec import NORMALIZED_FLIGHTS_SCHEMA
+    return contract.select_compatible(raw(spark, sf_dir), NORMALIZED_FLIGHTS_SCHEMA)

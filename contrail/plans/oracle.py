@@ -130,3 +130,34 @@ def with_flights(sql: str) -> str:
     if s.upper().startswith("SELECT"):
         return f"WITH {FLIGHTS_CTE}\n{s}"
     return f"WITH {FLIGHTS_CTE},\n{s}"
+
+
+RUNLOG_CTE = """
+ph0 AS (
+  SELECT 'run-' || strftime(ts, '%Y%m%d') AS run_id, event_type AS phase_name,
+    strftime(min(ts), '%Y-%m-%dT%H:%M:%S') AS start_time,
+    strftime(max(ts), '%Y-%m-%dT%H:%M:%S') AS end_time,
+    round(sum(value), 4) AS duration_seconds, max(value) AS mx, count(*) AS n,
+    count_if(event_type <> 'error') AS ok
+  FROM events GROUP BY 1, 2),
+ph AS (
+  SELECT CAST(row_number() OVER (PARTITION BY run_id ORDER BY start_time, phase_name) AS BIGINT)
+      AS id, run_id, phase_name,
+    CASE WHEN mx >= 400 THEN 'FAILED' WHEN mx >= 300 THEN 'WARNING' ELSE 'SUCCESS' END AS status,
+    duration_seconds, start_time, end_time, n, ok
+  FROM ph0),
+runs AS (
+  SELECT run_id, min(start_time) AS run_timestamp,
+    CASE WHEN count_if(status = 'FAILED') > 0 THEN 'FAILED'
+         WHEN count_if(status = 'WARNING') > 0 THEN 'WARNING' ELSE 'SUCCESS' END AS overall_status,
+    round(sum(duration_seconds), 4) AS total_duration,
+    CAST(sum(ok) AS DOUBLE) * 100.0 / sum(n) AS dq_score, CAST(sum(n) AS BIGINT) AS records_loaded
+  FROM ph GROUP BY run_id)
+"""
+
+
+def with_runlog(sql: str) -> str:
+    s = sql.strip()
+    if s.upper().startswith("SELECT"):
+        return f"WITH {RUNLOG_CTE}\n{s}"
+    return f"WITH {RUNLOG_CTE},\n{s}"

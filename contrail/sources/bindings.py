@@ -177,3 +177,49 @@ def text_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols["ARRIVAL_DELAY"] = F.when(F.col("DIVERTED") == 1, F.lit("nan")).otherwise(
         F.col("ARRIVAL_DELAY").cast("string"))
     return f.withColumns(cols)
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Run history and phase log derived from ``events``: one run
+    per calendar day, one phase per event type; a phase FAILS when one of its
+    events has value >= 400 and WARNS from 300; duration = sum of values."""
+    from contrail.sources.runlog import phase_order
+
+    ev = table(spark, sf_dir, "events").select("ts", "event_type", "value")
+    fmt = "yyyy-MM-dd'T'HH:mm:ss"
+    day = F.date_format("ts", "yyyyMMdd")
+    ph = ev.groupBy(F.concat(F.lit("run-"), day).alias("run_id"),
+                    F.col("event_type").alias("phase_name")).agg(
+        F.date_format(F.min("ts"), fmt).alias("start_time"),
+        F.date_format(F.max("ts"), fmt).alias("end_time"),
+        F.round(F.sum("value"), 4).alias("duration_seconds"),
+        F.max("value").alias("_mx"), F.count(F.lit(1)).alias("_n"),
+        F.count_if(F.col("event_type") != "error").alias("_ok"))
+    ph = ph.withColumn("status", F.when(F.col("_mx") >= 400, "FAILED")
+                       .when(F.col("_mx") >= 300, "WARNING").otherwise("SUCCESS"))
+    runs = ph.groupBy("run_id").agg(
+        F.min("start_time").alias("run_timestamp"),
+        F.when(F.count_if(F.col("status") == "FAILED") > 0, "FAILED")
+        .when(F.count_if(F.col("status") == "WARNING") > 0, "WARNING").otherwise("SUCCESS")
+        .alias("overall_status"),
+        F.round(F.sum("duration_seconds"), 4).alias("total_duration"),
+        (F.sum("_ok") * 100.0 / F.sum("_n")).alias("dq_score"),
+        F.sum("_n").alias("records_loaded"))
+    phases = phase_order(ph.drop("_mx", "_n", "_ok"))
+    return runs, phases
+
+
+_LOG_PATHS: dict = {}
+
+
+def run_log_path(spark: SparkSession, sf_dir: str) -> str:
+    """The run log of ``sf_dir`` appended once per session to the work folder."""
+    from contrail.sources.runlog import append_run
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _LOCK:
+        if key not in _LOG_PATHS:
+            path = scratch_path(spark, "runlog")
+            append_run(*run_log(spark, sf_dir), path)
+            _LOG_PATHS[key] = path
+        return _LOG_PATHS[key]
