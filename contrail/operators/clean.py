@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail.functions.scalar import nan_to_null, numeric_text_ok, to_number
-from contrail.operators.profile import duplicate_report, missing_summary, quality_score
+from contrail.operators.profile import _text_columns, quality_inputs, score_from_inputs
 from contrail.spec import DELAY_COLUMNS, FLIGHT_SPEC, TEXT_FILL, FactSpec
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -48,12 +48,20 @@ def impute(df: DataFrame, text_fill: str = TEXT_FILL, numeric: str = "median",
            approx: bool = False, policy: dict | None = None, cols=None) -> DataFrame:
     """Numeric NULL/NaN -> column median; other NULL -> ``text_fill``.
 
+    Like the reference, only columns that hold missing values are touched:
+    one aggregate counts them (a single row reaches the driver), then one
+    aggregate takes the medians of just those columns. A filled numeric
+    column comes out as double (a median may be x.5; pandas holds such a
+    column as float64 too); columns without gaps keep their type.
     ``policy``: per-column override, ``{col: "median" | "keep" | <literal>}``
     (S4: the default also fills delays of cancelled flights, as the reference).
-    Numeric columns come out as double (a median may be x.5, as in pandas).
     """
+    from contrail.operators.profile import is_missing
+
     policy = policy or {}
     cols = list(cols) if cols is not None else df.columns
+    probe = df.agg(*[F.count_if(is_missing(df, c)).alias(c) for c in cols]).first()
+    cols = [c for c in cols if probe[c]]
     num = [c for c in cols if _is_numeric(df, c) and policy.get(c, numeric) == "median"]
     if num:
         med = F.percentile_approx if approx else F.median
@@ -101,25 +109,36 @@ def dedupe(df: DataFrame, keys=None, order_by=None) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- C5
-def clean_fact(df: DataFrame, spec: FactSpec = FLIGHT_SPEC, cols=DELAY_COLUMNS,
-               dedupe_keys=None, order_by=None, digits: int | None = 2
-               ) -> tuple[DataFrame, DataFrame]:
-    """validate -> impute -> dedupe, plus a one-row report (lazy).
+def clean(df: DataFrame, cols=DELAY_COLUMNS, dedupe_keys=None, order_by=None) -> DataFrame:
+    """validate -> impute -> dedupe (lazy)."""
+    return dedupe(impute(validate_numeric(df, cols)), dedupe_keys, order_by)
+
+
+def clean_report(df: DataFrame, cleaned: DataFrame, spec: FactSpec = FLIGHT_SPEC,
+                 cols=DELAY_COLUMNS, digits: int | None = 2) -> DataFrame:
+    """One-row report of a cleaning run.
 
-    Report: initial_rows, final_rows, rows_removed, missing cells before,
-    duplicate rows before (S5: counted before imputation, removal after),
-    quality score and grade of the input, and F1 business metrics of the
-    cleaned output.
+    initial_rows, final_rows, rows_removed, missing cells and duplicate rows
+    before (S5: counted before imputation, removal after), quality score and
+    grade of the input (B6/B7), F1 business metrics of the cleaned output.
+    Pass a materialised ``cleaned`` (e.g. read back after writing) so the
+    report does not recompute the cleaning.
     """
     from contrail.plans.metrics import business_metrics
 
-    cleaned = dedupe(impute(validate_numeric(df, cols)), dedupe_keys, order_by)
-    before = (missing_summary(df).select("total_missing")
-              .crossJoin(duplicate_report(df).select(
-                  F.col("total_rows").alias("initial_rows"),
-                  F.col("duplicate_rows").alias("duplicates_before")))
-              .crossJoin(quality_score(df, cols).select("quality_score", "grade")))
-    after = business_metrics(cleaned, spec, digits).withColumnRenamed("total_flights", "final_rows")
-    report = before.crossJoin(after).withColumn(
+    text_cols = _text_columns(df, cols)
+    before = score_from_inputs(quality_inputs(df, cols), df.columns, text_cols).select(
+        "total_missing", F.col("total_rows").alias("initial_rows"),
+        F.col("duplicate_rows").alias("duplicates_before"), "quality_score", "grade")
+    after = business_metrics(cleaned, spec, digits).withColumnRenamed("total_flights",
+                                                                      "final_rows")
+    return before.crossJoin(after).withColumn(
         "rows_removed", F.col("initial_rows") - F.col("final_rows"))
-    return cleaned, report
+
+
+def clean_fact(df: DataFrame, spec: FactSpec = FLIGHT_SPEC, cols=DELAY_COLUMNS,
+               dedupe_keys=None, order_by=None, digits: int | None = 2
+               ) -> tuple[DataFrame, DataFrame]:
+    """(cleaned, report), both lazy; see ``clean`` and ``clean_report``."""
+    cleaned = clean(df, cols, dedupe_keys, order_by)
+    return cleaned, clean_report(df, cleaned, spec, cols, digits)

@@ -99,22 +99,25 @@ def grade(score: Column) -> Column:
     return expr
 
 
-def quality_score(df: DataFrame, numeric_cols=DELAY_COLUMNS) -> DataFrame:
-    """``100 - min(30, miss%*0.5) - min(20, dup%*0.5) - min(10, sum over
-    text delay columns of min(2, bad_fraction*10))``, truncated and clipped.
-
-    One pass for missing cells and type issues, one ``distinct`` for duplicates.
-    """
+def quality_inputs(df: DataFrame, numeric_cols=DELAY_COLUMNS) -> DataFrame:
+    """One-row measures behind B2/B3/B6: rows, missing cells per column, text
+    delay values that do not coerce (NULLs count too, S23) -- one aggregate --
+    and the distinct row count (one ``distinct``)."""
     text_cols = _text_columns(df, numeric_cols)
-    # per text delay column: rows that do not coerce to a number (NULLs too, S23)
     cells = df.agg(F.count(F.lit(1)).alias("_rows"),
                    *[F.count_if(is_missing(df, c)).alias(f"_m_{c}") for c in df.columns],
                    *[F.count_if(to_number(c).isNull()).alias(f"_bad_{c}") for c in text_cols])
     uniq = df.distinct().agg(F.count(F.lit(1)).alias("_uniq"))
-    j = cells.crossJoin(uniq)
+    return cells.crossJoin(uniq)
+
+
+def score_from_inputs(inputs: DataFrame, columns: list, text_cols: list) -> DataFrame:
+    """B6/B7 from ``quality_inputs``: ``100 - min(30, miss%*0.5)
+    - min(20, dup%*0.5) - min(10, sum over text delay columns of
+    min(2, bad_fraction*10))``, truncated and clipped to [0, 100]."""
     rows = F.col("_rows").cast("double")
-    miss = sum((F.col(f"_m_{c}") for c in df.columns), F.lit(0)).cast("double")
-    miss_pct = F.coalesce(F.try_divide(miss, rows * len(df.columns)) * 100, F.lit(0.0))
+    miss = sum((F.col(f"_m_{c}") for c in columns), F.lit(0)).cast("double")
+    miss_pct = F.coalesce(F.try_divide(miss, rows * len(columns)) * 100, F.lit(0.0))
     dup_pct = F.coalesce(F.try_divide((F.col("_rows") - F.col("_uniq")).cast("double"), rows)
                          * 100, F.lit(0.0))
     type_ded = F.lit(0.0)
@@ -127,7 +130,17 @@ def quality_score(df: DataFrame, numeric_cols=DELAY_COLUMNS) -> DataFrame:
              - F.least(F.lit(float(DUPLICATE_MAX)), dup_pct * DUPLICATE_MULTIPLIER)
              - F.least(F.lit(float(TYPE_ISSUES_MAX)), type_ded))
     final = F.floor(F.greatest(F.lit(0.0), F.least(F.lit(100.0), score))).cast("int")
-    return j.select(F.col("_rows").alias("total_rows"), miss_pct.alias("missing_percentage"),
-                    dup_pct.alias("duplicate_percentage"),
-                    F.least(F.lit(float(TYPE_ISSUES_MAX)), type_ded).alias("type_deduction"),
-                    final.alias("quality_score")).withColumn("grade", grade(F.col("quality_score")))
+    return inputs.select(
+        F.col("_rows").alias("total_rows"), miss.cast("bigint").alias("total_missing"),
+        (F.col("_rows") - F.col("_uniq")).alias("duplicate_rows"),
+        miss_pct.alias("missing_percentage"), dup_pct.alias("duplicate_percentage"),
+        F.least(F.lit(float(TYPE_ISSUES_MAX)), type_ded).alias("type_deduction"),
+        final.alias("quality_score")).withColumn("grade", grade(F.col("quality_score")))
+
+
+def quality_score(df: DataFrame, numeric_cols=DELAY_COLUMNS) -> DataFrame:
+    """Quality score and grade of ``df`` (one aggregate + one distinct)."""
+    text_cols = _text_columns(df, numeric_cols)
+    return score_from_inputs(quality_inputs(df, numeric_cols), df.columns, text_cols).select(
+        "total_rows", "missing_percentage", "duplicate_percentage", "type_deduction",
+        "quality_score", "grade")

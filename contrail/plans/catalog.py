@@ -645,10 +645,14 @@ def q_c04(spark, sf_dir):
 
 
 def _imputed_select(src):
+    """Imputation in SQL. Integer columns of the binding never hold NULLs, so
+    they pass through with their type; the others coalesce (a no-op without gaps)."""
     parts = []
-    for c, _ in RAW_COLUMNS:
+    for c, is_float in RAW_COLUMNS:
         if c in STRING_COLUMNS:
             parts.append(f"coalesce({q(c)}, 'UNKNOWN') AS {q(c)}")
+        elif not is_float:
+            parts.append(q(c))
         else:
             parts.append(f"coalesce(CAST({q(c)} AS DOUBLE), "
                          f"(SELECT median(CAST({q(c)} AS DOUBLE)) FROM {src})) AS {q(c)}")

@@ -7,10 +7,12 @@ quality operators have something to find. The same derivation is the first
 CTE of every DuckDB oracle (``contrail.plans.oracle.FLIGHTS_CTE``).
 
 Join order is chosen for scale: orders x customer first (the small side of the
-lineitem join), then lineitem on the order key, then supplier; nation is the
-fixed 25-row TPC-H table. No broadcast hints: Spark/AQE pick broadcast only
-when the measured size is under the threshold, otherwise sort-merge with skew
-splitting.
+lineitem join), then lineitem on the order key with a sort-merge hint (the
+fact must never be the broadcast side; below the broadcast threshold Spark
+would otherwise broadcast a whole lineitem file), then supplier; nation is
+the fixed 25-row TPC-H table. No broadcast hints: Spark/AQE pick broadcast
+only when the measured size is under the threshold, otherwise sort-merge with
+skew splitting.
 """
 
 from __future__ import annotations
@@ -41,7 +43,9 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     oc = orders.join(cust, orders.o_custkey == cust.c_custkey).select(
         "o_orderkey", "o_orderdate", "c_nationkey")
-    base = (li.join(oc, li.l_orderkey == oc.o_orderkey)
+    # the fact side is never broadcast: sort-merge on the order key (spills,
+    # AQE splits skewed keys); the smaller dimension joins stay Spark's choice
+    base = (li.hint("merge").join(oc, li.l_orderkey == oc.o_orderkey)
             .join(supp, li.l_suppkey == supp.s_suppkey))
     org = nation.select(F.col("n_nationkey").alias("_ok"), F.col("n_name").alias("ORIGIN_AIRPORT"))
     dst = nation.select(F.col("n_nationkey").alias("_dk"),
