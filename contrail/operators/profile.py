@@ -2,8 +2,8 @@
 
 All column-wise measures are computed in ONE aggregate over the data
 (``count_if`` per column), then reshaped to long form with ``unpivot``.
-Duplicates use ``distinct()``, an aggregate on all columns with map-side
-partial aggregation, so heavily repeated rows collapse before the shuffle.
+Duplicate counts hash rows first (``distinct_row_count``): only 8-byte hashes
+shuffle, and only rows with a repeated hash are compared exactly.
 """
 
 from __future__ import annotations
@@ -68,6 +68,25 @@ def missing_summary(df: DataFrame) -> DataFrame:
                                   F.lit(0.0)).alias("total_missing_percentage"))
 
 
+def distinct_row_count(df: DataFrame, alias: str = "_uniq") -> DataFrame:
+    """Exact number of distinct rows as a one-row DataFrame, hash first.
+
+    ``distinct().count()`` shuffles every column of every row. Here only an
+    8-byte ``xxhash64`` of the row is shuffled (with partial aggregation);
+    rows whose hash occurs once are distinct by definition, and only rows
+    whose hash repeats (true duplicates or rare collisions) are compared
+    exactly. A hot duplicated row collapses map-side in both steps.
+    """
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    hashed = df.select(F.xxhash64(*cols).alias("__h"), *cols)
+    per_hash = hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__n"))
+    singles = per_hash.agg(F.count_if(F.col("__n") == 1).alias("__s"))
+    repeated = per_hash.where(F.col("__n") > 1).select("__h")
+    exact = (hashed.join(repeated, "__h", "left_semi").distinct()
+             .agg(F.count(F.lit(1)).alias("__r")))
+    return singles.crossJoin(exact).select((F.col("__s") + F.col("__r")).alias(alias))
+
+
 def duplicate_report(df: DataFrame, keys=None) -> DataFrame:
     """Total rows, unique rows, duplicate rows (beyond the first) and percent.
 
@@ -75,7 +94,7 @@ def duplicate_report(df: DataFrame, keys=None) -> DataFrame:
     """
     base = df if keys is None else df.select(*keys)
     total = df.agg(F.count(F.lit(1)).alias("total_rows"))
-    uniq = base.distinct().agg(F.count(F.lit(1)).alias("unique_rows"))
+    uniq = distinct_row_count(base, "unique_rows")
     return total.crossJoin(uniq).select(
         "total_rows", "unique_rows",
         (F.col("total_rows") - F.col("unique_rows")).alias("duplicate_rows"),
@@ -107,8 +126,7 @@ def quality_inputs(df: DataFrame, numeric_cols=DELAY_COLUMNS) -> DataFrame:
     cells = df.agg(F.count(F.lit(1)).alias("_rows"),
                    *[F.count_if(is_missing(df, c)).alias(f"_m_{c}") for c in df.columns],
                    *[F.count_if(to_number(c).isNull()).alias(f"_bad_{c}") for c in text_cols])
-    uniq = df.distinct().agg(F.count(F.lit(1)).alias("_uniq"))
-    return cells.crossJoin(uniq)
+    return cells.crossJoin(distinct_row_count(df, "_uniq"))
 
 
 def score_from_inputs(inputs: DataFrame, columns: list, text_cols: list) -> DataFrame:

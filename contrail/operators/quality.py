@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from contrail.functions.scalar import count_when
 from contrail.operators.model import bounded
-from contrail.operators.profile import is_missing
+from contrail.operators.profile import distinct_row_count, is_missing
 from contrail.spec import (DELAY_COLUMNS, MATRIX_LABELS, MATRIX_WARN_BELOW, SPARSE_COLUMNS,
                            Star)
 
@@ -67,7 +67,7 @@ def duplicate_check(df: DataFrame, keys=None, name: str | None = None,
     """Surplus rows over distinct key values (whole rows when ``keys`` is None)."""
     base = df if keys is None else df.select(*keys)
     total = df.agg(F.count(F.lit(1)).alias("_n"))
-    uniq = base.distinct().agg(F.count(F.lit(1)).alias("_u"))
+    uniq = distinct_row_count(base, "_u")
     label = name or ("duplicate rows" if keys is None else f"duplicate {'+'.join(keys)}")
     return _rows(total.crossJoin(uniq), layer, "duplicate",
                  [(label, "_n", F.col("_n") - F.col("_u"), pass_fail)])
@@ -183,7 +183,7 @@ def dq_scores(raw: DataFrame, cleaned: DataFrame, sparse=SPARSE_COLUMNS, early:
     inval = cleaned.agg(F.count(F.lit(1)).alias("_cn"), count_when(
         F.coalesce(F.col("DEPARTURE_DELAY") < early, F.lit(False))
         | F.coalesce(F.col("ARRIVAL_DELAY") < early, F.lit(False))).alias("_bad"))
-    uniq = raw.distinct().agg(F.count(F.lit(1)).alias("_ru"))
+    uniq = distinct_row_count(raw, "_ru")
 
     def r(x):
         return F.round(x, digits) if digits is not None else x

@@ -94,3 +94,11 @@ def test_missing_report_long_form(spark):
     assert rows == {"a": 1, "b": 2}
     assert profile.missing_summary(df).first().total_missing == 3
     assert F is not None
+
+
+def test_distinct_row_count_hash_first(spark):
+    rows = [(1, "a", None)] * 50 + [(2, "b", 1.0), (2, "b", 1.0), (None, None, None), (3, "c", 2.0)]
+    df = spark.createDataFrame(rows, "x int, y string, z double")
+    assert profile.distinct_row_count(df).first()["_uniq"] == df.distinct().count() == 4
+    r = profile.duplicate_report(df).first()
+    assert r.duplicate_rows == len(rows) - 4
