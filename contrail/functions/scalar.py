@@ -114,3 +114,22 @@ def to_number(c) -> Column:
 def hours_between(later, earlier) -> Column:
     """Elapsed hours between two timestamps."""
     return (F.unix_timestamp(col(later)) - F.unix_timestamp(col(earlier))) / F.lit(3600.0)
+
+
+def capitalize(c) -> Column:
+    """Python ``str.capitalize`` (I13): first character upper, the rest lower
+    ('late aircraft' -> 'Late aircraft'; ``initcap`` would capitalise each word)."""
+    s = col(c)
+    return F.concat(F.upper(s.substr(F.lit(1), F.lit(1))),
+                    F.lower(s.substr(F.lit(2), F.length(s))))
+
+
+def map_values(c, mapping: dict, default=None) -> Column:
+    """Value map with a default (I13): ``mapping.get(v, default)`` as a CASE."""
+    expr = None
+    for k, v in mapping.items():
+        expr = F.when(col(c) == F.lit(k), F.lit(v)) if expr is None else expr.when(
+            col(c) == F.lit(k), F.lit(v))
+    if expr is None:
+        return F.lit(default)
+    return expr.otherwise(F.lit(default))

@@ -1223,3 +1223,32 @@ def q_b10(spark, sf_dir):
     """Flights projected onto the normalized table's columns (natural codes drop out)."""
     from contrail.spec import NORMALIZED_FLIGHTS_SCHEMA
     return contract.select_compatible(raw(spark, sf_dir), NORMALIZED_FLIGHTS_SCHEMA)
+
+
+@register("q_h03_idle_airlines", with_flights("""
+SELECT CAST(s_suppkey AS VARCHAR) AS code FROM supplier
+WHERE CAST(s_suppkey AS VARCHAR) NOT IN (SELECT DISTINCT AIRLINE FROM fl)"""))
+def q_h03(spark, sf_dir):
+    """H3: reference carriers that never fly (key difference, left_anti)."""
+    flying = model.members(raw(spark, sf_dir), "AIRLINE", "AIRLINE")
+    return model.unmatched(bindings.airlines_ref(spark, sf_dir), "IATA_CODE", flying, "AIRLINE")
+
+
+@register("q_d02_range_filter", with_flights("""
+SELECT AIRLINE, FLIGHT_NUMBER, DEPARTURE_DELAY FROM rf
+WHERE CANCELLED <> 1 AND DIVERTED <> 1 AND DEPARTURE_DELAY IS NOT NULL
+  AND ARRIVAL_DELAY IS NOT NULL AND DEPARTURE_DELAY BETWEEN -30 AND 120"""))
+def q_d02(spark, sf_dir):
+    """D2 + D3: completed flights with departure delay in [-30, 120]."""
+    return (dist.completed(raw(spark, sf_dir)).where(dist.in_range("DEPARTURE_DELAY", -30, 120))
+            .select("AIRLINE", "FLIGHT_NUMBER", "DEPARTURE_DELAY"))
+
+
+@register("q_i13_phase_labels", with_runlog("""
+SELECT r.run_timestamp, p.phase_name, p.status, p.duration_seconds, p.start_time, p.end_time,
+  upper(substr(p.phase_name, 1, 1)) || lower(substr(p.phase_name, 2)) AS phase_label,
+  CASE p.status WHEN 'SUCCESS' THEN 'SUCCESS' WHEN 'FAIL' THEN 'FAIL' WHEN 'FAILED' THEN 'FAIL'
+    WHEN 'WARNING' THEN 'WARNING' ELSE 'OTHER' END AS status_band
+FROM ph p JOIN runs r USING (run_id)"""))
+def q_i13(spark, sf_dir):
+    return runlog.phase_timeline(*log(spark, sf_dir), labels=True)

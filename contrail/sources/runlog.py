@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contrail.functions.scalar import count_when, hours_between
+from contrail.functions.scalar import capitalize, count_when, hours_between, map_values
 from contrail.spec import AGING_HOURS, FRESH_HOURS, RUN_METADATA_SCHEMA
 
 RUN_COLUMNS = ["run_id", "run_timestamp", "overall_status", "total_duration", "dq_score",
@@ -78,12 +78,23 @@ def latest_run(runs: DataFrame) -> DataFrame:
             .select("run_timestamp", "overall_status", "total_duration"))
 
 
-def phase_timeline(runs: DataFrame, phases: DataFrame) -> DataFrame:
-    """Phases of every run, newest run first, phase order inside."""
-    return (phases.join(runs.select("run_id", "run_timestamp"), "run_id")
-            .orderBy(F.desc("run_timestamp"), "id")
-            .select("run_timestamp", "phase_name", "status", "duration_seconds", "start_time",
-                    "end_time"))
+def phase_timeline(runs: DataFrame, phases: DataFrame, labels: bool = False) -> DataFrame:
+    """Phases of every run, newest run first, phase order inside.
+
+    ``labels=True`` adds the display label (capitalised phase name) and a
+    status band (SUCCESS / FAIL / WARNING, anything else OTHER), I13.
+    """
+    out = (phases.join(runs.select("run_id", "run_timestamp"), "run_id")
+           .orderBy(F.desc("run_timestamp"), "id")
+           .select("run_timestamp", "phase_name", "status", "duration_seconds", "start_time",
+                   "end_time"))
+    if labels:
+        out = out.withColumns({
+            "phase_label": capitalize("phase_name"),
+            "status_band": map_values("status", {"SUCCESS": "SUCCESS", "FAIL": "FAIL",
+                                                 "FAILED": "FAIL", "WARNING": "WARNING"},
+                                      "OTHER")})
+    return out
 
 
 def dq_trend(runs: DataFrame) -> DataFrame:

@@ -91,3 +91,28 @@ def test_type_check(spark):
     st = {r.check: r.status for r in quality.type_check(df).collect()}
     assert st["YEAR is integer"] == "PASS" and st["MONTH is integer"] == "FAIL"
     assert st["DEPARTURE_DELAY is numeric"] == "FAIL"
+
+
+def test_optional_filters_fold(spark):
+    from contrail.plans import metrics
+    s = _star(spark)
+    fact = spark.createDataFrame(
+        [(1, 20150101, 10.0, 1.0, 2.0, 3.0, 4.0, 5.0), (2, 20150101, 20.0, 9.0, 9.0, 9.0, 9.0, 9.0),
+         (1, 20150102, -5.0, 7.0, 7.0, 7.0, 7.0, 7.0)],
+        "airline_key int, date_key int, ARRIVAL_DELAY double, WEATHER_DELAY double, "
+        "AIRLINE_DELAY double, SECURITY_DELAY double, AIR_SYSTEM_DELAY double, "
+        "LATE_AIRCRAFT_DELAY double")
+    s.fact = fact
+    all_ = metrics.cause_averages(s).first()
+    assert all_["Weather"] == 5.0  # ARRIVAL_DELAY > 0 keeps rows 1 and 2
+    one = metrics.cause_averages(s, carrier_key=1, date_key=20150101).first()
+    assert one["Weather"] == 1.0 and one["Late Aircraft"] == 5.0
+    long = {r.category: r.avg_minutes for r in metrics.cause_averages(s, long=True).collect()}
+    assert list(long) == ["Weather", "Airline", "Security", "NAS", "Late Aircraft"]
+
+
+def test_capitalize_and_map(spark):
+    from contrail.functions.scalar import capitalize, map_values
+    df = spark.createDataFrame([("late aircraft", "FAIL"), ("EXTRACT", "X")], "p string, s string")
+    r = df.select(capitalize("p").alias("c"), map_values("s", {"FAIL": "red"}, "blue").alias("m"))
+    assert [(x.c, x.m) for x in r.collect()] == [("Late aircraft", "red"), ("Extract", "blue")]
