@@ -133,3 +133,23 @@ def map_values(c, mapping: dict, default=None) -> Column:
     if expr is None:
         return F.lit(default)
     return expr.otherwise(F.lit(default))
+
+
+# --------------------------------------------------------------------------- one-row sides
+def one_row(*aggregates):
+    """Combine one-row aggregates (global ``agg`` results) side by side.
+
+    Each input is a global aggregate, so each has exactly one row; the
+    result is one row. This is the scalar-subquery shape (E7/E8), never a
+    product of two data-sized inputs.
+    """
+    out = aggregates[0]
+    for a in aggregates[1:]:
+        out = out.crossJoin(a)
+    return out
+
+
+def with_scalars(df, scalars):
+    """Attach a one-row aggregate (medians, min/max) to every row of ``df``:
+    the one-row side is broadcast, so ``df`` is neither shuffled nor multiplied."""
+    return df.crossJoin(F.broadcast(scalars))

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.functions.scalar import nan_to_null, numeric_text_ok, to_number
+from contrail.functions.scalar import (nan_to_null, numeric_text_ok, one_row, to_number,
+                                       with_scalars)
 from contrail.operators.profile import _text_columns, quality_inputs, score_from_inputs
 from contrail.spec import DELAY_COLUMNS, FLIGHT_SPEC, TEXT_FILL, FactSpec
 
@@ -67,7 +68,7 @@ def impute(df: DataFrame, text_fill: str = TEXT_FILL, numeric: str = "median",
         med = F.percentile_approx if approx else F.median
         meds = df.agg(*[med(nan_to_null(F.col(c).cast("double"))).cast("double")
                         .alias(f"__med_{c}") for c in num])
-        out = df.crossJoin(F.broadcast(meds))
+        out = with_scalars(df, meds)
     else:
         out = df
     fills = {}
@@ -132,7 +133,7 @@ def clean_report(df: DataFrame, cleaned: DataFrame, spec: FactSpec = FLIGHT_SPEC
         F.col("duplicate_rows").alias("duplicates_before"), "quality_score", "grade")
     after = business_metrics(cleaned, spec, digits).withColumnRenamed("total_flights",
                                                                       "final_rows")
-    return before.crossJoin(after).withColumn(
+    return one_row(before, after).withColumn(
         "rows_removed", F.col("initial_rows") - F.col("final_rows"))
 
 

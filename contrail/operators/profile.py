@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.functions.scalar import to_number
+from contrail.functions.scalar import one_row, to_number
 from contrail.spec import (DELAY_COLUMNS, DUPLICATE_MAX, DUPLICATE_MULTIPLIER, GRADES,
                            MISSING_MAX, MISSING_MULTIPLIER, TYPE_ISSUE_FRACTION_WEIGHT,
                            TYPE_ISSUE_PER_COLUMN_MAX, TYPE_ISSUES_MAX)
@@ -84,7 +84,7 @@ def distinct_row_count(df: DataFrame, alias: str = "_uniq") -> DataFrame:
     repeated = per_hash.where(F.col("__n") > 1).select("__h")
     exact = (hashed.join(repeated, "__h", "left_semi").distinct()
              .agg(F.count(F.lit(1)).alias("__r")))
-    return singles.crossJoin(exact).select((F.col("__s") + F.col("__r")).alias(alias))
+    return one_row(singles, exact).select((F.col("__s") + F.col("__r")).alias(alias))
 
 
 def duplicate_report(df: DataFrame, keys=None) -> DataFrame:
@@ -95,7 +95,7 @@ def duplicate_report(df: DataFrame, keys=None) -> DataFrame:
     base = df if keys is None else df.select(*keys)
     total = df.agg(F.count(F.lit(1)).alias("total_rows"))
     uniq = distinct_row_count(base, "unique_rows")
-    return total.crossJoin(uniq).select(
+    return one_row(total, uniq).select(
         "total_rows", "unique_rows",
         (F.col("total_rows") - F.col("unique_rows")).alias("duplicate_rows"),
         F.coalesce(F.try_divide((F.col("total_rows") - F.col("unique_rows")).cast("double"),
@@ -126,7 +126,7 @@ def quality_inputs(df: DataFrame, numeric_cols=DELAY_COLUMNS) -> DataFrame:
     cells = df.agg(F.count(F.lit(1)).alias("_rows"),
                    *[F.count_if(is_missing(df, c)).alias(f"_m_{c}") for c in df.columns],
                    *[F.count_if(to_number(c).isNull()).alias(f"_bad_{c}") for c in text_cols])
-    return cells.crossJoin(distinct_row_count(df, "_uniq"))
+    return one_row(cells, distinct_row_count(df, "_uniq"))
 
 
 def score_from_inputs(inputs: DataFrame, columns: list, text_cols: list) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.functions.scalar import count_when
+from contrail.functions.scalar import count_when, one_row
 from contrail.operators.model import bounded
 from contrail.operators.profile import distinct_row_count, is_missing
 from contrail.spec import (DELAY_COLUMNS, MATRIX_LABELS, MATRIX_WARN_BELOW, SPARSE_COLUMNS,
@@ -69,7 +69,7 @@ def duplicate_check(df: DataFrame, keys=None, name: str | None = None,
     total = df.agg(F.count(F.lit(1)).alias("_n"))
     uniq = distinct_row_count(base, "_u")
     label = name or ("duplicate rows" if keys is None else f"duplicate {'+'.join(keys)}")
-    return _rows(total.crossJoin(uniq), layer, "duplicate",
+    return _rows(one_row(total, uniq), layer, "duplicate",
                  [(label, "_n", F.col("_n") - F.col("_u"), pass_fail)])
 
 
@@ -134,7 +134,7 @@ def ref_check(df: DataFrame, col: str, ref: DataFrame, ref_col: str = "IATA_CODE
     known = ref.select(F.col(ref_col).cast("string").alias("_c")).where(F.col("_c").isNotNull())
     miss = codes.join(known, "_c", "left_anti").agg(F.count(F.lit(1)).alias("_m"))
     tot = codes.agg(F.count(F.lit(1)).alias("_d"))
-    return _rows(tot.crossJoin(miss), layer, "reference",
+    return _rows(one_row(tot, miss), layer, "reference",
                  [(f"{col} in reference", "_d", "_m",
                    lambda f: F.when(f == 0, "PASS").otherwise(on_fail))])
 
@@ -188,7 +188,7 @@ def dq_scores(raw: DataFrame, cleaned: DataFrame, sparse=SPARSE_COLUMNS, early:
     def r(x):
         return F.round(x, digits) if digits is not None else x
 
-    j = comp.crossJoin(inval).crossJoin(uniq)
+    j = one_row(comp, inval, uniq)
     c = r((1 - F.col("_nulls") / (F.col("_rn") * len(dense))) * 100)
     v = r((1 - F.col("_bad") / F.col("_cn")) * 100)
     k = r((1 - (F.col("_rn") - F.col("_ru")) / F.col("_rn")) * 100)
@@ -209,7 +209,7 @@ def reconcile(counts: dict) -> DataFrame:
             one = df.agg(F.max(F.col(colname)).cast("bigint").alias(layer))
         else:
             one = src.agg(F.count(F.lit(1)).alias(layer))
-        out = one if out is None else out.crossJoin(one)
+        out = one if out is None else one_row(out, one)
     names = list(counts)
     equal = F.lit(True)
     for n in names[1:]:
@@ -241,7 +241,7 @@ def load_check(tables) -> DataFrame:
           for c in ("AIRLINE_ID", "ORIGIN_AIRPORT_ID", "DESTINATION_AIRPORT_ID")])
     a = tables.airlines.agg(F.count(F.lit(1)).alias("_a"))
     p = tables.airports.agg(F.count(F.lit(1)).alias("_p"))
-    wide = f.crossJoin(a).crossJoin(p)
+    wide = one_row(f, a, p)
 
     def nonempty(x):
         return F.when(x > 0, "PASS").otherwise("FAIL")
@@ -287,9 +287,9 @@ def _dup_keys(dim: DataFrame, key: str, alias: str) -> DataFrame:
 
 
 def _star_wide(star: Star) -> DataFrame:
-    return (_star_pass(star).crossJoin(_dup_keys(star.dim_airline, "airline_key", "airline"))
-            .crossJoin(_dup_keys(star.dim_airport, "airport_key", "airport"))
-            .crossJoin(_dup_keys(star.dim_date, "date_key", "date")))
+    return one_row(_star_pass(star), _dup_keys(star.dim_airline, "airline_key", "airline"),
+                   _dup_keys(star.dim_airport, "airport_key", "airport"),
+                   _dup_keys(star.dim_date, "date_key", "date"))
 
 
 STAR_CHECKS = [
@@ -375,10 +375,10 @@ def dq_insights(matrix: DataFrame, star: Star) -> DataFrame:
            .where(F.col("family") != "")
            .groupBy("family").agg(F.sum("failures").cast("bigint").alias("value")))
     fam = fam.select(F.concat(F.lower("family"), F.lit("_total")).alias("insight"), "value")
-    cov = (star.dim_date.agg(F.count(F.lit(1)).alias("dates"))
-           .crossJoin(star.dim_airline.agg(F.count(F.lit(1)).alias("airlines")))
-           .crossJoin(star.dim_airport.agg(F.count(F.lit(1)).alias("airports")))
-           .crossJoin(star.fact.agg(F.count(F.lit(1)).alias("flights"))))
+    cov = one_row(star.dim_date.agg(F.count(F.lit(1)).alias("dates")),
+                  star.dim_airline.agg(F.count(F.lit(1)).alias("airlines")),
+                  star.dim_airport.agg(F.count(F.lit(1)).alias("airports")),
+                  star.fact.agg(F.count(F.lit(1)).alias("flights")))
     cov = cov.select(F.explode(F.array(*[
         F.struct(F.lit(f"coverage_{n}").alias("insight"), F.col(n).cast("bigint").alias("value"))
         for n in ("flights", "dates", "airlines", "airports")])).alias("r")).select("r.*")

@@ -1157,13 +1157,12 @@ FRESHNESS_NOW = "2024-02-01 00:00:00"
 
 
 @register("q_k14_freshness", with_runlog(f"""
-l AS (SELECT max(CAST(run_timestamp AS TIMESTAMP)) AS last_run FROM runs)
-SELECT last_run,
-  (epoch(TIMESTAMP '{FRESHNESS_NOW}') - epoch(last_run)) / 3600.0 AS hours_ago,
-  CASE WHEN last_run IS NULL THEN 'Unknown'
-       WHEN (epoch(TIMESTAMP '{FRESHNESS_NOW}') - epoch(last_run)) / 3600.0 < 24 THEN 'Fresh'
-       WHEN (epoch(TIMESTAMP '{FRESHNESS_NOW}') - epoch(last_run)) / 3600.0 < 72 THEN 'Aging'
-       ELSE 'Stale' END AS freshness FROM l"""))
+l AS (SELECT max(run_timestamp) AS last_run FROM runs),
+h AS (SELECT last_run, (epoch(TIMESTAMP '{FRESHNESS_NOW}') - epoch(CAST(last_run AS TIMESTAMP)))
+        / 3600.0 AS hours_ago FROM l)
+SELECT last_run, hours_ago,
+  CASE WHEN last_run IS NULL THEN 'Unknown' WHEN hours_ago < 24 THEN 'Fresh'
+       WHEN hours_ago < 72 THEN 'Aging' ELSE 'Stale' END AS freshness FROM h"""))
 def q_k14(spark, sf_dir):
     return runlog.freshness(log(spark, sf_dir)[0], FRESHNESS_NOW)
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.functions.scalar import all_of, rnd
+from contrail.functions.scalar import all_of, rnd, with_scalars
 from contrail.spec import FLIGHT_SPEC, FactSpec
 
 
@@ -61,7 +61,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50, lo: float | None = -20,
     x = x.select(*by, F.col(col).cast("double").alias("_x"))
     stats = x.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     # per-group stats: one row per group (Spark/AQE choose the join); global: one row
-    j = x.join(stats, by) if by else x.crossJoin(F.broadcast(stats))
+    j = x.join(stats, by) if by else with_scalars(x, stats)
     width = F.col("_hi") - F.col("_lo")
     b = F.when(width == 0, F.lit(1)).otherwise(
         F.least(F.floor((F.col("_x") - F.col("_lo")) / width * bins).cast("int") + 1,

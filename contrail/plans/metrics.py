@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions.ranking import rank_rows
 from contrail.functions.scalar import (all_of, avg0, code_name_label, count_when, day_label,
+                                       one_row,
                                        is_flag, pct, pct0, rnd, route_label,
                                        short_day_label)
 from contrail.operators.model import bounded, unpivot_causes
@@ -111,9 +112,9 @@ def find_flights(df: DataFrame, number: str, year: int) -> DataFrame:
 # =========================================================================== normalized layer
 def load_totals(t: Tables) -> DataFrame:
     """flights, airlines, airports counts in one row."""
-    return (t.flights.agg(F.count(F.lit(1)).alias("total_flights"))
-            .crossJoin(t.airlines.agg(F.count(F.lit(1)).alias("total_airlines")))
-            .crossJoin(t.airports.agg(F.count(F.lit(1)).alias("total_airports"))))
+    return one_row(t.flights.agg(F.count(F.lit(1)).alias("total_flights")),
+                   t.airlines.agg(F.count(F.lit(1)).alias("total_airlines")),
+                   t.airports.agg(F.count(F.lit(1)).alias("total_airports")))
 
 
 def top_carriers_by_code(t: Tables, k: int = 10) -> DataFrame:
@@ -143,9 +144,9 @@ def executive_summary(t: Tables, rate_digits: int | None = 4, avg_digits: int |
         F.count(F.lit(1)).alias("TOTAL_FLIGHTS"),
         count_when(is_flag(CANC)).alias("_c"), count_when(is_flag(DIVR)).alias("_d"),
         F.avg(DEP).alias("_dep"), F.avg(ARR).alias("_arr"))
-    dims = (t.airlines.agg(F.count(F.lit(1)).alias("TOTAL_AIRLINES"))
-            .crossJoin(t.airports.agg(F.count(F.lit(1)).alias("TOTAL_AIRPORTS"))))
-    return stats.crossJoin(dims).select(
+    dims = one_row(t.airlines.agg(F.count(F.lit(1)).alias("TOTAL_AIRLINES")),
+                   t.airports.agg(F.count(F.lit(1)).alias("TOTAL_AIRPORTS")))
+    return one_row(stats, dims).select(
         "TOTAL_FLIGHTS", "TOTAL_AIRLINES", "TOTAL_AIRPORTS",
         pct0("_c", "TOTAL_FLIGHTS", rate_digits).alias("CANCELLATION_RATE"),
         pct0("_d", "TOTAL_FLIGHTS", rate_digits).alias("DIVERSION_RATE"),
@@ -214,9 +215,9 @@ def executive_kpis(star: Star, rate_digits: int | None = 2, avg_digits: int | No
     s = star.fact.agg(F.count(F.lit(1)).alias("total_flights"),
                       count_when(is_flag(CANC)).alias("_c"), count_when(is_flag(DIVR)).alias("_d"),
                       F.avg(DEP).alias("_dep"), F.avg(ARR).alias("_arr"))
-    dims = (star.dim_airline.agg(F.count(F.lit(1)).alias("total_airlines"))
-            .crossJoin(star.dim_airport.agg(F.count(F.lit(1)).alias("total_airports"))))
-    out = s.crossJoin(dims).select(
+    dims = one_row(star.dim_airline.agg(F.count(F.lit(1)).alias("total_airlines")),
+                   star.dim_airport.agg(F.count(F.lit(1)).alias("total_airports")))
+    out = one_row(s, dims).select(
         "total_flights", "total_airlines", "total_airports",
         pct("_c", "total_flights", rate_digits).alias("cancel_rate"),
         pct("_d", "total_flights", rate_digits).alias("divert_rate"),
@@ -454,7 +455,7 @@ def executive_from_flights(df: DataFrame, spec: FactSpec = FLIGHT_SPEC,
         F.avg(spec.dep_delay).alias("_dep"), F.avg(spec.arr_delay).alias("_arr"))
     apt = (df.select(F.explode(F.array(spec.origin, spec.destination)).alias("_a"))
            .where(F.col("_a").isNotNull()).distinct().agg(F.count(F.lit(1)).alias("TOTAL_AIRPORTS")))
-    return g.crossJoin(apt).select(
+    return one_row(g, apt).select(
         "TOTAL_FLIGHTS", "TOTAL_AIRLINES", "TOTAL_AIRPORTS",
         pct0("_c", "TOTAL_FLIGHTS", rate_digits).alias("CANCELLATION_RATE"),
         pct0("_d", "TOTAL_FLIGHTS", rate_digits).alias("DIVERSION_RATE"),

@@ -121,8 +121,10 @@ def run_report(phases: DataFrame, digits: int | None = 2) -> DataFrame:
 def freshness(runs: DataFrame, now) -> DataFrame:
     """Hours since the latest run: < 24 Fresh, < 72 Aging, else Stale;
     'Unknown' with no run. ``now`` is a timestamp literal (a parameter)."""
-    last = runs.agg(F.max(F.to_timestamp("run_timestamp")).alias("last_run"))
-    h = hours_between(F.lit(now).cast("timestamp"), F.col("last_run"))
+    # ISO strings order like the instants; both ends are read in the session
+    # time zone, so the difference does not depend on it. ``last_run`` stays text.
+    last = runs.agg(F.max("run_timestamp").alias("last_run"))
+    h = hours_between(F.to_timestamp(F.lit(now)), F.to_timestamp(F.col("last_run")))
     return last.select(
         "last_run", h.alias("hours_ago"),
         F.when(F.col("last_run").isNull(), "Unknown")
