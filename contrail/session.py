@@ -36,15 +36,27 @@ def work_dir(spark: SparkSession) -> str:
     dir). Only when neither is set -- local tests -- a fresh temp folder is
     created and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        return d
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context; local folder only for local runs
+        sc = None
+    d = sc.getCheckpointDir() if sc is not None else None
     if not d:
         d = tempfile.mkdtemp(prefix="contrail-ckpt-")
-        sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
+        if sc is not None:
+            sc.setCheckpointDir(d)
+            d = sc.getCheckpointDir() or d
     return d
 
 
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (keys per-session caches)."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared work folder."""
     base = work_dir(spark).rstrip("/")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.operators import model
-from contrail.session import scratch_path
+from contrail.session import app_id, scratch_path
 from contrail.spec import Star, Tables
 
 
@@ -120,7 +120,7 @@ _LOCK = threading.Lock()
 def star(spark: SparkSession, sf_dir: str) -> Star:
     """Star schema of ``sf_dir``, built once per session and written to the
     shared work folder (lineage cut; survives executor loss)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (app_id(spark), sf_dir.rstrip("/"))
     with _LOCK:
         if key in _STAR_CACHE:
             return _STAR_CACHE[key]
@@ -134,7 +134,7 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
 
 def _path(spark: SparkSession, sf_dir: str) -> str:
     star(spark, sf_dir)
-    return _PATHS[(spark.sparkContext.applicationId, sf_dir.rstrip("/"))]
+    return _PATHS[(app_id(spark), sf_dir.rstrip("/"))]
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,7 +220,7 @@ def run_log_path(spark: SparkSession, sf_dir: str) -> str:
     """The run log of ``sf_dir`` appended once per session to the work folder."""
     from contrail.sources.runlog import append_run
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (app_id(spark), sf_dir.rstrip("/"))
     with _LOCK:
         if key not in _LOG_PATHS:
             path = scratch_path(spark, "runlog")
