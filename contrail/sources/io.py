@@ -106,9 +106,10 @@ def check_tables(spark: SparkSession, tables: dict) -> DataFrame:
     """
     rows = []
     for name, ref in tables.items():
+        is_path = "/" in ref or ":" in ref
         try:
-            df = (spark.table(ref) if spark.catalog.tableExists(ref)
-                  else spark.read.parquet(ref))
+            df = (spark.read.parquet(ref) if is_path or not spark.catalog.tableExists(ref)
+                  else spark.table(ref))
         except AnalysisException as e:
             rows.append((name, "exists", "FAIL", str(e).splitlines()[0][:200]))
             continue

@@ -82,3 +82,53 @@ def test_run_metadata_json(spark, tmp_out):
     f = runlog.freshness(runs, "2024-01-03 03:04:05").first()
     assert f.freshness == "Aging" and f.hours_ago == 24.0
     assert runlog.health(runs).first().health == "HEALTHY"
+
+
+def _write_sources(spark, tmp_out, n=1200):
+    flights = spark.range(n).selectExpr(
+        "2015 AS YEAR", "1 + id % 12 AS MONTH", "1 + id % 28 AS DAY", "1 + id % 7 AS DAY_OF_WEEK",
+        "CASE WHEN id % 2 = 0 THEN 'AA' ELSE 'UA' END AS AIRLINE",
+        "CAST(id AS STRING) AS FLIGHT_NUMBER", "'JFK' AS ORIGIN_AIRPORT",
+        "'LAX' AS DESTINATION_AIRPORT", "CAST(id % 50 - 10 AS DOUBLE) AS DEPARTURE_DELAY",
+        "CAST(id % 40 - 5 AS DOUBLE) AS ARRIVAL_DELAY", "0 AS CANCELLED", "0 AS DIVERTED")
+    io.write_table(flights.coalesce(1), f"{tmp_out}/flights", fmt="csv")
+    open(f"{tmp_out}/airlines.csv", "w").write("IATA_CODE,AIRLINE\nAA,American\nUA,United\n")
+    open(f"{tmp_out}/airports.csv", "w").write(
+        "IATA_CODE,AIRPORT,CITY,STATE,COUNTRY,LATITUDE,LONGITUDE\n"
+        "JFK,Kennedy,New York,NY,USA,40.6,-73.8\nLAX,Los Angeles,LA,CA,USA,,\n")
+    return {"flights": f"{tmp_out}/flights", "airlines": f"{tmp_out}/airlines.csv",
+            "airports": f"{tmp_out}/airports.csv"}
+
+
+def test_extract_row_limit_and_profiles(spark, tmp_out):
+    from contrail.spec import FLIGHTS_SCHEMA
+    paths = _write_sources(spark, tmp_out)
+    src = io.extract(spark, paths, row_limit=1000)
+    assert src.flights.count() == 1000  # "first N rows" cap (S1)
+    assert io.read_fact(spark, paths["flights"], FLIGHTS_SCHEMA, row_limit=500).count() == 500
+    assert io.read_fact(spark, paths["flights"], FLIGHTS_SCHEMA).count() == 1200  # None = all (S2)
+    prof = {r.dataset: r.row_count for r in src.profiles.collect()}
+    assert prof == {"flights": 1000, "airlines": 2, "airports": 2}
+    ap = {r.IATA_CODE: r.LATITUDE for r in src.airports.collect()}
+    assert ap["LAX"] is None and ap["JFK"] == 40.6
+    for c in ("YEAR", "MONTH", "DAY", "AIRLINE", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT"):
+        assert c in src.flights.columns
+
+
+def test_load_layers_fallback_and_table_checks(spark, tmp_out):
+    paths = _write_sources(spark, tmp_out, n=10)
+    layers, status = io.load_layers(spark, dict(paths, cleaned=f"{tmp_out}/no_cleaned"))
+    assert status.first().status == "WARN"
+    assert layers["cleaned_flights"].count() == 10
+    io.write_table(layers["raw_flights"], f"{tmp_out}/fact_parquet")
+    st = {(r.name, r.check): r.status for r in io.check_tables(
+        spark, {"fact": f"{tmp_out}/fact_parquet", "gone": f"{tmp_out}/gone"}).collect()}
+    assert st[("fact", "exists")] == "PASS" and st[("fact", "non_empty")] == "PASS"
+    assert st[("gone", "exists")] == "FAIL"
+
+
+def test_table_inventory(spark):
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    rows = {(r.table_name, r.column_name): (r.data_type, r.row_count)
+            for r in io.table_inventory({"a": a}).collect()}
+    assert rows == {("a", "k"): ("int", 2), ("a", "v"): ("string", 2)}
