@@ -18,11 +18,28 @@ QUERIES: dict = {}
 ORACLES: dict = {}
 
 
+def _bigint_count_if(sql: str) -> str:
+    """DuckDB types ``count_if`` as HUGEINT; Spark's ``count_if`` is BIGINT."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = _bigint_count_if(sql[j + len(key):k - 1])
+        out.append(sql[i:j] + "CAST(count_if(" + inner + ") AS BIGINT)")
+        i = k
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if oracle is not None:
-            ORACLES[name] = oracle
+            ORACLES[name] = _bigint_count_if(oracle)
         return fn
     return deco
 
@@ -605,7 +622,7 @@ m AS (SELECT count(*) AS r, {miss} AS t, {ded} AS tded FROM {src}),
 u AS (SELECT count(*) AS uq FROM (SELECT DISTINCT * FROM {src})),
 s AS (SELECT r, coalesce(CAST(t AS DOUBLE) / (CAST(r AS DOUBLE) * {n}) * 100, 0.0) AS mp,
         coalesce(CAST(r - uq AS DOUBLE) / CAST(r AS DOUBLE) * 100, 0.0) AS dp,
-        least(10.0, tded) AS td FROM m, u),
+        CAST(least(10.0, tded) AS DOUBLE) AS td FROM m, u),
 f AS (SELECT *, CAST(floor(greatest(0.0, least(100.0,
         100.0 - least(30.0, mp * 0.5) - least(20.0, dp * 0.5) - td))) AS INTEGER) AS qs FROM s)
 SELECT r AS total_rows, mp AS missing_percentage, dp AS duplicate_percentage,
@@ -1091,7 +1108,8 @@ p AS (SELECT count(*) AS tf, (SELECT count(*) FROM air) AS ta, (SELECT count(*)
         round(round(coalesce(CAST(count_if(DIVERTED = 1) AS DOUBLE) * 100.0 / count(*), 0.0), 4), 2) AS dr,
         round(round(coalesce(avg(DEPARTURE_DELAY), 0.0), 2), 1) AS ad,
         round(round(coalesce(avg(ARRIVAL_DELAY), 0.0), 2), 1) AS aa FROM fl)
-SELECT m.metric, m.v AS published, m.v AS recomputed, 0.0 AS diff, 'PASS' AS status FROM p,
+SELECT m.metric, m.v AS published, m.v AS recomputed, CAST(0.0 AS DOUBLE) AS diff,
+  'PASS' AS status FROM p,
   (VALUES ('TOTAL_FLIGHTS'), ('TOTAL_AIRLINES'), ('TOTAL_AIRPORTS'), ('CANCELLATION_RATE'),
           ('DIVERSION_RATE'), ('AVG_DEPARTURE_DELAY'), ('AVG_ARRIVAL_DELAY')) AS k(metric),
   LATERAL (SELECT k.metric AS metric, CAST(CASE k.metric WHEN 'TOTAL_FLIGHTS' THEN tf

@@ -67,7 +67,7 @@ def read_run_json(spark: SparkSession, path: str, multiline: bool = True
     runs = md.select("run_id", "run_timestamp", "overall_status",
                      F.col("total_duration_seconds").alias("total_duration"))
     phases = md.select("run_id", F.posexplode("phases").alias("pos", "p")).select(
-        (F.col("pos") + 1).alias("id"), "run_id", "p.phase_name", "p.status",
+        (F.col("pos") + 1).cast("bigint").alias("id"), "run_id", "p.phase_name", "p.status",
         "p.duration_seconds", "p.start_time", "p.end_time", "p.error_message")
     return runs, phases
 
