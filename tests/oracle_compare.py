@@ -48,6 +48,17 @@ def _rows(cols, rows):
     return sorted(out, key=repr)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE", "float": "FLOAT"}
+
+
+def type_mismatches(con, sdf, sql):
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {c: (t, duck_types.get(c)) for c, t in sdf.dtypes
+            if SPARK_TO_DUCK.get(t, t) != duck_types.get(c)}
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -65,6 +76,10 @@ def compare(spark, con, name, fn, sql, sf_dir):
     if sorted(s_cols) != sorted(d_cols):
         res["status"] = f"COLUMNS spark={sorted(s_cols)} oracle={sorted(d_cols)}"
         return res
+    bad_types = type_mismatches(con, sdf, sql)
+    if bad_types:
+        res["status"] = f"TYPES {bad_types}"
+        return res
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
     if a == b:
         res["status"] = "ok"
