@@ -28,13 +28,16 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"  # compare floats bit for bit
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 5) + 0.0
+        return v + 0.0 if EXACT else round(v, 5) + 0.0
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat()[:19]
     if hasattr(v, "item"):
