@@ -1,7 +1,7 @@
 """Streaming: intentionally empty.
 
 The reference is a batch ETL/BI project with no streams, watermarks, windows
-over event time or stateful operators (its README lists real-time analytics
+over event time or stateful operators (real-time analytics is listed
 only as a future wish). Nothing here is built, so that no operator exists that
 the reference does not have. Every operator in this package is a lazy
 DataFrame function, so it can be applied unchanged inside
