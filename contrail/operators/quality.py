@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 from contrail.functions.scalar import count_when, one_row
 from contrail.operators.model import bounded
 from contrail.operators.profile import distinct_row_count, is_missing
-from contrail.spec import (DELAY_COLUMNS, MATRIX_LABELS, MATRIX_WARN_BELOW, SPARSE_COLUMNS,
-                           Star)
+from contrail.spec import (DELAY_COLUMNS, MATRIX_LABELS, MATRIX_RULE_NAMES, MATRIX_WARN_BELOW,
+                           SPARSE_COLUMNS, Star)
 
 RESULT_COLUMNS = ["layer", "family", "check", "checked", "failures", "status"]
 
@@ -321,20 +321,13 @@ def star_status(checks: DataFrame) -> DataFrame:
     return g.withColumn("status", F.when(F.col("total_issues") == 0, "SUCCESS").otherwise("FAILED"))
 
 
-MATRIX_RULES = [
-    ("Null Airline Keys", "fact_rows", "null_airline_key"),
-    ("Null Origin Airport Keys", "fact_rows", "null_origin_airport_key"),
-    ("Null Dest Airport Keys", "fact_rows", "null_dest_airport_key"),
-    ("Null Date Keys", "fact_rows", "null_date_key"),
-    ("Orphan Airline Refs", "fact_rows", "orphan_airline_key"),
-    ("Orphan Origin Refs", "fact_rows", "orphan_origin_airport_key"),
-    ("Orphan Dest Refs", "fact_rows", "orphan_dest_airport_key"),
-    ("Orphan Date Refs", "fact_rows", "orphan_date_key"),
-    ("Duplicate Airline Keys", "rows_airline", "dup_airline"),
-    ("Duplicate Airport Keys", "rows_airport", "dup_airport"),
-    ("Departure Delay Nulls", "fact_rows", "null_dep"),
-    ("Arrival Delay Nulls", "fact_rows", "null_arr"),
-]
+# (rule name, records-checked measure, failures measure) per matrix rule
+MATRIX_RULES = list(zip(MATRIX_RULE_NAMES, [
+    "fact_rows", "fact_rows", "fact_rows", "fact_rows", "fact_rows", "fact_rows", "fact_rows",
+    "fact_rows", "rows_airline", "rows_airport", "fact_rows", "fact_rows"], [
+    "null_airline_key", "null_origin_airport_key", "null_dest_airport_key", "null_date_key",
+    "orphan_airline_key", "orphan_origin_airport_key", "orphan_dest_airport_key",
+    "orphan_date_key", "dup_airline", "dup_airport", "null_dep", "null_arr"]))
 
 
 def matrix_status(f: Column) -> Column:

@@ -20,7 +20,8 @@ from contrail.functions.scalar import (all_of, avg0, code_name_label, count_when
 from contrail.operators.model import bounded, unpivot_causes
 from contrail.plans.common import (ARR, CANC, CAUSES, DEP, DIST, DIVR, by_key_then_attr, dim,
                                    merge_partials, mean, partials)
-from contrail.spec import FLIGHT_SPEC, ROUTE_ARROW_TABLE, FactSpec, Star, Tables
+from contrail.spec import (DAY_TYPE_LABELS, FLIGHT_SPEC, ROUTE_ARROW_TABLE, FactSpec, Star,
+                           Tables)
 
 
 def _require(df: DataFrame, cols) -> None:
@@ -410,7 +411,8 @@ def day_type(star: Star, digits: int | None = 1) -> DataFrame:
     """weekday vs weekend volume and average departure delay."""
     per = star.fact.groupBy("date_key").agg(*partials((DEP,), ()))
     d = dim(star, "dim_date", "date_key",
-            F.when(F.col("is_weekend"), "Weekend").otherwise("Weekday").alias("day_type"))
+            F.when(F.col("is_weekend"), DAY_TYPE_LABELS[1]).otherwise(DAY_TYPE_LABELS[0])
+            .alias("day_type"))
     g = per.join(d, "date_key").groupBy("day_type").agg(*merge_partials((DEP,), ()))
     return g.select("day_type", F.col("_n").alias("flights"),
                     rnd(mean(DEP), digits).alias("avg_delay"))

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.scalar import capitalize, count_when, hours_between, map_values
-from contrail.spec import AGING_HOURS, FRESH_HOURS, RUN_METADATA_SCHEMA
+from contrail.spec import (AGING_HOURS, FRESH_HOURS, FRESHNESS_LABELS, HEALTH_LABELS,
+                           RUN_METADATA_SCHEMA)
 
 RUN_COLUMNS = ["run_id", "run_timestamp", "overall_status", "total_duration", "dq_score",
                "records_loaded"]
@@ -127,9 +128,9 @@ def freshness(runs: DataFrame, now) -> DataFrame:
     h = hours_between(F.to_timestamp(F.lit(now)), F.to_timestamp(F.col("last_run")))
     return last.select(
         "last_run", h.alias("hours_ago"),
-        F.when(F.col("last_run").isNull(), "Unknown")
-        .when(h < FRESH_HOURS, "Fresh").when(h < AGING_HOURS, "Aging").otherwise("Stale")
-        .alias("freshness"))
+        F.when(F.col("last_run").isNull(), FRESHNESS_LABELS[3])
+        .when(h < FRESH_HOURS, FRESHNESS_LABELS[0]).when(h < AGING_HOURS, FRESHNESS_LABELS[1])
+        .otherwise(FRESHNESS_LABELS[2]).alias("freshness"))
 
 
 def health(runs: DataFrame) -> DataFrame:
@@ -137,9 +138,9 @@ def health(runs: DataFrame) -> DataFrame:
     last = runs.agg(F.max_by("overall_status", F.struct("run_timestamp", "run_id"))
                     .alias("overall_status"))
     s = F.coalesce(F.col("overall_status"), F.lit("UNKNOWN"))
-    return last.select(s.alias("overall_status"),
-                       F.when(s == "SUCCESS", "HEALTHY").when(s == "WARNING", "WARNING")
-                       .otherwise(s).alias("health"))
+    last = last.select(s.alias("overall_status"),
+                       map_values(s, HEALTH_LABELS, None).alias("_h"))
+    return last.select("overall_status", F.coalesce("_h", "overall_status").alias("health"))
 
 
 def phase_order(phases: DataFrame) -> DataFrame:

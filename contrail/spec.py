@@ -51,9 +51,28 @@ SPARSE_COLUMNS = [
 # Data-quality matrix status bands (K12) and score labels (K13):
 MATRIX_WARN_BELOW = 10
 MATRIX_LABELS = [(95, "EXCELLENT"), (80, "GOOD"), (60, "FAIR"), (None, "CRITICAL")]
-# Freshness bands in hours (K14):
+# Freshness bands in hours and their labels (K14), health labels (K15):
 FRESH_HOURS = 24
 AGING_HOURS = 72
+FRESHNESS_LABELS = ["Fresh", "Aging", "Stale", "Unknown"]
+HEALTH_LABELS = {"SUCCESS": "HEALTHY", "WARNING": "WARNING"}
+# Day-type labels (F34):
+DAY_TYPE_LABELS = ["Weekday", "Weekend"]
+# The 12 rules of the data-quality matrix (K12), in order:
+MATRIX_RULE_NAMES = [
+    "Null Airline Keys",
+    "Null Origin Airport Keys",
+    "Null Dest Airport Keys",
+    "Null Date Keys",
+    "Orphan Airline Refs",
+    "Orphan Origin Refs",
+    "Orphan Dest Refs",
+    "Orphan Date Refs",
+    "Duplicate Airline Keys",
+    "Duplicate Airport Keys",
+    "Departure Delay Nulls",
+    "Arrival Delay Nulls",
+]
 
 # ---------------------------------------------------------------------------
 # Schemas
@@ -93,9 +112,8 @@ NORMALIZED_FLIGHTS_COLUMNS = (
 )
 NORMALIZED_FLIGHTS_SCHEMA = T.StructType(
     [T.StructField("FLIGHT_ID", T.LongType())]
-    + [T.StructField(n, I if n.endswith("_ID") and n != "AIRCRAFT_ID"
-                     else dict(_FLIGHT_FIELDS).get(n, I))
-       for n in NORMALIZED_FLIGHTS_COLUMNS]
+    # the three *_ID keys are not flight-file columns: they default to int
+    + [T.StructField(n, dict(_FLIGHT_FIELDS).get(n, I)) for n in NORMALIZED_FLIGHTS_COLUMNS]
     + [T.StructField("CREATED_AT", T.TimestampType())]
 )
 
@@ -132,13 +150,9 @@ class FactSpec:
     arr_delay: str = "ARRIVAL_DELAY"
     distance: str = "DISTANCE"
     # label -> column; the long-form labels of C15.
-    cause_delays: tuple = (
-        ("Weather", "WEATHER_DELAY"),
-        ("Airline", "AIRLINE_DELAY"),
-        ("Security", "SECURITY_DELAY"),
-        ("NAS", "AIR_SYSTEM_DELAY"),
-        ("Late Aircraft", "LATE_AIRCRAFT_DELAY"),
-    )
+    cause_delays: tuple = tuple(zip(CAUSE_LABELS, (
+        "WEATHER_DELAY", "AIRLINE_DELAY", "SECURITY_DELAY", "AIR_SYSTEM_DELAY",
+        "LATE_AIRCRAFT_DELAY")))
     # Presets of the reference
     delayed_gt: float = 15
     min_departures: int = 50
