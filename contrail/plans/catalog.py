@@ -8,6 +8,8 @@ differently (SURVEY 7.4); the operators keep the reference's digits as default.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from contrail.plans import kpi, metrics
 from contrail.plans.oracle import with_flights
 from contrail.sources import bindings
@@ -546,7 +548,9 @@ def q_f43d(spark, sf_dir):
 # =========================================================================== profile (B) / clean (C)
 from contrail.operators import clean, model, profile  # noqa: E402
 from contrail.plans.oracle import RAW_COLUMNS, STRING_COLUMNS, q  # noqa: E402
-from contrail.spec import DELAY_COLUMNS  # noqa: E402
+from contrail.spec import (AIRLINES_SCHEMA, DELAY_COLUMNS, FLIGHTS_SCHEMA,  # noqa: E402
+                           NORMALIZED_FLIGHTS_SCHEMA)
+from pyspark.sql import types as T  # noqa: E402
 
 _NUM_PATTERN = r"^(-*[0-9]*\.?[0-9]+|-*[0-9]+\.?|nan)$"
 
@@ -564,9 +568,7 @@ SELECT 'flights' AS dataset, count(*) AS row_count, {len(RAW_COLUMNS)} AS column
   '{",".join(c for c, _ in RAW_COLUMNS)}' AS columns FROM rf"""))
 def q_b01(spark, sf_dir):
     return profile.profile(raw(spark, sf_dir), "flights").select(
-        "dataset", "row_count", "column_count",
-        __import__("pyspark.sql.functions", fromlist=["x"]).array_join("columns", ",")
-        .alias("columns"))
+        "dataset", "row_count", "column_count", F.array_join("columns", ",").alias("columns"))
 
 
 @register("q_b02_missing_values", with_flights("\nUNION ALL\n".join(
@@ -835,7 +837,6 @@ def q_f37(spark, sf_dir):
 
 @register("q_f38_weather_histogram", _hist_sql("WEATHER_DELAY > 0", "WEATHER_DELAY", 40))
 def q_f38(spark, sf_dir):
-    from pyspark.sql import functions as F
     return dist.histogram(star(spark, sf_dir).fact, "WEATHER_DELAY", 40, None, None,
                           where=F.col("WEATHER_DELAY") > 0, digits=D)
 
@@ -1198,7 +1199,6 @@ def q_k15(spark, sf_dir):
 @register("q_a01_reference_csv_roundtrip", with_flights(
     "SELECT CAST(s_suppkey AS VARCHAR) AS IATA_CODE, s_name AS AIRLINE FROM supplier"))
 def q_a01(spark, sf_dir):
-    from contrail.spec import AIRLINES_SCHEMA
     path = scratch_path(spark, "airlines-csv")
     io.write_table(bindings.airlines_ref(spark, sf_dir), path, fmt="csv")
     return io.read_reference(spark, path, AIRLINES_SCHEMA)
@@ -1208,11 +1208,9 @@ def q_a01(spark, sf_dir):
 def q_a02(spark, sf_dir):
     """A4 -> A2: cleaned flights written as CSV and read back with the full
     flights schema (columns the feed lacks come back NULL and are dropped)."""
-    from contrail.spec import FLIGHTS_SCHEMA
     f = raw(spark, sf_dir)
     path = scratch_path(spark, "flights-csv")
     io.write_table(f, path, fmt="csv", require_rows=True)
-    from pyspark.sql import types as T
     schema = T.StructType([FLIGHTS_SCHEMA[c] for c in f.columns])
     return io.read_fact(spark, path, schema)
 
@@ -1238,7 +1236,6 @@ SELECT "YEAR", "MONTH", "DAY", DAY_OF_WEEK, FLIGHT_NUMBER, TAIL_NUMBER, DEPARTUR
   AIRLINE_DELAY, LATE_AIRCRAFT_DELAY, WEATHER_DELAY, AIRCRAFT_ID, MODEL FROM rf"""))
 def q_b10(spark, sf_dir):
     """Flights projected onto the normalized table's columns (natural codes drop out)."""
-    from contrail.spec import NORMALIZED_FLIGHTS_SCHEMA
     return contract.select_compatible(raw(spark, sf_dir), NORMALIZED_FLIGHTS_SCHEMA)
 
 
