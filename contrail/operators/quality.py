@@ -399,3 +399,32 @@ def kpi_audit(published: DataFrame, recomputed: DataFrame, tol: float = 0.1) ->
     ok = F.when(exact, diff == 0).otherwise(diff <= tol)
     return j.select("metric", "published", "recomputed", diff.alias("diff"),
                     F.when(ok, "PASS").otherwise("FAIL").alias("status"))
+
+
+# --------------------------------------------------------------------------- Entry 4: a DQ run
+def run_checks(raw: DataFrame, cleaned: DataFrame, airlines_ref: DataFrame,
+               airports_ref: DataFrame, star: Star | None = None) -> DataFrame:
+    """All file- and table-level checks of one data-quality run, as one long
+    result table (K1, K2, K3, K4, K5 and, with a star, K6); feed it to
+    ``dq_rollup`` (K9). Every family is one aggregate pass over its input."""
+    parts = [
+        null_check(raw),
+        duplicate_check(airlines_ref, ["IATA_CODE"], "duplicate airline IATA_CODE", "reference"),
+        duplicate_check(airports_ref, ["IATA_CODE"], "duplicate airport IATA_CODE", "reference"),
+        duplicate_check(raw),
+        type_check(cleaned),
+        rule_check(cleaned),
+        ref_check(raw, "AIRLINE", airlines_ref, on_fail="FAIL"),
+        ref_check(raw, "ORIGIN_AIRPORT", airports_ref, on_fail="WARN"),
+        ref_check(raw, "DESTINATION_AIRPORT", airports_ref, on_fail="WARN"),
+    ]
+    if star is not None:
+        parts.append(orphan_check(star.fact, [
+            ("airline_key", star.dim_airline, "airline_key", star.rows.get("dim_airline")),
+            ("origin_airport_key", star.dim_airport, "airport_key", star.rows.get("dim_airport")),
+            ("dest_airport_key", star.dim_airport, "airport_key", star.rows.get("dim_airport")),
+            ("date_key", star.dim_date, "date_key", star.rows.get("dim_date"))]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

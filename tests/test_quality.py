@@ -116,3 +116,20 @@ def test_capitalize_and_map(spark):
     df = spark.createDataFrame([("late aircraft", "FAIL"), ("EXTRACT", "X")], "p string, s string")
     r = df.select(capitalize("p").alias("c"), map_values("s", {"FAIL": "red"}, "blue").alias("m"))
     assert [(x.c, x.m) for x in r.collect()] == [("Late aircraft", "red"), ("Extract", "blue")]
+
+
+def test_run_checks_and_rollup(spark):
+    raw = spark.createDataFrame(
+        [(2015, 1, 1, "AA", "JFK", "XXX", 5.0, 1.0, 0, 0), (2015, 1, 1, "ZZ", "JFK", "JFK", -90.0, 1.0, 0, 0)],
+        "YEAR int, MONTH int, DAY int, AIRLINE string, ORIGIN_AIRPORT string, "
+        "DESTINATION_AIRPORT string, DEPARTURE_DELAY double, ARRIVAL_DELAY double, "
+        "CANCELLED int, DIVERTED int")
+    air = spark.createDataFrame([("AA", "A")], "IATA_CODE string, AIRLINE string")
+    apt = spark.createDataFrame([("JFK", "K")], "IATA_CODE string, AIRPORT string")
+    res = quality.run_checks(raw, raw, air, apt)
+    st = {r.check: r.status for r in res.collect()}
+    assert st["AIRLINE in reference"] == "FAIL"
+    assert st["DESTINATION_AIRPORT in reference"] == "WARN"
+    assert st["DEPARTURE_DELAY >= -60"] == "WARN"
+    roll = quality.dq_rollup(res).first()
+    assert roll.overall_status == "FAIL" and "raw:AIRLINE in reference" in roll.failed_checks
