@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions.ranking import dense_keys
-from contrail.functions.scalar import date_from_key
+from contrail.functions.scalar import date_from_key, one_row
 from contrail.spec import FACT_DROP, FLIGHT_SPEC, FactSpec, Star, Tables
 
 # Largest dimension (rows) we broadcast by hint.
@@ -201,7 +201,8 @@ def write_star(star: Star, path: str, partition_by=("year",)) -> None:
 def read_star(spark, path: str) -> Star:
     """Read a written star; dimension row counts come from parquet metadata."""
     dims = {n: spark.read.parquet(f"{path}/{n}") for n in ("dim_airline", "dim_airport", "dim_date")}
-    rows = {n: d.count() for n, d in dims.items()}
+    counted = one_row(*[d.agg(F.count(F.lit(1)).alias(n)) for n, d in dims.items()]).first()
+    rows = {n: counted[n] for n in dims}  # one job for the three counts
     fact = spark.read.parquet(f"{path}/fact_flights")
     return Star(fact=fact, rows=rows, **dims)
 
