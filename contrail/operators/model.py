@@ -13,7 +13,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.ranking import dense_keys
@@ -215,26 +215,57 @@ def unpivot_causes(wide: DataFrame, cols: list, labels: list, ids=(),
     return renamed.unpivot(list(ids), labels, var, val)
 
 
+def all_members(df: DataFrame, spec: FactSpec = FLIGHT_SPEC) -> DataFrame:
+    """C6 + C7 in ONE scan: ``(dim, code)`` for airlines and airports, distinct."""
+    return (df.select(F.explode(F.array(
+        F.struct(F.lit("airlines").alias("dim"), F.col(spec.carrier).cast("string").alias("code")),
+        F.struct(F.lit("airports").alias("dim"), F.col(spec.origin).cast("string").alias("code")),
+        F.struct(F.lit("airports").alias("dim"),
+                 F.col(spec.destination).cast("string").alias("code")))).alias("m"))
+        .select("m.*").where(F.col("code").isNotNull()).distinct())
+
+
+def read_keys(spark, path: str) -> dict:
+    """Normalized dimensions written by ``normalize_written``:
+    airlines(AIRLINE, AIRLINE_ID) and airports(AIRPORT, AIRPORT_ID)."""
+    keys = spark.read.parquet(f"{path}/keys")
+    return {dim: keys.where(F.col("dim") == dim).select(F.col("code").alias(code),
+                                                        F.col("key").alias(key))
+            for dim, (code, key) in (("airlines", ("AIRLINE", "AIRLINE_ID")),
+                                     ("airports", ("AIRPORT", "AIRPORT_ID")))}
+
+
 def normalize_written(spark, df: DataFrame, path: str, spec: FactSpec = FLIGHT_SPEC,
                       on_unmatched: str = "keep") -> Tables:
-    """C10 as a batch job: members are written and counted first, so the
-    surrogate-key ranking and the three key lookups know their size bound.
+    """C10 as a batch job, three jobs before the fact: members of both
+    dimensions from one scan of ``df`` (written), their counts (one job over
+    the small member table), and the surrogate keys of both (one job: a window
+    per dimension when both counts are below the single-task bound, else the
+    distributed rank per dimension). The counts bound every later broadcast.
 
     Members come from ``df`` itself, so every non-null code matches; NULL
     codes get NULL keys (``keep``), which the load check (K10) on the
     written fact reports -- no extra pass. ``raise`` adds that pass here.
     """
-    counts = {}
-    keyed = {}
-    for name, cols, code, key in (("airlines", [spec.carrier], "AIRLINE", "AIRLINE_ID"),
-                                  ("airports", [spec.origin, spec.destination], "AIRPORT",
-                                   "AIRPORT_ID")):
-        members(df, cols, code).write.mode("overwrite").parquet(f"{path}/{name}_members")
-        m = spark.read.parquet(f"{path}/{name}_members")
-        counts[name] = m.count()
-        surrogate_keys(m, code, key, bound=counts[name]).write.mode("overwrite").parquet(
-            f"{path}/{name}")
-        keyed[name] = spark.read.parquet(f"{path}/{name}")
+    from contrail.functions.ranking import SINGLE_TASK_MAX_ROWS
+
+    all_members(df, spec).write.mode("overwrite").partitionBy("dim").parquet(
+        f"{path}/members")
+    mem = spark.read.parquet(f"{path}/members")
+    got = {r["dim"]: r["n"] for r in mem.groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
+           .collect()}  # at most two rows
+    counts = {"airlines": got.get("airlines", 0), "airports": got.get("airports", 0)}
+    names = {"airlines": ("AIRLINE", "AIRLINE_ID"), "airports": ("AIRPORT", "AIRPORT_ID")}
+    if max(counts.values()) <= SINGLE_TASK_MAX_ROWS:
+        w = Window.partitionBy("dim").orderBy("code")
+        (mem.withColumn("key", F.row_number().over(w).cast("int"))
+         .write.mode("overwrite").partitionBy("dim").parquet(f"{path}/keys"))
+    else:
+        for dim in names:
+            (surrogate_keys(mem.where(F.col("dim") == dim).select("code"), "code", "key")
+             .withColumn("dim", F.lit(dim))
+             .write.mode("append").partitionBy("dim").parquet(f"{path}/keys"))
+    keyed = read_keys(spark, path)
     flights = map_keys(df, [
         (spec.carrier, keyed["airlines"], "AIRLINE", "AIRLINE_ID", "AIRLINE_ID",
          counts["airlines"]),

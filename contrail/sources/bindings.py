@@ -147,8 +147,8 @@ def normalized(spark: SparkSession, sf_dir: str) -> Tables:
     keyed fact (the warehouse fact with the id names of the normalized DDL)."""
     p = _path(spark, sf_dir)
     s = star(spark, sf_dir)
-    airlines = spark.read.parquet(f"{p}/airlines")
-    airports = spark.read.parquet(f"{p}/airports")
+    keyed = model.read_keys(spark, p)
+    airlines, airports = keyed["airlines"], keyed["airports"]
     flights = s.fact.withColumnsRenamed({"airline_key": "AIRLINE_ID",
                                          "origin_airport_key": "ORIGIN_AIRPORT_ID",
                                          "dest_airport_key": "DESTINATION_AIRPORT_ID"})
