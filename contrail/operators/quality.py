@@ -44,7 +44,8 @@ def pass_fail(f: Column) -> Column:
     return F.when(f == 0, "PASS").otherwise("FAIL")
 
 
-def _absent(wide: DataFrame, layer: str, family: str, names) -> list:
+def _absent(names) -> list:
+    """FAIL rows for required columns that are missing."""
     return [(f"{n} (column missing)", F.lit(0), F.lit(None).cast("bigint"),
              lambda f: F.lit("FAIL")) for n in names]
 
@@ -57,7 +58,7 @@ def null_check(df: DataFrame, cols=("AIRLINE", "ORIGIN_AIRPORT", "DESTINATION_AI
     wide = df.agg(F.count(F.lit(1)).alias("_n"),
                   *[count_when(is_missing(df, c)).alias(f"_null_{c}") for c in present])
     items = [(f"{c} nulls", "_n", f"_null_{c}", pass_fail) for c in present]
-    items += _absent(wide, layer, "null", [c for c in cols if c not in df.columns])
+    items += _absent([c for c in cols if c not in df.columns])
     return _rows(wide, layer, "null", items)
 
 
@@ -122,8 +123,7 @@ def rule_check(df: DataFrame, early: float = -60, max_outliers: int = 5,
         else:
             missing.append(c)
     wide = df.agg(*aggs)
-    return _rows(wide, layer, "business_rule", items + _absent(wide, layer, "business_rule",
-                                                               missing))
+    return _rows(wide, layer, "business_rule", items + _absent(missing))
 
 
 # --------------------------------------------------------------------------- K5
@@ -140,7 +140,7 @@ def ref_check(df: DataFrame, col: str, ref: DataFrame, ref_col: str = "IATA_CODE
 
 
 # --------------------------------------------------------------------------- K6, E9
-def orphan_counts(df: DataFrame, fks, dims) -> list[Column]:
+def orphan_counts(fks) -> list[Column]:
     """Aggregates counting rows whose non-null foreign key has no dimension row.
 
     ``fks``: list of (fk column, matched-flag column) produced by ``attach_keys``.
@@ -167,7 +167,7 @@ def attach_keys(df: DataFrame, lookups) -> tuple[DataFrame, list]:
 def orphan_check(df: DataFrame, lookups, layer: str = "warehouse") -> DataFrame:
     """K6: orphan counts for several foreign keys in one pass over ``df``."""
     j, flags = attach_keys(df.select(*[fk for fk, *_ in lookups]), lookups)
-    wide = j.agg(F.count(F.lit(1)).alias("_n"), *orphan_counts(j, flags, None))
+    wide = j.agg(F.count(F.lit(1)).alias("_n"), *orphan_counts(flags))
     return _rows(wide, layer, "orphan",
                  [(f"orphan {fk}", "_n", f"_orph_{fk}", pass_fail) for fk, _ in flags])
 
