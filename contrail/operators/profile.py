@@ -75,7 +75,9 @@ def distinct_row_count(df: DataFrame, alias: str = "_uniq") -> DataFrame:
     8-byte ``xxhash64`` of the row is shuffled (with partial aggregation);
     rows whose hash occurs once are distinct by definition, and only rows
     whose hash repeats (true duplicates or rare collisions) are compared
-    exactly. A hot duplicated row collapses map-side in both steps.
+    exactly. A hot duplicated row collapses map-side in both steps. When a
+    large share of distinct rows repeat, AQE turns the semi join into a
+    sort-merge join; the count stays exact.
     """
     cols = [F.col(f"`{c}`") for c in df.columns]
     hashed = df.select(F.xxhash64(*cols).alias("__h"), *cols)

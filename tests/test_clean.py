@@ -40,8 +40,9 @@ def test_dedupe_keep_first_by_order_with_hot_key(spark):
     # one key holds most rows: the min_by aggregate keeps the earliest one
     rows = [("hot", i, f"v{i}") for i in range(5000, 0, -1)] + [("cold", 7, "c")]
     df = spark.createDataFrame(rows, "k string, seq int, v string")
-    out = {r.k: (r.seq, r.v) for r in clean.dedupe(df, ["k"], "seq").collect()}
-    assert out == {"hot": (1, "v1"), "cold": (7, "c")}
+    for method in ("shuffle", "hash"):
+        out = {r.k: (r.seq, r.v) for r in clean.dedupe(df, ["k"], "seq", method).collect()}
+        assert out == {"hot": (1, "v1"), "cold": (7, "c")}
 
 
 def test_validate_numeric(spark):
@@ -102,3 +103,21 @@ def test_distinct_row_count_hash_first(spark):
     assert profile.distinct_row_count(df).first()["_uniq"] == df.distinct().count() == 4
     r = profile.duplicate_report(df).first()
     assert r.duplicate_rows == len(rows) - 4
+
+
+def test_dedupe_nulls_and_hash_equal_rows(spark):
+    # xxhash64 skips NULLs, so (NULL, 'a') and ('a', NULL) hash alike: both must survive
+    rows = [(None, "a"), ("a", None), ("a", None), (None, None), (None, None), ("b", "c")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    for method in ("shuffle", "hash"):
+        got = sorted(map(tuple, clean.dedupe(df, method=method).collect()), key=repr)
+        assert got == sorted(set(rows), key=repr)
+
+
+def test_dedupe_by_key_with_null_keys(spark):
+    rows = [(None, 3, "late"), (None, 1, "early"), ("k", 2, "only")]
+    df = spark.createDataFrame(rows, "k string, seq int, v string")
+    for method in ("shuffle", "hash"):
+        got = sorted(map(tuple, clean.dedupe(df, ["k"], "seq", method).collect()), key=repr)
+        assert got == sorted([(None, 1, "early"), ("k", 2, "only")], key=repr)
+        assert clean.dedupe(df, ["k"], method=method).count() == 2
