@@ -922,9 +922,12 @@ def _k05_row(col, ref, status):
                 f"CASE WHEN {miss} = 0 THEN 'PASS' ELSE '{status}' END", codes)
 
 
-@register("q_k05_reference_integrity", with_flights("\nUNION ALL\n".join([
+_K05 = "\nUNION ALL\n".join([
     _k05_row("AIRLINE", _AIRLINES_REF, "FAIL"), _k05_row("ORIGIN_AIRPORT", _AIRPORTS_REF, "WARN"),
-    _k05_row("DESTINATION_AIRPORT", _AIRPORTS_REF, "WARN")])))
+    _k05_row("DESTINATION_AIRPORT", _AIRPORTS_REF, "WARN")])
+
+
+@register("q_k05_reference_integrity", with_flights(_K05))
 def q_k05(spark, sf_dir):
     f = raw(spark, sf_dir)
     air, apt = bindings.airlines_ref(spark, sf_dir), bindings.airports_ref(spark, sf_dir)
@@ -949,9 +952,12 @@ _ORPHAN = {
 }
 
 
-@register("q_k06_orphans", with_flights("\nUNION ALL\n".join(
+_K06 = "\nUNION ALL\n".join(
     _row("warehouse", "orphan", f"orphan {k}", "count(*)", v, _pf(v), _FACT_SQL)
-    for k, v in _ORPHAN.items())))
+    for k, v in _ORPHAN.items())
+
+
+@register("q_k06_orphans", with_flights(_K06))
 def q_k06(spark, sf_dir):
     s = star(spark, sf_dir)
     return quality.orphan_check(s.fact, [
@@ -1266,3 +1272,38 @@ SELECT r.run_timestamp, p.phase_name, p.status, p.duration_seconds, p.start_time
 FROM ph p JOIN runs r USING (run_id)"""))
 def q_i13(spark, sf_dir):
     return runlog.phase_timeline(*log(spark, sf_dir), labels=True)
+
+
+# K3 on the cleaned flights: date parts stay integers, delays are doubles (all PASS)
+_K03 = "\nUNION ALL\n".join(
+    [f"SELECT 'cleaned' AS layer, 'type' AS family, '{c} is integer' AS \"check\", "
+     "CAST(1 AS BIGINT) AS checked, CAST(0 AS BIGINT) AS failures, 'PASS' AS status"
+     for c in ("YEAR", "MONTH", "DAY")]
+    + [f"SELECT 'cleaned', 'type', '{c} is numeric', CAST(1 AS BIGINT), CAST(0 AS BIGINT), 'PASS'"
+       for c in DELAY_COLUMNS])
+
+
+@register("q_k09_dq_run", with_flights(f"""
+r AS ({_K01} UNION ALL {_K02} UNION ALL {_K03} UNION ALL {_K04} UNION ALL {_K05}
+      UNION ALL {_K06})
+SELECT count(*) AS checks, count_if(status = 'FAIL') AS failed,
+  count_if(status IN ('WARN', 'WARNING')) AS warned,
+  coalesce(string_agg(CASE WHEN status = 'FAIL' THEN layer || ':' || "check" END, '; '
+    ORDER BY CASE WHEN status = 'FAIL' THEN layer || ':' || "check" END), '') AS failed_checks,
+  CASE WHEN count_if(status = 'FAIL') > 0 THEN 'FAIL'
+       WHEN count_if(status IN ('WARN', 'WARNING')) > 0 THEN 'WARN' ELSE 'PASS' END
+    AS overall_status
+FROM r"""))
+def q_k09r(spark, sf_dir):
+    """One data-quality run over every layer (K1-K6) rolled up (K9)."""
+    results = quality.run_checks(raw(spark, sf_dir), cleaned(spark, sf_dir),
+                                 bindings.airlines_ref(spark, sf_dir),
+                                 bindings.airports_ref(spark, sf_dir), star(spark, sf_dir))
+    return quality.dq_rollup(results)
+
+
+@register("q_c02_drop_duplicates_hash_first", with_flights(
+    "SELECT DISTINCT AIRLINE, ORIGIN_AIRPORT, DESTINATION_AIRPORT, \"YEAR\" FROM rf"))
+def q_c02h(spark, sf_dir):
+    return clean.dedupe(raw(spark, sf_dir).select("AIRLINE", "ORIGIN_AIRPORT",
+                                                   "DESTINATION_AIRPORT", "YEAR"), method="hash")
