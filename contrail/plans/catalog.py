@@ -1307,3 +1307,52 @@ def q_k09r(spark, sf_dir):
 def q_c02h(spark, sf_dir):
     return clean.dedupe(raw(spark, sf_dir).select("AIRLINE", "ORIGIN_AIRPORT",
                                                    "DESTINATION_AIRPORT", "YEAR"), method="hash")
+
+
+@register("q_a03_extract_profiles", with_flights(f"""
+SELECT 'flights' AS dataset, count(*) AS row_count, {len(FLIGHTS_SCHEMA.fields)} AS column_count
+FROM rf
+UNION ALL SELECT 'airlines', count(*), 2 FROM supplier
+UNION ALL SELECT 'airports', count(*), 7 FROM nation"""))
+def q_a03(spark, sf_dir):
+    """A3: the three sources written as CSV files, extracted with explicit
+    schemas and profiled (one row per source)."""
+    base = scratch_path(spark, "sources")
+    io.write_table(raw(spark, sf_dir), f"{base}/flights", fmt="csv")
+    io.write_table(bindings.airlines_ref(spark, sf_dir), f"{base}/airlines", fmt="csv")
+    io.write_table(bindings.airports_ref(spark, sf_dir), f"{base}/airports", fmt="csv")
+    src = io.extract(spark, {"flights": f"{base}/flights", "airlines": f"{base}/airlines",
+                             "airports": f"{base}/airports"})
+    return src.profiles.select("dataset", "row_count", "column_count")
+
+
+# Dataset contracts of the analytic outputs (A10): required columns per dataset.
+CONTRACTS = {
+    "executive_summary": ["TOTAL_FLIGHTS", "TOTAL_AIRLINES", "TOTAL_AIRPORTS",
+                          "CANCELLATION_RATE", "DIVERSION_RATE", "AVG_DEPARTURE_DELAY",
+                          "AVG_ARRIVAL_DELAY"],
+    "airline_performance": ["AIRLINE_CODE", "FLIGHT_COUNT", "AVG_DEPARTURE_DELAY",
+                            "AVG_ARRIVAL_DELAY", "CANCELLATION_RATE", "DIVERSION_RATE"],
+    "airport_traffic": ["AIRPORT_CODE", "ORIGIN_FLIGHTS", "DESTINATION_FLIGHTS", "TOTAL_TRAFFIC"],
+    "delay_analysis": ["AIRLINE_CODE", "AVG_WEATHER_DELAY", "AVG_AIRLINE_DELAY",
+                       "AVG_SECURITY_DELAY", "AVG_AIR_SYSTEM_DELAY", "AVG_LATE_AIRCRAFT_DELAY"],
+}
+
+
+@register("q_a10_dataset_contracts", with_flights("\nUNION ALL\n".join(
+    f"SELECT '{n}' AS name, 'contract' AS \"check\", "
+    f"CASE WHEN (SELECT count(*) FROM fl) > 0 THEN 'PASS' ELSE 'FAIL' END AS status, "
+    f"CASE WHEN (SELECT count(*) FROM fl) = 0 THEN 'no rows' END AS detail"
+    for n in CONTRACTS)))
+def q_a10(spark, sf_dir):
+    """A10: each analytic dataset (F7-F10) has its required columns and rows."""
+    t = tables(spark, sf_dir)
+    data = {"executive_summary": metrics.executive_summary(t),
+            "airline_performance": metrics.carrier_performance(t),
+            "airport_traffic": metrics.airport_traffic(t),
+            "delay_analysis": metrics.delay_analysis(t)}
+    out = None
+    for name, cols in CONTRACTS.items():
+        part = io.check_contract(data[name], name, cols)
+        out = part if out is None else out.unionByName(part)
+    return out
