@@ -64,3 +64,14 @@ def by_key_then_attr(star: Star, fact: DataFrame, fact_key: str, dim_name: str,
     d = dim(star, dim_name, F.col(dim_key).alias("_k"), *attrs)
     j = per_key.join(d, "_k")
     return j.groupBy(*attrs).agg(*merge_partials(value_cols, flags))
+
+
+def on_date(fact: DataFrame, date_key) -> Column | None:
+    """``date_key = k`` plus the implied ``year = k / 10000`` when the fact is
+    partitioned by year, so the scan prunes every other year's directory."""
+    if date_key is None:
+        return None
+    pred = F.col("date_key") == F.lit(date_key)
+    if "year" in fact.columns:
+        pred = pred & (F.col("year") == F.lit(int(date_key) // 10000))
+    return pred

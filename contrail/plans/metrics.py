@@ -19,7 +19,7 @@ from contrail.functions.scalar import (all_of, avg0, code_name_label, count_when
                                        short_day_label)
 from contrail.operators.model import bounded, unpivot_causes
 from contrail.plans.common import (ARR, CANC, CAUSES, DEP, DIST, DIVR, by_key_then_attr, dim,
-                                   merge_partials, mean, partials)
+                                   merge_partials, mean, on_date, partials)
 from contrail.spec import (DAY_TYPE_LABELS, FLIGHT_SPEC, ROUTE_ARROW_TABLE, FactSpec, Star,
                            Tables)
 
@@ -266,7 +266,7 @@ def cause_averages(star: Star, arr_gt: float | None = 0, carrier_key=None, date_
     f = star.fact.where(all_of([
         F.col(ARR) > arr_gt if arr_gt is not None else None,
         F.col("airline_key") == F.lit(carrier_key) if carrier_key is not None else None,
-        F.col("date_key") == F.lit(date_key) if date_key is not None else None]))
+        on_date(star.fact, date_key)]))
     wide = f.agg(*[rnd(F.avg(c), digits).alias(lbl) for lbl, c in CAUSES])
     if not long:
         return wide
@@ -372,8 +372,7 @@ def carrier_delay(star: Star, arr_gt: float = 0, date_key=None, digits: int | No
                   ) -> DataFrame:
     """average arrival delay by airline name, worst first (day filter only)."""
     f = star.fact.where(all_of([
-        F.col(ARR) > arr_gt,
-        F.col("date_key") == F.lit(date_key) if date_key is not None else None]))
+        F.col(ARR) > arr_gt, on_date(star.fact, date_key)]))
     g = by_key_then_attr(star, f, "airline_key", "dim_airline", "airline_key", ["airline_name"],
                          value_cols=(ARR,), flags=())
     return g.select("airline_name", rnd(mean(ARR), digits).alias("avg_delay")).orderBy(

@@ -92,3 +92,17 @@ def test_normalize_written_unbounded_branch(spark, tmp_out, monkeypatch):
         b = sorted(map(tuple, getattr(big, dim).collect()))
         assert a == b
     assert small.counts == big.counts == {"airlines": 2, "airports": 3}
+
+
+def test_day_filter_and_year_pruning_predicate(spark):
+    from pyspark.sql import functions as F
+    from contrail.plans.common import on_date
+    rows = [(1, 1, 2, 20150101, 0.0, 10.0, 0, 0, 1.0), (2, 1, 2, 20150102, 0.0, 30.0, 0, 0, 1.0),
+            (1, 1, 2, 20150102, 0.0, 20.0, 0, 0, 1.0)]
+    s = _star(spark, rows)
+    got = {r.airline_name: r.avg_delay for r in metrics.carrier_delay(s, date_key=20150102)
+           .collect()}
+    assert got == {"Beta": 30.0, "Alpha": 20.0}
+    with_year = s.fact.withColumn("year", F.lit(2015))
+    assert with_year.where(on_date(with_year, 20150102)).count() == 2
+    assert "year" in str(on_date(with_year, 20150102)) and "year" not in str(on_date(s.fact, 1))
