@@ -65,7 +65,9 @@ def impute(df: DataFrame, text_fill: str = TEXT_FILL, numeric: str = "median",
     cols = [c for c in cols if probe[c]]
     num = [c for c in cols if _is_numeric(df, c) and policy.get(c, numeric) == "median"]
     if num:
-        med = F.percentile_approx if approx else F.median
+        def med(c):
+            return F.percentile_approx(c, 0.5) if approx else F.median(c)
+
         meds = df.agg(*[med(nan_to_null(F.col(c).cast("double"))).cast("double")
                         .alias(f"__med_{c}") for c in num])
         out = with_scalars(df, meds)

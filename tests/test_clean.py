@@ -121,3 +121,16 @@ def test_dedupe_by_key_with_null_keys(spark):
         got = sorted(map(tuple, clean.dedupe(df, ["k"], "seq", method).collect()), key=repr)
         assert got == sorted([(None, 1, "early"), ("k", 2, "only")], key=repr)
         assert clean.dedupe(df, ["k"], method=method).count() == 2
+
+
+def test_impute_approx_and_literal_policy(spark):
+    df = spark.createDataFrame([(1.0, None, "x"), (None, 2, None), (3.0, None, "y")],
+                               "a double, b int, s string")
+    out = clean.impute(df, approx=True, policy={"b": -1, "s": "n/a"}).collect()
+    assert out[1].a in (1.0, 3.0)  # approximate median is one of the observed values
+    assert [r.b for r in out] == [-1, 2, -1] and out[1].s == "n/a"
+
+
+def test_type_report(spark):
+    df = spark.createDataFrame([(1, 2.0, "a")], "a int, b double, c string")
+    assert profile.type_report(df) == [("a", "int"), ("b", "double"), ("c", "string")]

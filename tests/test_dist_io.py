@@ -132,3 +132,13 @@ def test_table_inventory(spark):
     rows = {(r.table_name, r.column_name): (r.data_type, r.row_count)
             for r in io.table_inventory({"a": a}).collect()}
     assert rows == {("a", "k"): ("int", 2), ("a", "v"): ("string", 2)}
+
+
+def test_sampled_read_and_approx_stats(spark, tmp_out):
+    paths = _write_sources(spark, tmp_out, n=2000)
+    from contrail.spec import FLIGHTS_SCHEMA
+    n = io.read_fact(spark, paths["flights"], FLIGHTS_SCHEMA, fraction=0.5, seed=7).count()
+    assert 800 < n < 1200
+    df = spark.createDataFrame([(float(v),) for v in range(101)], "d double")
+    r = dist.delay_stats(df, "d", approx=True).first()
+    assert r.n == 101 and r.median == 50.0 and r.p90 == 90.0
