@@ -106,3 +106,35 @@ def test_day_filter_and_year_pruning_predicate(spark):
     with_year = s.fact.withColumn("year", F.lit(2015))
     assert with_year.where(on_date(with_year, 20150102)).count() == 2
     assert "year" in str(on_date(with_year, 20150102)) and "year" not in str(on_date(s.fact, 1))
+
+
+def test_monthly_trend_by_year_and_running_total(spark):
+    rows = [(1, 1, 2, 20141201, 10.0, 1.0, 0, 0, 1.0), (1, 1, 2, 20150101, 20.0, 1.0, 1, 0, 1.0),
+            (1, 1, 2, 20151205, 30.0, 1.0, 0, 0, 1.0)]
+    s = _star(spark, rows)
+    merged = [(r.month, r.total_flights, r.running_total_flights)
+              for r in kpi.monthly_trend(s).collect()]
+    assert merged == [(1, 1, 1), (12, 2, 3)]  # years merge by default (S21)
+    split = [(r.year, r.month, r.running_total_flights)
+             for r in kpi.monthly_trend(s, by_year=True).collect()]
+    assert split == [(2014, 12, 1), (2015, 1, 2), (2015, 12, 3)]
+
+
+def test_map_keys_drop_and_partitioned_write(spark, tmp_out):
+    from contrail.sources import io
+    f = spark.createDataFrame([("AA", 2015), ("XX", 2016)], "AIRLINE string, YEAR int")
+    keyed = spark.createDataFrame([("AA", 1)], "AIRLINE string, AIRLINE_ID int")
+    out = model.map_keys(f, [("AIRLINE", keyed, "AIRLINE", "AIRLINE_ID", "AIRLINE_ID", 1)],
+                         on_unmatched="drop")
+    assert [(r.AIRLINE, r.AIRLINE_ID) for r in out.collect()] == [("AA", 1)]
+    io.write_table(f, f"{tmp_out}/by_year", partition_by=("YEAR",))
+    back = io.read_table(spark, f"{tmp_out}/by_year")
+    assert sorted((r.AIRLINE, r.YEAR) for r in back.collect()) == [("AA", 2015), ("XX", 2016)]
+
+
+def test_column_counts_exact_and_approx(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), (None, 3)], "x string, y int")
+    for approx in (False, True):
+        got = {r.column_name: (r.non_null_count, r.distinct_count)
+               for r in metrics.column_counts(df, ["x", "y"], approx).collect()}
+        assert got == {"x": (2, 1), "y": (2, 2)}
