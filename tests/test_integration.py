@@ -64,3 +64,23 @@ def test_pipeline_end_to_end(spark, tmp_out):
     rel = kpi.carrier_reliability(star).collect()
     assert sorted(x.airline_name for x in rel) == ["American", "Delta", "Southwest", "United"]
     assert sum(x.total_flights for x in rel) == n
+
+
+def test_analytics_output_contracts(spark):
+    """Column sets, one executive row and descending order of the analytic datasets."""
+    from contrail.plans.catalog import CONTRACTS
+    from contrail.sources import bindings
+    t = bindings.normalized(spark, "/root/testdata/sf0.001")
+    data = {"executive_summary": metrics.executive_summary(t),
+            "airline_performance": metrics.carrier_performance(t),
+            "airport_traffic": metrics.airport_traffic(t),
+            "delay_analysis": metrics.delay_analysis(t)}
+    for name, cols in CONTRACTS.items():
+        assert data[name].columns == cols, name
+    assert data["executive_summary"].count() == 1
+    counts = [r.FLIGHT_COUNT for r in data["airline_performance"].collect()]
+    assert counts == sorted(counts, reverse=True) and counts
+    traffic = [r.TOTAL_TRAFFIC for r in data["airport_traffic"].collect()]
+    assert traffic == sorted(traffic, reverse=True) and traffic
+    codes = [r.AIRLINE_CODE for r in data["delay_analysis"].collect()]
+    assert codes == sorted(codes)
