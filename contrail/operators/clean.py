@@ -1,9 +1,11 @@
 """Cleaning (C1-C5): numeric validation, imputation, de-duplication.
 
 Default order is validate -> impute -> dedupe (S3): text delays are coerced
-to numbers before medians are taken. Everything is lazy: the medians are a
-one-row aggregate cross-joined (broadcast, one row) into the data, so no
-value goes through the driver.
+to numbers before medians are taken. The medians are a one-row aggregate
+cross-joined (broadcast, one row) into the data, so no value goes through the
+driver; the only eager step is ``impute``'s one-row probe of which columns
+have gaps (as the reference fills only those). De-duplication is an
+aggregate (``dropDuplicates`` / ``min_by``), optionally hash-first.
 """
 
 from __future__ import annotations

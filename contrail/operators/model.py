@@ -2,8 +2,9 @@
 
 Scale notes
 -----------
-* Members are ``distinct`` over one or two code columns: partial aggregation
-  before the shuffle, so only distinct codes move, however skewed the fact.
+* Members are ``distinct`` over the code columns: partial aggregation before
+  the shuffle, so only distinct codes move, however skewed the fact; the batch
+  build takes the members of both dimensions in one scan (``all_members``).
 * Code -> key lookups and dimension enrichment broadcast a side only when its
   row count is known (counted after materialising) and below
   ``BROADCAST_MAX_ROWS``; otherwise Spark/AQE choose (sort-merge, skew split).
