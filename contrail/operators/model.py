@@ -250,8 +250,7 @@ def normalize_written(spark, df: DataFrame, path: str, spec: FactSpec = FLIGHT_S
     """
     from contrail.functions.ranking import SINGLE_TASK_MAX_ROWS
 
-    all_members(df, spec).write.mode("overwrite").partitionBy("dim").parquet(
-        f"{path}/members")
+    all_members(df, spec).write.mode("overwrite").parquet(f"{path}/members")
     mem = spark.read.parquet(f"{path}/members")
     got = {r["dim"]: r["n"] for r in mem.groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
            .collect()}  # at most two rows
@@ -260,12 +259,12 @@ def normalize_written(spark, df: DataFrame, path: str, spec: FactSpec = FLIGHT_S
     if max(counts.values()) <= SINGLE_TASK_MAX_ROWS:
         w = Window.partitionBy("dim").orderBy("code")
         (mem.withColumn("key", F.row_number().over(w).cast("int"))
-         .write.mode("overwrite").partitionBy("dim").parquet(f"{path}/keys"))
+         .write.mode("overwrite").parquet(f"{path}/keys"))
     else:
-        for dim in names:
+        for i, dim in enumerate(names):
             (surrogate_keys(mem.where(F.col("dim") == dim).select("code"), "code", "key")
-             .withColumn("dim", F.lit(dim))
-             .write.mode("append").partitionBy("dim").parquet(f"{path}/keys"))
+             .withColumn("dim", F.lit(dim)).select("dim", "code", "key")
+             .write.mode("append" if i else "overwrite").parquet(f"{path}/keys"))
     keyed = read_keys(spark, path)
     flights = map_keys(df, [
         (spec.carrier, keyed["airlines"], "AIRLINE", "AIRLINE_ID", "AIRLINE_ID",
