@@ -72,3 +72,22 @@ def test_histogram_per_airline(skewed):
         got = [r.frequency for r in sorted((r for r in h if r.airline_key == key),
                                            key=lambda r: r.bin)]
         assert got == list(counts)
+
+
+def test_drilldowns_for_one_key_equal_the_all_keys_rows(skewed):
+    star, _ = skewed
+
+    def rows(df, key=None):
+        return sorted(map(tuple, df.collect()), key=repr)
+
+    one = metrics.carrier_kpis(star, carrier_key=1)
+    allk = metrics.carrier_kpis(star).where("airline_key = 1")
+    assert rows(one) == rows(allk)
+    one = metrics.airport_kpis(star, airport_key=1)
+    allk = metrics.airport_kpis(star).where("airport_key = 1")
+    assert rows(one) == rows(allk)
+    one = metrics.top_destinations(star, airport_key=1)
+    allk = metrics.top_destinations(star).where("hub_key = 1")
+    assert rows(one) == rows(allk) and len(rows(one)) == 10
+    daily = {r.full_date: r.flights for r in metrics.carrier_daily(star, carrier_key=1).collect()}
+    assert sum(daily.values()) == star.fact.where("airline_key = 1").count()
