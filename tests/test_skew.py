@@ -27,8 +27,9 @@ def skewed(spark):
     fact = spark.createDataFrame(rows, "airline_key int, origin_airport_key int, "
                                        "dest_airport_key int, date_key int, DEPARTURE_DELAY double, "
                                        "ARRIVAL_DELAY double, CANCELLED int, DIVERTED int")
-    airports = spark.createDataFrame([(k, f"A{k:02d}", f"Airport {k}") for k in range(1, 41)],
-                                     "airport_key int, airport_code string, airport_name string")
+    airports = spark.createDataFrame(
+        [(k, f"A{k:02d}", f"Airport {k}", f"City {k}", "ST") for k in range(1, 41)],
+        "airport_key int, airport_code string, airport_name string, city string, state string")
     airlines = spark.createDataFrame([(k, f"C{k}", f"Carrier {k}") for k in range(1, 10)],
                                      "airline_key int, airline_code string, airline_name string")
     dates = model.date_dim(fact)
