@@ -22,7 +22,7 @@ from contrail.functions.scalar import date_from_key, one_row
 from contrail.spec import FACT_DROP, FLIGHT_SPEC, FactSpec, Star, Tables
 
 # Largest dimension (rows) we broadcast by hint.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def bounded(df: DataFrame, rows: int | None) -> DataFrame:
