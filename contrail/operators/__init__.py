@@ -1,0 +1 @@
+"""Profiling, schema contract, cleaning, modelling and data-quality operators."""
