@@ -33,6 +33,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from contrail.operators import clean, model, profile, quality  # noqa: E402
 from contrail.plans import kpi, metrics  # noqa: E402
+from contrail.session import scratch_path  # noqa: E402
 from contrail.sources import bindings  # noqa: E402
 
 
@@ -63,7 +64,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = session(cpus)
-    base = tempfile.mkdtemp(prefix="contrail-bench-out-")
+    base = scratch_path(spark, "bench")  # under spark.checkpoint.dir (shared storage)
     counter = iter(range(10_000))
 
     def fresh(name):
