@@ -132,20 +132,21 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
         return s
 
 
-def _path(spark: SparkSession, sf_dir: str) -> str:
+def star_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the written star (and flight table) of ``sf_dir``."""
     star(spark, sf_dir)
     return _PATHS[(app_id(spark), sf_dir.rstrip("/"))]
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flight-shaped table as written by the star build (A4/A5 round trip)."""
-    return spark.read.parquet(f"{_path(spark, sf_dir)}/flights")
+    return spark.read.parquet(f"{star_path(spark, sf_dir)}/flights")
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> Tables:
     """Normalized layer (C10) of ``sf_dir``: written members with ids and the
     keyed fact (the warehouse fact with the id names of the normalized DDL)."""
-    p = _path(spark, sf_dir)
+    p = star_path(spark, sf_dir)
     s = star(spark, sf_dir)
     keyed = model.read_keys(spark, p)
     airlines, airports = keyed["airlines"], keyed["airports"]
