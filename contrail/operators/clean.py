@@ -187,8 +187,14 @@ def clean_report(df: DataFrame, cleaned: DataFrame, spec: FactSpec = FLIGHT_SPEC
 
 
 def clean_fact(df: DataFrame, spec: FactSpec = FLIGHT_SPEC, cols=DELAY_COLUMNS,
-               dedupe_keys=None, order_by=None, digits: int | None = 2
-               ) -> tuple[DataFrame, DataFrame]:
-    """(cleaned, report), both lazy; see ``clean`` and ``clean_report``."""
+               dedupe_keys=None, order_by=None, digits: int | None = 2,
+               require_rows: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(cleaned, report), both lazy; see ``clean`` and ``clean_report``.
+
+    As the reference's transform entry point, an empty input raises
+    ``ValueError`` (one ``isEmpty`` probe here, not in every inner step, S16).
+    """
+    if require_rows and df.isEmpty():
+        raise ValueError("Input DataFrame is empty")
     cleaned = clean(df, cols, dedupe_keys, order_by)
     return cleaned, clean_report(df, cleaned, spec, cols, digits)

@@ -134,3 +134,11 @@ def test_impute_approx_and_literal_policy(spark):
 def test_type_report(spark):
     df = spark.createDataFrame([(1, 2.0, "a")], "a int, b double, c string")
     assert profile.type_report(df) == [("a", "int"), ("b", "double"), ("c", "string")]
+
+
+def test_clean_fact_rejects_empty_input(spark):
+    import pytest
+    df = spark.createDataFrame([], "DEPARTURE_DELAY double, ARRIVAL_DELAY double, "
+                                   "CANCELLED int, DIVERTED int")
+    with pytest.raises(ValueError):
+        clean.clean_fact(df)
