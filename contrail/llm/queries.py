@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import secret_scan
+from contrail.llm import bpe, secret_scan
 from contrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,5 +16,9 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scans,)}
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(table(spark, sf_dir, "documents"), bpe.tokenizer_path("word_bpe_49k.json"), keep_texts=False)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scans, op3_bpe)}
 ORACLES: dict[str, str] = {}
