@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import bpe, secret_scan
+from contrail.llm import bpe, html_text, secret_scan
 from contrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,5 +20,9 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), bpe.tokenizer_path("word_bpe_49k.json"), keep_texts=False)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scans, op3_bpe)}
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scans, op3_bpe, op5_html_extraction)}
 ORACLES: dict[str, str] = {}
