@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import bpe, html_text, secret_scan
+from contrail.llm import bpe, html_text, secret_scan, substring_dedup
 from contrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,5 +24,23 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scans, op3_bpe, op5_html_extraction)}
-ORACLES: dict[str, str] = {}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.dedup(table(spark, sf_dir, "documents")))
+
+
+OP10_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+firsts AS (SELECT h, min(doc_id) AS f FROM win GROUP BY h),
+covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM win JOIN firsts USING (h) WHERE doc_id > f),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d),
+kept AS (SELECT doc_id, count(jj) AS n_removed, string_agg(word, ' ' ORDER BY j) FILTER (jj IS NULL) AS text
+         FROM words LEFT JOIN (SELECT doc_id, j, j AS jj FROM covered) c USING (doc_id, j) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scans, op3_bpe, op5_html_extraction, op10_substring_dedup)}
+ORACLES: dict[str, str] = {"op10_substring_dedup": OP10_SQL}
