@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import bpe, html_text, secret_scan, substring_dedup
+from contrail.llm import bpe, html_text, jaccard_join, secret_scan, substring_dedup
 from contrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,12 +24,17 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.dedup(table(spark, sf_dir, "documents")))
 
 
 OP10_SQL = r"""
-WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents),
 win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
         FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
 firsts AS (SELECT h, min(doc_id) AS f FROM win GROUP BY h),
@@ -42,5 +47,5 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scans, op3_bpe, op5_html_extraction, op10_substring_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scans, op3_bpe, op5_html_extraction, op8_ngram_jaccard_join, op10_substring_dedup)}
 ORACLES: dict[str, str] = {"op10_substring_dedup": OP10_SQL}
