@@ -3,9 +3,9 @@
 Method
 ------
 Spark deals out the documents; in a task, the distinct words of a batch of
-texts that have not been met yet are inserted into a trie (``_encode_words``). A
-depth-first walk gives each node the *last token* of its prefix's encoding, and
-so words that share a prefix share the work: the encoding of a prefix is the
+texts that have not been met yet are put into a trie, held as its depth-first
+order (``_encode_words``). The walk gives each node the *last token* of its
+prefix's encoding once, whatever number of words share it: the encoding of a prefix is the
 encoding of a shorter prefix followed by one token that is a suffix of it and
 *compatible* with the last token there. Two tokens are compatible when BPE
 leaves them as they are next to each other, which the merges along the edges
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 
 from contrail.llm.common import texts
 
-MAX_CACHED = 400_000
+MAX_CACHED = 600_000
 BATCH_CHARS = 4_000_000
 #: Code points for which Python and the library agree on case, classes and composition.
 PLAIN = regex.compile(r"[\t-\r -~¡-ſ]*")
@@ -78,9 +78,9 @@ class Vocabulary:
         symbols = _byte_symbols()
         self.symbols = {b: s for b, s in enumerate(symbols)}
         self.beginnings = {t.removesuffix(self.end)[:n] for t in self.ids for n in range(len(t) + 1)}
-        self._steps: dict[str, tuple] = {}
+        self.steps: dict[str, tuple] = {}
         self._edges: dict[tuple[str, int], list[tuple[str, int, float]]] = {}
-        self._compatible: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[tuple[str, str], bool] = {}
 
     def _edge(self, token: str, side: int) -> list[tuple[str, int, float]]:
         """The nodes at one side (0 left, 1 right) of a token's merge tree: (piece, rank that forms it, rank that uses it up)."""
@@ -99,79 +99,85 @@ class Vocabulary:
     def compatible(self, left: str, right: str) -> bool:
         """Does BPE keep these two tokens apart? A merge across them happens if both of its
         pieces stand at the border when its turn comes; of equal merges the leftmost goes first."""
-        if (known := self._compatible.get((left, right))) is None:
-            if len(self._compatible) > 2_000_000:
-                self._compatible.clear()
-            rank = self.rank
-            known = not any(
-                (m := rank.get((a, b))) is not None and a_formed < m < a_used and b_formed < m <= b_used
-                for a, a_formed, a_used in self._edge(left, 1) for b, b_formed, b_used in self._edge(right, 0))
-            self._compatible[left, right] = known
-        return known
+        if len(self.pairs) > 2_000_000:
+            self.pairs.clear()
+        rank = self.rank
+        self.pairs[left, right] = fits = not any(
+            (m := rank.get((a, b))) is not None and a_formed < m < a_used and b_formed < m <= b_used
+            for a, a_formed, a_used in self._edge(left, 1) for b, b_formed, b_used in self._edge(right, 0))
+        return fits
+
+    def cut(self, chunk: str) -> list[str]:
+        """The words of a chunk of text without white space; "\\0" marks one that the library cut and spelled, "\\1" a special token."""
+        if chunk.isalpha():
+            return [chunk]
+        if chunk[0] <= "\1":
+            return [chunk] if chunk[0] == "\0" else []
+        if chunk[-1] in ",." and chunk[:-1].isalpha():
+            return [chunk[:-1], chunk[-1]]
+        return self.words.findall(chunk)
 
     def spelled(self, word: str) -> str:
         """A word in byte symbols."""
+        if word[0] == "\0":
+            return word[1:]
         return word if word.isascii() else word.encode().decode("latin-1").translate(self.symbols)
 
-    def step(self, state: str, symbol: str) -> tuple[str, list[tuple[str, int]], list[tuple[str, int]]]:
-        """What a trie node needs of its path: the longest suffix that begins a token, and the tokens
-        (with their lengths, longest first) that end there, within a word and at its end."""
-        grown = state + symbol
-        if (found := self._steps.get(grown)) is None:
-            if len(self._steps) > 1_000_000:
-                self._steps.clear()
-            s = grown
-            while s not in self.beginnings:
-                s = s[1:]
-            tails = [s[i:] for i in range(len(s))]
-            found = self._steps[grown] = (s, [(t, len(t)) for t in tails if t in self.ids], [(t + self.end, len(t)) for t in tails if t + self.end in self.ids])
+    def step(self, grown: str) -> tuple[str, list[tuple[str, int]], list[tuple[str, int]]]:
+        """What a trie node needs of its path, given its parent's state and its symbol: the longest suffix that
+        begins a token, and the tokens (with their lengths, longest first) that end there, within a word and at its end."""
+        if len(self.steps) > 1_000_000:
+            self.steps.clear()
+        s = grown
+        while s not in self.beginnings:
+            s = s[1:]
+        tails = [s[i:] for i in range(len(s))]
+        self.steps[grown] = found = (
+            s, [(t, len(t)) for t in tails if t in self.ids], [(t + self.end, len(t)) for t in tails if t + self.end in self.ids])
         return found
 
 
 def _encode_words(v: Vocabulary, words: set[str]) -> dict[str, list[str]]:
-    """Tokens of each word (in byte symbols): the words go into a trie, and a depth-first walk finds the
-    last token of each node's prefix once."""
-    root: dict = {}
-    for word in words:
-        node = root
-        for c in word:
-            child = node.get(c)
-            if child is None:
-                child = node[c] = {}
-            node = child
-        node[""] = word  # a word ends here
+    """Tokens of each word. Sorted words are a trie in depth-first order: what a word shares with the one
+    before is the path to the node where they part. The walk keeps the path's states and last tokens,
+    so those of a shared prefix are found once."""
     out: dict[str, list[str]] = {}
-    compatible = v.compatible
-    last: list[tuple[str, int]] = [("", 0)]  # by depth: last token of the prefix, its length
-
-    def fitting(depth: int, tokens: list[tuple[str, int]]) -> tuple[str, int]:
-        for found in tokens:
-            n = found[1]
-            if n == depth or compatible(last[depth - n][0], found[0]):
-                return found
-        raise ValueError("no token fits")
-
-    walk: list[tuple[dict, int, str, str]] = [(child, 1, "", c) for c, child in root.items()]
-    while walk:
-        node, depth, state, symbol = walk.pop()
-        state, inside, ending = v.step(state, symbol)
-        del last[depth:]
-        word = node.get("")
-        if word is not None:
-            token, n = fitting(depth, ending)
-            tokens, at = [token], depth - n
-            while at:
-                token, n = last[at]
-                tokens.append(token)
-                at -= n
-            tokens.reverse()
-            out[word] = tokens
-        if len(node) > (word is not None):
-            last.append(fitting(depth, inside))
+    known, step, compatible, pairs = v.steps, v.step, v.compatible, v.pairs
+    states: list[str] = [""]  # by depth: the longest suffix of the prefix that begins a token
+    last: list[tuple[str, int]] = [("", 0)]  # by depth: last token of the prefix's encoding, its length
+    before = ""
+    for spelled, word in sorted([(v.spelled(w), w) for w in words]):
+        depth = min(len(before), len(spelled) - 1)  # the last symbol differs at a word's end
+        while not spelled.startswith(before[:depth]):
+            depth -= 1
+        del states[depth + 1:], last[depth + 1:]
+        state = states[depth]
+        for symbol in spelled[depth:]:
             depth += 1
-            for c, child in node.items():
-                if c:
-                    walk.append((child, depth, state, c))
+            state, inside, ending = known.get(state + symbol) or step(state + symbol)
+            ends = depth == len(spelled)
+            for found in ending if ends else inside:
+                n = found[1]
+                if n == depth:
+                    break
+                pair = (last[depth - n][0], found[0])
+                fits = pairs.get(pair)
+                if compatible(*pair) if fits is None else fits:
+                    break
+            else:
+                raise ValueError(f"no token fits the end of {spelled[:depth]!r}")
+            if not ends:
+                states.append(state)
+                last.append(found)
+        token, n = found
+        tokens, at = [token], depth - n
+        while at:
+            token, n = last[at]
+            tokens.append(token)
+            at -= n
+        tokens.reverse()
+        out[word] = tokens
+        before = spelled[:-1]
     return out
 
 
@@ -205,12 +211,16 @@ def encode_texts(path: str, batch: list[str]) -> Iterator[tuple[str, str, int]]:
     for chunks in cut:
         new.update(chunks)
     new -= ids_of.keys()
-    words = {c: [c[1:]] if c[0] == "\0" else [] if c[0] == "\1" else [v.spelled(w) for w in v.words.findall(c)] for c in new}
-    encoded = _encode_words(v, {w for ws in words.values() for w in ws})
+    words = {c: v.cut(c) for c in new}
+    for w, tokens in _encode_words(v, {w for ws in words.values() for w in ws} - ids_of.keys()).items():
+        ids_of[w] = " ".join([str(v.ids[t]) for t in tokens])
+        tokens_of[w] = " ".join(tokens)
     for c, ws in words.items():
-        tokens = [c[1:]] if c[0] == "\1" else [t for w in ws for t in encoded[w]]
-        ids_of[c] = str(v.special[c[1:]]) if c[0] == "\1" else " ".join([str(v.ids[t]) for t in tokens])
-        tokens_of[c] = " ".join(tokens)
+        if c[0] == "\1":
+            ids_of[c], tokens_of[c] = str(v.special[c[1:]]), c[1:]
+        elif len(ws) != 1 or ws[0] != c:
+            ids_of[c] = " ".join([ids_of[w] for w in ws])
+            tokens_of[c] = " ".join([tokens_of[w] for w in ws])
     for chunks in cut:
         ids = " ".join(map(ids_of.__getitem__, chunks))
         yield ids, " ".join(map(tokens_of.__getitem__, chunks)), ids.count(" ") + 1 if ids else 0
