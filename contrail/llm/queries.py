@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import bpe, fingerprints, html_text, jaccard_join, secret_scan, substring_dedup
+from contrail.llm import bpe, fingerprints, html_text, jaccard_join, secret_scan, substring_dedup, toxicity
 from contrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), bpe.tokenizer_path("word_bpe_49k.json"), keep_texts=False)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -51,5 +55,5 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scans, op3_bpe, op5_html_extraction, op6_imatch_fingerprints, op8_ngram_jaccard_join, op10_substring_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scans, op3_bpe, op4_toxicity, op5_html_extraction, op6_imatch_fingerprints, op8_ngram_jaccard_join, op10_substring_dedup)}
 ORACLES: dict[str, str] = {"op10_substring_dedup": OP10_SQL}
