@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from contrail.session import scratch_path
 
+#: Ids and other narrow rows are broadcast up to this size, else shuffled.
+BROADCAST_BYTES = 32 << 20
 #: A word: a run of characters other than blank and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -27,6 +29,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few(keys: DataFrame, row_bytes: int = 48) -> bool:
+    """May these narrow rows be broadcast? Their size is counted; beyond the bound the caller shuffles."""
+    return keys.count() * row_bytes <= BROADCAST_BYTES
+
+
 def lower_az(c: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -15,8 +15,8 @@ Scale: documents with equal word sequences are one candidate (the smallest
 ``doc_id`` stands for them, the others lose every word if they hold a window).
 Repeats are counted by aggregates with partial sums and looked up by equi-joins
 that Spark may split, so a passage in a third of all documents is no task's work.
-Texts are shuffled once, by document, for both later passes; windows travel as
-64-bit hashes.
+Windows travel as 64-bit hashes. Texts are shuffled only for documents with
+survivors (whose ids are broadcast while they are few, by size).
 
 Cases: a null text has no words; texts shorter than a window keep every word; a
 null ``doc_id`` counts as larger than all others, and rows with equal ids are one
@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import texts, written
+from contrail.llm.common import few, texts, written
 
 #: An odd multiplier of the rolling hash, and its inverse modulo 2^64 (fixed values).
 BASE = 0x9E3779B97F4A7C15
@@ -181,19 +181,27 @@ def dedup(docs: DataFrame, window: int = 50) -> DataFrame:
     # base windows that repeat in another document
     bases = alone.select("id", "th", F.explode("bases").alias("hash"))
     repeated = bases.groupBy("hash").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("hash")
-    survivors = bases.join(repeated, "hash").groupBy("id", "th").agg(F.collect_list("hash").alias("bases"))
+    survivors = written(bases.join(repeated, "hash").groupBy("id", "th").agg(F.collect_list("hash").alias("bases")), "survivors")
 
     # extended to full windows; those that repeat cover words of all documents but the first
-    by_doc = rows.select("id", "th", "text")
+    by_doc, ids = rows.select("id", "th", "text"), survivors.select("id", "th")
+    if few(ids):  # only texts with survivors are shuffled
+        by_doc = by_doc.join(F.broadcast(ids), ["id", "th"], "left_semi")
     full = by_doc.join(survivors, ["id", "th"]).mapInArrow(_extend(base, window), "hash long, id long, th long, start int")
     first = full.groupBy("hash").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("hash", "a")
     covered = written(
         full.join(first, "hash").filter("id > a").groupBy("id", "th").agg(F.collect_list("start").alias("starts")), "covered")
 
-    fate = (members.join(covered.withColumnsRenamed({"id": "first_id", "th": "first_th"}), ["first_id", "first_th"], "left")
-            .select("id", "th", (F.col("id") > F.col("first_id")).alias("copy"), "starts"))
-    return (rows.join(fate, ["id", "th"]).select("doc_id", "text", "copy", "starts")
-            .mapInArrow(_remove(window), "doc_id long, n_words long, n_removed long, text string"))
+    fate = written(members.join(covered.withColumnsRenamed({"id": "first_id", "th": "first_th"}), ["first_id", "first_th"], "left")
+                   .select("id", "th", (F.col("id") > F.col("first_id")).alias("copy"), "starts").filter("copy OR starts IS NOT NULL"), "fate")
+    ids = fate.select("id", "th")
+    judged = ["doc_id", "text", "copy", "starts"]
+    if few(ids):  # texts that keep every word need no shuffle
+        out = (rows.join(F.broadcast(ids), ["id", "th"], "left_semi").join(fate, ["id", "th"]).select(judged)
+               .union(rows.join(F.broadcast(ids), ["id", "th"], "left_anti").select("doc_id", "text", F.lit(False), F.lit(None).cast("array<int>"))))
+    else:
+        out = rows.join(fate, ["id", "th"], "left").withColumn("copy", F.coalesce("copy", F.lit(False))).select(judged)
+    return out.mapInArrow(_remove(window), "doc_id long, n_words long, n_removed long, text string")
 
 
 def digest(deduped: DataFrame) -> DataFrame:
