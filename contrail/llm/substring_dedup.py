@@ -13,8 +13,8 @@ smaller ``doc_id`` covers its words, and covered words go.
 
 Scale: documents with equal word sequences are one candidate (the smallest
 ``doc_id`` stands for them, the others lose every word if they hold a window).
-Repeats are counted by aggregates with partial sums and looked up by equi-joins
-that Spark may split, so a passage in a third of all documents is no task's work.
+Repeats are counted by aggregates with partial sums, written, and looked up by
+equi-joins of two scans, which Spark can split, so a passage in a third of all documents is no task's work.
 Windows travel as 64-bit hashes. Texts are shuffled only for documents with
 survivors (whose ids are broadcast while they are few, by size).
 
@@ -180,7 +180,7 @@ def dedup(docs: DataFrame, window: int = 50) -> DataFrame:
 
     # base windows that repeat in another document
     bases = alone.select("id", "th", F.explode("bases").alias("hash"))
-    repeated = bases.groupBy("hash").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("hash")
+    repeated = written(bases.groupBy("hash").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("hash"), "repeated")
     survivors = written(bases.join(repeated, "hash").groupBy("id", "th").agg(F.collect_list("hash").alias("bases")), "survivors")
 
     # extended to full windows; those that repeat cover words of all documents but the first
@@ -188,7 +188,7 @@ def dedup(docs: DataFrame, window: int = 50) -> DataFrame:
     if few(ids):  # only texts with survivors are shuffled
         by_doc = by_doc.join(F.broadcast(ids), ["id", "th"], "left_semi")
     full = by_doc.join(survivors, ["id", "th"]).mapInArrow(_extend(base, window), "hash long, id long, th long, start int")
-    first = full.groupBy("hash").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("hash", "a")
+    first = written(full.groupBy("hash").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("hash", "a"), "first")
     covered = written(
         full.join(first, "hash").filter("id > a").groupBy("id", "th").agg(F.collect_list("start").alias("starts")), "covered")
 
