@@ -2,18 +2,19 @@
 
 Method
 ------
-Terms are runs of letters and digits in lower case, held as 64-bit hashes. The
-lexicon keeps terms within a band of inverse document frequency: those that
-between ``RARE`` and ``FREQUENT`` of the documents hold (two at least). The sorted
-distinct lexicon terms of a text are hashed as a whole (plain I-Match) and once
-for each of several randomised subsets of the lexicon: ``SUBSETS`` subsets on each
-of several levels, each level's a ``THINNER``-th of the level before, so that short
-and long texts both find subsets with few of their terms. A text without lexicon
-terms hashes all its terms instead.
+Terms are runs of letters and digits in lower case. The lexicon keeps terms
+within a band of inverse document frequency: those that between ``RARE`` and
+``FREQUENT`` of the documents hold (two at least). In the lexicon each term has a
+token of ``TOKEN`` random base-32 digits (a hash of it). The sorted tokens of a
+text's distinct lexicon terms are hashed as a whole (plain I-Match) and once for
+each of several randomised subsets of the lexicon: a token's first digit names its
+subset, and there are ``LEVELS`` levels of 32 subsets, each level's a quarter of the
+level's before (the last digits decide), so that short and long texts both find
+subsets with few of their terms. A text without lexicon terms hashes all its terms.
 
 Likeness of two fingerprints (0 to 1): 1 if they are equal; else, on the densest
-level on which some subsets are empty for both, the share of equal hashes among
-the subsets that are not empty for both.
+level on which an eighth of the subsets are empty for both, the share of equal
+hashes among the subsets that are not empty for both.
 
 The edited text takes in part of the next document (descending ``doc_id``). Rows
 are dealt to buckets of ``doc_id`` between quantiles, and each bucket's last row
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from contrail.llm.common import few, texts, written
 
 RARE, FREQUENT = 1 / 2000, 1 / 10
-SUBSETS, LEVELS, THINNER = 32, 5, 4  # SUBSETS and THINNER: powers of two
+LEVELS, TOKEN, CROWDED = 5, 12, 28  # a level on which more than CROWDED of 32 subsets are held is passed over
 ANY = 0  # stands in each text and in the lexicon, so that no text is lost
 LAST = (1 << 63) - 1  # stands for a null doc_id
 
@@ -53,11 +54,12 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, rare: float = RARE, frequent: float = FREQUENT) -> DataFrame:
-    """(term): hashes of the terms within the band."""
+    """(term, token) of the terms within the band; terms are 64-bit hashes."""
     held = texts(docs).select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     n = docs.count()
-    band = held.filter((F.col("df") >= max(2, rare * n)) & (F.col("df") <= max(2, frequent * n))).select("term")
-    return written(band.union(docs.sparkSession.range(1).select(F.lit(ANY).cast("long"))), "lexicon")
+    band = held.filter((F.col("df") >= max(2, rare * n)) & (F.col("df") <= max(2, frequent * n))).select(
+        "term", F.substring(F.lpad(F.lower(F.conv(F.xxhash64("term").cast("string"), 10, 32)), 13, "0"), 2, TOKEN).alias("token"))
+    return written(band.union(docs.sparkSession.range(1).select(F.lit(ANY).cast("long"), F.lit(""))), "lexicon")
 
 
 def _once(value: Column, use) -> Column:
@@ -65,41 +67,32 @@ def _once(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _hash16(found: Column) -> Column:
-    """16 bits of a hash of sorted terms; -1 if there are none."""
-    return F.when(F.size(found) == 0, F.lit(-1)).otherwise(F.pmod(F.xxhash64(found), F.lit(1 << 16)).cast("int"))
-
-
 def fingerprint(band: Column, everything: Column) -> Column:
-    """struct(whole, parts): from the sorted lexicon terms and, where there are none, the hash of all terms."""
+    """struct(whole, levels) of the sorted lexicon tokens, each followed by a blank; without any, the hash of all
+    terms. A level is an array of subset digit and four hex digits of the hash of its tokens."""
     def level(i: int) -> Column:
-        return F.filter(band, lambda t: F.shiftright(t, 8).bitwiseAND(F.lit(THINNER**i - 1)) == 0)
+        thin = band if i == 0 else F.array_join(F.regexp_extract_all(band, F.lit(f"[0-9a-v]{{{TOKEN - i}}}[0-7]{{{i}}} "), 0), "")
+        runs = F.regexp_extract_all(thin, F.lit(rf"(.)[0-9a-v]{{{TOKEN - 1}}} (?:\1[0-9a-v]{{{TOKEN - 1}}} )*"), 0)  # tokens of one subset
+        return F.transform(runs, lambda r: F.concat(F.substring(r, 1, 1), F.substring(F.lpad(F.lower(F.hex(F.xxhash64(r))), 16, "0"), 1, 4)))
 
-    def subset(held: Column, i: Column) -> Column:  # a term's low bits choose its subset, bits from the 8th on its levels
-        return _once(F.filter(held, lambda t: t.bitwiseAND(F.lit(SUBSETS - 1)) == i), _hash16)
-
-    numbers = F.sequence(F.lit(0), F.lit(SUBSETS - 1))
-    parts = F.flatten(F.transform(F.array(*[level(i) for i in range(LEVELS)]), lambda held: F.transform(numbers, lambda i: subset(held, i))))
-    whole = F.when(F.size(band) == 0, everything).otherwise(F.xxhash64(band))
-    return F.struct(whole.alias("whole"), parts.alias("parts"))
+    whole = F.when(band == "", everything).otherwise(F.xxhash64(band))
+    return F.struct(whole.alias("whole"), F.array(*[level(i) for i in range(LEVELS)]).alias("levels"))
 
 
 def spelled(fp: Column) -> Column:
-    """A fingerprint as text: 16 hex digits, then 4 for each subset (dashes: no terms)."""
-    parts = F.transform(fp["parts"], lambda p: F.when(p < 0, F.lit("----")).otherwise(F.lower(F.lpad(F.hex(p), 4, "0"))))
-    return F.concat(F.lower(F.lpad(F.hex(fp["whole"]), 16, "0")), F.array_join(parts, ""))
+    """A fingerprint as text: 16 hex digits, then a level after each |: subset digit and four hex digits of each subset held."""
+    return F.concat_ws("|", F.lower(F.lpad(F.hex(fp["whole"]), 16, "0")), F.transform(fp["levels"], lambda v: F.array_join(v, "")))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """1 for equal fingerprints; else the share of equal hashes on the densest level with an eighth of its
-    subsets empty for both."""
-    pairs = F.arrays_zip(a["parts"].alias("x"), b["parts"].alias("y"))
-    levels = F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), lambda i: _once(
-        F.filter(F.slice(pairs, i * SUBSETS + 1, SUBSETS), lambda p: (p["x"] >= 0) | (p["y"] >= 0)),
-        lambda held: F.struct(F.size(held).alias("held"), F.size(F.filter(held, lambda p: p["x"] == p["y"])).alias("same"))))
-    sparse = F.get(F.filter(levels, lambda v: v["held"] <= SUBSETS * 7 // 8), F.lit(0))
-    chosen = _once(F.coalesce(sparse, F.get(levels, F.lit(LEVELS - 1))), lambda v: F.when(v["held"] > 0, v["same"] / v["held"]).otherwise(F.lit(0.0)))
-    return F.when(a == b, F.lit(1.0)).otherwise(chosen)
+    """1 for equal fingerprints; else the share of equal hashes on the densest level that is not crowded."""
+    def digits(level: Column) -> Column:
+        return F.transform(level, lambda x: F.substring(x, 1, 1))
+
+    levels = F.transform(F.arrays_zip(a["levels"].alias("x"), b["levels"].alias("y")), lambda v: F.struct(
+        F.size(F.array_union(digits(v["x"]), digits(v["y"]))).alias("held"), F.size(F.array_intersect(v["x"], v["y"])).alias("same")))
+    chosen = _once(levels, lambda v: F.coalesce(F.get(F.filter(v, lambda x: x["held"] <= CROWDED), F.lit(0)), F.get(v, F.lit(LEVELS - 1))))
+    return F.when(a == b, F.lit(1.0)).otherwise(_once(chosen, lambda v: F.when(v["held"] > 0, v["same"] / v["held"]).otherwise(F.lit(0.0))))
 
 
 def _bucket(rows: DataFrame, buckets: int) -> Column:
@@ -146,16 +139,19 @@ def compare(docs: DataFrame, words: DataFrame | None = None) -> DataFrame:
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), half))
     both = _with_next(bucketed, "text").withColumn("edited", edited)
-    held = both.select(
-        "bucket", "id", "th", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        F.explode(F.array(*[F.struct(F.lit(e).alias("is_edited"), terms(F.col(c)).alias("terms")) for e, c in ((False, "text"), (True, "edited"))])).alias("t"))
-    key = ["bucket", "id", "th", "n_chars", "edited_sha256", "is_edited", "everything"]
-    held = held.select(*key[:5], "t.is_edited", F.xxhash64(F.sort_array("t.terms")).alias("everything"),
+    key = ["bucket", "id", "th", "is_edited"]
+    held = both.select("bucket", "id", "th", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), F.explode(F.array(*[
+        F.struct(F.lit(e).alias("is_edited"), terms(F.col(c)).alias("terms")) for e, c in ((False, "text"), (True, "edited"))])).alias("t"))
+    held = held.select(*key[:3], "t.is_edited", F.struct("n_chars", "edited_sha256", F.xxhash64(F.sort_array("t.terms")).alias("everything")).alias("about"),
                        F.explode(F.concat("t.terms", F.array(F.lit(ANY).cast("long")))).alias("term"))
+    held = held.select(*key, "term", F.when(F.col("term") == ANY, F.col("about")).alias("about"))  # once a text
     words = F.broadcast(words) if few(words) else words
-    band = held.join(words, "term").groupBy(*key).agg(F.array_sort(F.collect_list("term")).alias("band"))
-    fps = band.select(*key[:6], fingerprint(F.filter("band", lambda t: t != ANY), F.col("everything")).alias("fp"))
-    pairs = written(fps.groupBy(*key[:5]).agg(F.max_by("fp", ~F.col("is_edited")).alias("fp"), F.max_by("fp", F.col("is_edited")).alias("edited_fp")), "fingerprints")
+    band = held.join(words, "term").groupBy(*key).agg(F.array_sort(F.collect_list("token")).alias("tokens"), F.first("about", True).alias("about"))
+    band = band.withColumn("band", F.concat(F.array_join(F.filter("tokens", lambda t: t != ""), " "), F.when(F.size("tokens") > 1, " ").otherwise("")))
+    fps = band.select(*key, "about", fingerprint(F.col("band"), F.col("about.everything")).alias("fp"))
+    pairs = written(fps.groupBy(*key[:3]).agg(F.first("about.n_chars").alias("n_chars"), F.first("about.edited_sha256").alias("edited_sha256"),
+                                              F.first(F.when(~F.col("is_edited"), F.col("fp")), True).alias("fp"),
+                                              F.first(F.when(F.col("is_edited"), F.col("fp")), True).alias("edited_fp")), "fingerprints")
     near = _with_next(pairs, "fp").select(
         F.col("id").alias("_id"), F.col("th").alias("_th"), "n_chars", "edited_sha256", "fp", "edited_fp",
         likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import bpe, fingerprints, html_text, jaccard_join, line_dedup, secret_scan, substring_dedup, toxicity
+from contrail.llm import bpe, decontaminate, fingerprints, html_text, jaccard_join, line_dedup, secret_scan, substring_dedup, toxicity
 from contrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("doc")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.dedup(table(spark, sf_dir, "documents")))
 
@@ -59,5 +63,5 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scans, op3_bpe, op4_toxicity, op5_html_extraction, op6_imatch_fingerprints, op7_line_dedup, op8_ngram_jaccard_join, op10_substring_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scans, op3_bpe, op4_toxicity, op5_html_extraction, op6_imatch_fingerprints, op7_line_dedup, op8_ngram_jaccard_join, op9_decontamination, op10_substring_dedup)}
 ORACLES: dict[str, str] = {"op10_substring_dedup": OP10_SQL}
