@@ -5,13 +5,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from contrail.llm import bpe, decontaminate, fingerprints, html_text, jaccard_join, line_dedup, secret_scan, substring_dedup, toxicity
+from contrail.llm import bpe, decontaminate, fingerprints, html_text, jaccard_join, line_dedup, secret_scan, substring_dedup, token_counts, toxicity
 from contrail.llm.common import table
+from contrail.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after three batches over all documents: all are inserted; exact copies of a text with a smaller
+    doc_id are deleted (a batch that is sent twice); documents that repeat a line are revised without the repeats."""
+    version = "byte_bpe_50k.tiktoken"
+    path = bpe.tokenizer_path(version)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    rollup = token_counts.Rollup(spark, scratch_path(spark, "token-rollup"))
+    rollup.commit("load", docs.select(F.lit("insert").alias("op"), F.lit(0).alias("seq"), "*"), version, path)
+    hashed = docs.select("doc_id", "source", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"))
+    first = hashed.groupBy("sha").agg(F.min("doc_id").alias("first"))
+    copies = hashed.join(first, "sha").filter("doc_id > first").select(F.lit("delete").alias("op"), F.lit(0).alias("seq"), "doc_id", "source", "lang", F.lit(None).cast("string").alias("text"))
+    for _ in range(2):
+        rollup.commit("copies", copies, version, path)
+    lines = F.split("text", "\n")
+    revised = (docs.filter(F.size(F.array_distinct(lines)) < F.size(lines)).join(rollup.on_record().select("doc_id"), "doc_id", "left_semi")
+               .withColumn("text", F.array_join(F.array_distinct(lines), "\n")))
+    rollup.commit("repeats", revised.select(F.lit("revise").alias("op"), F.lit(0).alias("seq"), "doc_id", "source", "lang", "text"), version, path)
+    return rollup.totals()
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -63,5 +85,5 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scans, op3_bpe, op4_toxicity, op5_html_extraction, op6_imatch_fingerprints, op7_line_dedup, op8_ngram_jaccard_join, op9_decontamination, op10_substring_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_secret_scans, op3_bpe, op4_toxicity, op5_html_extraction, op6_imatch_fingerprints, op7_line_dedup, op8_ngram_jaccard_join, op9_decontamination, op10_substring_dedup)}
 ORACLES: dict[str, str] = {"op10_substring_dedup": OP10_SQL}

@@ -121,7 +121,7 @@ def learn_lexicon(docs: DataFrame, rows: DataFrame) -> list[tuple[str, bool]]:
 
 
 def hits(docs: DataFrame, lexicon: list[str]) -> DataFrame:
-    """``docs`` (doc_id, text) as (doc_id, held): numbers of the lexicon entries held, then of the patterns shown."""
+    """``docs`` (doc, doc_id, text) as (doc, doc_id, held): numbers of the lexicon entries held, then of the patterns shown."""
     number = {e: i for i, e in enumerate(lexicon)}
     whole = {e[1:] for e in lexicon if e[0] in "wW"}
     shortest = {e[1:5] for e in lexicon if e[0] not in "wW"}
@@ -145,10 +145,10 @@ def hits(docs: DataFrame, lexicon: list[str]) -> DataFrame:
                 found.update(number[e] for e in (DENSER[e[0]] + e[1:] for e, n in seen.items() if n >= many) if e in number)
                 found.update(len(number) + i for i, p in enumerate(PATTERNS.values()) if p.search(text))
                 held.append(sorted(found))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(held, pa.list_(pa.int32()))], ["doc_id", "held"])
+            yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("doc_id"), pa.array(held, pa.list_(pa.int32()))], ["doc", "doc_id", "held"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, held array<int>")
+    return docs.select("doc", "doc_id", "text").mapInArrow(run, f"doc long, doc_id {kind}, held array<int>")
 
 
 @dataclass
@@ -253,14 +253,14 @@ def fit(held: list[list[int]], p: np.ndarray, size: int, rounds: int = 400, deca
     return np.append(w[:-1] * scale, w[-1])
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row of ``docs``."""
-    rows = texts(docs)
+def score_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc, doc_id, held_out, score, predicted) of every row of ``docs``; ``doc`` is a hash of the row's id and text."""
+    rows = texts(docs).withColumn("doc", F.xxhash64("doc_id", "text"))
     chosen = fit_rows(rows, labels)
     lexicon = learn_lexicon(rows, chosen)
     held_out = F.coalesce(~learnable(F.col("doc_id")), F.lit(False)).alias("held_out")
     if not lexicon:
-        return rows.select("doc_id", held_out, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        return rows.select("doc", "doc_id", held_out, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     found = written(hits(rows, [e for e, _ in lexicon]), "hits")
     voter = voters(lexicon)
     model = label_model(found, voter)
@@ -272,5 +272,17 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
         logit = np.array([weights[np.asarray(h, np.int64)].sum() for h in held]) + weights[-1]
         return pd.Series(1 / (1 + np.exp(-np.clip(logit, -50, 50))))
 
-    return (found.select("doc_id", held_out, probability("held").alias("score"))
+    return (found.select("doc", "doc_id", held_out, probability("held").alias("score"))
             .withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0)))
+
+
+def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every row of ``docs``."""
+    return score_rows(docs, labels).drop("doc")
+
+
+def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without the documents predicted toxic."""
+    toxic = written(score_rows(docs, labels).filter("predicted = 1").select(F.col("doc").alias("_doc")).distinct(), "toxic")
+    rows = docs.withColumn("_doc", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    return rows.join(F.broadcast(toxic) if few(toxic, 16) else toxic, "_doc", "left_anti").select(docs.columns)
