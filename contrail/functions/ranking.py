@@ -1,30 +1,26 @@
 """Global ranks that scale past one task.
 
 ``RANK/DENSE_RANK/ROW_NUMBER() OVER (ORDER BY ...)`` without PARTITION BY puts
-every row into a single task. That is fine for a calendar series or a
-dimension with a known small row count, and wrong for an entity list that grows
-with the data. ``rank_rows`` picks the single-task window only below a
-``bound`` the caller proves (e.g. a dimension's counted rows); otherwise:
+every row into a single task. ``rank_rows`` gives the same numbers at any size,
+by one way for all sizes:
 
-1. collapse rows to distinct order keys with their multiplicity (partial
+1. the input is written once, so that the order keys and the rows that they are
+   joined back to are the same values;
+2. rows collapse to distinct order keys with their multiplicity (partial
    aggregation, so one hot key costs one row, not a third of the data);
-2. range-partition the keys, count keys and rows per partition (a
-   #partitions-row table), and prefix-sum those counts;
-3. sort each partition locally and add the partition's offset to the local
-   position (Arrow batches, no per-row Python);
-4. join the positions back on the order keys (null-safe).
+3. the keys are dealt to ranges and written with the number of their range: the
+   ranges are drawn once and later steps read them, whatever Spark recomputes;
+4. keys are numbered inside their range by a window over the range, and the
+   numbers of keys and rows in the ranges before are added (a #ranges-row table);
+5. positions are joined back on the order keys (null-safe).
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Rows a single-task window may take (a proven bound must be below this).
-SINGLE_TASK_MAX_ROWS = 1_000_000
+from contrail.session import scratch_path
 
 
 def _sort_exprs(order) -> list[Column]:
@@ -39,77 +35,44 @@ def _names(order) -> list[str]:
     return [o if isinstance(o, str) else o[0] for o in order]
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def rank_rows(df: DataFrame, order, kind: str = "rank", out: str = "rank",
-              bound: int | None = None, partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None) -> DataFrame:
     """Add ``out`` = rank / dense_rank / row_number over the global ``order``.
 
     ``order``: list of column names (ascending, NULLS FIRST) or
     ``(name, ascending)`` pairs (descending puts NULLS LAST), as SQLite/Spark
-    default. ``row_number`` needs an order that is unique per row.
-    ``bound``: a proven upper bound on ``df``'s row count, or None.
-    The result column is BIGINT.
+    default. ``row_number`` refuses an order that is not unique per row
+    (``ValueError``). The result column is BIGINT. Writes its steps under the
+    shared work folder.
     """
     if kind not in ("rank", "dense_rank", "row_number"):
         raise ValueError(f"unknown rank kind {kind!r}")
-    sort = _sort_exprs(order)
-    if bound is not None and bound <= SINGLE_TASK_MAX_ROWS:
-        fn = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[kind]
-        return df.withColumn(out, fn().over(Window.orderBy(*sort)).cast("bigint"))
-    return _distributed_rank(df, order, kind, out, partitions)
-
-
-def _distributed_rank(df, order, kind, out, partitions):
-    spark = df.sparkSession
-    keys = _names(order)
-    sort = _sort_exprs(order)
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    # 1. distinct order keys with multiplicity
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    # 2. range partitions; per-partition key and row counts, prefix-summed
-    r = g.repartitionByRange(n_parts, *sort).withColumn("_pid", F.spark_partition_id())
-    stats = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_k"), F.sum("_n").alias("_m"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # <= n_parts rows
-    offs = stats.select(
-        "_pid",
-        F.coalesce(F.sum("_k").over(w), F.lit(0)).cast("long").alias("_k_off"),
-        F.coalesce(F.sum("_m").over(w), F.lit(0)).cast("long").alias("_m_off"),
-    )
-    # 3. local positions in key order plus the partition offset
-    located = r.join(F.broadcast(offs), "_pid").sortWithinPartitions(*sort)
-    key_fields = [g.schema[k] for k in keys]
-    schema = T.StructType(key_fields + [T.StructField("_pos", T.LongType()),
-                                        T.StructField("_before", T.LongType())])
-
-    def assign(batches):
-        seen = 0
-        rows = 0
-        for b in batches:
-            if b.num_rows == 0:
-                continue
-            n = b.column("_n").to_numpy(zero_copy_only=False).astype(np.int64)
-            k_off = b.column("_k_off")[0].as_py()
-            m_off = b.column("_m_off")[0].as_py()
-            pos = np.arange(1, b.num_rows + 1, dtype=np.int64) + seen + k_off
-            before = np.cumsum(n) - n + rows + m_off
-            seen += b.num_rows
-            rows += int(n.sum())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(k) for k in keys] + [pa.array(pos), pa.array(before)],
-                names=keys + ["_pos", "_before"],
-            )
-
-    pos = located.mapInArrow(assign, schema)
-    value = {"rank": F.col("_before") + 1, "dense_rank": F.col("_pos"),
-             "row_number": F.col("_pos")}[kind]
-    pos = pos.select(*[F.col(k).alias(f"_rk_{k}") for k in keys], value.cast("bigint").alias(out))
-    # 4. join back (null-safe on every order key)
+    spark, keys, sort = df.sparkSession, _names(order), _sort_exprs(order)
+    ranges = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = _written(df, "rank-rows")
+    located = _written(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                       .repartitionByRange(ranges, *sort).withColumn("_range", F.spark_partition_id()), "rank-keys")
+    if kind == "row_number" and not located.where("_n > 1").isEmpty():
+        raise ValueError(f"row_number needs an order that is unique per row; {keys} has ties")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    offsets = (located.groupBy("_range").agg(F.count(F.lit(1)).alias("_k"), F.sum("_n").alias("_m"))
+               .select("_range", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_keys_before"),
+                       F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_rows_before")))
+    inside = Window.partitionBy("_range").orderBy(*sort)
+    value = (F.col("_rows_before") + F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1
+             if kind == "rank" else F.col("_keys_before") + F.row_number().over(inside))
+    pos = (located.join(F.broadcast(offsets), "_range").withColumn(out, value.cast("bigint"))  # offsets: a row a range
+           .select(*[F.col(k).alias(f"_rk_{k}") for k in keys], out))
     cond = [df[k].eqNullSafe(pos[f"_rk_{k}"]) for k in keys]
     return df.join(pos, cond, "inner").drop(*[f"_rk_{k}" for k in keys])
 
 
-def dense_keys(members: DataFrame, code: str, key: str,
-               bound: int | None = None) -> DataFrame:
+def dense_keys(members: DataFrame, code: str, key: str) -> DataFrame:
     """Surrogate keys 1..n by code order (C8): deterministic, unlike arrival order."""
-    return rank_rows(members, [code], kind="row_number", out=key, bound=bound).withColumn(
-        key, F.col(key).cast("int"))
+    return rank_rows(members, [code], kind="row_number", out=key).withColumn(key, F.col(key).cast("int"))

@@ -6,28 +6,34 @@ Scale notes
   the shuffle, so only distinct codes move, however skewed the fact; the batch
   build takes the members of both dimensions in one scan (``all_members``).
 * Code -> key lookups and dimension enrichment broadcast a side only when its
-  row count is known (counted after materialising) and below
-  ``BROADCAST_MAX_ROWS``; otherwise Spark/AQE choose (sort-merge, skew split).
-* Surrogate keys are ranks by code (``rank_rows``), distributed when the
-  member count is not proven small.
+  row count is known (counted after materialising) and the size estimated from
+  it is below ``BROADCAST_MAX_BYTES``; otherwise Spark/AQE choose (sort-merge,
+  skew split).
+* Surrogate keys are ranks by code (``rank_rows``), the same way at every size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions.ranking import dense_keys
 from contrail.functions.scalar import date_from_key, one_row
 from contrail.spec import FACT_DROP, FLIGHT_SPEC, FactSpec, Star, Tables
 
-# Largest dimension (rows) we broadcast by hint.
-BROADCAST_MAX_ROWS = 1_000_000
+# Largest side (estimated bytes) we broadcast by hint; a string counts as so many bytes.
+BROADCAST_MAX_BYTES = 32 << 20
+STRING_BYTES = 64
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Estimated bytes of a row: 16 and 8 a column, more for strings."""
+    return 16 + sum(STRING_BYTES if f.dataType.typeName() == "string" else 8 for f in df.schema)
 
 
 def bounded(df: DataFrame, rows: int | None) -> DataFrame:
-    """Broadcast hint only behind a known row count."""
-    return F.broadcast(df) if rows is not None and rows <= BROADCAST_MAX_ROWS else df
+    """Broadcast hint only behind a known row count and the size that follows from it."""
+    return F.broadcast(df) if rows is not None and rows * row_bytes(df) <= BROADCAST_MAX_BYTES else df
 
 
 # --------------------------------------------------------------------------- C6, C7, H2
@@ -49,10 +55,9 @@ def members(df: DataFrame, cols, out: str = "code") -> DataFrame:
 
 
 # --------------------------------------------------------------------------- C8
-def surrogate_keys(mem: DataFrame, code: str = "code", key: str = "key",
-                   bound: int | None = None) -> DataFrame:
+def surrogate_keys(mem: DataFrame, code: str = "code", key: str = "key") -> DataFrame:
     """Keys 1..n in code order (deterministic; the reference used arrival order)."""
-    return dense_keys(mem, code, key, bound=bound)
+    return dense_keys(mem, code, key)
 
 
 # --------------------------------------------------------------------------- C9
@@ -90,10 +95,9 @@ def normalize(df: DataFrame, spec: FactSpec = FLIGHT_SPEC, on_unmatched: str = "
               airline_rows: int | None = None, airport_rows: int | None = None) -> Tables:
     """Normalized layer: airlines(AIRLINE_ID, AIRLINE), airports(AIRPORT_ID,
     AIRPORT) and flights keyed by ids (natural codes dropped)."""
-    airlines = surrogate_keys(members(df, spec.carrier, "AIRLINE"), "AIRLINE", "AIRLINE_ID",
-                              bound=airline_rows)
+    airlines = surrogate_keys(members(df, spec.carrier, "AIRLINE"), "AIRLINE", "AIRLINE_ID")
     airports = surrogate_keys(members(df, [spec.origin, spec.destination], "AIRPORT"),
-                              "AIRPORT", "AIRPORT_ID", bound=airport_rows)
+                              "AIRPORT", "AIRPORT_ID")
     keyed = map_keys(df, [
         (spec.carrier, airlines, "AIRLINE", "AIRLINE_ID", "AIRLINE_ID", airline_rows),
         (spec.origin, airports, "AIRPORT", "AIRPORT_ID", "ORIGIN_AIRPORT_ID", airport_rows),
@@ -240,31 +244,23 @@ def normalize_written(spark, df: DataFrame, path: str, spec: FactSpec = FLIGHT_S
                       on_unmatched: str = "keep") -> Tables:
     """C10 as a batch job, three jobs before the fact: members of both
     dimensions from one scan of ``df`` (written), their counts (one job over
-    the small member table), and the surrogate keys of both (one job: a window
-    per dimension when both counts are below the single-task bound, else the
-    distributed rank per dimension). The counts bound every later broadcast.
+    the small member table), and the surrogate keys of both (``rank_rows`` per
+    dimension). The counts bound every later broadcast.
 
     Members come from ``df`` itself, so every non-null code matches; NULL
     codes get NULL keys (``keep``), which the load check (K10) on the
     written fact reports -- no extra pass. ``raise`` adds that pass here.
     """
-    from contrail.functions.ranking import SINGLE_TASK_MAX_ROWS
-
     all_members(df, spec).write.mode("overwrite").parquet(f"{path}/members")
     mem = spark.read.parquet(f"{path}/members")
     got = {r["dim"]: r["n"] for r in mem.groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
            .collect()}  # at most two rows
     counts = {"airlines": got.get("airlines", 0), "airports": got.get("airports", 0)}
     names = {"airlines": ("AIRLINE", "AIRLINE_ID"), "airports": ("AIRPORT", "AIRPORT_ID")}
-    if max(counts.values()) <= SINGLE_TASK_MAX_ROWS:
-        w = Window.partitionBy("dim").orderBy("code")
-        (mem.withColumn("key", F.row_number().over(w).cast("int"))
-         .write.mode("overwrite").parquet(f"{path}/keys"))
-    else:
-        for i, dim in enumerate(names):
-            (surrogate_keys(mem.where(F.col("dim") == dim).select("code"), "code", "key")
-             .withColumn("dim", F.lit(dim)).select("dim", "code", "key")
-             .write.mode("append" if i else "overwrite").parquet(f"{path}/keys"))
+    for i, dim in enumerate(names):
+        (surrogate_keys(mem.where(F.col("dim") == dim).select("code"), "code", "key")
+         .withColumn("dim", F.lit(dim)).select("dim", "code", "key")
+         .write.mode("append" if i else "overwrite").parquet(f"{path}/keys"))
     keyed = read_keys(spark, path)
     flights = map_keys(df, [
         (spec.carrier, keyed["airlines"], "AIRLINE", "AIRLINE_ID", "AIRLINE_ID",

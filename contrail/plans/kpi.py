@@ -28,8 +28,7 @@ def carrier_reliability(star: Star, digits: int | None = 2) -> DataFrame:
         (F.col(f"_f_{CANC}") / F.col("_n")).alias("_cf"),
         mean(ARR).alias("_avg"),
     )
-    g = rank_rows(g, [("_cf", True), ("_avg", True)], "rank", "reliability_rank",
-                  bound=star.rows.get("dim_airline"))
+    g = rank_rows(g, [("_cf", True), ("_avg", True)], "rank", "reliability_rank")
     return g.select(
         "airline_name", "total_flights", "cancelled_flights",
         pct("cancelled_flights", "total_flights", digits).alias("cancellation_rate"),
@@ -52,8 +51,7 @@ def airport_efficiency(star: Star, min_departures: int = 50, delayed_gt: float =
          .where(F.col("_n") > min_departures))
     g = g.select("airport_code", "airport_name", F.col("_n").alias("total_departures"),
                  mean(DEP).alias("_avg"), F.col("_late").alias("delayed_departures"))
-    g = rank_rows(g, [("_avg", True)], "dense_rank", "efficiency_rank",
-                  bound=star.rows.get("dim_airport"))
+    g = rank_rows(g, [("_avg", True)], "dense_rank", "efficiency_rank")
     return g.select(
         "airport_code", "airport_name", "total_departures",
         rnd("_avg", digits).alias("avg_dep_delay"),

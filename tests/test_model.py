@@ -19,9 +19,8 @@ def test_members_one_scan_two_roles(spark):
 
 def test_surrogate_keys_by_code_order(spark):
     m = spark.createDataFrame([("ZZ",), ("AA",), ("MM",)], "code string")
-    for bound in (3, None):  # single-task window and distributed path
-        keys = {r.code: r.key for r in model.surrogate_keys(m, "code", "key", bound).collect()}
-        assert keys == {"AA": 1, "MM": 2, "ZZ": 3}
+    keys = {r.code: r.key for r in model.surrogate_keys(m, "code", "key").collect()}
+    assert keys == {"AA": 1, "MM": 2, "ZZ": 3}
 
 
 def test_map_keys_raise_on_unmatched(spark):
@@ -81,7 +80,7 @@ def test_distributed_rank_matches_window(spark, kind):
             for i in range(400)]
     df = spark.createDataFrame(rows, "id int, a double, b int")
     order = [("a", True), ("b", False)]
-    got = {r.id: r.rk for r in rank_rows(df, order, kind, "rk", bound=None, partitions=5)
+    got = {r.id: r.rk for r in rank_rows(df, order, kind, "rk", partitions=5)
            .collect()}
     fn = {"rank": F.rank, "dense_rank": F.dense_rank}[kind]
     w = Window.orderBy(F.col("a").asc_nulls_first(), F.col("b").desc_nulls_last())
@@ -91,6 +90,30 @@ def test_distributed_rank_matches_window(spark, kind):
 
 def test_distributed_row_number_unique_order(spark):
     df = spark.createDataFrame([(f"k{i:04d}",) for i in range(1000)], "code string")
-    got = rank_rows(df, ["code"], "row_number", "rn", bound=None, partitions=7).collect()
+    got = rank_rows(df, ["code"], "row_number", "rn", partitions=7).collect()
     assert sorted(r.rn for r in got) == list(range(1, 1001))
     assert all(r.rn == int(r.code[1:]) + 1 for r in got)
+
+
+@pytest.mark.parametrize("reuse, adaptive", [("true", "true"), ("false", "true"), ("false", "false")])
+def test_rank_is_the_window_under_any_plan(spark, reuse, adaptive):
+    """400,000 rows, one order key with a third of them, with and without exchange reuse and AQE."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.exchange.reuse", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        df = spark.range(400_000).withColumn("x", F.when(F.col("id") % 3 == 0, 0.5).otherwise((F.xxhash64("id") % 1_000_000) / 7.0))
+        w = Window.orderBy(F.col("x").asc_nulls_first())
+        for kind, fn in (("rank", F.rank), ("dense_rank", F.dense_rank)):
+            got = rank_rows(df, ["x"], kind, "rk", partitions=8)
+            assert got.join(df.select("id", fn().over(w).alias("want")), "id").filter("rk = want").count() == 400_000
+        got = rank_rows(df.select("id"), [("id", False)], "row_number", "rk", partitions=8)
+        assert got.filter("rk = 400000 - id").count() == 400_000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_row_number_refuses_ties(spark):
+    with pytest.raises(ValueError, match="ties"):
+        rank_rows(spark.createDataFrame([(1,), (1,)], "a int"), ["a"], "row_number", "rn")
