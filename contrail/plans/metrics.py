@@ -20,7 +20,7 @@ from contrail.functions.scalar import (all_of, avg0, code_name_label, count_when
 from contrail.operators.model import bounded, unpivot_causes
 from contrail.plans.common import (ARR, CANC, CAUSES, DEP, DIST, DIVR, by_key_then_attr, dim,
                                    merge_partials, mean, on_date, partials)
-from contrail.spec import (DAY_TYPE_LABELS, FLIGHT_SPEC, ROUTE_ARROW_TABLE, FactSpec, Star,
+from contrail.spec import (FLIGHT_SPEC, ROUTE_ARROW_TABLE, FactSpec, Star, WEEKDAY_LABEL, WEEKEND_LABEL,
                            Tables)
 
 
@@ -254,8 +254,7 @@ def airport_rankings(star: Star, k: int | None = 25) -> DataFrame:
     per = _traffic_by_key(star)
     d = dim(star, "dim_airport", F.col("airport_key").alias("_k"), "airport_code")
     g = per.join(d, "_k").groupBy("airport_code").agg(F.sum("_n").alias("total_traffic"))
-    g = rank_rows(g, [("total_traffic", False)], "dense_rank", "rank",
-                  bound=star.rows.get("dim_airport"))
+    g = rank_rows(g, [("total_traffic", False)], "dense_rank", "rank")
     g = g.orderBy("rank", F.col("airport_code").asc_nulls_first())
     return g.limit(k) if k else g
 
@@ -410,7 +409,7 @@ def day_type(star: Star, digits: int | None = 1) -> DataFrame:
     """weekday vs weekend volume and average departure delay."""
     per = star.fact.groupBy("date_key").agg(*partials((DEP,), ()))
     d = dim(star, "dim_date", "date_key",
-            F.when(F.col("is_weekend"), DAY_TYPE_LABELS[1]).otherwise(DAY_TYPE_LABELS[0])
+            F.when(F.col("is_weekend"), WEEKEND_LABEL).otherwise(WEEKDAY_LABEL)
             .alias("day_type"))
     g = per.join(d, "date_key").groupBy("day_type").agg(*merge_partials((DEP,), ()))
     return g.select("day_type", F.col("_n").alias("flights"),

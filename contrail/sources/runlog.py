@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.scalar import capitalize, count_when, hours_between, map_values
-from contrail.spec import (AGING_HOURS, FRESH_HOURS, FRESHNESS_LABELS, HEALTH_LABELS,
+from contrail.spec import (AGING_HOURS, AGING_LABEL, FRESH_HOURS, FRESH_LABEL, HEALTH_LABELS, STALE_LABEL, UNKNOWN_LABEL,
                            RUN_METADATA_SCHEMA)
 
 RUN_COLUMNS = ["run_id", "run_timestamp", "overall_status", "total_duration", "dq_score",
@@ -128,9 +128,9 @@ def freshness(runs: DataFrame, now) -> DataFrame:
     h = hours_between(F.to_timestamp(F.lit(now)), F.to_timestamp(F.col("last_run")))
     return last.select(
         "last_run", h.alias("hours_ago"),
-        F.when(F.col("last_run").isNull(), FRESHNESS_LABELS[3])
-        .when(h < FRESH_HOURS, FRESHNESS_LABELS[0]).when(h < AGING_HOURS, FRESHNESS_LABELS[1])
-        .otherwise(FRESHNESS_LABELS[2]).alias("freshness"))
+        F.when(F.col("last_run").isNull(), UNKNOWN_LABEL)
+        .when(h < FRESH_HOURS, FRESH_LABEL).when(h < AGING_HOURS, AGING_LABEL)
+        .otherwise(STALE_LABEL).alias("freshness"))
 
 
 def health(runs: DataFrame) -> DataFrame:

@@ -37,8 +37,14 @@ FACT_DROP = ["YEAR", "MONTH", "DAY", "DAY_OF_WEEK", "CREATED_AT", "date_str", "F
 # Route label separators: batch KPI (F13) and interactive table (F29):
 ROUTE_ARROW_BATCH = " → "
 ROUTE_ARROW_TABLE = " -> "
-# Delay-cause labels of the long form (C15, F22/F30), in display order:
-CAUSE_LABELS = ["Weather", "Airline", "Security", "NAS", "Late Aircraft"]
+# Delay causes of the long form (C15, F22/F30), in display order: label, fact column:
+CAUSES = [
+    ("Weather", "WEATHER_DELAY"),
+    ("Airline", "AIRLINE_DELAY"),
+    ("Security", "SECURITY_DELAY"),
+    ("NAS", "AIR_SYSTEM_DELAY"),
+    ("Late Aircraft", "LATE_AIRCRAFT_DELAY"),
+]
 # Sparse columns left out of the completeness score (K7):
 SPARSE_COLUMNS = [
     "CANCELLATION_REASON",
@@ -54,24 +60,24 @@ MATRIX_LABELS = [(95, "EXCELLENT"), (80, "GOOD"), (60, "FAIR"), (None, "CRITICAL
 # Freshness bands in hours and their labels (K14), health labels (K15):
 FRESH_HOURS = 24
 AGING_HOURS = 72
-FRESHNESS_LABELS = ["Fresh", "Aging", "Stale", "Unknown"]
+FRESH_LABEL, AGING_LABEL, STALE_LABEL, UNKNOWN_LABEL = "Fresh", "Aging", "Stale", "Unknown"
 HEALTH_LABELS = {"SUCCESS": "HEALTHY", "WARNING": "WARNING"}
 # Day-type labels (F34):
-DAY_TYPE_LABELS = ["Weekday", "Weekend"]
-# The 12 rules of the data-quality matrix (K12), in order:
-MATRIX_RULE_NAMES = [
-    "Null Airline Keys",
-    "Null Origin Airport Keys",
-    "Null Dest Airport Keys",
-    "Null Date Keys",
-    "Orphan Airline Refs",
-    "Orphan Origin Refs",
-    "Orphan Dest Refs",
-    "Orphan Date Refs",
-    "Duplicate Airline Keys",
-    "Duplicate Airport Keys",
-    "Departure Delay Nulls",
-    "Arrival Delay Nulls",
+WEEKDAY_LABEL, WEEKEND_LABEL = "Weekday", "Weekend"
+# The 12 rules of the data-quality matrix (K12), in order: rule, records-checked measure, failures measure:
+MATRIX_RULES = [
+    ("Null Airline Keys", "fact_rows", "null_airline_key"),
+    ("Null Origin Airport Keys", "fact_rows", "null_origin_airport_key"),
+    ("Null Dest Airport Keys", "fact_rows", "null_dest_airport_key"),
+    ("Null Date Keys", "fact_rows", "null_date_key"),
+    ("Orphan Airline Refs", "fact_rows", "orphan_airline_key"),
+    ("Orphan Origin Refs", "fact_rows", "orphan_origin_airport_key"),
+    ("Orphan Dest Refs", "fact_rows", "orphan_dest_airport_key"),
+    ("Orphan Date Refs", "fact_rows", "orphan_date_key"),
+    ("Duplicate Airline Keys", "rows_airline", "dup_airline"),
+    ("Duplicate Airport Keys", "rows_airport", "dup_airport"),
+    ("Departure Delay Nulls", "fact_rows", "null_dep"),
+    ("Arrival Delay Nulls", "fact_rows", "null_arr"),
 ]
 
 # ---------------------------------------------------------------------------
@@ -150,9 +156,7 @@ class FactSpec:
     arr_delay: str = "ARRIVAL_DELAY"
     distance: str = "DISTANCE"
     # label -> column; the long-form labels of C15.
-    cause_delays: tuple = tuple(zip(CAUSE_LABELS, (
-        "WEATHER_DELAY", "AIRLINE_DELAY", "SECURITY_DELAY", "AIR_SYSTEM_DELAY",
-        "LATE_AIRCRAFT_DELAY")))
+    cause_delays: tuple = tuple(CAUSES)
     # Presets of the reference
     delayed_gt: float = 15
     min_departures: int = 50
