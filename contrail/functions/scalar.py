@@ -95,19 +95,25 @@ def date_from_key(k) -> Column:
     return F.make_date((k / 10000).cast("int"), ((k / 100) % 100).cast("int"), (k % 100).cast("int"))
 
 
+def stripped(c) -> Column:
+    """Text without the white space around it (blanks, tabs, line ends)."""
+    return F.trim(col(c).cast("string"), F.lit(" \t\n\v\f\r"))
+
+
 def numeric_text_ok(c) -> Column:
-    """True when the trimmed text is a valid number (or NULL); C4's rule."""
-    t = F.trim(col(c).cast("string"))
+    """True when the text without white space around it is a valid number (or NULL); C4's rule."""
+    t = stripped(c)
     return col(c).isNull() | t.rlike(NUMERIC_TEXT_PATTERN)
 
 
 def to_number(c) -> Column:
     """``pd.to_numeric(errors='coerce')`` (I9): invalid -> NULL, NaN -> NULL.
 
-    ``try_cast`` alone would also accept Java float suffixes ('1d', '2f').
+    ``try_cast`` alone would also accept Java float suffixes ('1d', '2f');
+    'inf' and '-inf' stay infinite, as in the reference.
     """
-    t = F.trim(col(c).cast("string"))
-    v = F.when(~t.rlike(r"[dDfF]$"), t.try_cast("double"))
+    t = stripped(c)
+    v = F.when(~t.rlike(r"[0-9.][dDfF]$"), t.try_cast("double"))
     return nan_to_null(v)
 
 

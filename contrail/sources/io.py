@@ -27,17 +27,39 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
     A user schema on Spark's CSV reader binds columns by position, so a file
     with reordered or fewer columns would be misread. The file is read as
     text columns named by its header (no inference pass), then each schema
-    column is taken by name and ``try_cast`` to its type; columns the file
-    lacks come back as typed NULLs, extra file columns are ignored.
+    column is taken by name and parsed (``parsed``); columns the file
+    lacks come back as typed NULLs, extra file columns are ignored. All files
+    of a folder must have the first one's header.
     """
     raw = (spark.read.option("header", True).option("encoding", encoding)
            .option("inferSchema", False).csv(path))
     have = set(raw.columns)
     return raw.select(*[
-        (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in have
+        (parsed(F.col(f"`{f.name}`"), f.dataType) if f.name in have
          else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
 
 
+def parsed(text, kind: T.DataType):
+    """CSV text as a column of a type; NULL if it can't be. Integral text with a
+    fraction of zero ('2354.0', as imputed integer columns are written) is an integer."""
+    value = text.try_cast(kind)
+    if isinstance(kind, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+        number = text.try_cast("double")
+        value = F.coalesce(value, F.when(number == F.floor(number), number.try_cast(kind)))
+    return value
+
+
+def unparsable(spark: SparkSession, path: str, schema: T.StructType, encoding: str = "utf-8") -> DataFrame:
+    """(column, cells): how many cells of each column hold text that ``read_csv`` reads as NULL."""
+    raw = (spark.read.option("header", True).option("encoding", encoding)
+           .option("inferSchema", False).csv(path))
+    have = [f for f in schema.fields if f.name in raw.columns]
+    wide = raw.agg(*[F.count_if(F.col(f"`{f.name}`").isNotNull() & parsed(F.col(f"`{f.name}`"), f.dataType).isNull())
+                     .alias(f.name) for f in have])
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").alias("cells"))
+                                          for f in have])))
+
+
 def read_reference(spark: SparkSession, path: str, schema: T.StructType,
                    encoding: str = "utf-8", require_rows: bool = True) -> DataFrame:
     """A1: whole reference CSV with header and explicit schema.
@@ -128,7 +150,7 @@ def check_tables(spark: SparkSession, tables: dict) -> DataFrame:
             df = (spark.read.parquet(ref) if is_path or not spark.catalog.tableExists(ref)
                   else spark.table(ref))
         except AnalysisException as e:
-            rows.append((name, "exists", "FAIL", str(e).splitlines()[0][:200]))
+            rows.append((name, "exists", "FAIL", str(e).splitlines()[0]))
             continue
         rows.append((name, "exists", "PASS", None))
         rows.append((name, "non_empty", "WARN" if df.isEmpty() else "PASS", None))
