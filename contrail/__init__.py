@@ -10,7 +10,6 @@ sources    readers, writers, contracts, the driver-table binding, run log
 operators  profiling, schema contracts, cleaning, modelling, data quality
 functions  scalar column helpers and the distributed ranking primitive
 plans      the analytical query catalogue (metrics, KPIs, distributions)
-streaming  nothing: the reference has no streaming surface (see README)
 """
 
 from contrail.spec import FactSpec, Star, Tables, FLIGHT_SPEC  # noqa: F401

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -33,8 +33,8 @@ def work_dir(spark: SparkSession) -> str:
     """Shared folder for materialised intermediate tables.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or the context's checkpoint
-    dir). Only when neither is set -- local tests -- a fresh temp folder is
-    created and registered as the checkpoint dir.
+    dir). When neither is set, a local session gets a fresh temp folder as its
+    checkpoint dir; any other raises, as executors don't share the driver's folders.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
@@ -45,6 +45,8 @@ def work_dir(spark: SparkSession) -> str:
         sc = None
     d = sc.getCheckpointDir() if sc is not None else None
     if not d:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="contrail-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(d)
@@ -62,11 +64,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = work_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def is_local_path(p: str) -> bool:
-    return p.startswith("/") or p.startswith("file:")
-
-
-def ensure_local_parent(p: str) -> None:
-    if p.startswith("/"):
-        os.makedirs(os.path.dirname(p), exist_ok=True)
