@@ -14,16 +14,20 @@ overlap (``PrefixTree``). Overlaps found this way are exact.
 Steps
 -----
 1. Sketch: each document's set size, the hash of its set, and its first n-grams
-   by hash (``p`` and a quarter more: its zone). Equal sets are one node.
-2. An n-gram in the zones of ``COMMON`` nodes or more is common. A node whose zone
-   holds ``p`` others is *plain* and is found by these; any other node is *mixed*
-   and is found by the first ``p`` of its zone, common or not. Two plain nodes are
-   compared by uncommon n-grams, all other pairs by the first ``p`` of both zones.
-3. First pass: nodes meet in units of their first uncommon n-gram; holders of
-   common ones meet in random units of bounded size. This joins copies.
-4. Second pass: of the nodes that share an n-gram as in 2, each pair that is not
-   connected yet and whose sizes allow a link is compared. Nothing is skipped
-   but pairs that are already connected, which cannot change the result.
+   by hash (``p`` and a sixth more: its zone). Equal sets are one node.
+2. An n-gram in the zones of ``COMMON`` documents or more is common. A node whose
+   zone holds ``p`` others is *plain* and is found by these; any other node is
+   *mixed* and is found by the first ``p`` of its zone, common or not. Two plain
+   nodes are compared by uncommon n-grams, all other pairs by the first ``p`` of
+   both zones. Sizes, and for uncommon n-grams the number shared among the first
+   ``p``, rule out most pairs by a bound on the overlap.
+3. First pass: nodes meet in units with the smallest holder of most of their n-grams;
+   holders of common n-grams meet in random units of bounded size. This joins copies.
+4. Second pass: each pair left that has not met and is not connected yet is
+   compared; under one n-gram, members of its largest component are not paired with
+   each other. Holders of common n-grams are first reduced to those that share one
+   of their rarest ``p`` members, counted over their whole sets. Nothing else is
+   skipped, so no link between different parts is lost.
 
 So a group of copies costs links in proportion to its size, never all its
 pairs; units are bounded, and hot n-grams are dealt over many units.
@@ -43,16 +47,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import texts, written
+from contrail.llm.common import BROADCAST_BYTES, few, texts, written
 from contrail.llm.components import components
 
-COMMON = 64  # an n-gram of so many nodes is common
+SLACK = 6  # a zone is longer than p by a part of it
+COMMON = 64  # an n-gram in so many documents' zones is common
 UNIT = 64  # nodes in a random unit of a common n-gram, on average
 ROUTES = 4  # random units that a node of common n-grams goes to in the first pass
-BROADCAST_BYTES = 32 << 20  # ids are broadcast up to this size, else shuffled
 FACTORS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))  # fixed odd numbers
 
 
@@ -84,24 +88,17 @@ def prefix_length(size: int, percent: int) -> int:
 def _sketch(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, sets, zones = [], [], []
+            sizes, sets, zones, ends = [], [], [], []
             for t in b.column("text"):
                 s = shingles(t.as_py(), n)
                 p = prefix_length(len(s), percent)
                 sizes.append(len(s))
                 sets.append(xxhash.xxh3_128_digest(s.tobytes()))
-                zones.append(s[:p + p // 4 + 4])
+                zones.append(s[:p + p // SLACK + 4])
+                ends.append(int(s[p - 1]) - (1 << 63) if len(s) else None)  # in the order of the unsigned hashes
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("th"), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), _lists(zones)],
-                ["id", "th", "size", "same", "zone"])
-
-    return run
-
-
-def _sets(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("id"), _lists([shingles(t.as_py(), n) for t in b.column("text")])], ["node", "grams"])
+                [b.column("id"), b.column("th"), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), _lists(zones), pa.array(ends, pa.int64())],
+                ["id", "th", "size", "same", "zone", "ending"])
 
     return run
 
@@ -187,7 +184,7 @@ def unit_links(labels: list[int], sets: list[np.ndarray], percent: int) -> list[
     return [(top(x), x) for x in root if top(x) != x]
 
 
-def _join_units(percent: int):
+def _join_units(n: int, percent: int):
     """Rows come sorted by unit; a unit is compared when its rows are complete."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,96 +206,175 @@ def _join_units(percent: int):
     return run
 
 
-def _links(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links found in units (unit, node)."""
-    dealt = units.join(sets, "node").select("unit", "node", "grams")
-    return dealt.repartition("unit").sortWithinPartitions("unit").mapInArrow(_join_units(percent), "a long, b long")
+def _deal(n: int):
+    """Each text's set, once for each unit that it goes to."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for node, text, units in zip(b.column("id"), b.column("text"), b.column("units")):
+                s = shingles(text.as_py(), n)
+                k = len(units)
+                yield pa.RecordBatch.from_arrays(
+                    [units.values, pa.array([node.as_py()] * k, pa.int64()), _lists([s] * k)], ["unit", "node", "grams"])
 
-def _pairs(left: DataFrame, right: DataFrame, keys: list[str], percent: int) -> DataFrame:
-    """Pairs (a, b) of not yet connected nodes under the same key whose sizes allow a link."""
-    r = right.select(*keys, F.col("node").alias("b"), F.col("component").alias("_component"), F.col("size").alias("_size"))
-    return (left.withColumnRenamed("node", "a").join(r, keys)
-            .filter((F.col("component") != F.col("_component"))
-                    & (100 * F.least("size", "_size") >= percent * F.greatest("size", "_size")))
-            .select("a", "b"))
+    return run
 
 
-def _of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (id, th, text) that ``nodes`` (id, th) names; few names are broadcast, many are shuffled."""
-    few = nodes.count() * 32 <= BROADCAST_BYTES
-    return docs.join(F.broadcast(nodes) if few else nodes, ["id", "th"], "left_semi").dropDuplicates(["id", "th"])
+def _spread(n: int):
+    """A row for each member of each text's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for node, text in zip(b.column("id"), b.column("text")):
+                s = shingles(text.as_py(), n)
+                yield pa.RecordBatch.from_arrays([pa.array([node.as_py()] * len(s), pa.int64()), pa.array(s.view(np.int64))], ["node", "gram"])
+
+    return run
+
+
+def _links(units: DataFrame, rows: DataFrame, reps: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links found in units (unit, node). The texts that go to units are found by a broadcast of their ids
+    while these are few, else by a shuffle; their sets travel once a unit."""
+    wanted = written(units.distinct().groupBy("node").agg(F.collect_list("unit").alias("units")).withColumnRenamed("node", "id")
+                     .join(reps.select("id", "th").distinct(), "id"), "wanted")
+    size = wanted.agg(F.sum(F.size("units") * 8 + 32)).first()[0] or 0
+    texts_ = rows.join(F.broadcast(wanted) if size <= BROADCAST_BYTES else wanted, ["id", "th"]).select("id", "text", "units")
+    dealt = texts_.mapInArrow(_deal(n), "unit long, node long, grams array<long>")
+    return dealt.repartition("unit").sortWithinPartitions("unit").mapInArrow(_join_units(n, percent), "a long, b long").distinct()
+
+
+def _of(nodes: DataFrame, rows: DataFrame, reps: DataFrame) -> DataFrame:
+    """(id, text) of nodes; their ids are broadcast while they are few, else shuffled."""
+    wanted = written(nodes.distinct().withColumnRenamed("node", "id").join(reps.select("id", "th").distinct(), "id"), "nodes-wanted")
+    return rows.join(F.broadcast(wanted) if few(wanted) else wanted, ["id", "th"], "left_semi").select("id", "th", "text").dropDuplicates(["id", "th"])
+
+
+def _pairs(left: DataFrame, right: DataFrame, keys: list[str], percent: int) -> DataFrame:
+    """Pairs (a, b) under the same key whose sizes allow a link."""
+    r = right.withColumnsRenamed({c: f"_{c}" for c in right.columns if c not in keys})
+    return left.join(r, keys).filter((100 * F.least("size", "_size") >= percent * F.greatest("size", "_size")) & (F.col("node") != F.col("_node")))
 
 
 def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id): documents link when 100 * intersection >= percent * union."""
     rows = texts(docs).select("doc_id", F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("th"), "text")
     sketch = written(rows.select("id", "th", "text").mapInArrow(
-        _sketch(n, percent), "id long, th long, size long, same binary, zone array<long>"), "sketch")
-
-    # equal sets are one node, named by the smallest id; its zone's n-grams by position
+        _sketch(n, percent), "id long, th long, size long, same binary, zone array<long>, ending long"), "sketch")
     named = sketch.filter("size > 0 AND id IS NOT NULL")
-    nodes = (named.groupBy("same").agg(F.min(F.struct("id", "th")).alias("first"), F.first("size").alias("size"), F.first("zone").alias("zone"))
-             .select("same", F.col("first.id").alias("node"), F.col("first.th").alias("th"), "size", "zone"))
-    grams = nodes.select("node", "th", "size", F.posexplode("zone").alias("pos", "gram"))
-    held = grams.groupBy("gram").agg(F.count("*").alias("holders")).filter("holders > 1")
-    prefix = F.expr(f"size - cast(ceil({percent} * size / 100) as long) + 1")
-    shared = grams.join(held, "gram").withColumn("common", F.col("holders") >= COMMON)
-    by_node = (shared.groupBy("node", "th", "size").agg(F.sort_array(F.collect_list(F.struct("pos", "gram", "common"))).alias("grams"))
-               .withColumn("p", prefix)
-               .withColumn("zone", F.least("size", F.expr("p + p div 4 + 4")))
+    # equal sets are one node, named by the smallest id
+    reps = written(named.groupBy("same").agg(F.min(F.struct("id", "th")).alias("first"), F.first("size").alias("size"), F.first("ending").alias("ending"))
+                   .select("first.id", "first.th", "size", "ending", "same")
+                   .withColumn("p", F.expr(f"size - cast(ceil({percent} * size / 100) as long) + 1")), "nodes")
+
+    # which documents share n-grams of their zones (a superset over nodes, as copies count too)
+    grams = named.select("id", "th", F.posexplode("zone").alias("pos", "gram"))
+    held = written(grams.groupBy("gram").agg(F.count("*").alias("holders")).filter("holders > 1")
+                   .select("gram", (F.col("holders") >= COMMON).alias("common")), "held")  # a scan, so that Spark can split the join below
+    by_node = (grams.join(held, "gram").groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("pos", "gram", "common"))).alias("grams"))
+               .join(reps.drop("same"), ["id", "th"])
+               .withColumn("zone", F.least("size", F.expr(f"p + p div {SLACK} + 4")))
                .withColumn("late", F.expr("transform(filter(grams, x -> x.common), x -> x.pos)"))
                .withColumn("plain", F.expr("zone - size(late) >= p")))
     # a plain node's uncommon n-grams move up by the common ones before them
-    routes = written(by_node.select("node", "th", "size", "plain", "p", F.expr(
+    routes = written(by_node.select(F.col("id").alias("node"), "size", "plain", "p", F.expr(
         "inline(transform(grams, x -> struct(x.pos, x.gram, x.common, x.pos - size(filter(late, y -> y < x.pos)) as place)))"))
         .filter("pos < p OR (plain AND NOT common AND place < p)")
-        .select("node", "th", "size", "plain", "pos", "gram", "common"), "routes")
-    met = routes.groupBy("gram", "common").agg(F.count("*").alias("n"), F.max(~F.col("plain")).alias("mixed")).filter("n > 1 AND (mixed OR NOT common)")
-    routes = routes.join(met.select("gram", "n"), "gram")
-
-    candidates = routes.select(F.col("node").alias("id"), "th").distinct()
-    sets = written(_of(candidates, rows.select("id", "th", "text")).select("id", "text").mapInArrow(_sets(n), "node long, grams array<long>"), "sets")
-
-    # first pass: a node meets the others of its first uncommon n-gram, and random holders of common ones
-    first = routes.filter("NOT common").groupBy("node", "th").agg(F.min_by("gram", "pos").alias("gram")).select("node", F.struct("gram", F.lit(0).alias("part")).alias("unit"))
-    mixed = (routes.filter("common AND NOT plain").groupBy("node", "th")
-             .agg(F.slice(F.sort_array(F.collect_list(F.struct("pos", "gram", "n"))), 1, ROUTES).alias("g"))
-             .select("node", F.inline("g"))
-             .select("node", F.struct("gram", F.expr(f"cast(pmod(xxhash64(node, gram), cast(ceil(n / {UNIT}) as int)) as int)").alias("part")).alias("unit")))
-    units = first.union(mixed).distinct()
-    found = written(_links(units.withColumn("unit", F.xxhash64("unit.gram", "unit.part")), sets, percent).distinct(), "found")
-    known = components(found)
-
-    # second pass: pairs that are not connected yet
-    placed = (routes.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-              .select("gram", "common", "node", "size", "plain", "component"))
-    mixture = placed.groupBy("gram", "common", "component").agg(F.count("*").alias("n"))
-    major = (mixture.groupBy("gram", "common").agg(F.max(F.struct("n", "component")).alias("m"), F.count("*").alias("parts"))
-             .filter("parts > 1").select("gram", F.col("m.component").alias("major")))
-    placed = written(placed.join(major, "gram"), "placed")
-    few = placed.filter("NOT common")
-    pairs = _pairs(few, few, ["gram"], percent).filter("a < b")
-    class_ = F.expr(f"cast(floor(ln(size) / {float(-np.log(percent / 100) * 1.0001)!r}) as int)") if percent < 100 else F.col("size")
-    hot = placed.filter("common").withColumn("class", class_)
-    near = hot.withColumn("class", F.explode(F.expr("array(class - 1, class, class + 1)")))  # sizes that can link
-    minor = F.col("component") != F.col("major")
-    pairs = pairs.union(_pairs(near.filter(minor & ~F.col("plain")), hot, ["gram", "class"], percent))
-    pairs = pairs.union(_pairs(near.filter(minor & F.col("plain")), hot.filter(~minor & ~F.col("plain")), ["gram", "class"], percent))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = written(pairs, "pairs")
-    of = pairs.groupBy("a").agg(F.count("*").alias("n"))
-    dealt = pairs.join(of, "a").withColumn("unit", F.expr(f"xxhash64(a, pmod(xxhash64(b), cast(ceil(n / {UNIT}) as int)))"))
-    units = dealt.select("unit", F.col("b").alias("node")).union(dealt.select("unit", F.col("a").alias("node"))).distinct()
-    more = _links(units, sets, percent)
-    all_links = known.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more)
-    parts = components(all_links)
+        .select("node", "size", "p", "plain", (F.col("pos") < F.col("p")).alias("inner"), "gram", "common", "pos"), "routes")
+    k = routes.filter("common AND inner").groupBy("node").agg(F.count("*").alias("k"))
+    bounds = (reps.select(F.col("id").alias("node"), "size", "ending", "p").join(k, "node", "left")
+              .select("node", F.struct("ending", "p", F.coalesce("k", F.lit(0)).alias("k"), "size").alias("bound")))
+
+    # first pass: of the smallest holders of its uncommon n-grams a node meets the one that it shares most with
+    # (and others that do); holders of common n-grams meet at random
+    uncommon = routes.filter("NOT common").select("gram", "node", "size", "p", "inner")
+    hub = written(uncommon.groupBy("gram").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("gram", "hub"), "hubs")
+    hubs = (uncommon.join(hub, "gram").filter("node <> hub").groupBy("node", "hub", "p").agg(F.count("*").alias("c")).filter("4 * c >= p")
+            .groupBy("node").agg(F.max(F.struct("c", (-F.col("hub")).alias("h"))).alias("m")).select("node", (-F.col("m.h")).alias("hub")))
+    crowd = hubs.groupBy("hub").agg(F.count("*").alias("n"))
+    stars = written(hubs.join(crowd, "hub").select("node", "hub", F.expr(f"xxhash64(hub, pmod(xxhash64(node), cast(ceil(n / {UNIT}) as int)))").alias("unit")), "stars")
+    met = routes.filter("common").groupBy("gram").agg(F.count("*").alias("n"), F.max(~F.col("plain")).alias("mixed")).filter("n > 1 AND mixed").select("gram", "n")
+    hot = routes.filter("common").join(met, "gram")
+    random = (hot.filter("NOT plain").groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("pos", "gram", "n"))), 1, ROUTES).alias("g"))
+              .select("node", F.inline("g"))
+              .select(F.expr(f"xxhash64(gram, pmod(xxhash64(node, gram), cast(ceil(n / {UNIT}) as int)), 1)").alias("unit"), "node"))
+    units = stars.select("unit", "node").union(stars.select("unit", F.col("hub").alias("node"))).union(random)
+    known = components(_links(units, rows, reps, n, percent))
+
+    # second pass: pairs that have not met and are not connected
+    def of(side: str) -> DataFrame:
+        return known.withColumnsRenamed({"node": side, "component": f"c_{side}"})
+
+    def unit_of(side: str) -> DataFrame:
+        return stars.select(F.col("node").alias(side), F.col("unit").alias(f"u_{side}"), F.col("hub").alias(f"h_{side}"))
+
+    def crossing(placed: DataFrame, keys: list[str], near: Column | None = None) -> DataFrame:
+        """Pairs under one key of different components; of each key's largest component, no two."""
+        mixture = placed.groupBy("gram", "component").agg(F.count("*").alias("n"))
+        major = (mixture.groupBy("gram").agg(F.max(F.struct("n", "component")).alias("m"), F.count("*").alias("parts"))
+                 .filter("parts > 1").select("gram", F.col("m.component").alias("major")))
+        placed = written(placed.join(major, "gram").withColumn("minor", F.col("component") != F.col("major")).drop("major"), "placed")
+        minor = placed.filter("minor").drop("minor")
+        return (_pairs(minor if near is None else minor.withColumn(keys[-1], near), placed, keys, percent)
+                .filter((F.col("component") != F.col("_component")) & (~F.col("_minor") | (F.col("node") < F.col("_node"))))
+                # what nobody shares is lost to the overlap
+                .filter((100 * (F.col("size") - F.col("alone")) >= percent * (F.col("size") + F.col("_alone")))
+                        & (100 * (F.col("_size") - F.col("_alone")) >= percent * (F.col("_size") + F.col("alone"))))
+                .withColumn("a", F.least("node", "_node")).withColumn("b", F.greatest("node", "_node")))
+
+    # uncommon n-grams: c of them both hold among their first p
+    shared = routes.filter("inner").groupBy("node", "p").agg(F.count("*").alias("n")).select("node", (F.col("p") - F.col("n")).alias("alone"))
+    placed = (uncommon.join(shared, "node", "left").withColumn("alone", F.coalesce("alone", "p")).join(known, "node", "left")
+              .withColumn("component", F.coalesce("component", "node")).drop("p"))
+    both = crossing(placed, ["gram"]).groupBy("a", "b").agg(F.count(F.when(F.col("inner") & F.col("_inner"), 1)).alias("c"))
+    # all first p of the node whose p end earlier are known to both: those not among the c shared ones or the k
+    # common ones, which were not counted, are lost to the overlap
+    need = f"cast(ceil({percent} * (x.size + y.size) / {100 + percent}) as long)"
+    possible = f"c + IF(x.ending <= y.ending, x.k + x.size - x.p, y.k + y.size - y.p) >= {need}"
+    apart = (both.join(bounds.withColumnsRenamed({"node": "a", "bound": "x"}), "a").join(bounds.withColumnsRenamed({"node": "b", "bound": "y"}), "b")
+             .filter(possible).select("a", "b")
+             .join(unit_of("a"), "a", "left").join(unit_of("b"), "b", "left")
+             .filter("coalesce(h_b, -1) <> a AND coalesce(h_a, -1) <> b AND (u_a IS NULL OR u_b IS NULL OR u_a <> u_b)").select("a", "b"))
+    # holders of common n-grams: those whose sizes allow a link with a mixed one are compared by their whole sets,
+    # in the order of the number of such holders, which leaves few that share one of their first p
+    class_ = F.expr(f"cast(floor(ln(size) / {float(-np.log(percent / 100) * 1.0001)!r}) as int)") if percent < 100 else F.col("size").cast("int")
+    hot = hot.withColumn("class", class_)
+    near = hot.filter("NOT plain").select("gram", F.explode(F.expr("array(class - 1, class, class + 1)")).alias("class")).distinct()
+    holders = hot.join(near, ["gram", "class"], "left_semi").select("node", "size", "class").distinct()
+    whole = written(_of(holders.select("node"), rows, reps).mapInArrow(_spread(n), "node long, gram long"), "whole")
+    rarity = whole.groupBy("gram").agg(F.count("*").alias("df"))
+    alone = whole.join(rarity.filter("df = 1"), "gram").groupBy("node").agg(F.count("*").alias("alone"))
+    first_p = F.expr(f"size - cast(ceil({percent} * size / 100) as long) + 1")
+    placed = (whole.join(rarity, "gram").join(holders, "node")
+              .withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("df", "gram")))
+              .filter((F.col("place") <= first_p) & (F.col("df") > 1))
+              .join(alone, "node", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+              .join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+              .select("gram", "node", "size", "alone", "class", "component"))
+    hot_pairs = crossing(placed, ["gram", "class"], F.explode(F.expr("array(class - 1, class, class + 1)")))
+    apart = written(apart.union(hot_pairs.select("a", "b")).distinct(), "apart")
+    of_a = apart.groupBy("a").agg(F.count("*").alias("n"))
+    dealt = apart.join(of_a, "a").withColumn("unit", F.expr(f"xxhash64(a, pmod(xxhash64(b), cast(ceil(n / {UNIT}) as int)))"))
+    units = dealt.select("unit", F.col("b").alias("node")).union(dealt.select("unit", F.col("a").alias("node")))
+    more = _links(units, rows, reps, n, percent)
+    # the second pass links parts of the first: their components, then their members'
+    of_part = components(more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b")))
+    of_part = of_part.withColumnsRenamed({"node": "part", "component": "whole"})
+    parts = (known.withColumnRenamed("component", "part").join(of_part, "part", "left").select("node", F.coalesce("whole", "part").alias("component"))
+             .union(of_part.select("part", "whole").join(known.select(F.col("node").alias("part")), "part", "left_anti")))
 
     # back to rows: set -> node -> component
-    names = named.groupBy("same").agg(F.min("id").alias("node"))
-    answer = (sketch.join(names, "same", "left").join(parts, "node", "left")
+    answer = (sketch.select("id", "th", "size", "same").join(reps.select("same", F.col("id").alias("node")), "same", "left").join(parts, "node", "left")
               .select("id", "th", "size", F.when(F.col("id").isNotNull(), F.coalesce("component", "node", "id")).alias("component_id"))
               .groupBy("id", "th").agg(F.first("size").alias("n_shingles"), F.min("component_id").alias("component_id")))
     return (rows.select("doc_id", "id", "th").join(answer.withColumnsRenamed({"id": "_id", "th": "_th"}),
                                                    F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
             .select("doc_id", "n_shingles", "component_id"))
+
+
+def keep_one(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+    """``docs`` with one row of each component: the one whose ``doc_id`` is the smallest. Rows without id stay."""
+    gone = written(join(docs, n, percent).filter("doc_id <> component_id").select("doc_id").distinct(), "linked")
+    kept = docs.join(F.broadcast(gone) if few(gone, 16) else gone, "doc_id", "left_anti").select(docs.columns)
+    again = written(kept.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "repeated-ids")
+    rows = kept.join(F.broadcast(again) if few(again, 16) else again, "doc_id", "left_anti").select(docs.columns)
+    return rows.unionByName(kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
