@@ -6,10 +6,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from contrail.llm import bpe, decontaminate, jaccard_join, line_dedup, toxicity
+from contrail.llm.common import table
 from contrail.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = []
+
+
+def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: documents that the classifier rejects go."""
+    return toxicity.clean(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: lines of recurring templates go; every document stays, n_chars follows its text."""
+    return line_dedup.dedup(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: one document of each group of near copies stays (five-word sets, similarity 0.8 or more)."""
+    return jaccard_join.keep_one(docs, n=5, percent=80)
+
+
+def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: documents that hold a copy of a test item go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: token ids of every document that is left, and the digests of ids and decoded text."""
+    return bpe.encode(docs, bpe.tokenizer_path("word_bpe_49k.json")).drop("decoded")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", remove_toxic),
+    ("line_dedup", drop_recurring_lines),
+    ("near_duplicates", keep_one_of_similar),
+    ("decontamination", remove_leaks),
+    ("bpe", encode),
+]
 
 #: SQL cannot express these stages (a trained classifier, tries, alignment); tests hold them against brute force.
 ORACLE_SQL = None
