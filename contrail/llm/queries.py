@@ -85,5 +85,36 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+def _op2_sql() -> str:
+    """The rules' matches by regular expression, one after another, with their positions summed up."""
+    parts = []
+    for i, rule in enumerate(secret_scan.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(f"""SELECT r, {i} AS ord, '{rule.kind}' AS kind, {rule.least} AS least, unnest(a) AS a, unnest(v) AS v, unnest(g[1:len(a)]) AS g, unnest(range(1, len(a) + 1)) AS i
+FROM (SELECT r, regexp_extract_all(text, '{pattern}', 0) AS a, regexp_extract_all(text, '{pattern}', {rule.group}) AS v, string_split_regex(text, '{pattern}') AS g FROM t)""")
+    counts = ", ".join(f"CAST(count(*) FILTER (kind = '{r.kind}') AS BIGINT) AS n_{r.kind}" for r in secret_scan.BASE)
+    union = "\nUNION ALL\n".join(parts)
+    zero = ", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secret_scan.BASE)
+    return f"""WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({union}),
+placed AS (SELECT r, ord, kind, least, v, sum(length(g) + length(a)) OVER (PARTITION BY r, ord ORDER BY i) AS stop, length(a) AS n FROM m),
+spans AS (SELECT r, ord, kind, CAST(stop - n AS BIGINT) AS start, kind || ':' || CAST(stop - n AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM placed WHERE length(v) >= least),
+found AS (SELECT r, {counts}, string_agg(span, ',' ORDER BY start, ord) FILTER (ord < {len(secret_scan.BASE)}) AS base, string_agg(span, ',' ORDER BY start, ord) AS spans FROM spans GROUP BY r)
+SELECT doc_id, {zero}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM t LEFT JOIN found USING (r)"""
+
+
+OP8_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (SELECT DISTINCT doc_id, array_to_string(x, ' ') AS g FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3]) WHEN len(w) > 0 THEN [w] ELSE [] END) AS x FROM w)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM grams a JOIN grams b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.r = links.a)
+SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(r) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_secret_scans, op3_bpe, op4_toxicity, op5_html_extraction, op6_imatch_fingerprints, op7_line_dedup, op8_ngram_jaccard_join, op9_decontamination, op10_substring_dedup)}
-ORACLES: dict[str, str] = {"op10_substring_dedup": OP10_SQL}
+ORACLES: dict[str, str] = {"op2_secret_scans": _op2_sql(), "op8_ngram_jaccard_join": OP8_SQL, "op10_substring_dedup": OP10_SQL}
