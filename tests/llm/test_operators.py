@@ -225,6 +225,7 @@ def test_components_of_a_long_chain(spark):
 def test_leaks_exact_and_edited_are_found_and_others_are_not(spark, frame, prose):
     items = [(k, prose(9000 + k, 25)) for k in range(30)] + [(50, None), (51, ""), (52, "rare pair")]
     r = random.Random(2)
+    rows, want = [], set()
     for i in range(300, 390):
         if i % 3 == 0:
             w = items[i // 3 - 100][1].split()
