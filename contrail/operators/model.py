@@ -195,7 +195,8 @@ def write_star(star: Star, path: str, partition_by=("year",)) -> None:
         fact = fact.withColumn("year", (F.col("date_key") / 10000).cast("int"))
     if "month" in partition_by and "month" not in fact.columns:
         fact = fact.withColumn("month", ((F.col("date_key") / 100) % 100).cast("int"))
-    (fact.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000)
+    # rebalanced by the partition columns: files follow the data's size, not tasks x years
+    (fact.hint("rebalance", *partition_by).write.mode("overwrite").option("maxRecordsPerFile", 5_000_000)
      .partitionBy(*partition_by).parquet(f"{path}/fact_flights"))
     written = star.fact.sparkSession.read.parquet(f"{path}/fact_flights")
     star.dim_airline.write.mode("overwrite").parquet(f"{path}/dim_airline")

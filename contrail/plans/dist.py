@@ -58,7 +58,8 @@ def histogram(df: DataFrame, col: str, bins: int = 50, lo: float | None = -20,
     by = [] if by is None else ([by] if isinstance(by, str) else list(by))
     x = df.where(all_of([F.col(col).isNotNull(), where,
                          in_range(col, lo, hi) if lo is not None and hi is not None else None]))
-    x = x.select(*by, F.col(col).cast("double").alias("_x"))
+    # values with their counts: all that follows is on this small table, from one scan of the fact
+    x = x.groupBy(*by, F.col(col).cast("double").alias("_x")).agg(F.count(F.lit(1)).alias("_n"))
     stats = x.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     # per-group stats: one row per group (Spark/AQE choose the join); global: one row
     j = x.join(stats, by) if by else with_scalars(x, stats)
@@ -66,7 +67,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50, lo: float | None = -20,
     b = F.when(width == 0, F.lit(1)).otherwise(
         F.least(F.floor((F.col("_x") - F.col("_lo")) / width * bins).cast("int") + 1,
                 F.lit(bins)))
-    counts = j.groupBy(*by, b.alias("bin")).agg(F.count(F.lit(1)).alias("frequency"))
+    counts = j.groupBy(*by, b.alias("bin")).agg(F.sum("_n").alias("frequency"))
     grid = stats.select(*by, "_lo", "_hi", F.explode(F.sequence(F.lit(1), F.lit(bins)))
                         .alias("bin"))
     w = (F.col("_hi") - F.col("_lo")) / bins
