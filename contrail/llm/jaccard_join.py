@@ -342,15 +342,19 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     holders = hot.join(near, ["gram", "class"], "left_semi").select("node", "size", "class").distinct()
     whole = written(_of(holders.select("node"), rows, reps).mapInArrow(_spread(n), "node long, gram long"), "whole")
     rarity = whole.groupBy("gram").agg(F.count("*").alias("df"))
-    alone = whole.join(rarity.filter("df = 1"), "gram").groupBy("node").agg(F.count("*").alias("alone"))
     first_p = F.expr(f"size - cast(ceil({percent} * size / 100) as long) + 1")
-    placed = (whole.join(rarity, "gram").join(holders, "node")
-              .withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("df", "gram")))
-              .filter((F.col("place") <= first_p) & (F.col("df") > 1))
-              .join(alone, "node", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+    # of two sets, the smaller one can miss fewer: it shares one of fewer first members
+    first_few = F.expr(f"size - cast(ceil({2 * percent} * size / {100 + percent}) as long) + 1")
+    of_node = Window.partitionBy("node")
+    placed = (whole.join(rarity.filter("df > 1"), "gram").withColumn("n", F.count("*").over(of_node))
+              .withColumn("rank", F.row_number().over(of_node.orderBy("df", "gram"))).join(holders, "node")
+              .withColumn("alone", F.col("size") - F.col("n")).withColumn("place", F.col("alone") + F.col("rank"))
+              .filter(F.col("place") <= first_p).withColumn("early", F.col("place") <= first_few)
               .join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-              .select("gram", "node", "size", "alone", "class", "component"))
-    hot_pairs = crossing(placed, ["gram", "class"], F.explode(F.expr("array(class - 1, class, class + 1)")))
+              .select("gram", "node", "size", "alone", "early", "class", "component"))
+    smaller = (F.col("size") < F.col("_size")) | ((F.col("size") == F.col("_size")) & (F.col("node") < F.col("_node")))
+    hot_pairs = (crossing(placed, ["gram", "class"], F.explode(F.expr("array(class - 1, class, class + 1)")))
+                 .filter(F.when(smaller, F.col("early")).otherwise(F.col("_early"))))
     apart = written(apart.union(hot_pairs.select("a", "b")).distinct(), "apart")
     of_a = apart.groupBy("a").agg(F.count("*").alias("n"))
     dealt = apart.join(of_a, "a").withColumn("unit", F.expr(f"xxhash64(a, pmod(xxhash64(b), cast(ceil(n / {UNIT}) as int)))"))
