@@ -21,7 +21,7 @@ a text become their ids; words of any length are walked without recursion;
 texts with characters outside Latin blocks go through the library's own
 normaliser and pre-tokeniser, others through equal, faster expressions. Each
 row is encoded by itself, so repeated rows and null ids do no harm. A worker
-keeps at most ``MAX_CACHED`` encoded words, then starts afresh.
+keeps at most ``cached`` encoded words (about 400 bytes each), then starts afresh.
 """
 
 from __future__ import annotations
@@ -187,13 +187,13 @@ def _vocabulary(path: str) -> tuple[Vocabulary, dict[str, str], dict[str, str]]:
     return Vocabulary(path), {}, {}
 
 
-def encode_texts(path: str, batch: list[str]) -> Iterator[tuple[str, str, int]]:
+def encode_texts(path: str, batch: list[str], cached: int = MAX_CACHED) -> Iterator[tuple[str, str, int]]:
     """(ids joined by blanks, tokens joined by blanks, number) of each text; tokens joined by blanks are
     what the library decodes to, as the file names no decoder.
 
     A text is cut at its special tokens, then at white space into chunks, which no word crosses."""
     v, ids_of, tokens_of = _vocabulary(path)
-    if len(ids_of) > MAX_CACHED:
+    if len(ids_of) > cached:
         ids_of.clear()
         tokens_of.clear()
     cut = []
@@ -226,9 +226,9 @@ def encode_texts(path: str, batch: list[str]) -> Iterator[tuple[str, str, int]]:
         yield ids, " ".join(map(tokens_of.__getitem__, chunks)), ids.count(" ") + 1 if ids else 0
 
 
-def encode(docs: DataFrame, path: str, keep_texts: bool = True) -> DataFrame:
+def encode(docs: DataFrame, path: str, keep_texts: bool = True, cached: int = MAX_CACHED) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256), with ``keep_texts`` also the ids and
-    the decoded text themselves."""
+    the decoded text themselves. ``cached``: encoded words that a worker keeps at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def sha(s: str) -> str:
@@ -242,7 +242,7 @@ def encode(docs: DataFrame, path: str, keep_texts: bool = True) -> DataFrame:
                 while end < b.num_rows and (end == begin or chars + sizes[end] <= BATCH_CHARS):
                     chars += sizes[end]
                     end += 1
-                rows = list(encode_texts(path, column.slice(begin, end - begin).to_pylist()))
+                rows = list(encode_texts(path, column.slice(begin, end - begin).to_pylist(), cached))
                 out = [b.column("doc_id").slice(begin, end - begin), pa.array([r[2] for r in rows], pa.int64()),
                        pa.array([sha(r[0]) for r in rows]), pa.array([sha(r[1]) for r in rows])]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
