@@ -161,6 +161,26 @@ def test_recurring_templates_go_and_copies_stay(frame, prose):
     assert line_dedup.dedup(frame([]).limit(0)).count() == 0
 
 
+def _kept(frame, rows):
+    return {r.doc_id: r.text for r in line_dedup.dedup(frame(rows)).collect()}
+
+
+def test_a_group_of_copies_is_one_document_and_short_pages_count(frame, prose):
+    footer = "\n".join(prose(9000 + k, 12) for k in range(2))
+    pages = [(i, f"{prose(i, 12)}\n{footer}") for i in range(10)]  # different pages, two thirds footer
+    parts = [prose(7000 + k, 12) for k in range(6)]
+    near = [(100 + i, "\n".join([*parts[:i % 6], prose(8000 + i, 12), *parts[i % 6 + 1:]])) for i in range(30)]  # a line of each is another one
+    whole = [(200 + i, "\n".join(parts)) for i in range(15)]
+    long = [prose(7100 + k, 40).split() for k in range(6)]
+    edits = [(800 + i, "\n".join(" ".join(f"new{i}" if (j + 7 * i + k) % 12 == 0 and (i + k) % 3 else w for j, w in enumerate(ws)) for k, ws in enumerate(long))) for i in range(60)]
+    shared = prose(9500, 12)
+    groups = [(300 + i, f"{prose(9600 + i // 12, 40)}\n{shared}") for i in range(120)]  # ten groups of twelve copies
+    few_groups = [(500 + i, f"{prose(9700 + i // 12, 40)}\n{shared}s") for i in range(108)]  # nine
+    kept = _kept(frame, pages + near + whole + edits + groups + few_groups)
+    assert all(kept[i] == t.split("\n")[0] for i, t in pages + groups)
+    assert all(kept[i] == t for i, t in near + whole + edits + few_groups)
+
+
 # 8 -------------------------------------------------------------------------------------------
 
 def brute_components(rows, n=4, percent=85):
