@@ -181,6 +181,18 @@ def test_a_group_of_copies_is_one_document_and_short_pages_count(frame, prose):
     assert all(kept[i] == t for i, t in near + whole + edits + few_groups)
 
 
+def test_variable_fields_and_several_templates_of_a_leaf(frame, prose):
+    name = lambda i: chr(97 + i // 26) + chr(97 + i % 26) + "a"
+    shapes = [lambda i: f"Page {i} of {30 + i}", lambda i: f"Posted on 2024-01-{i} by {name(i)}", lambda i: f"Filed under the {name(i)} {name(i + 99)}",
+              lambda i: f"Seen {i} times in {i * i} days", lambda i: f"For more about {name(i)} see our {name(i + 50)} pages here" if i % 2 else f"For more about {name(i)} write them a {name(i + 50)} note"]
+    rows = [(1000 * k + i, f"{prose(1000 * k + i, 25)}\n{shape(i)}") for k, shape in enumerate(shapes) for i in range(30)]
+    letters = str.maketrans("0123456789", "abcdefghij")  # words with digits would be number fields
+    clean = [(9000 + i, f"{prose(20000 + i, 25)}\nThis is what " + prose(30000 + i, 9).translate(letters)) for i in range(30)]  # a leaf without a template
+    kept = _kept(frame, rows + clean)
+    assert [i for i, t in rows if kept[i] != t.split("\n")[0]] == []
+    assert all(kept[i] == t for i, t in clean)
+
+
 # 8 -------------------------------------------------------------------------------------------
 
 def brute_components(rows, n=4, percent=85):
