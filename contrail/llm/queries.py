@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import bpe, decontaminate, fingerprints, html_text, jaccard_join, line_dedup, secret_scan, substring_dedup, token_counts, toxicity
+from contrail.llm import (bpe, decontaminate, fill_middle, fingerprints, html_text, hyper_minhash, jaccard_join, lexical_search, line_dedup, secret_scan,
+                          substring_dedup, token_counts, toxicity)
 from contrail.llm.common import table
 from contrail.session import scratch_path
 
@@ -70,6 +71,21 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.dedup(table(spark, sf_dir, "documents")))
 
 
+def op11_hyper_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near duplicates (five words, 0.85) of all documents; one document of each class is kept."""
+    return hyper_minhash.dedup(table(spark, sf_dir, "documents"), n=5, percent=85)
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, cuts and digests of output and restored text of all documents."""
+    return fill_middle.digest(fill_middle.restore(fill_middle.transform(table(spark, sf_dir, "documents"), seed=42)))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all documents for each test item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 OP10_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
 ]+') AS w FROM documents),
@@ -103,18 +119,56 @@ found AS (SELECT r, {counts}, string_agg(span, ',' ORDER BY start, ord) FILTER (
 SELECT doc_id, {zero}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM t LEFT JOIN found USING (r)"""
 
 
-OP8_SQL = r"""
+#: N-gram length, one less, two less, the threshold: for operators 8 and 11.
+SIMILAR_SQL = r"""
 WITH RECURSIVE w AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 grams AS (SELECT DISTINCT doc_id, array_to_string(x, ' ') AS g FROM (
-    SELECT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3]) WHEN len(w) > 0 THEN [w] ELSE [] END) AS x FROM w)),
+    SELECT doc_id, unnest(CASE WHEN len(w) >= {n} THEN list_transform(range(1, len(w) - {m}), lambda i: w[i:i + {l}]) WHEN len(w) > 0 THEN [w] ELSE [] END) AS x FROM w)),
 sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
 shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM grams a JOIN grams b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
-links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= {percent} * (x.n + y.n - c)),
 reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.r = links.a)
 SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(r) AS component_id
 FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_secret_scans, op3_bpe, op4_toxicity, op5_html_extraction, op6_imatch_fingerprints, op7_line_dedup, op8_ngram_jaccard_join, op9_decontamination, op10_substring_dedup)}
-ORACLES: dict[str, str] = {"op2_secret_scans": _op2_sql(), "op8_ngram_jaccard_join": OP8_SQL, "op10_substring_dedup": OP10_SQL}
+
+def _similar_sql(n: int, percent: int) -> str:
+    return SIMILAR_SQL.replace("{n}", str(n)).replace("{l}", str(n - 1)).replace("{m}", str(n - 2)).replace("{percent}", str(percent))
+
+
+OP8_SQL = _similar_sql(4, 85)
+OP11_SQL = f"SELECT *, doc_id = component_id AS kept FROM ({_similar_sql(5, 85)})"
+
+OP12_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+u AS (SELECT doc_id, text, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM t),
+d AS (SELECT *, len(w) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM u),
+f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS i, greatest(h1 % (n + 1), h2 % (n + 1)) AS j,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, array_to_string(w[1:i], '') AS prefix, array_to_string(w[i + 1:j], '') AS middle, array_to_string(w[j + 1:], '') AS suffix FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256 FROM p
+"""
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+n AS (SELECT r, doc_id, CAST(len(t) AS BIGINT) AS n FROM d WHERE len(t) > 0),
+s AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+tf AS (SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY r, term),
+i AS (SELECT row_number() OVER () AS i, item_id, list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+q AS (SELECT i, item_id, unnest(t) AS term FROM i),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf CROSS JOIN s WHERE term IN (SELECT term FROM q) GROUP BY term),
+m AS (SELECT r, doc_id, 10 + (90 * n * docs) // terms AS m FROM n CROSS JOIN s),
+scored AS (SELECT i, item_id, doc_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+           FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m USING (r) GROUP BY i, item_id, doc_id, r),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_secret_scans, op3_bpe, op4_toxicity, op5_html_extraction, op6_imatch_fingerprints, op7_line_dedup, op8_ngram_jaccard_join, op9_decontamination, op10_substring_dedup,
+                                                      op11_hyper_minhash, op12_fill_middle, op13_lexical_search)}
+ORACLES: dict[str, str] = {"op2_secret_scans": _op2_sql(), "op8_ngram_jaccard_join": OP8_SQL, "op10_substring_dedup": OP10_SQL,
+                           "op11_hyper_minhash": OP11_SQL, "op12_fill_middle": OP12_SQL, "op13_lexical_search": OP13_SQL}

@@ -1,4 +1,4 @@
-"""The ten operators on small fixtures, against brute force; every odd case without a crash."""
+"""The operators on small fixtures, against brute force; every odd case without a crash."""
 
 import hashlib
 import random
