@@ -1,18 +1,21 @@
 """Global ranks that scale past one task.
 
 ``RANK/DENSE_RANK/ROW_NUMBER() OVER (ORDER BY ...)`` without PARTITION BY puts
-every row into a single task. ``rank_rows`` gives the same numbers at any size,
-by one way for all sizes:
+every row into a single task. ``rank_rows`` gives the same numbers at any size:
 
 1. the input is written once, so that the order keys and the rows that they are
-   joined back to are the same values;
+   joined back to are the same values (a written table is taken as it is);
 2. rows collapse to distinct order keys with their multiplicity (partial
    aggregation, so one hot key costs one row, not a third of the data);
-3. the keys are dealt to ranges and written with the number of their range: the
-   ranges are drawn once and later steps read them, whatever Spark recomputes;
+3. the edges of the ranges are drawn once from these keys and become literals, so that
+   a key's range depends on the key alone, whatever Spark recomputes;
 4. keys are numbered inside their range by a window over the range, and the
    numbers of keys and rows in the ranges before are added (a #ranges-row table);
 5. positions are joined back on the order keys (null-safe).
+
+Where the number of rows has been counted and is ``WINDOW_ROWS`` at most (the members of
+a small dimension), the window over all of them is bounded and is used as it is. Both
+ways give the same numbers (tests hold one against the other).
 """
 
 from __future__ import annotations
@@ -22,6 +25,9 @@ from pyspark.sql import functions as F
 
 from contrail.session import scratch_path
 
+WINDOW_ROWS = 50_000  # counted rows up to which one task ranks all
+DRAWN = 40  # keys drawn for each edge of a range
+
 
 def _sort_exprs(order) -> list[Column]:
     out = []
@@ -41,25 +47,57 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _after(sort: list[tuple[str, bool]], edge) -> Column:
+    """Is a key at or behind an edge in the order? Both orders put NULLs at the low end of values."""
+    later = F.lit(True)  # equal in all columns
+    for name, asc in reversed(sort):
+        key, at = F.col(name), F.lit(edge[name])
+        same = key.eqNullSafe(at)
+        beyond = (key.isNotNull() & F.lit(edge[name] is None) | (key > at)) if asc else (key.isNull() & F.lit(edge[name] is not None) | (key < at))
+        later = F.coalesce(beyond, F.lit(False)) | (same & later)
+    return later
+
+
+def _edges(located: DataFrame, sort: list[tuple[str, bool]], ranges: int) -> list:
+    """Keys that part the distinct keys into about equal ranges, from ``DRAWN`` of them for each range."""
+    if ranges < 2:
+        return []
+    names = [n for n, _ in sort]
+    drawn = (located.select(*names).withColumn("_draw", F.xxhash64(*names)).orderBy("_draw").limit(DRAWN * ranges)
+             .orderBy(*_sort_exprs(sort)).collect())  # DRAWN x ranges rows at most
+    return [drawn[i * len(drawn) // ranges] for i in range(1, ranges)] if len(drawn) >= ranges else []
+
+
 def rank_rows(df: DataFrame, order, kind: str = "rank", out: str = "rank",
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None, bound: int | None = None, is_table: bool = False) -> DataFrame:
     """Add ``out`` = rank / dense_rank / row_number over the global ``order``.
 
     ``order``: list of column names (ascending, NULLS FIRST) or
     ``(name, ascending)`` pairs (descending puts NULLS LAST), as SQLite/Spark
     default. ``row_number`` refuses an order that is not unique per row
     (``ValueError``). The result column is BIGINT. Writes its steps under the
-    shared work folder.
+    shared work folder. ``bound``: the number of rows at most, if it has been counted. ``is_table``:
+    ``df`` reads a written table, so that its rows are the same each time.
     """
     if kind not in ("rank", "dense_rank", "row_number"):
         raise ValueError(f"unknown rank kind {kind!r}")
     spark, keys, sort = df.sparkSession, _names(order), _sort_exprs(order)
-    ranges = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df = _written(df, "rank-rows")
-    located = _written(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                       .repartitionByRange(ranges, *sort).withColumn("_range", F.spark_partition_id()), "rank-keys")
-    if kind == "row_number" and not located.where("_n > 1").isEmpty():
+    if not is_table and (bound is None or bound > WINDOW_ROWS):
+        df = _written(df, "rank-rows")
+    if kind == "row_number" and not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
         raise ValueError(f"row_number needs an order that is unique per row; {keys} has ties")
+    if bound is not None and bound <= WINDOW_ROWS:
+        number = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[kind]()
+        return df.withColumn(out, number.over(Window.orderBy(*sort)).cast("bigint"))  # counted rows
+    ranges = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = [(o, True) if isinstance(o, str) else o for o in order]
+    located = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    edges = _edges(located, by, ranges)
+    # edges are in order: a key's range is the number of edges that it is at or behind
+    place = F.lit(0)
+    for edge in edges:
+        place = place + _after(by, edge).cast("int")
+    located = located.withColumn("_range", place)
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
     offsets = (located.groupBy("_range").agg(F.count(F.lit(1)).alias("_k"), F.sum("_n").alias("_m"))
                .select("_range", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_keys_before"),

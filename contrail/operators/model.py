@@ -9,16 +9,23 @@ Scale notes
   row count is known (counted after materialising) and the size estimated from
   it is below ``BROADCAST_MAX_BYTES``; otherwise Spark/AQE choose (sort-merge,
   skew split).
-* Surrogate keys are ranks by code (``rank_rows``), the same way at every size.
+* Surrogate keys of a load's new members follow the largest known key in code order
+  (``operators/keys.py``); known members keep theirs.
+* A load's tables become visible together (``sources/warehouse.py``); only the years that it
+  holds are rewritten.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions.ranking import dense_keys
 from contrail.functions.scalar import date_from_key, one_row
+from contrail.operators.keys import register, registry
+from contrail.sources.warehouse import Load, Warehouse
 from contrail.spec import FACT_DROP, FLIGHT_SPEC, FactSpec, Star, Tables
 
 # Largest side (estimated bytes) we broadcast by hint; a string counts as so many bytes.
@@ -185,32 +192,63 @@ def build_star(tables: Tables, airlines_ref: DataFrame, airports_ref: DataFrame,
     )
 
 
-def write_star(star: Star, path: str, partition_by=("year",)) -> None:
-    """Write the four tables (A7). The fact is partitioned by a year column
-    derived from ``date_key`` so date predicates prune directories. The fact
-    is written first; the date dimension is then derived from the written
-    fact's ``date_key`` column alone (column-pruned scan, no recomputation)."""
-    fact = star.fact
-    if "year" in partition_by and "year" not in fact.columns:
-        fact = fact.withColumn("year", (F.col("date_key") / 10000).cast("int"))
-    if "month" in partition_by and "month" not in fact.columns:
-        fact = fact.withColumn("month", ((F.col("date_key") / 100) % 100).cast("int"))
-    # rebalanced by the partition columns: files follow the data's size, not tasks x years
-    (fact.hint("rebalance", *partition_by).write.mode("overwrite").option("maxRecordsPerFile", 5_000_000)
-     .partitionBy(*partition_by).parquet(f"{path}/fact_flights"))
-    written = star.fact.sparkSession.read.parquet(f"{path}/fact_flights")
-    star.dim_airline.write.mode("overwrite").parquet(f"{path}/dim_airline")
-    star.dim_airport.write.mode("overwrite").parquet(f"{path}/dim_airport")
-    date_dim(written).write.mode("overwrite").parquet(f"{path}/dim_date")
-
-
-def read_star(spark, path: str) -> Star:
-    """Read a written star; dimension row counts come from parquet metadata."""
-    dims = {n: spark.read.parquet(f"{path}/{n}") for n in ("dim_airline", "dim_airport", "dim_date")}
+FACT = "fact_flights"
+DIMENSIONS = ("dim_airline", "dim_airport", "dim_date")
+
+
+def with_year(fact: DataFrame) -> DataFrame:
+    """The fact with its partition column, derived from ``date_key``."""
+    return fact if "year" in fact.columns else fact.withColumn("year", (F.col("date_key") / 10000).cast("int"))
+
+
+def stage_star(load: Load, star: Star, replace_all: bool = False) -> None:
+    """Stages the four tables (A7) in a load. The fact is partitioned by year, so that date predicates prune
+    directories, and only the years that it holds are replaced (all, with ``replace_all``). The date
+    dimension takes the dates of the fact as written (a scan of one column) and keeps those of the other years."""
+    before = load.warehouse.read("dim_date") if load.before and not replace_all and "dim_date" in load.warehouse._folders() else None
+    fact = load.write(FACT, with_year(star.fact), "year", replace_all)
+    load.write("dim_airline", star.dim_airline)
+    load.write("dim_airport", star.dim_airport)
+    dates = date_dim(fact)
+    if before is not None:
+        years = fact.select("year").distinct()
+        dates = dates.unionByName(before.join(years, "year", "left_anti").select(dates.columns))
+    load.write("dim_date", dates)
+
+
+def write_star(star: Star, path: str) -> None:
+    """Publishes the four tables as a new version of the warehouse at ``path``; readers see all of them or none."""
+    load = Warehouse(star.fact.sparkSession, path).begin(f"star-{uuid.uuid4().hex[:12]}")
+    stage_star(load, star, replace_all=True)
+    load.commit()
+
+
+def read_star(spark, path: str, version: int | None = None) -> Star:
+    """The star of a published version (the newest, if not given); dimension row counts come from Parquet metadata."""
+    tables = Warehouse(spark, path).read_all(version)
+    missing = [t for t in (FACT, *DIMENSIONS) if t not in tables]
+    if missing:
+        raise ValueError(f"no published star in {path}: {missing}")
+    dims = {n: tables[n] for n in DIMENSIONS}
     counted = one_row(*[d.agg(F.count(F.lit(1)).alias(n)) for n, d in dims.items()]).first()
-    rows = {n: counted[n] for n in dims}  # one job for the three counts
-    fact = spark.read.parquet(f"{path}/fact_flights")
-    return Star(fact=fact, rows=rows, **dims)
+    return Star(fact=tables[FACT], rows={n: counted[n] for n in dims}, **dims)  # one job for the three counts
+
+
+def load_star(spark, df: DataFrame, path: str, airlines_ref: DataFrame, airports_ref: DataFrame, load_id: str,
+              spec: FactSpec = FLIGHT_SPEC, on_unmatched: str = "keep") -> Star:
+    """C6-C14 and A7 as one load: cleaned flights ``df`` into the warehouse at ``path``.
+
+    Members that earlier loads know keep their keys, new ones follow; the years that ``df`` holds are replaced,
+    the other years' files stay. Everything becomes visible with one manifest. A load that was
+    committed before (``load_id``) changes nothing.
+    """
+    warehouse = Warehouse(spark, path)
+    if not warehouse.committed(load_id):
+        load = warehouse.begin(load_id)
+        tables = keyed_tables(load, df, spec, on_unmatched)
+        stage_star(load, build_star(tables, airlines_ref, airports_ref, spec))
+        load.commit()
+    return read_star(spark, path)
 
 
 # --------------------------------------------------------------------------- C15
@@ -231,38 +269,31 @@ def all_members(df: DataFrame, spec: FactSpec = FLIGHT_SPEC) -> DataFrame:
         .select("m.*").where(F.col("code").isNotNull()).distinct())
 
 
+#: Names of the normalized dimensions: dimension, column of the code, column of the id.
+NORMALIZED = (("airlines", "AIRLINE", "AIRLINE_ID"), ("airports", "AIRPORT", "AIRPORT_ID"))
+
+
+def _by_dimension(keys: DataFrame) -> dict:
+    return {dim: keys.where(F.col("dim") == dim).select(F.col("code").alias(code), F.col("key").alias(key))
+            for dim, code, key in NORMALIZED}
+
+
 def read_keys(spark, path: str) -> dict:
-    """Normalized dimensions written by ``normalize_written``:
-    airlines(AIRLINE, AIRLINE_ID) and airports(AIRPORT, AIRPORT_ID)."""
-    keys = spark.read.parquet(f"{path}/keys")
-    return {dim: keys.where(F.col("dim") == dim).select(F.col("code").alias(code),
-                                                        F.col("key").alias(key))
-            for dim, (code, key) in (("airlines", ("AIRLINE", "AIRLINE_ID")),
-                                     ("airports", ("AIRPORT", "AIRPORT_ID")))}
+    """Normalized dimensions of the warehouse at ``path``: airlines(AIRLINE, AIRLINE_ID) and airports(AIRPORT, AIRPORT_ID)."""
+    return _by_dimension(registry(Warehouse(spark, path)))
 
 
-def normalize_written(spark, df: DataFrame, path: str, spec: FactSpec = FLIGHT_SPEC,
-                      on_unmatched: str = "keep") -> Tables:
-    """C10 as a batch job, three jobs before the fact: members of both
-    dimensions from one scan of ``df`` (written), their counts (one job over
-    the small member table), and the surrogate keys of both (``rank_rows`` per
-    dimension). The counts bound every later broadcast.
+def keyed_tables(load: Load, df: DataFrame, spec: FactSpec = FLIGHT_SPEC, on_unmatched: str = "keep") -> Tables:
+    """C10 in a load: members of both dimensions from one scan of ``df``, their keys looked up or numbered
+    (``keys.register``), natural codes replaced. The members' counts bound every later broadcast.
 
     Members come from ``df`` itself, so every non-null code matches; NULL
     codes get NULL keys (``keep``), which the load check (K10) on the
     written fact reports -- no extra pass. ``raise`` adds that pass here.
     """
-    all_members(df, spec).write.mode("overwrite").parquet(f"{path}/members")
-    mem = spark.read.parquet(f"{path}/members")
-    got = {r["dim"]: r["n"] for r in mem.groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
-           .collect()}  # at most two rows
-    counts = {"airlines": got.get("airlines", 0), "airports": got.get("airports", 0)}
-    names = {"airlines": ("AIRLINE", "AIRLINE_ID"), "airports": ("AIRPORT", "AIRPORT_ID")}
-    for i, dim in enumerate(names):
-        (surrogate_keys(mem.where(F.col("dim") == dim).select("code"), "code", "key")
-         .withColumn("dim", F.lit(dim)).select("dim", "code", "key")
-         .write.mode("append" if i else "overwrite").parquet(f"{path}/keys"))
-    keyed = read_keys(spark, path)
+    current, count = register(load, all_members(df, spec))
+    counts = {dim: count.get(dim, 0) for dim, _, _ in NORMALIZED}
+    keyed = _by_dimension(current)
     flights = map_keys(df, [
         (spec.carrier, keyed["airlines"], "AIRLINE", "AIRLINE_ID", "AIRLINE_ID",
          counts["airlines"]),
@@ -273,3 +304,12 @@ def normalize_written(spark, df: DataFrame, path: str, spec: FactSpec = FLIGHT_S
     ], on_unmatched=on_unmatched).drop(spec.carrier, spec.origin, spec.destination)
     return Tables(airlines=keyed["airlines"], airports=keyed["airports"], flights=flights,
                   counts=counts)
+
+
+def normalize_written(spark, df: DataFrame, path: str, spec: FactSpec = FLIGHT_SPEC,
+                      on_unmatched: str = "keep") -> Tables:
+    """C10 alone: the keys of ``df``'s members are published in the warehouse at ``path``; flights are keyed lazily."""
+    load = Warehouse(spark, path).begin(f"keys-{uuid.uuid4().hex[:12]}")
+    tables = keyed_tables(load, df, spec, on_unmatched)
+    load.commit()
+    return tables

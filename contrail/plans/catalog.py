@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from contrail.plans import kpi, metrics
 from contrail.plans.oracle import with_flights
 from contrail.sources import bindings
+from contrail.sources.warehouse import Warehouse
 
 D = 6  # rounding digits used in the registered queries (oracle parity)
 
@@ -546,7 +547,7 @@ def q_f43d(spark, sf_dir):
 
 
 # =========================================================================== profile (B) / clean (C)
-from contrail.operators import clean, model, profile  # noqa: E402
+from contrail.operators import clean, keys, model, profile  # noqa: E402
 from contrail.plans.oracle import RAW_COLUMNS, STRING_COLUMNS, q  # noqa: E402
 from contrail.spec import (AIRLINES_SCHEMA, DELAY_COLUMNS, FLIGHTS_SCHEMA,  # noqa: E402
                            NORMALIZED_FLIGHTS_SCHEMA)
@@ -1374,9 +1375,8 @@ FROM (SELECT 'fact_flights' AS name, (SELECT count(*) FROM fl) AS n
      (VALUES ('exists'), ('non_empty')) AS c(check_name)"""))
 def q_a09(spark, sf_dir):
     """The warehouse tables exist and are non-empty."""
-    bindings.star(spark, sf_dir)
-    p = bindings.star_path(spark, sf_dir)
-    return io.check_tables(spark, {n: f"{p}/{n}" for n in
+    tables = Warehouse(spark, bindings.star_path(spark, sf_dir)).read_all()
+    return io.check_tables(spark, {n: tables.get(n) for n in
                                    ("fact_flights", "dim_airline", "dim_airport", "dim_date")})
 
 
@@ -1401,3 +1401,46 @@ def q_a13_a14(spark, sf_dir):
     # the detail of a present source is its path (run-specific): report NULL instead
     present = present.withColumn("detail", F.lit(None).cast("string"))
     return present.unionByName(status)
+
+
+# =========================================================================== loads one after another
+def _two_loads(spark, sf_dir, first, second, name):
+    """The flights as two loads of one warehouse."""
+    f, path = raw(spark, sf_dir), scratch_path(spark, name)
+    for i, part in enumerate((first, second)):
+        star_ = model.load_star(spark, f.where(part), path, bindings.airlines_ref(spark, sf_dir), bindings.airports_ref(spark, sf_dir), f"load-{i}")
+    return star_, path
+
+
+@register("q_c08_stable_keys", with_flights("""
+m AS (SELECT 'airlines' AS dim, AIRLINE AS code, min(CASE WHEN ORIGIN_AIRPORT < 'J' THEN 1 ELSE 2 END) AS load FROM fl GROUP BY AIRLINE
+  UNION ALL SELECT 'airports', code, min(load) FROM (
+    SELECT ORIGIN_AIRPORT AS code, CASE WHEN ORIGIN_AIRPORT < 'J' THEN 1 ELSE 2 END AS load FROM fl
+    UNION ALL SELECT DESTINATION_AIRPORT, CASE WHEN ORIGIN_AIRPORT < 'J' THEN 1 ELSE 2 END FROM fl) GROUP BY code)
+SELECT dim, code, CAST(row_number() OVER (PARTITION BY dim ORDER BY load, code) AS INTEGER) AS key, CAST(load AS BIGINT) AS load_version FROM m"""))
+def q_c08_stable(spark, sf_dir):
+    """Keys after two loads (stations below J, then all others): those of the first load are
+    numbered by code, the new ones of the second follow."""
+    _, path = _two_loads(spark, sf_dir, F.col("ORIGIN_AIRPORT") < "J", F.col("ORIGIN_AIRPORT") >= "J", "stable-keys")
+    return keys.registry(Warehouse(spark, path))
+
+
+@register("q_a07_incremental_star", with_flights(f"""
+SELECT "YEAR" AS year, airline_name, origin_name AS origin, count(*) AS flights, count_if(CANCELLED = 1) AS cancelled, {R('avg(DEPARTURE_DELAY)')} AS avg_dep_delay
+FROM fl GROUP BY "YEAR", airline_name, origin_name"""))
+def q_a07(spark, sf_dir):
+    """The star after two loads: up to 1995, with flown flights of 1995 only, then from 1995 on; 1995 is replaced."""
+    flown = (F.col("YEAR") < 1995) | ((F.col("YEAR") == 1995) & (F.col("CANCELLED") == 0))
+    s, _ = _two_loads(spark, sf_dir, flown, F.col("YEAR") >= 1995, "incremental")
+    return (s.fact.join(s.dim_airline, "airline_key").join(s.dim_airport, s.fact.origin_airport_key == s.dim_airport.airport_key)
+            .groupBy("year", "airline_name", F.col("airport_name").alias("origin"))
+            .agg(F.count(F.lit(1)).alias("flights"), F.count_if(F.col("CANCELLED") == 1).alias("cancelled"), F.round(F.avg("DEPARTURE_DELAY"), D).alias("avg_dep_delay")))
+
+
+@register("q_d04_calendar_slice", with_flights(f"""
+SELECT d.year, d.quarter, d.is_weekend, count(*) AS flights, {R('avg(DEPARTURE_DELAY)')} AS avg_dep_delay, {R('avg(ARRIVAL_DELAY)')} AS avg_arr_delay,
+  {P('count_if(CANCELLED = 1)', 'count(*)')} AS cancellation_rate
+FROM fl JOIN dd d USING (date_key) WHERE d.is_weekend AND d.quarter = 4 GROUP BY d.year, d.quarter, d.is_weekend"""))
+def q_d04(spark, sf_dir):
+    """Weekends of the last quarter: a filter on the date's attributes."""
+    return metrics.calendar_slice(star(spark, sf_dir), [F.col("is_weekend"), F.col("quarter") == 4], digits=D)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.functions.scalar import count_when, is_flag
+from contrail.functions.scalar import all_of, count_when, is_flag
 from contrail.operators.model import bounded
 from contrail.spec import CAUSES, Star  # noqa: F401  CAUSES: for the plans
 
@@ -63,6 +63,14 @@ def by_key_then_attr(star: Star, fact: DataFrame, fact_key: str, dim_name: str,
     return j.groupBy(*attrs).agg(*merge_partials(value_cols, flags))
 
 
+def dated(star: Star, predicates, *attrs) -> DataFrame:
+    """The fact with attributes of ``dim_date``, of the dates that fulfil ``predicates`` (on its columns). The
+    join is on date and year, so that the years of the dates found prune the fact's directories at run time."""
+    on = ["date_key", "year"] if "year" in star.fact.columns else ["date_key"]
+    d = dim(star, "dim_date").where(all_of(predicates)).select(*dict.fromkeys([*on, *attrs]))
+    return star.fact.join(d, on)
+
+
 def on_date(fact: DataFrame, date_key) -> Column | None:
     """``date_key = k`` plus the implied ``year = k / 10000`` when the fact is
     partitioned by year, so the scan prunes every other year's directory."""

@@ -6,21 +6,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.ranking import rank_rows
-from contrail.functions.scalar import count_when, pct, rnd, route_label
+from contrail.functions.scalar import count_when, one_row, pct, rnd, route_label
 from contrail.plans.common import (ARR, CANC, CAUSES, DEP, DIVR, by_key_then_attr, dim,
                                    merge_partials, mean, partials)
 from contrail.spec import ROUTE_ARROW_BATCH, Star
 
 
 # --------------------------------------------------------------------------- F11, G1
-def carrier_reliability(star: Star, digits: int | None = 2) -> DataFrame:
-    """Airline reliability: RANK by (cancel fraction asc, avg arrival delay asc).
-
-    Grouped by airline name; the rank uses the unrounded fraction and average.
-    """
+def _carriers(star: Star) -> DataFrame:
+    """(airline_name, total_flights, cancelled_flights, _div, _cf, _avg) by airline name: counts, the
+    cancel fraction and the average arrival delay, both unrounded."""
     g = by_key_then_attr(star, star.fact, "airline_key", "dim_airline", "airline_key",
                          ["airline_name"], value_cols=(ARR,))
-    g = g.select(
+    return g.select(
         "airline_name",
         F.col("_n").alias("total_flights"),
         F.col(f"_f_{CANC}").alias("cancelled_flights"),
@@ -28,7 +26,15 @@ def carrier_reliability(star: Star, digits: int | None = 2) -> DataFrame:
         (F.col(f"_f_{CANC}") / F.col("_n")).alias("_cf"),
         mean(ARR).alias("_avg"),
     )
-    g = rank_rows(g, [("_cf", True), ("_avg", True)], "rank", "reliability_rank")
+
+
+def carrier_reliability(star: Star, digits: int | None = 2) -> DataFrame:
+    """Airline reliability: RANK by (cancel fraction asc, avg arrival delay asc).
+
+    Grouped by airline name; the rank uses the unrounded fraction and average.
+    """
+    g = _carriers(star)
+    g = rank_rows(g, [("_cf", True), ("_avg", True)], "rank", "reliability_rank", bound=star.rows.get("dim_airline"))
     return g.select(
         "airline_name", "total_flights", "cancelled_flights",
         pct("cancelled_flights", "total_flights", digits).alias("cancellation_rate"),
@@ -39,19 +45,25 @@ def carrier_reliability(star: Star, digits: int | None = 2) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- F12, G2
-def airport_efficiency(star: Star, min_departures: int = 50, delayed_gt: float = 15,
-                       digits: int | None = 2) -> DataFrame:
-    """Origin airports with more than ``min_departures`` departures, DENSE_RANK
-    by average departure delay (rank taken after the volume filter)."""
+def _airports(star: Star, min_departures: int, delayed_gt: float = 15) -> DataFrame:
+    """(airport_code, airport_name, total_departures, _avg, delayed_departures) of the origin airports
+    with more than ``min_departures`` departures; the average departure delay is unrounded."""
     per_key = star.fact.groupBy(F.col("origin_airport_key").alias("_k")).agg(
         *partials((DEP,), ()), count_when(F.col(DEP) > delayed_gt).alias("_late"))
     d = dim(star, "dim_airport", F.col("airport_key").alias("_k"), "airport_code", "airport_name")
     g = (per_key.join(d, "_k").groupBy("airport_code", "airport_name")
          .agg(*merge_partials((DEP,), ()), F.sum("_late").alias("_late"))
          .where(F.col("_n") > min_departures))
-    g = g.select("airport_code", "airport_name", F.col("_n").alias("total_departures"),
-                 mean(DEP).alias("_avg"), F.col("_late").alias("delayed_departures"))
-    g = rank_rows(g, [("_avg", True)], "dense_rank", "efficiency_rank")
+    return g.select("airport_code", "airport_name", F.col("_n").alias("total_departures"),
+                    mean(DEP).alias("_avg"), F.col("_late").alias("delayed_departures"))
+
+
+def airport_efficiency(star: Star, min_departures: int = 50, delayed_gt: float = 15,
+                       digits: int | None = 2) -> DataFrame:
+    """Origin airports with more than ``min_departures`` departures, DENSE_RANK
+    by average departure delay (rank taken after the volume filter)."""
+    g = rank_rows(_airports(star, min_departures, delayed_gt), [("_avg", True)], "dense_rank", "efficiency_rank",
+                  bound=star.rows.get("dim_airport"))
     return g.select(
         "airport_code", "airport_name", "total_departures",
         rnd("_avg", digits).alias("avg_dep_delay"),
@@ -127,51 +139,36 @@ def delay_risk(star: Star, arr_gt: float = 0, digits: int | None = 2) -> DataFra
 
 
 # --------------------------------------------------------------------------- F16, F17, H6
-def _pick(df: DataFrame, value: str, order_cols: list) -> list:
-    """first / last ``value`` in the given order, as aggregates (min_by/max_by)."""
-    key = F.struct(*order_cols)
-    return [F.min_by(value, key).alias("best"), F.max_by(value, key).alias("worst")]
+def _places(star: Star, min_departures: int, min_route_flights: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The aggregates behind the rankings, with ``_place``: the columns that they order by, then the names.
+    First and last place are found by ``min_by``/``max_by`` (partial aggregates): no rank is needed."""
+    a = _carriers(star).withColumn("_place", F.struct("_cf", "_avg", "airline_name"))
+    p = _airports(star, min_departures).withColumn("_place", F.struct("_avg", "airport_code"))
+    r = route_intelligence(star, min_route_flights, digits=None).withColumn(
+        "_place", F.struct("cancellation_rate", -F.col("flights"), "route"))
+    return a, p, r
 
 
 def scorecard(star: Star, min_departures: int = 50, min_route_flights: int = 21) -> DataFrame:
-    """Best / worst airline (reliability rank), airport (efficiency rank) and
-    route (cancellation %, then flights desc, then route)."""
-    a = carrier_reliability(star, digits=None)
-    p = airport_efficiency(star, min_departures, digits=None)
-    r = route_intelligence(star, min_route_flights, digits=None)
-    return (
-        a.agg(*_pick(a, "airline_name", [F.col("reliability_rank"), F.col("airline_name")]))
-        .select(F.lit("airline").alias("subject"), "best", "worst")
-        .unionByName(
-            p.agg(*_pick(p, "airport_name", [F.col("efficiency_rank"), F.col("airport_code")]))
-            .select(F.lit("airport").alias("subject"), "best", "worst"))
-        .unionByName(
-            r.agg(*_pick(r, "route", [F.col("cancellation_rate"), -F.col("flights"),
-                                      F.col("route")]))
-            .select(F.lit("route").alias("subject"), "best", "worst"))
-    )
+    """Best / worst airline (reliability), airport (efficiency) and route
+    (cancellation %, then flights desc, then route)."""
+    a, p, r = _places(star, min_departures, min_route_flights)
+    out = None
+    for subject, df, name in (("airline", a, "airline_name"), ("airport", p, "airport_name"), ("route", r, "route")):
+        x = df.agg(F.min_by(name, "_place").alias("best"), F.max_by(name, "_place").alias("worst")).select(F.lit(subject).alias("subject"), "best", "worst")
+        out = x if out is None else out.unionByName(x)
+    return out
 
 
 def insights(star: Star, min_departures: int = 50, min_route_flights: int = 21) -> DataFrame:
     """Busiest airline, busiest airport (among F12's), #1 airline, riskiest route."""
-    a = carrier_reliability(star, digits=None)
-    p = airport_efficiency(star, min_departures, digits=None)
-    r = route_intelligence(star, min_route_flights, digits=None)
-    busiest_airline = a.agg(F.min_by("airline_name", F.struct(-F.col("total_flights"),
-                                                              F.col("airline_name"))).alias("value"))
-    busiest_airport = p.agg(F.min_by("airport_name", F.struct(-F.col("total_departures"),
-                                                              F.col("airport_code"))).alias("value"))
-    top_airline = a.agg(F.min_by("airline_name", F.struct("reliability_rank", "airline_name"))
-                        .alias("value"))
-    risky_route = r.agg(F.max_by("route", F.struct(F.col("cancellation_rate"), -F.col("flights"),
-                                                   F.col("route"))).alias("value"))
-    parts = [("busiest_airline", busiest_airline), ("busiest_airport", busiest_airport),
-             ("top_reliability_airline", top_airline), ("riskiest_route", risky_route)]
-    out = None
-    for name, df in parts:
-        x = df.select(F.lit(name).alias("insight"), "value")
-        out = x if out is None else out.unionByName(x)
-    return out
+    a, p, r = _places(star, min_departures, min_route_flights)
+    airlines = a.agg(F.min_by("airline_name", F.struct(-F.col("total_flights"), "airline_name")).alias("busiest_airline"),
+                     F.min_by("airline_name", "_place").alias("top_reliability_airline"))  # one pass for both
+    airports = p.agg(F.min_by("airport_name", F.struct(-F.col("total_departures"), "airport_code")).alias("busiest_airport"))
+    routes = r.agg(F.max_by("route", "_place").alias("riskiest_route"))
+    names = ["busiest_airline", "busiest_airport", "top_reliability_airline", "riskiest_route"]
+    return one_row(airlines, airports, routes).unpivot([], names, "insight", "value")
 
 
 # --------------------------------------------------------------------------- F18, D7

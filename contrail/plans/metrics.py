@@ -18,8 +18,8 @@ from contrail.functions.scalar import (all_of, avg0, code_name_label, count_when
                                        is_flag, pct, pct0, rnd, route_label,
                                        short_day_label)
 from contrail.operators.model import bounded, unpivot_causes
-from contrail.plans.common import (ARR, CANC, CAUSES, DEP, DIST, DIVR, by_key_then_attr, dim,
-                                   merge_partials, mean, on_date, partials)
+from contrail.plans.common import (ARR, by_key_then_attr, CANC, CAUSES, dated, DEP, dim, DIST, DIVR,
+                                   mean, merge_partials, on_date, partials)
 from contrail.spec import (FLIGHT_SPEC, ROUTE_ARROW_TABLE, FactSpec, Star, WEEKDAY_LABEL, WEEKEND_LABEL,
                            Tables)
 
@@ -254,7 +254,7 @@ def airport_rankings(star: Star, k: int | None = 25) -> DataFrame:
     per = _traffic_by_key(star)
     d = dim(star, "dim_airport", F.col("airport_key").alias("_k"), "airport_code")
     g = per.join(d, "_k").groupBy("airport_code").agg(F.sum("_n").alias("total_traffic"))
-    g = rank_rows(g, [("total_traffic", False)], "dense_rank", "rank")
+    g = rank_rows(g, [("total_traffic", False)], "dense_rank", "rank", bound=star.rows.get("dim_airport"))
     g = g.orderBy("rank", F.col("airport_code").asc_nulls_first())
     return g.limit(k) if k else g
 
@@ -464,3 +464,13 @@ def executive_from_flights(df: DataFrame, spec: FactSpec = FLIGHT_SPEC,
         pct0("_d", "TOTAL_FLIGHTS", rate_digits).alias("DIVERSION_RATE"),
         rnd(F.coalesce(F.col("_dep"), F.lit(0.0)), avg_digits).alias("AVG_DEPARTURE_DELAY"),
         rnd(F.coalesce(F.col("_arr"), F.lit(0.0)), avg_digits).alias("AVG_ARRIVAL_DELAY"))
+
+
+def calendar_slice(star: Star, predicates=(), digits: int | None = 2) -> DataFrame:
+    """D4 on attributes of the date (quarter, weekend, month ..): flights, delays and cancellations by year,
+    quarter and weekend over the dates that fulfil the predicates; years without any are not read."""
+    keys = ["year", "quarter", "is_weekend"]
+    f = dated(star, list(predicates), "date_key", *keys)
+    g = f.groupBy(*keys).agg(*partials((DEP, ARR), (CANC,)))
+    return g.select(*keys, F.col("_n").alias("flights"), rnd(mean(DEP), digits).alias("avg_dep_delay"),
+                    rnd(mean(ARR), digits).alias("avg_arr_delay"), pct(f"_f_{CANC}", "_n", digits).alias("cancellation_rate"))

@@ -163,10 +163,7 @@ def build_and_write_star(spark: SparkSession, sf_dir: str, path: str) -> None:
     every later broadcast), surrogate keys, key mapping (C9), star (C11-C14)."""
     flights(spark, sf_dir).write.mode("overwrite").parquet(f"{path}/flights")
     raw = spark.read.parquet(f"{path}/flights")
-    tables = model.normalize_written(spark, raw, path)
-    refs = {"airlines": airlines_ref(spark, sf_dir), "airports": airports_ref(spark, sf_dir)}
-    s = model.build_star(tables, refs["airlines"], refs["airports"])
-    model.write_star(s, path)
+    model.load_star(spark, raw, path, airlines_ref(spark, sf_dir), airports_ref(spark, sf_dir), "first")
 
 
 def text_flights(spark: SparkSession, sf_dir: str) -> DataFrame:

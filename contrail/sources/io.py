@@ -139,12 +139,18 @@ def _status(spark: SparkSession, rows) -> DataFrame:
 
 
 def check_tables(spark: SparkSession, tables: dict) -> DataFrame:
-    """Required tables exist (catalog name or path) and the fact is non-empty.
+    """Required tables exist and are non-empty.
 
-    ``tables``: name -> catalog table name or path. Empty tables WARN.
+    ``tables``: name -> catalog table name, path, or the table itself (None: it
+    doesn't exist). Empty tables WARN.
     """
     rows = []
     for name, ref in tables.items():
+        if ref is None or isinstance(ref, DataFrame):
+            rows.append((name, "exists", "FAIL" if ref is None else "PASS", "not published" if ref is None else None))
+            if ref is not None:
+                rows.append((name, "non_empty", "WARN" if ref.isEmpty() else "PASS", None))
+            continue
         is_path = "/" in ref or ":" in ref
         try:
             df = (spark.read.parquet(ref) if is_path or not spark.catalog.tableExists(ref)
