@@ -61,7 +61,7 @@ def register(load: Load, members: DataFrame) -> tuple[DataFrame, dict[str, int]]
     # a partition a load: what earlier loads wrote stays as it is
     written = load.write(REGISTRY, numbered(new, known, rows).withColumn("load_version", F.lit(load.before + 1)), "load_version")
     current = written.select("dim", "code", "key")
-    if load.before and rows:
+    if load.before:
         current = current.unionByName(known.select("dim", "code", "key"))
     for r in known.groupBy("dim").agg(F.count("*").alias("n")).collect() if load.before else []:
         count[r["dim"]] = count.get(r["dim"], 0) + r["n"]

@@ -1413,15 +1413,16 @@ def _two_loads(spark, sf_dir, first, second, name):
 
 
 @register("q_c08_stable_keys", with_flights("""
-m AS (SELECT 'airlines' AS dim, AIRLINE AS code, min(CASE WHEN ORIGIN_AIRPORT < 'J' THEN 1 ELSE 2 END) AS load FROM fl GROUP BY AIRLINE
+m AS (SELECT 'airlines' AS dim, AIRLINE AS code, min(CASE WHEN greatest(ORIGIN_AIRPORT, DESTINATION_AIRPORT) < 'NATION_2' THEN 1 ELSE 2 END) AS load FROM fl GROUP BY AIRLINE
   UNION ALL SELECT 'airports', code, min(load) FROM (
-    SELECT ORIGIN_AIRPORT AS code, CASE WHEN ORIGIN_AIRPORT < 'J' THEN 1 ELSE 2 END AS load FROM fl
-    UNION ALL SELECT DESTINATION_AIRPORT, CASE WHEN ORIGIN_AIRPORT < 'J' THEN 1 ELSE 2 END FROM fl) GROUP BY code)
+    SELECT ORIGIN_AIRPORT AS code, CASE WHEN greatest(ORIGIN_AIRPORT, DESTINATION_AIRPORT) < 'NATION_2' THEN 1 ELSE 2 END AS load FROM fl
+    UNION ALL SELECT DESTINATION_AIRPORT, CASE WHEN greatest(ORIGIN_AIRPORT, DESTINATION_AIRPORT) < 'NATION_2' THEN 1 ELSE 2 END FROM fl) GROUP BY code)
 SELECT dim, code, CAST(row_number() OVER (PARTITION BY dim ORDER BY load, code) AS INTEGER) AS key, CAST(load AS BIGINT) AS load_version FROM m"""))
 def q_c08_stable(spark, sf_dir):
-    """Keys after two loads (stations below J, then all others): those of the first load are
-    numbered by code, the new ones of the second follow."""
-    _, path = _two_loads(spark, sf_dir, F.col("ORIGIN_AIRPORT") < "J", F.col("ORIGIN_AIRPORT") >= "J", "stable-keys")
+    """Keys after two loads (flights between the first stations, then all others): those of the first
+    load are numbered by code, the new ones of the second follow."""
+    both = F.greatest("ORIGIN_AIRPORT", "DESTINATION_AIRPORT")
+    _, path = _two_loads(spark, sf_dir, both < "NATION_2", both >= "NATION_2", "stable-keys")
     return keys.registry(Warehouse(spark, path))
 
 

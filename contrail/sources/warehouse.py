@@ -108,15 +108,17 @@ class Load:
         ``df`` holds are replaced (all, with ``replace_all``); without, the whole table is. A partition
         column holds whole numbers (years, months, versions)."""
         root = f"{self.warehouse.path}/{table}"
-        by = [partition_by] if partition_by else []
-        # rebalanced by the partition column: files follow the data's size, not tasks x partitions
-        rows = df.hint("rebalance", *by) if by else df
-        (rows.withColumn(LOAD, F.lit(self.name)).write.mode("append").option("maxRecordsPerFile", 5_000_000)
-         .partitionBy(*by, LOAD).parquet(root))
-        mine = self._partitions(table, partition_by) if partition_by else {"": f"{table}/{LOAD}={self.name}"}
+        if partition_by:
+            # rebalanced by the partition column: files follow the data's size, not tasks x partitions
+            (df.hint("rebalance", partition_by).withColumn(LOAD, F.lit(self.name)).write.mode("append")
+             .option("maxRecordsPerFile", 5_000_000).partitionBy(partition_by, LOAD).parquet(root))
+            mine = self._partitions(table, partition_by)
+        else:
+            mine = {"": f"{table}/{LOAD}={self.name}"}
+            df.write.parquet(f"{root}/{LOAD}={self.name}")
         if not mine and (replace_all or table not in self.warehouse._folders()):
             mine = {NULL_PART: f"{table}/{partition_by}={NULL_PART}/{LOAD}={self.name}"}  # no rows: an empty file keeps the schema
-            df.drop(*by).limit(0).write.parquet(f"{self.warehouse.path}/{mine[NULL_PART]}")
+            df.drop(partition_by).limit(0).write.parquet(f"{self.warehouse.path}/{mine[NULL_PART]}")
         self.staged[table] = mine
         if replace_all or not partition_by:
             self.replaced.add(table)

@@ -138,3 +138,18 @@ def test_calendar_filters_prune_years_at_run_time(spark, tmp_out, refs):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan and spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == old
     assert {(r.year, r.flights) for r in got.groupBy("year").agg(F.sum("flights").alias("flights")).collect()} == {(2018, 3), (2019, 3)}
+
+
+def test_a_load_without_new_members_keeps_all_keys(spark, tmp_out, refs):
+    model.load_star(spark, flights(spark, [(2015, 1, "MM", "LAX", "JFK"), (2015, 2, "ZZ", "JFK", "LAX")]), tmp_out, *refs, "one")
+    star = model.load_star(spark, flights(spark, [(2016, 1, "ZZ", "LAX", "JFK")]), tmp_out, *refs, "two")
+    assert facts(star) == [(20150101, "MM", "name MM"), (20150102, "ZZ", "name ZZ"), (20160101, "ZZ", "name ZZ")]
+    assert star.rows == {"dim_airline": 2, "dim_airport": 2, "dim_date": 3}
+
+
+def test_an_empty_load(spark, tmp_out, refs):
+    empty = flights(spark, [])
+    star = model.load_star(spark, empty, tmp_out, *refs, "none")
+    assert star.rows == {"dim_airline": 0, "dim_airport": 0, "dim_date": 0} and star.fact.count() == 0
+    star = model.load_star(spark, flights(spark, [(2015, 1, "MM", "LAX", "JFK")]), tmp_out, *refs, "one")
+    assert facts(star) == [(20150101, "MM", "name MM")]
