@@ -547,7 +547,7 @@ def q_f43d(spark, sf_dir):
 
 
 # =========================================================================== profile (B) / clean (C)
-from contrail.operators import clean, keys, model, profile  # noqa: E402
+from contrail.operators import clean, keys, model, profile, quarantine  # noqa: E402
 from contrail.plans.oracle import RAW_COLUMNS, STRING_COLUMNS, q  # noqa: E402
 from contrail.spec import (AIRLINES_SCHEMA, DELAY_COLUMNS, FLIGHTS_SCHEMA,  # noqa: E402
                            NORMALIZED_FLIGHTS_SCHEMA)
@@ -1445,3 +1445,22 @@ FROM fl JOIN dd d USING (date_key) WHERE d.is_weekend AND d.quarter = 4 GROUP BY
 def q_d04(spark, sf_dir):
     """Weekends of the last quarter: a filter on the date's attributes."""
     return metrics.calendar_slice(star(spark, sf_dir), [F.col("is_weekend"), F.col("quarter") == 4], digits=D)
+
+
+# =========================================================================== text feeds
+@register("q_c03_quarantine", with_flights("""
+bad AS (SELECT * FROM tf WHERE CANCELLED = 1 OR DISTANCE > 500)
+SELECT '*' AS column_name, 'good' AS reason, count(*) - (SELECT count(*) FROM bad) AS cells FROM tf
+UNION ALL SELECT '*', 'rejected', count(*) FROM bad
+UNION ALL SELECT 'DEPARTURE_DELAY', 'unparsable', count(*) FROM tf WHERE CANCELLED = 1 GROUP BY 2
+UNION ALL SELECT 'DISTANCE', 'out of range', count(*) FROM tf WHERE DISTANCE > 500 GROUP BY 2"""))
+def q_c03_quarantine(spark, sf_dir):
+    """The text feed as two CSV files with different column orders, parted into good rows and rejected cells."""
+    feed, base = bindings.text_flights(spark, sf_dir), scratch_path(spark, "feed")
+    io.write_table(feed.where("MONTH <= 6"), f"{base}/first-half", fmt="csv")
+    io.write_table(feed.where("MONTH > 6").select(*reversed(feed.columns)), f"{base}/second-half", fmt="csv")
+    got = quarantine.read_csv_split(spark, [f"{base}/first-half", f"{base}/second-half"], FLIGHTS_SCHEMA,
+                                    required=["AIRLINE"], ranges={"DISTANCE": (0, 500)})
+    rows = got.good.agg(F.count(F.lit(1)).alias("cells")).select(F.lit("*").alias("column_name"), F.lit("good").alias("reason"), "cells").unionByName(
+        got.rows.agg(F.count(F.lit(1)).alias("cells")).select(F.lit("*").alias("column_name"), F.lit("rejected").alias("reason"), "cells"))
+    return rows.unionByName(got.counts())

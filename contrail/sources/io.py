@@ -8,8 +8,11 @@ paths, so the driver-side loop is bounded by the number of sources).
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,23 +23,76 @@ from contrail.spec import AIRLINES_SCHEMA, AIRPORTS_SCHEMA, FLIGHTS_SCHEMA
 STATUS_SCHEMA = "name string, check string, status string, detail string"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType,
+#: Distinct headers that a folder may have; more point to files without any.
+MOST_HEADERS = 1_000
+#: Larger than any file: each file is a split of its own.
+WHOLE_FILES = 1 << 60
+
+
+def headers(spark: SparkSession, path) -> DataFrame:
+    """(file, header): the first line of each file under ``path``; empty files have none.
+
+    A task opens one file and reads its first lines only, whatever the file's size: the session's copy deals
+    whole files to tasks, and the task stops after the first row.
+    """
+    own = spark.newSession()  # shares the context, has settings of its own
+    own.conf.set("spark.sql.files.maxPartitionBytes", WHOLE_FILES)
+    own.conf.set("spark.sql.files.openCostInBytes", WHOLE_FILES)
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                yield b.slice(0, 1)
+                return
+
+    return own.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("header")).mapInArrow(first, "file string, header string")
+
+
+def header_groups(spark: SparkSession, path, delimiter: str = ",") -> list[tuple[list[str], list[str]]]:
+    """(column names, files) of each distinct header under ``path``: file metadata, never rows."""
+    found: dict[str, list[str]] = {}
+    for r in headers(spark, path).collect():  # a row a file
+        found.setdefault(r["header"].removeprefix("\ufeff").rstrip("\r"), []).append(r["file"])
+        if len(found) > MOST_HEADERS:
+            raise ValueError(f"over {MOST_HEADERS} different headers under {path}: files without a header?")
+    return sorted((next(csv.reader([h], delimiter=delimiter), []), sorted(files)) for h, files in found.items())
+
+
+def read_text_columns(spark: SparkSession, path, schema: T.StructType, encoding: str = "utf-8") -> DataFrame:
+    """The cells of CSV files as text, in the columns of ``schema`` by NAME, and ``_file``.
+
+    Files are grouped by their own header and each group is read by it, so files of a folder may have their
+    columns in any order, lack some (NULL) or have more (ignored). A name that stands twice in a header is
+    taken at its first place. Files are read by Spark's CSV reader, split as usual.
+    """
+    groups = header_groups(spark, path)
+    out = None
+    for names, files in groups:
+        # one header: the path as it is; columns are bound by position here, under names of our own
+        shape = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(max(len(names), 1))])
+        raw = (spark.read.schema(shape).option("header", True).option("enforceSchema", True).option("encoding", encoding)
+               .csv(path if len(groups) == 1 else files))
+        place = {n: i for i, n in reversed(list(enumerate(names)))}
+        part = raw.select(*[(F.col(f"c{place[f.name]}") if f.name in place else F.lit(None).cast("string")).alias(f.name) for f in schema.fields],
+                          F.col("_metadata.file_path").alias("_file"))
+        out = part if out is None else out.unionByName(part)
+    if out is None:  # no file holds a line
+        spark.read.text(path).schema  # raises for a missing path
+        return spark.createDataFrame([], T.StructType([*[T.StructField(f.name, T.StringType()) for f in schema.fields], T.StructField("_file", T.StringType())]))
+    return out
+
+
+def read_csv(spark: SparkSession, path, schema: T.StructType,
              encoding: str = "utf-8") -> DataFrame:
-    """CSV with a header, columns matched to ``schema`` by NAME.
-
-    A user schema on Spark's CSV reader binds columns by position, so a file
-    with reordered or fewer columns would be misread. The file is read as
-    text columns named by its header (no inference pass), then each schema
-    column is taken by name and parsed (``parsed``); columns the file
-    lacks come back as typed NULLs, extra file columns are ignored. All files
-    of a folder must have the first one's header.
+    """CSV with a header, columns matched to ``schema`` by NAME, file by file.
+
+    A user schema on Spark's CSV reader binds columns by position, and one header for a whole folder
+    misreads the files that have another. Cells are taken as text by each file's own header
+    (``read_text_columns``; no inference pass) and parsed (``parsed``).
     """
-    raw = (spark.read.option("header", True).option("encoding", encoding)
-           .option("inferSchema", False).csv(path))
-    have = set(raw.columns)
-    return raw.select(*[
-        (parsed(F.col(f"`{f.name}`"), f.dataType) if f.name in have
-         else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+    raw = read_text_columns(spark, path, schema, encoding)
+    return raw.select(*[parsed(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields])
 
 
 def parsed(text, kind: T.DataType):
@@ -49,15 +105,14 @@ def parsed(text, kind: T.DataType):
     return value
 
 
-def unparsable(spark: SparkSession, path: str, schema: T.StructType, encoding: str = "utf-8") -> DataFrame:
-    """(column, cells): how many cells of each column hold text that ``read_csv`` reads as NULL."""
-    raw = (spark.read.option("header", True).option("encoding", encoding)
-           .option("inferSchema", False).csv(path))
-    have = [f for f in schema.fields if f.name in raw.columns]
+def unparsable(spark: SparkSession, path, schema: T.StructType, encoding: str = "utf-8") -> DataFrame:
+    """(column, cells): how many cells of each column hold text that ``read_csv`` reads as NULL.
+    The cells themselves, with their files: ``operators.quarantine``."""
+    raw = read_text_columns(spark, path, schema, encoding)
     wide = raw.agg(*[F.count_if(F.col(f"`{f.name}`").isNotNull() & parsed(F.col(f"`{f.name}`"), f.dataType).isNull())
-                     .alias(f.name) for f in have])
+                     .alias(f.name) for f in schema.fields])
     return wide.select(F.inline(F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").alias("cells"))
-                                          for f in have])))
+                                          for f in schema.fields])))
 
 
 def read_reference(spark: SparkSession, path: str, schema: T.StructType,
