@@ -81,7 +81,7 @@ def rank_rows(df: DataFrame, order, kind: str = "rank", out: str = "rank",
     """
     if kind not in ("rank", "dense_rank", "row_number"):
         raise ValueError(f"unknown rank kind {kind!r}")
-    spark, keys, sort = df.sparkSession, _names(order), _sort_exprs(order)
+    keys, sort = _names(order), _sort_exprs(order)
     if not is_table and (bound is None or bound > WINDOW_ROWS):
         df = _written(df, "rank-rows")
     if kind == "row_number" and not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
@@ -89,26 +89,36 @@ def rank_rows(df: DataFrame, order, kind: str = "rank", out: str = "rank",
     if bound is not None and bound <= WINDOW_ROWS:
         number = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[kind]()
         return df.withColumn(out, number.over(Window.orderBy(*sort)).cast("bigint"))  # counted rows
-    ranges = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    by = [(o, True) if isinstance(o, str) else o for o in order]
-    located = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    edges = _edges(located, by, ranges)
+    pos = prefix_counts(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), order, partitions)
+    value = {"rank": F.col("_rows_before"), "dense_rank": F.col("_keys_before"), "row_number": F.col("_rows_before")}[kind] + 1
+    pos = pos.select(*[F.col(k).alias(f"_rk_{k}") for k in keys], value.cast("bigint").alias(out))
+    cond = [df[k].eqNullSafe(pos[f"_rk_{k}"]) for k in keys]
+    return df.join(pos, cond, "inner").drop(*[f"_rk_{k}" for k in keys])
+
+
+def prefix_counts(located: DataFrame, order, partitions: int | None = None) -> DataFrame:
+    """``located`` (distinct order keys with ``_n``, how many rows hold each) with ``_keys_before`` and ``_rows_before``,
+    the numbers of keys and rows that come before a key in the global ``order``.
+
+    Keys are dealt to ranges by edges that are drawn once; a window numbers them inside their range, and the
+    totals of the ranges before are added. No task sees more than a range.
+    """
+    by, sort = [(o, True) if isinstance(o, str) else o for o in order], _sort_exprs(order)
+    ranges = partitions or int(located.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # edges are in order: a key's range is the number of edges that it is at or behind
     place = F.lit(0)
-    for edge in edges:
+    for edge in _edges(located, by, ranges):
         place = place + _after(by, edge).cast("int")
     located = located.withColumn("_range", place)
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
     offsets = (located.groupBy("_range").agg(F.count(F.lit(1)).alias("_k"), F.sum("_n").alias("_m"))
-               .select("_range", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_keys_before"),
-                       F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_rows_before")))
+               .select("_range", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_k0"), F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_m0")))
     inside = Window.partitionBy("_range").orderBy(*sort)
-    value = (F.col("_rows_before") + F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1
-             if kind == "rank" else F.col("_keys_before") + F.row_number().over(inside))
-    pos = (located.join(F.broadcast(offsets), "_range").withColumn(out, value.cast("bigint"))  # offsets: a row a range
-           .select(*[F.col(k).alias(f"_rk_{k}") for k in keys], out))
-    cond = [df[k].eqNullSafe(pos[f"_rk_{k}"]) for k in keys]
-    return df.join(pos, cond, "inner").drop(*[f"_rk_{k}" for k in keys])
+    above = inside.rowsBetween(Window.unboundedPreceding, -1)
+    return (located.join(F.broadcast(offsets), "_range")  # a row a range
+            .withColumn("_keys_before", F.col("_k0") + F.row_number().over(inside) - 1)
+            .withColumn("_rows_before", F.col("_m0") + F.coalesce(F.sum("_n").over(above), F.lit(0)))
+            .drop("_range", "_k0", "_m0"))
 
 
 def dense_keys(members: DataFrame, code: str, key: str) -> DataFrame:

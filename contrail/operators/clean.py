@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from contrail.functions.quantiles import medians
 from contrail.functions.scalar import (nan_to_null, numeric_text_ok, one_row, to_number,
                                        with_scalars)
 from contrail.operators.profile import _text_columns, quality_inputs, score_from_inputs
@@ -67,11 +68,9 @@ def impute(df: DataFrame, text_fill: str = TEXT_FILL, numeric: str = "median",
     cols = [c for c in cols if probe[c]]
     num = [c for c in cols if _is_numeric(df, c) and policy.get(c, numeric) == "median"]
     if num:
-        def med(c):
-            return F.percentile_approx(c, 0.5) if approx else F.median(c)
-
-        meds = df.agg(*[med(nan_to_null(F.col(c).cast("double"))).cast("double")
-                        .alias(f"__med_{c}") for c in num])
+        values = {f"__med_{c}": nan_to_null(F.col(c).cast("double")) for c in num}
+        meds = (df.agg(*[F.percentile_approx(v, 0.5).cast("double").alias(n) for n, v in values.items()]) if approx
+                else medians(df, values))
         out = with_scalars(df, meds)
     else:
         out = df

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from contrail.functions.quantiles import quantiles
 from contrail.plans import kpi, metrics
 from contrail.plans.oracle import with_flights
 from contrail.sources import bindings
@@ -1464,3 +1465,42 @@ def q_c03_quarantine(spark, sf_dir):
     rows = got.good.agg(F.count(F.lit(1)).alias("cells")).select(F.lit("*").alias("column_name"), F.lit("good").alias("reason"), "cells").unionByName(
         got.rows.agg(F.count(F.lit(1)).alias("cells")).select(F.lit("*").alias("column_name"), F.lit("rejected").alias("reason"), "cells"))
     return rows.unionByName(got.counts())
+
+
+# =========================================================================== calendar windows
+@register("q_g05_calendar_average", with_flights("""
+v AS (SELECT ORIGIN_AIRPORT AS origin, full_date, count(*) AS flights FROM fl GROUP BY ALL),
+e AS (SELECT origin, min(full_date) AS lo, max(full_date) AS hi FROM v GROUP BY origin),
+c AS (SELECT origin, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS full_date FROM e),
+f AS (SELECT origin, full_date, coalesce(flights, 0) AS flights FROM c LEFT JOIN v USING (origin, full_date))
+SELECT *, avg(flights) OVER (PARTITION BY origin ORDER BY full_date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) AS flights_ma7 FROM f"""))
+def q_g05_calendar(spark, sf_dir):
+    """Departures by station and calendar day, days without any included, and their seven-day average."""
+    days = kpi.fill_calendar(kpi.station_days(star(spark, sf_dir)), "full_date", "day", "origin", {"flights": 0})
+    return kpi.moving_average_by_date(days, "flights", "full_date", 7, "origin")
+
+
+@register("q_g06_calendar_change", with_flights("""
+v AS (SELECT AIRLINE AS airline_code, CAST(date_trunc('month', full_date) AS DATE) AS month, count(*) AS cancelled FROM fl WHERE CANCELLED = 1 GROUP BY ALL),
+e AS (SELECT airline_code, min(month) AS lo, max(month) AS hi FROM v GROUP BY airline_code),
+c AS (SELECT airline_code, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS month FROM e),
+f AS (SELECT airline_code, month, coalesce(cancelled, 0) AS cancelled FROM c LEFT JOIN v USING (airline_code, month))
+SELECT f.*, p.cancelled AS prev_cancelled, f.cancelled - p.cancelled AS cancelled_change,
+  CASE WHEN p.cancelled <> 0 THEN CAST(f.cancelled - p.cancelled AS DOUBLE) / p.cancelled * 100 END AS cancelled_change_pct
+FROM f LEFT JOIN f p ON p.airline_code = f.airline_code AND p.month = CAST(f.month - INTERVAL 1 YEAR AS DATE)"""))
+def q_g06_calendar(spark, sf_dir):
+    """Cancelled flights by airline and calendar month against the same month of the year before."""
+    months = kpi.fill_calendar(kpi.cancelled_months(star(spark, sf_dir)), "month", "month", "airline_code", {"cancelled": 0})
+    return kpi.calendar_change(months, "cancelled", "month", "month", 12, "airline_code")
+
+
+@register("q_f35_quantiles_by_ranges", with_flights("""
+SELECT metric, p, quantile_cont(x, p) AS value FROM (
+  SELECT 'price' AS metric, l_extendedprice AS x FROM lineitem UNION ALL SELECT 'delay', ARRIVAL_DELAY FROM fl UNION ALL SELECT 'distance', DISTANCE FROM fl),
+  (VALUES (0.0::DOUBLE), (0.01::DOUBLE), (0.25::DOUBLE), (0.5::DOUBLE), (0.9::DOUBLE), (1.0::DOUBLE)) AS q(p) WHERE x IS NOT NULL GROUP BY metric, p"""
+    .replace("quantile_cont(x, p)", "CASE p WHEN 0 THEN min(x) WHEN 0.01 THEN quantile_cont(x, 0.01) WHEN 0.25 THEN quantile_cont(x, 0.25) WHEN 0.5 THEN quantile_cont(x, 0.5) WHEN 0.9 THEN quantile_cont(x, 0.9) ELSE max(x) END")))
+def q_f35_quantiles(spark, sf_dir):
+    """Exact quantiles of prices (nearly as many values as rows), delays and distances."""
+    ps = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+    flown = quantiles(raw(spark, sf_dir), {"delay": F.col("ARRIVAL_DELAY"), "distance": F.col("DISTANCE")}, ps)
+    return flown.unionByName(quantiles(bindings.table(spark, sf_dir, "lineitem"), {"price": F.col("l_extendedprice")}, ps))

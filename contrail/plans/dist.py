@@ -3,9 +3,9 @@
 Histograms use equal-width bins over the observed [min, max] of the filtered
 values (``numpy.histogram`` semantics: last bin right-closed). The min/max are
 a one-row (or one-row-per-group) aggregate joined back, so the operator stays
-lazy and distributed: no value reaches the driver. Exact median/percentile
-keep one (value -> count) map per column, fine for minute-valued delays;
-``approx=True`` switches to ``percentile_approx`` for high-cardinality columns.
+lazy and distributed: no value reaches the driver. Exact median and percentile
+are selected by ranges of values (``functions.quantiles``), whatever their number;
+``approx=True`` switches to ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.functions.scalar import all_of, rnd, with_scalars
+from contrail.functions.quantiles import quantiles
+from contrail.functions.scalar import all_of, one_row, rnd, with_scalars
 from contrail.spec import FLIGHT_SPEC, FactSpec
 
 
@@ -30,16 +31,18 @@ def in_range(c: str, lo: float, hi: float) -> Column:
 
 def delay_stats(df: DataFrame, cols, approx: bool = False, digits: int | None = None
                 ) -> DataFrame:
-    """n, mean, median, sample std, p90 per column in one aggregate, long form."""
+    """n, mean, median, sample std, p90 per column, long form."""
     cols = [cols] if isinstance(cols, str) else list(cols)
     aggs = []
     for c in cols:
-        med = F.percentile_approx(c, 0.5) if approx else F.median(c)
-        p90 = F.percentile_approx(c, 0.9) if approx else F.percentile(c, 0.9)
-        aggs += [F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__mean"),
-                 med.cast("double").alias(f"{c}__median"), F.stddev_samp(c).alias(f"{c}__std"),
-                 p90.cast("double").alias(f"{c}__p90")]
+        aggs += [F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__mean"), F.stddev_samp(c).alias(f"{c}__std")]
+        if approx:
+            aggs += [F.percentile_approx(c, p).cast("double").alias(f"{c}__{n}") for n, p in (("median", 0.5), ("p90", 0.9))]
     wide = df.agg(*aggs)
+    if not approx:
+        found = quantiles(df, {c: F.col(c) for c in cols}, [0.5, 0.9])
+        wide = one_row(wide, found.agg(*[F.max(F.when((F.col("metric") == c) & (F.col("p") == p), F.col("value"))).alias(f"{c}__{n}")
+                                         for c in cols for n, p in (("median", 0.5), ("p90", 0.9))]))
     return wide.select(F.explode(F.array(*[F.struct(
         F.lit(c).alias("metric"), F.col(f"{c}__n").alias("n"),
         rnd(f"{c}__mean", digits).alias("mean"), rnd(f"{c}__median", digits).alias("median"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.ranking import rank_rows
-from contrail.functions.scalar import count_when, one_row, pct, rnd, route_label
+from contrail.functions.scalar import count_when, is_flag, one_row, pct, rnd, route_label
 from contrail.plans.common import (ARR, CANC, CAUSES, DEP, DIVR, by_key_then_attr, dim,
                                    merge_partials, mean, partials)
 from contrail.spec import ROUTE_ARROW_BATCH, Star
@@ -202,6 +202,65 @@ def period_change(series: DataFrame, value: str, order, lag: int = 1) -> DataFra
                         pct(F.col(value) - F.col(f"prev_{value}"), f"prev_{value}", None)))
 
 
+def fill_calendar(series: DataFrame, period: str, unit: str = "day", by=(), fill: dict | None = None) -> DataFrame:
+    """``series`` (a row for each ``by`` and ``period``, a date) with a row for every period from the first to the
+    last of its group: a calendar is generated and the series joined to it. Missing values are filled from
+    ``fill`` (column -> value), others stay NULL. ``unit``: day, week, month, quarter or year; periods of the
+    series are its first days."""
+    if unit not in ("day", "week", "month", "quarter", "year"):
+        raise ValueError(f"unknown unit {unit!r}")
+    by = [by] if isinstance(by, str) else list(by)
+    step = {"quarter": "INTERVAL 3 MONTHS"}.get(unit, f"INTERVAL 1 {unit.upper()}")
+    edges = series.where(F.col(period).isNotNull()).groupBy(*by).agg(F.min(period).alias("_first"), F.max(period).alias("_last"))
+    # a global aggregate of an empty series is one row of NULLs: no periods
+    spine = edges.where(F.col("_first").isNotNull()).select(*by, F.explode(F.expr(f"sequence(_first, _last, {step})")).alias(period))
+    s = series.withColumnsRenamed({c: f"_s_{c}" for c in [*by, period]})
+    on = [spine[c].eqNullSafe(s[f"_s_{c}"]) for c in by] + [spine[period] == s[f"_s_{period}"]]
+    out = spine.join(s, on, "left").select(*series.columns)
+    return out.fillna(fill) if fill else out
+
+
+def moving_average_by_date(series: DataFrame, value: str, period: str, days: int = 7, by=(), out: str | None = None) -> DataFrame:
+    """Trailing average over the last ``days`` calendar days (a window by date range, not by rows): a missing
+    day is no row of the window, and counts where ``fill_calendar`` has filled it. Windows are by group; a
+    series without groups is bounded by the calendar."""
+    by = [by] if isinstance(by, str) else list(by)
+    w = Window.partitionBy(*by).orderBy(F.unix_date(period)).rangeBetween(-(days - 1), 0)
+    return series.withColumn(out or f"{value}_ma{days}", F.avg(value).over(w))
+
+
+def calendar_change(series: DataFrame, value: str, period: str, unit: str = "month", lag: int = 1, by=()) -> DataFrame:
+    """Change against the period ``lag`` units before, found by its date (a self-join): where that period is
+    missing the change is NULL, instead of being taken against some other period."""
+    months = {"month": 1, "quarter": 3, "year": 12}.get(unit)
+    days = {"day": 1, "week": 7}.get(unit)
+    if months is None and days is None:
+        raise ValueError(f"unknown unit {unit!r}")
+    by = [by] if isinstance(by, str) else list(by)
+    moved = F.add_months(period, months * lag) if months else F.date_add(period, days * lag)
+    before = series.select(*[F.col(c).alias(f"_s_{c}") for c in by], moved.alias("_s_period"), F.col(value).alias(f"prev_{value}"))
+    on = [series[c].eqNullSafe(before[f"_s_{c}"]) for c in by] + [series[period] == before["_s_period"]]
+    out = series.join(before, on, "left").drop("_s_period", *[f"_s_{c}" for c in by])
+    change = F.col(value) - F.col(f"prev_{value}")
+    return out.withColumn(f"{value}_change", change).withColumn(f"{value}_change_pct", pct(change, f"prev_{value}", None))
+
+
+def station_days(star: Star) -> DataFrame:
+    """Departures by origin airport and date (the series behind the calendar windows)."""
+    per = star.fact.groupBy("origin_airport_key", "date_key").agg(F.count(F.lit(1)).alias("flights"))
+    a = dim(star, "dim_airport", F.col("airport_key").alias("origin_airport_key"), F.col("airport_code").alias("origin"))
+    return (per.join(a, "origin_airport_key").join(dim(star, "dim_date", "date_key", "full_date"), "date_key")
+            .groupBy("origin", "full_date").agg(F.sum("flights").alias("flights")))
+
+
+def cancelled_months(star: Star) -> DataFrame:
+    """Cancelled flights by airline and month; a month without any has no row."""
+    per = star.fact.where(is_flag(CANC)).groupBy("airline_key", "date_key").agg(F.count(F.lit(1)).alias("cancelled"))
+    a = dim(star, "dim_airline", "airline_key", "airline_code")
+    d = dim(star, "dim_date", "date_key", F.trunc("full_date", "month").alias("month"))
+    return per.join(a, "airline_key").join(d, "date_key").groupBy("airline_code", "month").agg(F.sum("cancelled").alias("cancelled"))
+
+
 def daily_volume(star: Star) -> DataFrame:
     """Flights per calendar date (the series behind G5)."""
     per = star.fact.groupBy("date_key").agg(F.count(F.lit(1)).alias("flights"))
