@@ -91,7 +91,7 @@ def main() -> None:
         star = model.load_star(spark, state["cleaned"], p, bindings.airlines_ref(spark, sf_dir),
                                bindings.airports_ref(spark, sf_dir), "bench")
         state["star"] = star
-        state["tables"] = bindings_tables(star, model.read_keys(spark, p))
+        state["tables"] = model.normalized(spark, p, star)
         quality.load_check(state["tables"]).collect()
         metrics.load_totals(state["tables"]).collect()
         metrics.top_carriers_by_code(state["tables"]).collect()
@@ -154,15 +154,5 @@ def main() -> None:
     spark.stop()
 
 
-def bindings_tables(star, keyed):
-    """Normalized view for F2-F10 over the written star (ids renamed back)."""
-    from contrail.spec import Tables
-    flights = star.fact.withColumnsRenamed({"airline_key": "AIRLINE_ID",
-                                            "origin_airport_key": "ORIGIN_AIRPORT_ID",
-                                            "dest_airport_key": "DESTINATION_AIRPORT_ID"})
-    return Tables(airlines=keyed["airlines"], airports=keyed["airports"], flights=flights,
-                  counts={"airlines": star.rows["dim_airline"], "airports": star.rows["dim_airport"]})
-
-
 if __name__ == "__main__":
     main()

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from contrail.functions.ranking import dense_keys
 from contrail.functions.scalar import date_from_key, one_row
 from contrail.operators.keys import register, registry
+from contrail.plans import aggregates
 from contrail.sources.warehouse import Load, Warehouse
 from contrail.spec import FACT_DROP, FLIGHT_SPEC, FactSpec, Star, Tables
 
@@ -201,10 +202,11 @@ def with_year(fact: DataFrame) -> DataFrame:
     return fact if "year" in fact.columns else fact.withColumn("year", (F.col("date_key") / 10000).cast("int"))
 
 
-def stage_star(load: Load, star: Star, replace_all: bool = False) -> None:
+def stage_star(load: Load, star: Star, replace_all: bool = False, aggregates_: bool = True) -> None:
     """Stages the four tables (A7) in a load. The fact is partitioned by year, so that date predicates prune
     directories, and only the years that it holds are replaced (all, with ``replace_all``). The date
-    dimension takes the dates of the fact as written (a scan of one column) and keeps those of the other years."""
+    dimension takes the dates of the fact as written (a scan of one column) and keeps those of the other years; the
+    additive aggregates (``plans/aggregates.py``) are made from the fact as written, too."""
     before = load.warehouse.read("dim_date") if load.before and not replace_all and "dim_date" in load.warehouse._folders() else None
     fact = load.write(FACT, with_year(star.fact), "year", replace_all)
     load.write("dim_airline", star.dim_airline)
@@ -214,6 +216,8 @@ def stage_star(load: Load, star: Star, replace_all: bool = False) -> None:
         years = fact.select("year").distinct()
         dates = dates.unionByName(before.join(years, "year", "left_anti").select(dates.columns))
     load.write("dim_date", dates)
+    if aggregates_:
+        load.write(aggregates.TABLE, aggregates.aggregate(fact), "year", replace_all)  # the years' rows are replaced, so are their sums
 
 
 def write_star(star: Star, path: str) -> None:
@@ -231,11 +235,57 @@ def read_star(spark, path: str, version: int | None = None) -> Star:
         raise ValueError(f"no published star in {path}: {missing}")
     dims = {n: tables[n] for n in DIMENSIONS}
     counted = one_row(*[d.agg(F.count(F.lit(1)).alias(n)) for n, d in dims.items()]).first()
-    return Star(fact=tables[FACT], rows={n: counted[n] for n in dims}, **dims)  # one job for the three counts
+    return Star(fact=tables[FACT], rows={n: counted[n] for n in dims}, agg=tables.get(aggregates.TABLE), **dims)  # one job for the three counts
+
+
+def normalized(spark, path: str, star: Star) -> Tables:
+    """Normalized layer (C10) of a warehouse: members with ids, and the star's fact under the normalized names."""
+    keyed = read_keys(spark, path)
+    return Tables(airlines=keyed["airlines"], airports=keyed["airports"], agg=star.agg,
+                  flights=star.fact.withColumnsRenamed({"airline_key": "AIRLINE_ID", "origin_airport_key": "ORIGIN_AIRPORT_ID", "dest_airport_key": "DESTINATION_AIRPORT_ID"}),
+                  counts={"airlines": star.rows["dim_airline"], "airports": star.rows["dim_airport"]})
+
+
+def append_flights(spark, df: DataFrame, path: str, airlines_ref: DataFrame, airports_ref: DataFrame, load_id: str,
+                   removed: DataFrame | None = None, spec: FactSpec = FLIGHT_SPEC) -> Star:
+    """A load that adds flights to the years they belong to and takes ``removed`` ones (flights, every column as
+    loaded, each row once) away. Years that only gain get files beside those they have; years that lose rows are
+    rewritten. The aggregates take the signed delta of these rows; nothing else of the fact is read for them."""
+    warehouse = Warehouse(spark, path)
+    if warehouse.committed(load_id):
+        return read_star(spark, path)
+    load = warehouse.begin(load_id)
+    live = warehouse.read_all() if load.before else {}
+    tables = keyed_tables(load, df if removed is None else df.unionByName(removed), spec)
+
+    def keyed(flights: DataFrame) -> DataFrame:
+        return with_year(fact_table(key_flights(flights, tables, spec), spec))
+
+    def years(rows: DataFrame) -> list:
+        return [r["year"] for r in rows.select("year").distinct().collect()]  # a row a year
+
+    added, gone = keyed(df), keyed(removed) if removed is not None else None
+    losing = years(gone) if gone is not None and FACT in live else []
+    if losing:
+        rest = live[FACT].where(F.col("year").isin(losing)).exceptAll(gone.select(live[FACT].columns))
+        load.write(FACT, rest.unionByName(added.where(F.col("year").isin(losing))), "year", parts=losing)
+    load.write(FACT, added.where(~F.coalesce(F.col("year").isin(losing), F.lit(False))), "year", append=True)
+    touched = sorted({*years(added), *losing} - {None})
+    before = live[aggregates.TABLE].where(F.col("year").isin(touched)) if aggregates.TABLE in live else None
+    load.write(aggregates.TABLE, aggregates.merged(before, added, gone if losing else None), "year", parts=touched)
+    dates = date_dim(added)
+    if "dim_date" in live:
+        known = live["dim_date"]
+        dates = known.unionByName(dates.join(known.select("date_key"), "date_key", "left_anti").select(known.columns))
+    load.write("dim_airline", dim_airline(tables.airlines, airlines_ref))
+    load.write("dim_airport", dim_airport(tables.airports, airports_ref))
+    load.write("dim_date", dates)
+    load.commit()
+    return read_star(spark, path)
 
 
 def load_star(spark, df: DataFrame, path: str, airlines_ref: DataFrame, airports_ref: DataFrame, load_id: str,
-              spec: FactSpec = FLIGHT_SPEC, on_unmatched: str = "keep") -> Star:
+              spec: FactSpec = FLIGHT_SPEC, on_unmatched: str = "keep", aggregates_: bool = True) -> Star:
     """C6-C14 and A7 as one load: cleaned flights ``df`` into the warehouse at ``path``.
 
     Members that earlier loads know keep their keys, new ones follow; the years that ``df`` holds are replaced,
@@ -246,7 +296,7 @@ def load_star(spark, df: DataFrame, path: str, airlines_ref: DataFrame, airports
     if not warehouse.committed(load_id):
         load = warehouse.begin(load_id)
         tables = keyed_tables(load, df, spec, on_unmatched)
-        stage_star(load, build_star(tables, airlines_ref, airports_ref, spec))
+        stage_star(load, build_star(tables, airlines_ref, airports_ref, spec), aggregates_=aggregates_)
         load.commit()
     return read_star(spark, path)
 
@@ -294,16 +344,19 @@ def keyed_tables(load: Load, df: DataFrame, spec: FactSpec = FLIGHT_SPEC, on_unm
     current, count = register(load, all_members(df, spec))
     counts = {dim: count.get(dim, 0) for dim, _, _ in NORMALIZED}
     keyed = _by_dimension(current)
-    flights = map_keys(df, [
-        (spec.carrier, keyed["airlines"], "AIRLINE", "AIRLINE_ID", "AIRLINE_ID",
-         counts["airlines"]),
-        (spec.origin, keyed["airports"], "AIRPORT", "AIRPORT_ID", "ORIGIN_AIRPORT_ID",
-         counts["airports"]),
-        (spec.destination, keyed["airports"], "AIRPORT", "AIRPORT_ID", "DESTINATION_AIRPORT_ID",
-         counts["airports"]),
+    tables = Tables(airlines=keyed["airlines"], airports=keyed["airports"], flights=df, counts=counts)
+    tables.flights = key_flights(df, tables, spec, on_unmatched)
+    return tables
+
+
+def key_flights(df: DataFrame, tables: Tables, spec: FactSpec = FLIGHT_SPEC, on_unmatched: str = "keep") -> DataFrame:
+    """Flights with ids in place of natural codes."""
+    airports = (tables.airports, "AIRPORT", "AIRPORT_ID")
+    return map_keys(df, [
+        (spec.carrier, tables.airlines, "AIRLINE", "AIRLINE_ID", "AIRLINE_ID", tables.counts.get("airlines")),
+        (spec.origin, *airports, "ORIGIN_AIRPORT_ID", tables.counts.get("airports")),
+        (spec.destination, *airports, "DESTINATION_AIRPORT_ID", tables.counts.get("airports")),
     ], on_unmatched=on_unmatched).drop(spec.carrier, spec.origin, spec.destination)
-    return Tables(airlines=keyed["airlines"], airports=keyed["airports"], flights=flights,
-                  counts=counts)
 
 
 def normalize_written(spark, df: DataFrame, path: str, spec: FactSpec = FLIGHT_SPEC,

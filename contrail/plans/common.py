@@ -16,14 +16,8 @@ from pyspark.sql import functions as F
 
 from contrail.functions.scalar import all_of, count_when, is_flag
 from contrail.operators.model import bounded
-from contrail.spec import CAUSES, Star  # noqa: F401  CAUSES: for the plans
-
-# Fact column names of the star (fixed by the warehouse build, C14).
-DEP = "DEPARTURE_DELAY"
-ARR = "ARRIVAL_DELAY"
-CANC = "CANCELLED"
-DIVR = "DIVERTED"
-DIST = "DISTANCE"
+from contrail.plans.aggregates import sums
+from contrail.spec import ARR, CANC, CAUSES, DEP, DIST, DIVR, Star  # noqa: F401  for the plans
 
 
 def dim(star: Star, name: str, *cols) -> DataFrame:
@@ -54,10 +48,13 @@ def mean(v: str) -> Column:
     return F.try_divide(F.col(f"_s_{v}"), F.col(f"_c_{v}").cast("double"))
 
 
-def by_key_then_attr(star: Star, fact: DataFrame, fact_key: str, dim_name: str, dim_key: str,
-                     attrs: list, value_cols=(DEP, ARR), flags=(CANC, DIVR)) -> DataFrame:
-    """Aggregate ``fact`` per key, inner-join the dimension, regroup by ``attrs``."""
-    per_key = fact.groupBy(F.col(fact_key).alias("_k")).agg(*partials(value_cols, flags))
+def by_key_then_attr(star: Star, fact_key: str, dim_name: str, dim_key: str,
+                     attrs: list, value_cols=(DEP, ARR), flags=(CANC, DIVR), arr_gt: float | None = None,
+                     where: Column | None = None) -> DataFrame:
+    """Sum up per key, inner-join the dimension, regroup by ``attrs``. ``where``: a filter on
+    the fact, which the aggregates can't answer."""
+    per_key = (sums(star.fact, star.agg, [fact_key], value_cols, flags, arr_gt) if where is None
+               else sums(star.fact.where(where), None, [fact_key], value_cols, flags, arr_gt)).withColumnRenamed(fact_key, "_k")
     d = dim(star, dim_name, F.col(dim_key).alias("_k"), *attrs)
     j = per_key.join(d, "_k")
     return j.groupBy(*attrs).agg(*merge_partials(value_cols, flags))

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.ranking import rank_rows
-from contrail.functions.scalar import count_when, is_flag, one_row, pct, rnd, route_label
-from contrail.plans.common import (ARR, CANC, CAUSES, DEP, DIVR, by_key_then_attr, dim,
-                                   merge_partials, mean, partials)
+from contrail.functions.scalar import is_flag, one_row, pct, rnd, route_label
+from contrail.plans.aggregates import sums
+from contrail.plans.common import (ARR, CANC, CAUSES, DEP, DIVR, by_key_then_attr, dim, merge_partials, mean)
 from contrail.spec import ROUTE_ARROW_BATCH, Star
 
 
@@ -16,7 +16,7 @@ from contrail.spec import ROUTE_ARROW_BATCH, Star
 def _carriers(star: Star) -> DataFrame:
     """(airline_name, total_flights, cancelled_flights, _div, _cf, _avg) by airline name: counts, the
     cancel fraction and the average arrival delay, both unrounded."""
-    g = by_key_then_attr(star, star.fact, "airline_key", "dim_airline", "airline_key",
+    g = by_key_then_attr(star, "airline_key", "dim_airline", "airline_key",
                          ["airline_name"], value_cols=(ARR,))
     return g.select(
         "airline_name",
@@ -48,8 +48,7 @@ def carrier_reliability(star: Star, digits: int | None = 2) -> DataFrame:
 def _airports(star: Star, min_departures: int, delayed_gt: float = 15) -> DataFrame:
     """(airport_code, airport_name, total_departures, _avg, delayed_departures) of the origin airports
     with more than ``min_departures`` departures; the average departure delay is unrounded."""
-    per_key = star.fact.groupBy(F.col("origin_airport_key").alias("_k")).agg(
-        *partials((DEP,), ()), count_when(F.col(DEP) > delayed_gt).alias("_late"))
+    per_key = sums(star.fact, star.agg, ["origin_airport_key"], (DEP,), (), late_gt=delayed_gt).withColumnRenamed("origin_airport_key", "_k")
     d = dim(star, "dim_airport", F.col("airport_key").alias("_k"), "airport_code", "airport_name")
     g = (per_key.join(d, "_k").groupBy("airport_code", "airport_name")
          .agg(*merge_partials((DEP,), ()), F.sum("_late").alias("_late"))
@@ -81,8 +80,8 @@ def route_stats(star: Star, min_flights: int = 21, with_distance: bool = False)
     (role-playing, E2) to the aggregate, then regroups by the two codes.
     """
     vals = (ARR, "DISTANCE") if with_distance else (ARR,)
-    per = star.fact.groupBy(F.col("origin_airport_key").alias("_o"),
-                            F.col("dest_airport_key").alias("_d")).agg(*partials(vals, (CANC,)))
+    per = sums(star.fact, star.agg, ["origin_airport_key", "dest_airport_key"], vals, (CANC,)).withColumnsRenamed(
+        {"origin_airport_key": "_o", "dest_airport_key": "_d"})
     o = dim(star, "dim_airport", F.col("airport_key").alias("_o"), F.col("airport_code").alias("origin"))
     d = dim(star, "dim_airport", F.col("airport_key").alias("_d"),
             F.col("airport_code").alias("destination"))
@@ -111,7 +110,7 @@ def monthly_trend(star: Star, by_year: bool = False, digits: int | None = 2) ->
     ``by_year=False`` merges years like the reference (S21). The running total
     is a window over at most 12 (x years) rows: bounded by the calendar.
     """
-    per_day = star.fact.groupBy("date_key").agg(*partials((DEP,), (CANC,)))
+    per_day = sums(star.fact, star.agg, ["date_key"], (DEP,), (CANC,))
     keys = (["year"] if by_year else []) + ["month_name", "month"]
     d = dim(star, "dim_date", "date_key", *keys)
     g = per_day.join(d, "date_key").groupBy(*keys).agg(*merge_partials((DEP,), (CANC,)))
@@ -133,8 +132,7 @@ def delay_risk(star: Star, arr_gt: float = 0, digits: int | None = 2) -> DataFra
     picks = [("weather_risk", cols["Weather"]), ("security_risk", cols["Security"]),
              ("late_aircraft_risk", cols["Late Aircraft"]), ("nas_risk", cols["NAS"])]
     vals = tuple(c for _, c in picks)
-    g = by_key_then_attr(star, star.fact.where(F.col(ARR) > arr_gt), "airline_key",
-                         "dim_airline", "airline_key", ["airline_name"], value_cols=vals, flags=())
+    g = by_key_then_attr(star, "airline_key", "dim_airline", "airline_key", ["airline_name"], value_cols=vals, flags=(), arr_gt=arr_gt)
     return g.select("airline_name", *[rnd(mean(c), digits).alias(n) for n, c in picks])
 
 
@@ -174,8 +172,7 @@ def insights(star: Star, min_departures: int = 50, min_route_flights: int = 21)
 # --------------------------------------------------------------------------- F18, D7
 def geo_density(star: Star) -> DataFrame:
     """Departures per origin airport that has coordinates."""
-    per = star.fact.groupBy(F.col("origin_airport_key").alias("_k")).agg(
-        F.count(F.lit(1)).alias("_n"))
+    per = sums(star.fact, star.agg, ["origin_airport_key"], (), ()).withColumnRenamed("origin_airport_key", "_k")
     attrs = ["airport_code", "airport_name", "city", "state", "latitude", "longitude"]
     d = dim(star, "dim_airport", F.col("airport_key").alias("_k"), *attrs).where(
         F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
@@ -263,14 +260,14 @@ def cancelled_months(star: Star) -> DataFrame:
 
 def daily_volume(star: Star) -> DataFrame:
     """Flights per calendar date (the series behind G5)."""
-    per = star.fact.groupBy("date_key").agg(F.count(F.lit(1)).alias("flights"))
+    per = sums(star.fact, star.agg, ["date_key"], (), ()).withColumnRenamed("_n", "flights")
     return per.join(dim(star, "dim_date", "date_key", "full_date"), "date_key").select(
         "full_date", "flights")
 
 
 def monthly_volume(star: Star) -> DataFrame:
     """Flights per (year, month) (the series behind G6)."""
-    per = star.fact.groupBy("date_key").agg(F.count(F.lit(1)).alias("_n"))
+    per = sums(star.fact, star.agg, ["date_key"], (), ())
     return (per.join(dim(star, "dim_date", "date_key", "year", "month"), "date_key")
             .groupBy("year", "month").agg(F.sum("_n").alias("flights")))
 

@@ -18,6 +18,7 @@ from contrail.functions.scalar import (all_of, avg0, code_name_label, count_when
                                        is_flag, pct, pct0, rnd, route_label,
                                        short_day_label)
 from contrail.operators.model import bounded, unpivot_causes
+from contrail.plans.aggregates import sums
 from contrail.plans.common import (ARR, by_key_then_attr, CANC, CAUSES, dated, DEP, dim, DIST, DIVR,
                                    mean, merge_partials, on_date, partials)
 from contrail.spec import (FLIGHT_SPEC, ROUTE_ARROW_TABLE, FactSpec, Star, WEEKDAY_LABEL, WEEKEND_LABEL,
@@ -111,6 +112,24 @@ def find_flights(df: DataFrame, number: str, year: int) -> DataFrame:
 
 
 # =========================================================================== normalized layer
+#: What the normalized layer calls the star's keys.
+NORMALIZED_NAMES = {"airline_key": "AIRLINE_ID", "origin_airport_key": "ORIGIN_AIRPORT_ID", "dest_airport_key": "DESTINATION_AIRPORT_ID"}
+
+
+def _of_tables(t: Tables, keys, values=(DEP, ARR), flags=(CANC, DIVR)) -> DataFrame:
+    """Partial sums of the flights by keys of the star, under the names of the normalized layer."""
+    return sums(t.flights, t.agg, keys, values, flags, names=NORMALIZED_NAMES).withColumnsRenamed(NORMALIZED_NAMES)
+
+
+def _totals(g: DataFrame) -> DataFrame:
+    """One row: (_n, _c, _d, _dep, _arr) from partial sums without keys; counts are 0 where there are no rows."""
+    def count(c: str):
+        return F.coalesce(F.col(c), F.lit(0).cast("long"))
+
+    return g.select(count("_n").alias("_n"), count(f"_f_{CANC}").alias("_c"), count(f"_f_{DIVR}").alias("_d"),
+                    mean(DEP).alias("_dep"), mean(ARR).alias("_arr"))
+
+
 def load_totals(t: Tables) -> DataFrame:
     """flights, airlines, airports counts in one row."""
     return one_row(t.flights.agg(F.count(F.lit(1)).alias("total_flights")),
@@ -120,7 +139,7 @@ def load_totals(t: Tables) -> DataFrame:
 
 def top_carriers_by_code(t: Tables, k: int = 10) -> DataFrame:
     """top-k airlines by flights (grouped by id and code, S22)."""
-    per = t.flights.groupBy("AIRLINE_ID").agg(F.count(F.lit(1)).alias("flight_count"))
+    per = _of_tables(t, ["airline_key"], (), ()).withColumnRenamed("_n", "flight_count")
     a = bounded(t.airlines.select("AIRLINE_ID", F.col("AIRLINE").alias("airline")),
                 t.counts.get("airlines"))
     return (per.join(a, "AIRLINE_ID").select("airline", "flight_count")
@@ -129,9 +148,8 @@ def top_carriers_by_code(t: Tables, k: int = 10) -> DataFrame:
 
 def top_airports_by_role(t: Tables, role: str = "origin", k: int = 10) -> DataFrame:
     """top-k origin or destination airports by flights."""
-    key = {"origin": "ORIGIN_AIRPORT_ID", "destination": "DESTINATION_AIRPORT_ID"}[role]
-    per = t.flights.groupBy(F.col(key).alias("AIRPORT_ID")).agg(
-        F.count(F.lit(1)).alias("flight_count"))
+    key = {"origin": "origin_airport_key", "destination": "dest_airport_key"}[role]
+    per = _of_tables(t, [key], (), ()).select(F.col(NORMALIZED_NAMES[key]).alias("AIRPORT_ID"), F.col("_n").alias("flight_count"))
     a = bounded(t.airports.select("AIRPORT_ID", F.col("AIRPORT").alias("airport")),
                 t.counts.get("airports"))
     return (per.join(a, "AIRPORT_ID").select("airport", "flight_count")
@@ -141,10 +159,7 @@ def top_airports_by_role(t: Tables, role: str = "origin", k: int = 10) -> DataFr
 def executive_summary(t: Tables, rate_digits: int | None = 4, avg_digits: int | None = 2
                       ) -> DataFrame:
     """one row; rates and averages NULL-guarded to 0 (CTE + CROSS JOIN)."""
-    stats = t.flights.agg(
-        F.count(F.lit(1)).alias("TOTAL_FLIGHTS"),
-        count_when(is_flag(CANC)).alias("_c"), count_when(is_flag(DIVR)).alias("_d"),
-        F.avg(DEP).alias("_dep"), F.avg(ARR).alias("_arr"))
+    stats = _totals(_of_tables(t, [])).withColumnRenamed("_n", "TOTAL_FLIGHTS")
     dims = one_row(t.airlines.agg(F.count(F.lit(1)).alias("TOTAL_AIRLINES")),
                    t.airports.agg(F.count(F.lit(1)).alias("TOTAL_AIRPORTS")))
     return one_row(stats, dims).select(
@@ -158,7 +173,7 @@ def executive_summary(t: Tables, rate_digits: int | None = 4, avg_digits: int |
 def carrier_performance(t: Tables, order: str = "flights", ascending: bool = False,
                         rate_digits: int | None = 4, avg_digits: int | None = 2) -> DataFrame:
     """F8 (order="flights") and F49 (order="cancellation"): per airline code."""
-    per = t.flights.groupBy("AIRLINE_ID").agg(*partials())
+    per = _of_tables(t, ["airline_key"])
     a = bounded(t.airlines.select("AIRLINE_ID", "AIRLINE"), t.counts.get("airlines"))
     g = per.join(a, "AIRLINE_ID").groupBy("AIRLINE").agg(*merge_partials())
     out = g.select(
@@ -176,13 +191,14 @@ def carrier_performance(t: Tables, order: str = "flights", ascending: bool = Fal
 def airport_traffic(t: Tables) -> DataFrame:
     """origin / destination / total flights per airport with any traffic.
 
-    One scan: each flight emits (origin, 1, 0) and (destination, 0, 1); the
-    per-airport sums replace the reference's two pre-aggregates + 2 left joins.
+    Flights are counted by route, then each route adds to its origin and its
+    destination; the sums replace the reference's two pre-aggregates + 2 left joins.
     """
-    roles = t.flights.select(F.explode(F.array(
-        F.struct(F.col("ORIGIN_AIRPORT_ID").alias("k"), F.lit(1).alias("o"), F.lit(0).alias("d")),
-        F.struct(F.col("DESTINATION_AIRPORT_ID").alias("k"), F.lit(0).alias("o"),
-                 F.lit(1).alias("d")))).alias("r")).select("r.*")
+    flights = _of_tables(t, ["origin_airport_key", "dest_airport_key"], (), ())
+    roles = flights.select(F.explode(F.array(
+        F.struct(F.col("ORIGIN_AIRPORT_ID").alias("k"), F.col("_n").alias("o"), F.lit(0).cast("long").alias("d")),
+        F.struct(F.col("DESTINATION_AIRPORT_ID").alias("k"), F.lit(0).cast("long").alias("o"),
+                 F.col("_n").alias("d")))).alias("r")).select("r.*")
     per = roles.groupBy("k").agg(F.sum("o").cast("bigint").alias("ORIGIN_FLIGHTS"),
                                  F.sum("d").cast("bigint").alias("DESTINATION_FLIGHTS"))
     a = bounded(t.airports.select(F.col("AIRPORT_ID").alias("k"), "AIRPORT"),
@@ -196,7 +212,7 @@ def airport_traffic(t: Tables) -> DataFrame:
 def delay_analysis(t: Tables, digits: int | None = 2) -> DataFrame:
     """five cause averages per airline code (NULL -> 0), by code."""
     cols = [c for _, c in CAUSES]
-    per = t.flights.groupBy("AIRLINE_ID").agg(*partials(cols, ()))
+    per = _of_tables(t, ["airline_key"], cols, ())
     a = bounded(t.airlines.select("AIRLINE_ID", "AIRLINE"), t.counts.get("airlines"))
     g = per.join(a, "AIRLINE_ID").groupBy("AIRLINE").agg(*merge_partials(cols, ()))
     names = {"WEATHER_DELAY": "AVG_WEATHER_DELAY", "AIRLINE_DELAY": "AVG_AIRLINE_DELAY",
@@ -213,9 +229,7 @@ def delay_analysis(t: Tables, digits: int | None = 2) -> DataFrame:
 def executive_kpis(star: Star, rate_digits: int | None = 2, avg_digits: int | None = 1
                    ) -> DataFrame:
     """F19 (+ S6 completed_pct = 100 - cancel% - divert%)."""
-    s = star.fact.agg(F.count(F.lit(1)).alias("total_flights"),
-                      count_when(is_flag(CANC)).alias("_c"), count_when(is_flag(DIVR)).alias("_d"),
-                      F.avg(DEP).alias("_dep"), F.avg(ARR).alias("_arr"))
+    s = _totals(sums(star.fact, star.agg, [])).withColumnRenamed("_n", "total_flights")
     dims = one_row(star.dim_airline.agg(F.count(F.lit(1)).alias("total_airlines")),
                    star.dim_airport.agg(F.count(F.lit(1)).alias("total_airports")))
     out = one_row(s, dims).select(
@@ -229,16 +243,17 @@ def executive_kpis(star: Star, rate_digits: int | None = 2, avg_digits: int | No
 
 def top_carriers(star: Star, k: int = 10) -> DataFrame:
     """top-k airlines by name."""
-    g = by_key_then_attr(star, star.fact, "airline_key", "dim_airline", "airline_key",
+    g = by_key_then_attr(star, "airline_key", "dim_airline", "airline_key",
                          ["airline_name"], value_cols=(), flags=())
     return (g.select("airline_name", F.col("_n").alias("flights"))
             .orderBy(F.desc("flights"), F.col("airline_name").asc_nulls_first()).limit(k))
 
 
 def _traffic_by_key(star: Star) -> DataFrame:
-    """H1: UNION ALL of origin and destination keys as one scan, counted per key."""
-    return (star.fact.select(F.explode(F.array("origin_airport_key", "dest_airport_key"))
-                             .alias("_k")).groupBy("_k").agg(F.count(F.lit(1)).alias("_n")))
+    """H1: UNION ALL of origin and destination keys, counted per route first."""
+    per = sums(star.fact, star.agg, ["origin_airport_key", "dest_airport_key"], (), ())
+    return (per.select(F.explode(F.array("origin_airport_key", "dest_airport_key")).alias("_k"), "_n")
+            .groupBy("_k").agg(F.sum("_n").alias("_n")))
 
 
 def top_airports(star: Star, k: int = 10) -> DataFrame:
@@ -262,11 +277,11 @@ def airport_rankings(star: Star, k: int | None = 25) -> DataFrame:
 def cause_averages(star: Star, arr_gt: float | None = 0, carrier_key=None, date_key=None,
                    long: bool = False, digits: int | None = 2) -> DataFrame:
     """F22 / F30 (+C15): five cause averages under optional filters."""
-    f = star.fact.where(all_of([
-        F.col(ARR) > arr_gt if arr_gt is not None else None,
-        F.col("airline_key") == F.lit(carrier_key) if carrier_key is not None else None,
-        on_date(star.fact, date_key)]))
-    wide = f.agg(*[rnd(F.avg(c), digits).alias(lbl) for lbl, c in CAUSES])
+    where = [F.col("airline_key") == F.lit(carrier_key) if carrier_key is not None else None, on_date(star.fact, date_key)]
+    cols = [c for _, c in CAUSES]
+    g = (sums(star.fact, star.agg, [], cols, (), arr_gt) if carrier_key is None and date_key is None
+         else sums(star.fact.where(all_of(where)), None, [], cols, (), arr_gt))
+    wide = g.select(*[rnd(mean(c), digits).alias(lbl) for lbl, c in CAUSES])
     if not long:
         return wide
     return unpivot_causes(wide, [lbl for lbl, _ in CAUSES], [lbl for lbl, _ in CAUSES],
@@ -276,9 +291,9 @@ def cause_averages(star: Star, arr_gt: float | None = 0, carrier_key=None, date_
 def carrier_kpis(star: Star, carrier_key=None, rate_digits: int | None = 2,
                  avg_digits: int | None = 1) -> DataFrame:
     """drill-down KPIs for one airline key; ``None`` = every airline."""
-    f = star.fact if carrier_key is None else star.fact.where(
-        F.col("airline_key") == F.lit(carrier_key))
-    g = f.groupBy("airline_key").agg(*partials())
+    g = sums(star.fact, star.agg, ["airline_key"])
+    if carrier_key is not None:  # reaches the scan
+        g = g.where(F.col("airline_key") == F.lit(carrier_key))
     d = dim(star, "dim_airline", "airline_key", "airline_name")
     return g.join(d, "airline_key", "left").select(
         "airline_key", "airline_name", F.col("_n").alias("flights"),
@@ -288,9 +303,8 @@ def carrier_kpis(star: Star, carrier_key=None, rate_digits: int | None = 2,
 
 def carrier_daily(star: Star, carrier_key=None) -> DataFrame:
     """flights per date for one airline (``None`` = all airlines)."""
-    f = star.fact if carrier_key is None else star.fact.where(
-        F.col("airline_key") == F.lit(carrier_key))
-    per = f.groupBy("date_key").agg(F.count(F.lit(1)).alias("_n"))
+    per = (sums(star.fact, star.agg, ["date_key"], (), ()) if carrier_key is None
+           else sums(star.fact.where(F.col("airline_key") == F.lit(carrier_key)), None, ["date_key"], (), ()))
     d = dim(star, "dim_date", "date_key", "full_date", "day_name")
     g = per.join(d, "date_key").groupBy("full_date", "day_name").agg(
         F.sum("_n").alias("flights"))
@@ -300,7 +314,7 @@ def carrier_daily(star: Star, carrier_key=None) -> DataFrame:
 def carrier_comparison(star: Star, rate_digits: int | None = 2, avg_digits: int | None = 1
                        ) -> DataFrame:
     """per airline name, ordered by average arrival delay."""
-    g = by_key_then_attr(star, star.fact, "airline_key", "dim_airline", "airline_key",
+    g = by_key_then_attr(star, "airline_key", "dim_airline", "airline_key",
                          ["airline_name"], value_cols=(ARR,), flags=(CANC,))
     return g.select(
         "airline_name", F.col("_n").alias("flights"),
@@ -312,19 +326,20 @@ def carrier_comparison(star: Star, rate_digits: int | None = 2, avg_digits: int
 def airport_kpis(star: Star, airport_key=None, avg_digits: int | None = 1) -> DataFrame:
     """departures, arrivals, avg departure delay (NULL -> 0) for one
     airport key (``None`` = every airport), one pass over the fact."""
-    fact = star.fact
+    per = sums(star.fact, star.agg, ["origin_airport_key", "dest_airport_key"], (DEP,), ())
     if airport_key is not None:  # reaches the scan; the explode below would hide it
-        fact = fact.where((F.col("origin_airport_key") == airport_key) | (F.col("dest_airport_key") == airport_key))
-    roles = fact.select(F.explode(F.array(
-        F.struct(F.col("origin_airport_key").alias("k"), F.lit(1).alias("o"),
-                 F.lit(0).alias("a"), F.col(DEP).alias("v")),
-        F.struct(F.col("dest_airport_key").alias("k"), F.lit(0).alias("o"), F.lit(1).alias("a"),
-                 F.lit(None).cast("double").alias("v")))).alias("r")).select("r.*")
+        per = per.where((F.col("origin_airport_key") == airport_key) | (F.col("dest_airport_key") == airport_key))
+    none = F.lit(0).cast("long")
+    roles = per.select(F.explode(F.array(
+        F.struct(F.col("origin_airport_key").alias("k"), F.col("_n").alias("o"), none.alias("a"),
+                 F.col(f"_s_{DEP}").alias("s"), F.col(f"_c_{DEP}").alias("c")),
+        F.struct(F.col("dest_airport_key").alias("k"), none.alias("o"), F.col("_n").alias("a"),
+                 F.lit(None).cast("double").alias("s"), none.alias("c")))).alias("r")).select("r.*")
     if airport_key is not None:
         roles = roles.where(F.col("k") == F.lit(airport_key))
     per = roles.groupBy("k").agg(F.sum("o").cast("bigint").alias("departures"),
                                  F.sum("a").cast("bigint").alias("arrivals"),
-                                 F.avg("v").alias("_avg"))
+                                 F.try_divide(F.sum("s"), F.sum("c").cast("double")).alias("_avg"))
     d = dim(star, "dim_airport", F.col("airport_key").alias("k"), "airport_code", "airport_name",
             "city", "state")
     return per.join(d, "k").select(
@@ -339,10 +354,10 @@ def top_destinations(star: Star, airport_key=None, k: int = 10) -> DataFrame:
     Top-k per group: a window partitioned by hub over the (hub, destination)
     aggregate, so hubs rank in parallel.
     """
-    f = star.fact if airport_key is None else star.fact.where(
-        F.col("origin_airport_key") == F.lit(airport_key))
-    per = f.groupBy(F.col("origin_airport_key").alias("hub_key"),
-                    F.col("dest_airport_key").alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    per = sums(star.fact, star.agg, ["origin_airport_key", "dest_airport_key"], (), ()).withColumnsRenamed(
+        {"origin_airport_key": "hub_key", "dest_airport_key": "_k"})
+    if airport_key is not None:  # reaches the scan
+        per = per.where(F.col("hub_key") == F.lit(airport_key))
     d = dim(star, "dim_airport", F.col("airport_key").alias("_k"), "airport_code", "airport_name")
     g = per.join(d, "_k").groupBy("hub_key", "airport_code", "airport_name").agg(
         F.sum("_n").alias("flights"))
@@ -373,10 +388,8 @@ def routes(star: Star, min_flights: int = 20, limit: int | None = 20,
 def carrier_delay(star: Star, arr_gt: float = 0, date_key=None, digits: int | None = 1
                   ) -> DataFrame:
     """average arrival delay by airline name, worst first (day filter only)."""
-    f = star.fact.where(all_of([
-        F.col(ARR) > arr_gt, on_date(star.fact, date_key)]))
-    g = by_key_then_attr(star, f, "airline_key", "dim_airline", "airline_key", ["airline_name"],
-                         value_cols=(ARR,), flags=())
+    g = by_key_then_attr(star, "airline_key", "dim_airline", "airline_key", ["airline_name"],
+                         value_cols=(ARR,), flags=(), arr_gt=arr_gt, where=on_date(star.fact, date_key))
     return g.select("airline_name", rnd(mean(ARR), digits).alias("avg_delay")).orderBy(
         F.col("avg_delay").desc_nulls_last(), F.col("airline_name").asc_nulls_first())
 
@@ -384,7 +397,7 @@ def carrier_delay(star: Star, arr_gt: float = 0, date_key=None, digits: int | No
 def daily_trend(star: Star, rate_digits: int | None = 2, avg_digits: int | None = 1
                 ) -> DataFrame:
     """F32: per calendar date."""
-    per = star.fact.groupBy("date_key").agg(*partials((DEP, ARR), (CANC,)))
+    per = sums(star.fact, star.agg, ["date_key"], (DEP, ARR), (CANC,))
     d = dim(star, "dim_date", "date_key", "full_date", "day_name", "is_weekend")
     g = per.join(d, "date_key").groupBy("full_date", "day_name", "is_weekend").agg(
         *merge_partials((DEP, ARR), (CANC,)))
@@ -410,7 +423,7 @@ def carrier_by_day(star: Star) -> DataFrame:
 
 def day_type(star: Star, digits: int | None = 1) -> DataFrame:
     """weekday vs weekend volume and average departure delay."""
-    per = star.fact.groupBy("date_key").agg(*partials((DEP,), ()))
+    per = sums(star.fact, star.agg, ["date_key"], (DEP,), ())
     d = dim(star, "dim_date", "date_key",
             F.when(F.col("is_weekend"), WEEKEND_LABEL).otherwise(WEEKDAY_LABEL)
             .alias("day_type"))
@@ -426,8 +439,8 @@ def filter_options(star: Star, kind: str) -> DataFrame:
         return star.dim_airline.select("airline_key", "airline_name").orderBy(
             F.col("airline_name").asc_nulls_first(), "airline_key")
     if kind == "airports":
-        used = star.fact.select(F.explode(F.array("origin_airport_key", "dest_airport_key"))
-                                .alias("airport_key")).distinct()
+        per = sums(star.fact, star.agg, ["origin_airport_key", "dest_airport_key"], (), ())
+        used = per.select(F.explode(F.array("origin_airport_key", "dest_airport_key")).alias("airport_key")).distinct()
         return (star.dim_airport.join(used, "airport_key", "left_semi")
                 .select("airport_key", code_name_label("airport_code", "airport_name")
                         .alias("label")).orderBy(F.col("label").asc_nulls_first(), "airport_key"))

@@ -146,15 +146,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def normalized(spark: SparkSession, sf_dir: str) -> Tables:
     """Normalized layer (C10) of ``sf_dir``: written members with ids and the
     keyed fact (the warehouse fact with the id names of the normalized DDL)."""
-    p = star_path(spark, sf_dir)
-    s = star(spark, sf_dir)
-    keyed = model.read_keys(spark, p)
-    airlines, airports = keyed["airlines"], keyed["airports"]
-    flights = s.fact.withColumnsRenamed({"airline_key": "AIRLINE_ID",
-                                         "origin_airport_key": "ORIGIN_AIRPORT_ID",
-                                         "dest_airport_key": "DESTINATION_AIRPORT_ID"})
-    return Tables(airlines=airlines, airports=airports, flights=flights,
-                  counts={"airlines": s.rows["dim_airline"], "airports": s.rows["dim_airport"]})
+    return model.normalized(spark, star_path(spark, sf_dir), star(spark, sf_dir))
 
 
 def build_and_write_star(spark: SparkSession, sf_dir: str, path: str) -> None:

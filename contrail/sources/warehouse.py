@@ -100,47 +100,60 @@ class Load:
         self.warehouse, self.load_id = warehouse, load_id
         self.name = uuid.uuid4().hex[:12]  # an attempt's own folders: a broken one leaves nothing that is read
         self.before = warehouse.version()
+        self.writes = 0
         self.staged: dict[str, dict[str, str]] = {}
-        self.replaced: set[str] = set()
+        self.gone: dict[str, set[str] | None] = {}  # partitions whose earlier folders go; None: all
 
-    def write(self, table: str, df: DataFrame, partition_by: str | None = None, replace_all: bool = False) -> DataFrame:
-        """Stages a table and returns it as written. With ``partition_by``, only the partitions that
-        ``df`` holds are replaced (all, with ``replace_all``); without, the whole table is. A partition
-        column holds whole numbers (years, months, versions)."""
+    def write(self, table: str, df: DataFrame, partition_by: str | None = None, replace_all: bool = False,
+              append: bool = False, parts: list | None = None) -> DataFrame:
+        """Stages a table and returns what was written.
+
+        Without ``partition_by`` the whole table is replaced. With it, the partitions that ``df`` holds are (all,
+        with ``replace_all``; also those of ``parts``, which may be left without rows); with ``append`` they keep
+        what they hold. A partition column holds whole numbers (years, months, versions).
+        """
         root = f"{self.warehouse.path}/{table}"
+        name = f"{self.name}-{self.writes}"
+        self.writes += 1
         if partition_by:
             # rebalanced by the partition column: files follow the data's size, not tasks x partitions
-            (df.hint("rebalance", partition_by).withColumn(LOAD, F.lit(self.name)).write.mode("append")
+            (df.hint("rebalance", partition_by).withColumn(LOAD, F.lit(name)).write.mode("append")
              .option("maxRecordsPerFile", 5_000_000).partitionBy(partition_by, LOAD).parquet(root))
-            mine = self._partitions(table, partition_by)
+            mine = self._partitions(table, partition_by, name)
         else:
-            mine = {"": f"{table}/{LOAD}={self.name}"}
-            df.write.parquet(f"{root}/{LOAD}={self.name}")
-        if not mine and (replace_all or table not in self.warehouse._folders()):
-            mine = {NULL_PART: f"{table}/{partition_by}={NULL_PART}/{LOAD}={self.name}"}  # no rows: an empty file keeps the schema
+            mine = {"": f"{table}/{LOAD}={name}"}
+            df.write.parquet(f"{root}/{LOAD}={name}")
+        if not mine and (replace_all or table not in self.warehouse._folders()) and not self.staged.get(table):
+            mine = {NULL_PART: f"{table}/{partition_by}={NULL_PART}/{LOAD}={name}"}  # no rows: an empty file keeps the schema
             df.drop(partition_by).limit(0).write.parquet(f"{self.warehouse.path}/{mine[NULL_PART]}")
-        self.staged[table] = mine
+        gone = self.gone.setdefault(table, set())
         if replace_all or not partition_by:
-            self.replaced.add(table)
-        return self.warehouse._open(table, mine) if mine else self.warehouse.read(table).limit(0)
-
-    def _partitions(self, table: str, by: str) -> dict[str, str]:
+            self.gone[table] = None
+        elif gone is not None and not append:
+            gone.update(mine, map(str, parts or []))
+        # a folder's name in the manifest: its partition, and the load if there are others beside it
+        self.staged.setdefault(table, {}).update({f"{p}+{name}" if append else p: f for p, f in mine.items()})
+        return self.warehouse._open(table, mine) if mine else df.limit(0)
+
+    def _partitions(self, table: str, by: str, name: str) -> dict[str, str]:
         """The partitions that this load has written: their names and folders."""
         root = f"{self.warehouse.path}/{table}"
         try:
-            rows = self.warehouse.spark.read.option("basePath", root).parquet(f"{root}/{by}=*/{LOAD}={self.name}")
+            rows = self.warehouse.spark.read.option("basePath", root).parquet(f"{root}/{by}=*/{LOAD}={name}")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return {}
         found = rows.select(F.coalesce(F.col(by).cast("string"), F.lit(NULL_PART)).alias("part")).distinct().collect()  # a row a partition
-        return {r["part"]: f"{table}/{by}={r['part']}/{LOAD}={self.name}" for r in found}
+        return {r["part"]: f"{table}/{by}={r['part']}/{LOAD}={name}" for r in found}
 
     def commit(self) -> int:
         """Makes the staged tables visible, with the folders of all others as they were; returns the version."""
         live = self.warehouse._folders() if self.before else {}
         for table, mine in self.staged.items():
-            live[table] = mine if table in self.replaced else live.get(table, {}) | mine
+            gone = self.gone[table]
+            kept = {} if gone is None else {p: f for p, f in live.get(table, {}).items() if p.split("+")[0] not in gone}
+            live[table] = kept | mine
         version = self.before + 1
         rows = [(version, self.load_id, t, p, f) for t, parts in live.items() for p, f in parts.items()]
         manifest = self.warehouse.spark.createDataFrame(rows, MANIFEST)

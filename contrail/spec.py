@@ -139,6 +139,14 @@ RUN_METADATA_SCHEMA = T.StructType([
 # ---------------------------------------------------------------------------
 # Column roles
 # ---------------------------------------------------------------------------
+# Fact columns of the star (fixed by the warehouse build, C14):
+DEP = "DEPARTURE_DELAY"
+ARR = "ARRIVAL_DELAY"
+CANC = "CANCELLED"
+DIVR = "DIVERTED"
+DIST = "DISTANCE"
+
+
 @dataclass(frozen=True)
 class FactSpec:
     """Which column of a flight-shaped fact plays which role."""
@@ -180,6 +188,7 @@ class Tables:
     airports: DataFrame   # AIRPORT_ID, AIRPORT
     flights: DataFrame    # NORMALIZED_FLIGHTS_COLUMNS
     counts: dict = field(default_factory=dict)
+    agg: DataFrame | None = None  # additive aggregates of the flights (plans/aggregates.py)
 
 
 @dataclass
@@ -192,6 +201,7 @@ class Star:
     dim_airport: DataFrame
     dim_date: DataFrame
     rows: dict = field(default_factory=dict)
+    agg: DataFrame | None = None  # additive aggregates of the fact (plans/aggregates.py)
 
     def dim(self, name: str) -> DataFrame:
         return getattr(self, name)
