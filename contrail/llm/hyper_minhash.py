@@ -2,10 +2,10 @@
 
 Method
 ------
-A document's set holds the hashes of its distinct word n-grams. The hash space is
-dealt to ``REGISTERS`` buckets; a register keeps the least hash of its bucket in 16
-bits, the number of its leading zeros and ``MANTISSA`` bits that follow the first
-one. Bands of ``ROWS`` compressed registers are the keys of a first search. Documents
+A document's set holds the hashes of its distinct word n-grams. In each of
+``PERMUTATIONS`` orders the hash space is dealt to ``BUCKETS`` buckets (few, so that the
+buckets of short documents fill, too); a register keeps the least hash of its bucket in
+16 bits, the number of its leading zeros and ``MANTISSA`` bits that follow the first one. Bands of ``ROWS`` compressed registers are the keys of a first search. Documents
 that meet there are compared by all registers: the share of equal ones, less the
 equal ones expected by chance between sets of these sizes, estimates their Jaccard
 similarity, and pairs whose estimate is not far below the threshold are verified on
@@ -14,22 +14,23 @@ their full sets.
 Steps
 -----
 1. Sketch. Equal sets become one node. A node's bands are its keys.
-2. A key of more than ``CROWD`` nodes (a passage that many documents share makes such
-   keys, and so does a large group of near copies) is refined: its nodes are dealt
-   again by the key and one of the ``STEPS`` next bands, for up to ``DEPTH`` times. A pair
-   that links agrees in so many bands that it stays together in some of these keys.
-3. Each node names a root, the smallest node that it shares a key with. All nodes of a
-   key go to the units of all roots that nodes of the key name, so that two nodes that
-   share a key meet in a unit, while a group of copies makes one unit, not a unit for
-   each pair or key. A large unit is dealt as a grid: its nodes go to blocks of bounded
+2. A key of more than ``CROWD`` nodes (a passage that a great many documents share makes
+   such keys) is refined: its nodes are dealt again by the key and one of the ``STEPS`` next
+   bands, for up to ``DEPTH`` times. A pair that links agrees in so many bands that it stays
+   together in some of these keys.
+3. Each node names a root, the smallest node that it shares a key with. A node goes to
+   the unit of a root if nodes that name it are in its keys in ``AGREE`` bands or more, so
+   that two nodes that agree in so many bands meet in a unit, while a group of copies makes
+   one unit, not a unit for each pair or key. A large unit is dealt as a grid: its nodes go to blocks of bounded
    size and each pair of blocks is compared by itself.
 4. In a unit, pairs are picked by their estimates and verified by a product of the
    blocks' incidence matrices, which gives exact overlaps. A unit gives a star for each
    connected part; connected components of the stars are the classes.
 
 Chance of a miss: at a similarity of exactly 0.85 and full registers a band agrees with
-probability 0.85^6 = 0.377, and all 42 bands differ with 2e-9; for sets smaller than the
-number of registers bands agree more often. The estimate may lie ``SIGMAS`` standard
+probability 0.85^6 = 0.377, and fewer than ``AGREE`` of 42 bands agree with 3e-7; for sets
+smaller than the number of registers bands agree more often (small sets have few bands that
+are not empty: from those below ``SMALL`` one agreement less is asked for). The estimate may lie ``SIGMAS`` standard
 deviations (of a share of the registers that are in use) below the threshold.
 
 Scale: what is shuffled is linear in the documents: a key a band, and sets only of
@@ -57,30 +58,36 @@ from contrail.llm.common import few, texts, written
 from contrail.llm.components import components
 from contrail.llm.jaccard_join import shingles
 
-REGISTERS = 256
+PERMUTATIONS, BUCKETS = 16, 16
+REGISTERS = PERMUTATIONS * BUCKETS
 MANTISSA = 10  # bits of a register after its leading zeros (6 bits)
 ROWS = 6  # registers in a band
 BANDS = REGISTERS // ROWS
-CROWD = 64  # a key of more nodes is refined
+CROWD = 4096  # a key of more nodes is refined
 STEPS = 6  # bands after a key's last one that refine it
 DEPTH = 3
+AGREE, SMALL = 3, 32  # bands in which nodes must agree to be compared; members of a small set
 BLOCK = 512  # nodes of a unit that meet in a block, on average
 BLOCK_MEMBERS = 1 << 20  # and members of their sets
 SIGMAS = 6.5
 TILE = 4096  # columns of an incidence matrix at a time
 MIX = np.uint64(0x9E3779B97F4A7C15)  # fixed odd number
+SEEDS = np.array([int(MIX) * (2 * k + 1) * (2 * k + 1) % (1 << 64) for k in range(1, PERMUTATIONS + 1)], np.uint64)  # of the orders
+CHUNK = 1 << 14  # members that are ordered at a time
 #: Expected share of equal registers by chance is this over 2^MANTISSA, times 4q / (1 + q)^2 for sizes of ratio q (constant of the sketch's paper).
 CHANCE = 0.1699194871591
 
 
 def registers(members: np.ndarray) -> np.ndarray:
     """Compressed registers of a set of hashes; 0 where a bucket is empty."""
-    h = members * MIX
-    h ^= h >> np.uint64(32)
-    h *= MIX
-    bucket, value = (h & np.uint64(REGISTERS - 1)).astype(np.int64), h >> np.uint64(8)  # 56 bits
     least = np.full(REGISTERS, 1 << 56, np.uint64)
-    np.minimum.at(least, bucket, value)
+    for begin in range(0, len(members), CHUNK):
+        h = (members[begin:begin + CHUNK] ^ SEEDS[:, None]) * MIX
+        h ^= h >> np.uint64(32)
+        h *= MIX
+        h ^= h >> np.uint64(29)
+        bucket = (h & np.uint64(BUCKETS - 1)).astype(np.int64) + np.arange(PERMUTATIONS)[:, None] * BUCKETS
+        np.minimum.at(least, bucket.ravel(), (h >> np.uint64(8)).ravel())  # 56 bits
     held = least < np.uint64(1 << 56)
     # the position of the first one: 56 bits are two halves that float64 holds exactly
     v = np.maximum(least, np.uint64(1))
@@ -218,44 +225,40 @@ def _join_units(percent: int):
     return run
 
 
-def _met(placed: DataFrame, name: str) -> DataFrame:
-    """Keys (of node, key, ..) that two nodes or more hold: (key, n, least)."""
-    return written(placed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).filter("n > 1"), name)
-
-
 def _keyed(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(node, key) and (key, least) of all keys that two nodes or more share, crowded ones refined."""
-    bands = reps.select("node", "keys", F.posexplode("keys").alias("band", "key")).filter("key IS NOT NULL")
+    """(node, base, key) and (key, least) of all keys that two nodes or more share, crowded ones refined; ``base`` is the first band."""
+    bands = reps.select("node", F.posexplode("keys").alias("band", "key")).filter("key IS NOT NULL").withColumn("base", F.col("band"))
     done, heads = None, None
     for depth in range(DEPTH + 1):
-        met = _met(bands.select("key", "node"), "met")
-        crowded = met.filter(F.col("n") > CROWD) if depth < DEPTH else met.limit(0)
-        rest = met.filter(F.col("n") <= CROWD) if depth < DEPTH else met
-        rows, head = bands.select("node", "key").join(rest.select("key"), "key"), rest.select("key", "least")
+        met = written(bands.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).filter("n > 1"), "met")
+        placed = written(bands.join(F.broadcast(met.select("key", "n")) if few(met, 32) else met.select("key", "n"), "key"), "placed")
+        kept = (F.col("n") <= CROWD) | F.lit(depth == DEPTH)
+        rows, head = placed.filter(kept).select("node", "base", "key"), met.filter(kept).select("key", "least")
         done, heads = (rows, head) if done is None else (done.union(rows), heads.union(head))
-        if depth == DEPTH or crowded.isEmpty():
-            return done, heads
-        bands = written(
-            bands.join(crowded.select("key"), "key")
-            .withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(STEPS))))
-            .withColumn("band", F.expr(f"(band + step) % {BANDS}"))
-            .select("node", "keys", "band", F.xxhash64("key", "band", F.expr("keys[band]")).alias("key")), "refined")
-    raise AssertionError("unreachable")
+        crowded = placed.filter(~kept)
+        if crowded.isEmpty():
+            break
+        bands = (crowded.join(reps.select("node", "keys"), "node")
+                 .withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(STEPS))))
+                 .withColumn("band", F.expr(f"(band + step) % {BANDS}"))
+                 .select("node", "base", "band", F.xxhash64("key", "band", F.expr("keys[band]")).alias("key")))
+    return done, heads
 
 
 def _units(reps: DataFrame) -> DataFrame:
     """(node, units): the units and halves that each node goes to."""
     keyed, heads = _keyed(reps.select("node", "keys"))
-    keyed = written(keyed, "keyed")
-    heads = written(heads, "heads")
     rooted = written(keyed.join(heads, "key").groupBy("node").agg(F.min("least").alias("root")), "roots")
     named = written(keyed.join(rooted, "node").select("key", "root").distinct(), "named")
-    members = written(keyed.join(named, "key").select("node", F.col("root").alias("unit")).distinct().join(reps.select("node", "size"), "node"), "members")
+    reached = keyed.join(named, "key").groupBy("node", F.col("root").alias("unit")).agg(F.countDistinct("base").alias("agree"))
+    members = written(reached.join(reps.select("node", "size"), "node").filter(F.col("agree") >= F.when(F.col("size") < SMALL, AGREE - 1).otherwise(AGREE))
+                      .select("node", "size", "unit"), "members")
     sized = (members.groupBy("unit").agg(F.count("*").alias("n"), F.sum("size").alias("m")).filter("n > 1")
              .select("unit", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("m") / BLOCK_MEMBERS)).cast("int").alias("blocks")))
     own = F.expr("CAST(pmod(xxhash64(node), blocks) AS INT)")
+    sized = written(sized, "sized")
     # a node meets all blocks; its own one once, in a unit of its own
-    return (members.join(sized, "unit").withColumn("own", own)
+    return (members.join(F.broadcast(sized) if few(sized, 16) else sized, "unit").withColumn("own", own)
             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
             .select("node", F.struct(F.xxhash64("unit", F.least("own", "other"), F.greatest("own", "other")).alias("unit"),
                                      F.expr("CASE WHEN own = other THEN 2 WHEN own < other THEN 0 ELSE 1 END").alias("half")).alias("unit"))
