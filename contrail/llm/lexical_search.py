@@ -56,7 +56,7 @@ TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
 
 def terms(text: bytes) -> list[bytes]:
     """The terms of a text in UTF-8: runs of ASCII letters and digits and of all else from U+0080 on."""
-    return text.translate(TABLE).split(b" ") if not text else [w for w in text.translate(TABLE).split(b" ") if w]
+    return text.translate(TABLE).split()
 
 
 def _bytes(s: pa.Scalar) -> bytes:
