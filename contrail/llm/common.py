@@ -34,6 +34,20 @@ def few(keys: DataFrame, row_bytes: int = 48) -> bool:
     return keys.count() * row_bytes <= BROADCAST_BYTES
 
 
+def narrow(keys: DataFrame, lists: str) -> bool:
+    """May rows with a list of 8-byte elements be broadcast? Rows and elements are counted."""
+    return (keys.agg(F.sum(F.size(lists) * 8 + 64)).first()[0] or 0) <= BROADCAST_BYTES
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or ``name_1``, ``name_2``, .. : the first that no column of ``df`` bears (in either case)."""
+    taken, k, found = {c.lower() for c in df.columns}, 0, name
+    while found.lower() in taken:
+        k += 1
+        found = f"{name}_{k}"
+    return found
+
+
 def lower_az(c: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

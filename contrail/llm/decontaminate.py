@@ -5,17 +5,18 @@ Method
 1. ``seeds``: the n-grams of each test item's words (letters and digits, lower case).
 2. ``seed_hits``: one pass over all texts finds where they hold one. Documents are
    counted for each n-gram; an item is looked up by its *rare* ones: those in at most
-   ``RARE`` of the documents, and in any case the rarer half of its own, so that an
-   item that very many documents copy is found all the same.
+   ``RARE`` of the documents, and in any case the rarer half of its own. Its other n-grams
+   count where two of them lie near one diagonal, so that an item that very many
+   documents copy is found in edited copies, too.
 3. ``passages``: hits of one document and item near one diagonal make one passage,
-   long enough to hold the whole item with insertions.
+   long enough to hold the whole item with insertions; it is cut out of the document.
 4. ``aligned``: Smith-Waterman (match 2, other word -1, gap -1) of passage and item; the
    score is divided by that of the item with itself. ``matches`` keeps scores of
    ``LEAST`` or more: exact, edited and partly paraphrased copies.
 
 Scale: seeds are sent to the tasks while their counted size allows it, else the
-documents' n-grams are joined to them by a shuffle; passages carry their item's words,
-so no task needs all items. Documents with passages are found by a broadcast of
+documents' n-grams are joined to them by a shuffle; a passage is a row and meets its
+item by a join, so no task needs all items and no row grows with a document's hits. Documents with passages are found by a broadcast of
 their hashes while these are few (by size), else by a shuffle. No document is compared
 with an item that it shares no rare n-gram with, and none is left out for having many.
 
@@ -37,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import few, written
+from contrail.llm.common import few, free_name, written
 
 N, RARE, LEAST = 3, 0.001, 0.5
 WORDS = re.compile(r"[^\W_]+")
@@ -116,20 +117,33 @@ def align(passage: list[int], item: list[int]) -> tuple[float, int, int]:
     return float(top), end - back, end
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of each passage, a row a passage."""
+    for b in batches:
+        for doc, doc_id, text, passages in zip(*(b.column(c) for c in ("doc", "doc_id", "text", "passages"))):
+            words = words_of(text.as_py())
+            items, begins, parts = [], [], []
+            for p in passages.as_py():
+                begin = max(0, p["begin"])
+                items.append(p["item"])
+                begins.append(begin)
+                parts.append(" ".join(words[begin:max(begin, p["end"])]))
+            k = len(items)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([doc.as_py()] * k, pa.int64()), pa.array([doc_id.as_py()] * k, pa.int64()), pa.array(items, pa.int64()), pa.array(begins, pa.int64()), pa.array(parts, pa.string())],
+                ["doc", "doc_id", "item", "begin", "part"])
+
+
 def _align(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for doc, doc_id, text, passages in zip(*(b.column(c).to_pylist() for c in ("doc", "doc_id", "text", "passages"))):
-                words = words_of(text)
-                for p in passages:
-                    item = words_of(p["item_text"])
-                    begin = max(0, p["begin"])
-                    part = words[begin:max(begin, p["end"])]
-                    number = {w: i for i, w in enumerate(set(item))}
-                    score, first, end = align([number.get(w, -1) for w in part], [number[w] for w in item])
-                    if score >= least * 2 * len(item):
-                        out.append((doc, doc_id, p["item"], begin + first, begin + end, score / (2 * len(item))))
+            for doc, doc_id, name, begin, part, item_text in zip(*(b.column(c).to_pylist() for c in ("doc", "doc_id", "item", "begin", "part", "item_text"))):
+                item = words_of(item_text)
+                number = {w: i for i, w in enumerate(set(item))}
+                score, first, end = align([number.get(w, -1) for w in part.split()], [number[w] for w in item])
+                if score >= least * 2 * len(item):
+                    out.append((doc, doc_id, name, begin + first, begin + end, score / (2 * len(item))))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()))],
                 ["doc", "doc_id", "item_id", "first_word", "end_word", "score"])
@@ -154,27 +168,32 @@ def matches(docs: DataFrame, benchmark: DataFrame, n: int = N, rare: float = RAR
         hits = rows.select("doc", "text").mapInArrow(_hits(lengths, None), shape).join(grams, "gram").select("doc", "gram", "pos")
     hits = written(hits, "hits")
 
-    # rare: in few documents, or of the rarer half of an item's own
+    # rare: in few documents, or of the rarer half of an item's own; of the others two must lie near one diagonal
     held = hits.select("gram", "doc").distinct().groupBy("gram").agg(F.count("*").alias("df"))
     limit = max(20.0, rare * rows.count())
     by_rarity = Window.partitionBy("item").orderBy("df", "gram", "at")
     chosen = (seeds.join(held, "gram").withColumn("place", F.row_number().over(by_rarity))
               .withColumn("of", F.count("*").over(Window.partitionBy("item")))
-              .filter((F.col("df") <= limit) | (2 * F.col("place") <= F.col("of") + 1)).select("item", "gram", "at", "words"))
+              .select("item", "gram", "at", "words", ((F.col("df") <= limit) | (2 * F.col("place") <= F.col("of") + 1)).alias("rare")))
     chosen = written(chosen, "rare-seeds")
 
     diagonal = F.col("pos") - F.col("at")
-    passages = (hits.join(chosen, "gram").withColumn("diagonal", diagonal)
-                .groupBy("doc", "item", F.floor(diagonal / F.col("words")).alias("near"), "words")
-                .agg(F.min("diagonal").alias("low"), F.max("diagonal").alias("high"))
-                .join(items.select("item", "item_text").dropDuplicates(["item"]), "item")
+    # bands of diagonals overlap by half, so that two hits near each other share one
+    band = F.explode(F.array(F.floor(2 * diagonal / F.col("words")), F.floor(2 * diagonal / F.col("words")) + 1))
+    passages = (hits.join(chosen, "gram").withColumn("diagonal", diagonal).withColumn("band", band)
+                .groupBy("doc", "item", "band", "words")
+                .agg(F.min("diagonal").alias("low"), F.max("diagonal").alias("high"), F.max("rare").alias("rare"), F.count("*").alias("n"))
+                .filter((F.col("rare") & (F.col("band") % 2 == 0)) | (F.col("n") > 1))
                 .groupBy("doc").agg(F.collect_list(F.struct(
-                    "item", "item_text", (F.col("low") - F.col("words") / 2).cast("int").alias("begin"),
+                    "item", (F.col("low") - F.col("words") / 2).cast("int").alias("begin"),
                     (F.col("high") + F.col("words") * 1.5).cast("int").alias("end"))).alias("passages")))
     passages = written(passages, "passages")
     found = passages.select("doc")
     suspects = rows.join(F.broadcast(found), "doc", "left_semi") if few(found, 16) else rows
-    aligned = (suspects.dropDuplicates(["doc"]).join(passages, "doc")
+    parts = (suspects.dropDuplicates(["doc"]).join(passages, "doc").select("doc", "doc_id", "text", "passages")
+             .mapInArrow(_cut, "doc long, doc_id long, item long, begin long, part string").dropDuplicates(["doc", "item", "begin", "part"]))
+    texts_of = items.select("item", "item_text").dropDuplicates(["item"])
+    aligned = (parts.join(texts_of, "item").select("doc", "doc_id", "item", "begin", "part", "item_text")
                .mapInArrow(_align(least), "doc long, doc_id long, item_id long, first_word long, end_word long, score double"))
     best = (aligned.groupBy("doc", "doc_id", F.col("item_id").alias("item"))
             .agg(F.max(F.struct("score", (-F.col("first_word")).alias("first"), "end_word")).alias("b")))
@@ -185,4 +204,6 @@ def matches(docs: DataFrame, benchmark: DataFrame, n: int = N, rare: float = RAR
 def clean(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
     """``docs`` without the documents that hold a copy of a test item."""
     leaks = written(matches(docs, benchmark, **parameters).select("doc").distinct(), "leaks")
-    return docs.withColumn("_doc", F.xxhash64("doc_id", "text")).join(leaks.withColumnRenamed("doc", "_doc"), "_doc", "left_anti").select(docs.columns)
+    key = free_name(docs, "doc")
+    leaks = leaks.withColumnRenamed("doc", key)
+    return docs.withColumn(key, F.xxhash64("doc_id", "text")).join(F.broadcast(leaks) if few(leaks, 16) else leaks, key, "left_anti").drop(key)

@@ -50,7 +50,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import BROADCAST_BYTES, few, texts, written
+from contrail.llm.common import BROADCAST_BYTES, few, free_name, texts, written
 from contrail.llm.components import components
 
 SLACK = 6  # a zone is longer than p by a part of it
@@ -376,9 +376,23 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """``docs`` with one row of each component: the one whose ``doc_id`` is the smallest. Rows without id stay."""
-    gone = written(join(docs, n, percent).filter("doc_id <> component_id").select("doc_id").distinct(), "linked")
-    kept = docs.join(F.broadcast(gone) if few(gone, 16) else gone, "doc_id", "left_anti").select(docs.columns)
-    again = written(kept.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "repeated-ids")
-    rows = kept.join(F.broadcast(again) if few(again, 16) else again, "doc_id", "left_anti").select(docs.columns)
-    return rows.unionByName(kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+    """``docs`` with one row of each component, judged by id and text: the smallest ``doc_id``, of its texts the one
+    with the smallest hash, and of rows that repeat both the one with the smallest hash over all columns. Rows of
+    different components all stay, also if they share an id, and so do rows without id."""
+    key = free_name(docs, "row")
+    rows = docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.coalesce("text", F.lit("")))))
+    named = rows.filter(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), "text")
+    classes = written(join(named, n, percent).select(F.col("doc_id").alias("key"), "component_id").distinct(), "classes")
+    many = classes.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1").select("component_id")
+    linked = written(classes.join(many, "component_id"), "linked")  # rows that another one is linked with
+    ids = docs.select("doc_id", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("key")).filter("doc_id IS NOT NULL")
+    ids = ids.join(F.broadcast(linked) if few(linked, 16) else linked, "key")
+    first = ids.groupBy("component_id").agg(F.min(F.struct("doc_id", "key"))["key"].alias("first"))
+    gone = written(linked.join(first, "component_id").filter("key <> first").select(F.col("key").alias(key)), "gone")
+    kept = rows.join(F.broadcast(gone) if few(gone, 16) else gone, key, "left_anti")
+    again = written(kept.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select(key), "repeated-rows")
+    again_ = F.broadcast(again) if few(again, 16) else again
+    single = kept.join(again_, key, "left_anti").select(docs.columns)
+    comparable = [f.name for f in docs.schema if f.dataType.typeName() not in ("map", "variant")]
+    one = kept.join(again_, key, "left_semi").groupBy(key).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*comparable)).alias("one"))
+    return single.unionByName(one.select("one.*"))

@@ -15,8 +15,7 @@ recurs if ``LEAST`` documents or more hold a line of it. Its lines are dropped f
 
 Copies of a document are one piece of evidence: documents count by their own text (the
 lines that don't recur), and equal own text counts once. Own lines can also be edits of
-recurring ones, which are no own text: half or more of a document's own word triples (of 64 to 128, if
-it has more) stand in recurring lines, or, if more than ``COPIED`` of its characters are in recurring lines,
+recurring ones, which are no own text: half or more of a document's own word triples stand in recurring lines, or, if more than ``COPIED`` of its characters are in recurring lines,
 between the same neighbours at least as many documents hold as many recurring lines
 (``EDITED`` at most). Documents without own text count once for each line that is the
 rarest of theirs, so a group of exact or near copies counts about once, however large,
@@ -40,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import few, written
+from contrail.llm.common import few, free_name, narrow, written
 
 DEPTH, LEAST, SIMILAR, COPIED, EDITED = 3, 10, 0.7, 0.5, 3
 
@@ -127,10 +126,9 @@ def _parsed(distinct: DataFrame, least: int, similar: float) -> DataFrame:
             return written(found, "alike")
 
 
-def _grams(words: Column, most: int | None = None) -> Column:
-    """Hashes of three words in a row within a line (lines are parted by \\0): all, or about ``most`` evenly spaced ones."""
-    step = F.greatest(F.lit(1), (F.size(words) / most).cast("int")) if most else F.lit(1)
-    starts = F.when(F.size(words) >= 3, F.sequence(F.lit(0), F.size(words) - 3, step)).otherwise(F.array().cast("array<int>"))
+def _grams(words: Column) -> Column:
+    """Hashes of three words in a row within a line (lines are parted by \\0)."""
+    starts = F.when(F.size(words) >= 3, F.sequence(F.lit(0), F.size(words) - 3)).otherwise(F.array().cast("array<int>"))
     three = F.transform(starts, lambda i: F.struct(*(F.get(words, i + k).alias(f"w{k}") for k in range(3))))
     whole = F.filter(three, lambda x: (x["w0"] != "\0") & (x["w1"] != "\0") & (x["w2"] != "\0"))
     return F.transform(whole, lambda x: F.xxhash64(x["w0"], x["w1"], x["w2"]))
@@ -139,9 +137,9 @@ def _grams(words: Column, most: int | None = None) -> Column:
 def _edited(rows: DataFrame, known: DataFrame, grams: DataFrame) -> DataFrame:
     """(doc) of the documents whose own lines are mostly n-grams of recurring lines."""
     places = known.filter("has_own").select("doc", "places")
-    own = (rows.join(F.broadcast(places) if few(places, 64) else places, "doc")
+    own = (rows.join(F.broadcast(places) if narrow(places, "places") else places, "doc")
            .select("doc", F.filter("lines", lambda x, i: ~F.array_contains("places", i)).alias("own")))
-    own = own.withColumn("words", _tokens(F.array_join("own", " \0 "))).select("doc", _grams(F.col("words"), 64).alias("grams"))
+    own = own.withColumn("words", _tokens(F.array_join("own", " \0 "))).select("doc", _grams(F.col("words")).alias("grams"))
     # (dropDuplicates also keeps a filter inferred from explode from splitting the text once for each word)
     each = own.dropDuplicates(["doc"]).select("doc", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     found = each.join(F.broadcast(grams) if few(grams, 16) else grams, "gram").groupBy("doc", "n").agg(F.count("*").alias("found"))
@@ -173,19 +171,21 @@ def _counted_as(rows: DataFrame, of: DataFrame, grams: DataFrame, copied: float)
 
 
 def drop_lines(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` without the lines of ``found``: all its columns, and n_dropped, the number of lines dropped."""
+    """``docs`` without the lines of ``found``: all its columns, and n_dropped, the number of lines dropped
+    (under the first free name of n_dropped, n_dropped_1, ..)."""
     gone = written(found.select("line").distinct(), "dropped")
-    keyed = docs.select(F.xxhash64("doc_id", "text").alias("_doc"), F.explode(F.array_distinct(F.split(F.coalesce("text", F.lit("")), "\n"))).alias("text"))
-    hit = (keyed.select("_doc", F.xxhash64("text").alias("line")).join(gone, "line").groupBy("_doc").agg(F.collect_set("line").alias("_gone")))
-    lines = F.split("text", "\n")
+    doc, own, kept, dropped = (free_name(docs, x) for x in ("doc", "gone", "kept", "n_dropped"))
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias(doc), F.explode(F.array_distinct(F.split(F.coalesce("text", F.lit("")), "\n"))).alias("text"))
+    hit = (keyed.select(doc, F.xxhash64("text").alias("line")).join(gone, "line").groupBy(doc).agg(F.collect_set("line").alias(own)))
     hit = written(hit, "hit")
-    hit = F.broadcast(hit) if few(hit, 64) else hit
-    kept = F.filter(lines, lambda x: ~F.array_contains("_gone", F.xxhash64(x)))
-    return (docs.withColumn("_doc", F.xxhash64("doc_id", "text")).withColumn("text", F.coalesce("text", F.lit("")))
-            .join(hit, "_doc", "left").withColumn("_gone", F.coalesce("_gone", F.array().cast("array<bigint>")))
-            .withColumn("_kept", F.when(F.size("_gone") == 0, lines).otherwise(kept))
-            .withColumn("n_dropped", (F.size(lines) - F.size("_kept")).cast("long"))
-            .withColumn("text", F.array_join("_kept", "\n")).drop("_doc", "_gone", "_kept"))
+    hit = F.broadcast(hit) if narrow(hit, own) else hit
+    lines = F.split("text", "\n")
+    rest = F.filter(lines, lambda x: ~F.array_contains(own, F.xxhash64(x)))
+    return (docs.withColumn(doc, F.xxhash64("doc_id", "text")).withColumn("text", F.coalesce("text", F.lit("")))
+            .join(hit, doc, "left").withColumn(own, F.coalesce(own, F.array().cast("array<bigint>")))
+            .withColumn(kept, F.when(F.size(own) == 0, lines).otherwise(rest))
+            .withColumn(dropped, (F.size(lines) - F.size(kept)).cast("long"))
+            .withColumn("text", F.array_join(kept, "\n")).select(*docs.columns, dropped))
 
 
 def dedup(docs: DataFrame, **parameters) -> DataFrame:

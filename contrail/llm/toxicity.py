@@ -19,9 +19,11 @@ Method
 Rows are learned from only when crc32(doc_id as text) mod 5 is not 0. Labels,
 language, source and doc_id are no inputs of a score: equal texts have equal scores.
 
-Bounds: ``FIT_ROWS`` labelled rows (chosen by a hash of the doc_id) for the lexicon
-and the classifier, ``ENTRIES`` lexicon entries; votes and rates are counted over all
-texts, as sums that only (voters squared) numbers of reach the driver.
+Bounds: ``FIT_ROWS`` labelled ids (chosen by a hash of the doc_id) for the lexicon and
+the classifier, which learns from one row of each (rows that share an id: the one with
+the smallest hash); the lexicon holds every entry that passes ``LEAST_Z``, which these
+rows bound. Votes and rates are counted over all texts, as sums that only (voters
+squared) numbers of reach the driver.
 
 Cases: a null text is empty and scores by the intercept; null or repeated doc_ids
 are scored row by row (null ids are never learned from); labels with null
@@ -43,10 +45,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import few, texts, written
+from contrail.llm.common import few, free_name, texts, written
 
 FIT_ROWS = 20_000
-ENTRIES = 2_000
 LEAST_TEXTS, LEAST_Z, LEAST_SHARE = 4, 3.0, 0.75
 #: An entry is dense in a text that it makes up this share of, and that holds it twice.
 DENSE = 0.01
@@ -115,7 +116,7 @@ def learn_lexicon(docs: DataFrame, rows: DataFrame) -> list[tuple[str, bool]]:
         F.sum("toxic").alias("a"), F.sum("other").alias("c")).filter(F.col("a") + F.col("c") >= LEAST_TEXTS)
     odds = F.log((F.col("a") + 0.5) / (n[1] - F.col("a") + 0.5)) - F.log((F.col("c") + 0.5) / (n[0] - F.col("c") + 0.5))
     z = odds / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("c") + 0.5))
-    found = (counted.withColumn("z", z).filter(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "entry").limit(ENTRIES)
+    found = (counted.withColumn("z", z).filter(F.abs("z") >= LEAST_Z)
              .select("entry", ((F.col("z") > 0) & (F.col("a") >= LEAST_SHARE * (F.col("a") + F.col("c")))).alias("votes")).collect())
     return sorted((r["entry"], r["votes"]) for r in found)
 
@@ -264,7 +265,8 @@ def score_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     found = written(hits(rows, [e for e, _ in lexicon]), "hits")
     voter = voters(lexicon)
     model = label_model(found, voter)
-    sample = found.join(F.broadcast(chosen.select("doc_id")) if few(chosen) else chosen.select("doc_id"), "doc_id").select("held").toPandas()["held"]
+    sample = (found.join(F.broadcast(chosen.select("doc_id")), "doc_id")  # FIT_ROWS ids at most, a row each
+              .groupBy("doc_id").agg(F.min(F.struct("doc", "held"))["held"].alias("held")).orderBy("doc_id").select("held").toPandas()["held"])
     weights = fit([list(h) for h in sample], model.posterior(_votes(sample, voter)), len(voter))
 
     @F.pandas_udf("double")
@@ -283,6 +285,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents predicted toxic."""
-    toxic = written(score_rows(docs, labels).filter("predicted = 1").select(F.col("doc").alias("_doc")).distinct(), "toxic")
-    rows = docs.withColumn("_doc", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
-    return rows.join(F.broadcast(toxic) if few(toxic, 16) else toxic, "_doc", "left_anti").select(docs.columns)
+    key = free_name(docs, "doc")
+    toxic = written(score_rows(docs, labels).filter("predicted = 1").select(F.col("doc").alias(key)).distinct(), "toxic")
+    rows = docs.withColumn(key, F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    return rows.join(F.broadcast(toxic) if few(toxic, 16) else toxic, key, "left_anti").drop(key)
