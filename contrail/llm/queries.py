@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from contrail.llm import (bpe, decontaminate, fill_middle, fingerprints, html_text, hyper_minhash, jaccard_join, lexical_search, line_dedup, secret_scan,
                           substring_dedup, token_counts, toxicity)
-from contrail.llm.common import table
+from contrail.llm.common import few, table, written
 from contrail.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,8 +24,9 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup = token_counts.Rollup(spark, scratch_path(spark, "token-rollup"))
     rollup.commit("load", docs.select(F.lit("insert").alias("op"), F.lit(0).alias("seq"), "*"), version, path)
     hashed = docs.select("doc_id", "source", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"))
-    first = hashed.groupBy("sha").agg(F.min("doc_id").alias("first"))
-    copies = hashed.join(first, "sha").filter("doc_id > first").select(F.lit("delete").alias("op"), F.lit(0).alias("seq"), "doc_id", "source", "lang", F.lit(None).cast("string").alias("text"))
+    first = written(hashed.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "repeated-texts")
+    repeated = hashed.join(F.broadcast(first) if few(first, 96) else first, "sha")  # beyond the bound two scans, which Spark can split
+    copies = repeated.filter("doc_id > first").select(F.lit("delete").alias("op"), F.lit(0).alias("seq"), "doc_id", "source", "lang", F.lit(None).cast("string").alias("text"))
     for _ in range(2):
         rollup.commit("copies", copies, version, path)
     lines = F.split("text", "\n")

@@ -17,12 +17,15 @@ manifest and is written anew. Batches commit one after another.
 Counting: ``count_tokens`` with a byte-level BPE of a public tokenizer file
 (tiktoken ranks; the version is the file's name), in Arrow batches.
 
-Scale: deltas are a few rows a batch; the ledger is looked up by an equi-join on the
-document; all sums are partial sums. Long chains of deltas are summed into one by
+Scale: deltas are a few rows a batch. The ledger is parted by a hash of the document
+(``PARTS``); a batch reads the parts that hold its documents and looks them up by an
+equi-join; all sums are partial sums. Long chains of deltas are summed into one by
 ``compact``.
 
-Cases: null texts count 0 tokens; null source or language are groups of their own; a
-null doc_id is a document like any other; deletes and revisions of documents that are
+Cases: null texts count 0 tokens; null source or language are groups of their own;
+rows without a doc_id are documents of their own each (equal ones are counted as often
+as they stand there), which later changes cannot name: a delete without an id takes
+nothing away, a revision without one inserts. Deletes and revisions of documents that are
 not on record take nothing away (a revision then inserts); inserts of documents on
 record are revisions; of several changes to one document in a batch the last by
 ``seq`` counts (then the one with the larger text hash); extra columns are ignored;
@@ -44,6 +47,7 @@ from contrail.llm.common import written
 
 KEY = ["source", "lang", "version"]
 LEDGER = "doc_id long, source string, lang string, version string, docs long, tokens long"
+PARTS = 64  # folders of a batch's ledger
 MANIFEST = "batch string, number long, replaces boolean"
 DELTA = "source string, lang string, version string, docs long, tokens long"
 
@@ -105,16 +109,26 @@ class Rollup:
 
     def _finish(self, batch: str, signed: DataFrame, replaces: bool) -> None:
         number = self._numbers() + 1
-        signed.write.mode("overwrite").parquet(f"{self.path}/ledger/{batch}")
+        (signed.withColumn("part", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int"), F.lit(-1)))
+         .hint("rebalance", "part").write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/ledger/{batch}"))
         ledger = self.spark.read.schema(LEDGER).parquet(f"{self.path}/ledger/{batch}")
         (ledger.groupBy(*KEY).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
          .write.mode("overwrite").parquet(f"{self.path}/deltas/{batch}"))
         one = self.spark.range(1).select(F.lit(batch).alias("batch"), F.lit(number).cast("long").alias("number"), F.lit(replaces).alias("replaces"))
         one.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/{batch}")
 
-    def on_record(self) -> DataFrame:
-        """(doc_id, source, lang, version, docs, tokens): what the committed batches hold of each document."""
-        return (self._all("ledger", LEDGER).groupBy("doc_id", *KEY).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+    def on_record(self, parts: list[int] | None = None) -> DataFrame:
+        """(doc_id, source, lang, version, docs, tokens): what the committed batches hold of each document,
+        of some parts of the ledger or all. Rows without an id are summed up by source, language and version."""
+        ledger = None
+        for b in self.batches():
+            one = self.spark.read.option("basePath", f"{self.path}/ledger/{b}").schema(f"{LEDGER}, part int").parquet(f"{self.path}/ledger/{b}")
+            ledger = one if ledger is None else ledger.union(one)
+        if ledger is None:
+            return self.spark.createDataFrame([], LEDGER)
+        if parts is not None:
+            ledger = ledger.filter(F.col("part").isin(parts))
+        return (ledger.groupBy("doc_id", *KEY).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
                 .filter("docs <> 0 OR tokens <> 0"))
 
     def commit(self, batch: str, changes: DataFrame, version: str, path: str) -> bool:
@@ -123,11 +137,15 @@ class Rollup:
             return False
         text = F.when(F.col("op") == "delete", "").otherwise(F.coalesce("text", F.lit("")))
         counted = count_tokens(changes.select("op", "seq", F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.xxhash64("text").alias("th"), text.alias("text")), path)
-        last = (counted.groupBy("doc_id").agg(F.max(F.struct("seq", "th", "op", "source", "lang", "tokens")).alias("x")).select("doc_id", "x.*"))
+        counted = written(counted, "counted")
+        last = (counted.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.struct("seq", "th", "op", "source", "lang", "tokens")).alias("x")).select("doc_id", "x.*"))
         last = written(last, "changes")
-        signed = last.filter("op <> 'delete'").select("doc_id", "source", "lang", F.lit(version).alias("version"), F.lit(1).cast("long").alias("docs"), "tokens")
+        no_id = (counted.filter("doc_id IS NULL AND op <> 'delete'").groupBy("source", "lang").agg(F.count("*").alias("docs"), F.sum("tokens").alias("tokens"))
+                 .select(F.lit(None).cast("long").alias("doc_id"), "source", "lang", F.lit(version).alias("version"), "docs", "tokens"))
+        signed = last.filter("op <> 'delete'").select("doc_id", "source", "lang", F.lit(version).alias("version"), F.lit(1).cast("long").alias("docs"), "tokens").union(no_id)
         if self.batches():
-            old = self.on_record().join(last.select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+            parts = [r[0] for r in last.select(F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int")).distinct().collect()]  # PARTS at most
+            old = self.on_record(parts).join(last.select("doc_id"), "doc_id", "left_semi")
             signed = signed.union(old.select("doc_id", *KEY, -F.col("docs"), -F.col("tokens")))
         self._finish(batch, signed, False)
         return True
