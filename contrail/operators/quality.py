@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from contrail.functions.scalar import count_when, one_row
 from contrail.operators.model import bounded
 from contrail.operators.profile import distinct_row_count, is_missing
+from contrail.session import scratch_path
 from contrail.spec import (DELAY_COLUMNS, MATRIX_LABELS, MATRIX_RULES, MATRIX_WARN_BELOW,
                            SPARSE_COLUMNS, Star)
 
@@ -217,6 +218,59 @@ def reconcile(counts: dict) -> DataFrame:
     return out.withColumn("status", F.when(equal, "PASS").otherwise("FAIL"))
 
 
+def content_checksums(df: DataFrame, key, columns, buckets: int) -> DataFrame:
+    """(bucket, rows, sum_high, sum_low): sums over the rows' hashes by a hash of the key, whatever their order
+    or partitions. Both halves of the hash are summed, so repeated rows don't cancel out."""
+    h = F.xxhash64(*[F.col(c) for c in columns])
+    return (df.select(F.pmod(F.xxhash64(*[F.col(c) for c in key]), F.lit(buckets)).cast("int").alias("bucket"), h.alias("h"))
+            .groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.shiftrightunsigned("h", 32)).alias("sum_high"),
+                                   F.sum(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF))).alias("sum_low")))
+
+
+def reconcile_content(layers: dict, key, columns=None, buckets: int = 4096) -> tuple[DataFrame, DataFrame]:
+    """K8 by content: do the layers hold the same rows, not only as many?
+
+    ``layers``: name -> DataFrame; the first is the base. Rows are compared in ``columns`` (default: those of the
+    base). Each layer is read once for checksums by key bucket; only rows of differing buckets are then compared
+    one by one. Returns ``(status, rows)``: (layer, rows, differing_buckets, status) of each layer but the base, and
+    (layer, side, copies, columns..) of the rows that it lacks ("missing") or has beyond the base ("added").
+    """
+    names = list(layers)
+    base, others = layers[names[0]], names[1:]
+    key = [key] if isinstance(key, str) else list(key)
+    columns = list(columns) if columns is not None else base.columns
+    spark, path = base.sparkSession, scratch_path(base.sparkSession, "checksums")
+    sums = None
+    for n in names:
+        one = content_checksums(layers[n], key, columns, buckets).withColumn("layer", F.lit(n))
+        sums = one if sums is None else sums.unionByName(one)
+    sums.write.parquet(path)  # layers x buckets rows at most
+    sums = spark.read.schema(sums.schema).parquet(path)
+    measures = ["rows", "sum_high", "sum_low"]
+    mine = sums.where(F.col("layer") == names[0]).select("bucket", F.struct(*measures).alias("base"))
+    theirs = sums.where(F.col("layer") != names[0]).select("layer", "bucket", F.struct(*measures).alias("own"))
+    grid = mine.withColumn("layer", F.explode(F.array(*map(F.lit, others))))
+    both = grid.join(theirs, ["layer", "bucket"], "full_outer")
+    differing = both.where(~F.col("base").eqNullSafe(F.col("own"))).select("layer", "bucket")
+    counted = (both.groupBy("layer").agg(F.coalesce(F.sum("own.rows"), F.lit(0)).alias("rows"),
+                                         F.count_if(~F.col("base").eqNullSafe(F.col("own"))).alias("differing_buckets")))
+    status = counted.withColumn("status", F.when(F.col("differing_buckets") == 0, "PASS").otherwise("FAIL"))
+
+    rows = None
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in key]), F.lit(buckets)).cast("int")
+    for n in others:
+        wanted = F.broadcast(differing.where(F.col("layer") == n).select(F.col("bucket").alias("__bucket")))  # buckets at most
+        signed = None
+        for df, sign in ((layers[n], 1), (base, -1)):
+            x = df.withColumn("__bucket", bucket).join(wanted, "__bucket", "left_semi").select(*columns, F.lit(sign).cast("long").alias("__sign"))
+            signed = x if signed is None else signed.unionByName(x)
+        found = (signed.groupBy(*columns).agg(F.sum("__sign").alias("__sign")).where("__sign <> 0")
+                 .select(F.lit(n).alias("layer"), F.when(F.col("__sign") > 0, "added").otherwise("missing").alias("side"),
+                         F.abs("__sign").alias("copies"), *columns))
+        rows = found if rows is None else rows.unionByName(found)
+    return status, rows
+
+
 # --------------------------------------------------------------------------- K9
 def dq_rollup(results: DataFrame) -> DataFrame:
     """Overall status: FAIL if any FAIL (a failed source check fails the run),

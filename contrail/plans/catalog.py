@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from contrail.functions.quantiles import quantiles
-from contrail.plans import kpi, metrics
+from contrail.plans import kpi, metrics, sketches
 from contrail.plans.oracle import with_flights
 from contrail.sources import bindings
 from contrail.sources.warehouse import Warehouse
@@ -1504,3 +1504,66 @@ def q_f35_quantiles(spark, sf_dir):
     ps = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
     flown = quantiles(raw(spark, sf_dir), {"delay": F.col("ARRIVAL_DELAY"), "distance": F.col("DISTANCE")}, ps)
     return flown.unionByName(quantiles(bindings.table(spark, sf_dir, "lineitem"), {"price": F.col("l_extendedprice")}, ps))
+
+
+# =========================================================================== content, sketches, schemas
+_CONTENT = ["AIRLINE", "FLIGHT_NUMBER", "YEAR", "MONTH", "DAY", "ORIGIN_AIRPORT", "DEPARTURE_DELAY", "CANCELLED"]
+_CONTENT_SQL = ", ".join(q(c) for c in _CONTENT)
+
+
+@register("q_k08_content_rows", with_flights(f"""
+a AS (SELECT {_CONTENT_SQL} FROM rf),
+b AS (SELECT * REPLACE (CASE WHEN FLIGHT_NUMBER = '17' AND "YEAR" = 1996 THEN coalesce(DEPARTURE_DELAY, 0) + 1 ELSE DEPARTURE_DELAY END AS DEPARTURE_DELAY) FROM a)
+SELECT 'loaded' AS layer, 'missing' AS side, count(*) AS copies, {_CONTENT_SQL} FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) GROUP BY ALL
+UNION ALL SELECT 'loaded', 'added', count(*), {_CONTENT_SQL} FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) GROUP BY ALL"""))
+def q_k08_content(spark, sf_dir):
+    """Three layers with equal counts; in one a few delays were changed. The changed rows are named."""
+    f = raw(spark, sf_dir).select(*_CONTENT)
+    hit = (F.col("FLIGHT_NUMBER") == "17") & (F.col("YEAR") == 1996)
+    changed = f.withColumn("DEPARTURE_DELAY", F.when(hit, F.coalesce("DEPARTURE_DELAY", F.lit(0.0)) + 1).otherwise(F.col("DEPARTURE_DELAY")))
+    return quality.reconcile_content({"raw": f, "published": f.repartition(7), "loaded": changed}, ["AIRLINE", "FLIGHT_NUMBER"])[1]
+
+
+@register("q_k08_content_status", with_flights("""
+k AS (SELECT count(*) AS n, count_if(FLIGHT_NUMBER = '17' AND "YEAR" = 1996) AS hit FROM rf)
+SELECT 'published' AS layer, n AS rows, 'PASS' AS status FROM k UNION ALL SELECT 'loaded', n, CASE WHEN hit > 0 THEN 'FAIL' ELSE 'PASS' END FROM k"""))
+def q_k08_status(spark, sf_dir):
+    f = raw(spark, sf_dir).select(*_CONTENT)
+    hit = (F.col("FLIGHT_NUMBER") == "17") & (F.col("YEAR") == 1996)
+    changed = f.withColumn("DEPARTURE_DELAY", F.when(hit, F.coalesce("DEPARTURE_DELAY", F.lit(0.0)) + 1).otherwise(F.col("DEPARTURE_DELAY")))
+    return quality.reconcile_content({"raw": f, "published": f.repartition(7), "loaded": changed}, ["AIRLINE", "FLIGHT_NUMBER"])[0].drop("differing_buckets")
+
+
+@register("q_f42_sketched_counts", with_flights("""
+SELECT "YEAR" AS year, c.column_name, CASE c.column_name WHEN 'FLIGHT_NUMBER' THEN count(DISTINCT FLIGHT_NUMBER) WHEN 'AIRLINE' THEN count(DISTINCT AIRLINE)
+  ELSE count(DISTINCT CANCELLATION_REASON) END AS exact_count, true AS within
+FROM fl, (VALUES ('FLIGHT_NUMBER'), ('AIRLINE'), ('CANCELLATION_REASON')) AS c(column_name) GROUP BY 1, 2"""))
+def q_f42_sketched(spark, sf_dir):
+    """Distinct counts by year from sketches by day, next to the exact ones: within 2 %."""
+    columns = ["FLIGHT_NUMBER", "AIRLINE", "CANCELLATION_REASON"]
+    f, path = raw(spark, sf_dir).withColumnRenamed("YEAR", "year"), scratch_path(spark, "sketches")
+    sketches.distinct_sketches(f, columns, ["year", "MONTH", "DAY"]).write.parquet(path)  # kept by day
+    yearly = sketches.merged_counts(spark.read.parquet(path), "year")
+    return sketches.with_exact(yearly, f, columns, "year").select("year", "column_name", "exact_count", "within")
+
+
+@register("q_b08_table_schema", """
+SELECT table_name, column_name, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
+  WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE data_type END AS data_type FROM information_schema.columns
+WHERE table_name IN ('lineitem', 'orders', 'supplier', 'nation')""")
+def q_b08(spark, sf_dir):
+    """Names and types of the columns of tables as they are read."""
+    rows = [(t, c, k) for t in ("lineitem", "orders", "supplier", "nation")
+            for c, k in contract.table_schema(bindings.table(spark, sf_dir, t)).items()]
+    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string")
+
+
+@register("q_b09_schema_diff", """
+WITH c AS (SELECT table_name, column_name, ordinal_position AS i FROM information_schema.columns WHERE table_name IN ('documents', 'labels')),
+m AS (SELECT string_agg(column_name, ',' ORDER BY i) AS m, count(*) AS n FROM c WHERE table_name = 'documents' AND column_name NOT IN (SELECT column_name FROM c WHERE table_name = 'labels')),
+e AS (SELECT string_agg(column_name, ',' ORDER BY i) AS m, count(*) AS n FROM c WHERE table_name = 'labels' AND column_name NOT IN (SELECT column_name FROM c WHERE table_name = 'documents'))
+SELECT m.m AS missing_from_table, e.m AS extra_in_table, CAST(m.n AS INTEGER) AS missing_count, CAST(e.n AS INTEGER) AS extra_count, m.n = 0 AS is_valid FROM m, e""")
+def q_b09(spark, sf_dir):
+    """A frame with the columns of one table against the columns of another."""
+    d = contract.schema_diff(bindings.table(spark, sf_dir, "documents"), bindings.table(spark, sf_dir, "labels"))
+    return d.withColumns({c: F.array_join(c, ",") for c in ("missing_from_table", "extra_in_table")})

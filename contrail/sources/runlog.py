@@ -11,10 +11,13 @@ aggregate or a top-1, so none funnels the log through one task.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.scalar import capitalize, count_when, hours_between, map_values
+from contrail.sources.warehouse import Warehouse
 from contrail.spec import (AGING_HOURS, AGING_LABEL, FRESH_HOURS, FRESH_LABEL, HEALTH_LABELS, STALE_LABEL, UNKNOWN_LABEL,
                            RUN_METADATA_SCHEMA)
 
@@ -24,15 +27,43 @@ PHASE_COLUMNS = ["id", "run_id", "phase_name", "status", "duration_seconds", "st
                  "end_time"]
 
 
-def append_run(runs: DataFrame, phases: DataFrame, path: str) -> None:
-    """Append run and phase records (append-only parquet tables)."""
-    runs.select(*RUN_COLUMNS).write.mode("append").parquet(f"{path}/etl_run_history")
-    phases.select(*PHASE_COLUMNS).write.mode("append").parquet(f"{path}/etl_phase_log")
+RUNS, PHASES, APPENDED = "etl_run_history", "etl_phase_log", "log_version"
+
+
+def append_run(runs: DataFrame, phases: DataFrame, path: str, batch: str | None = None) -> int:
+    """Append run and phase records; returns the log's version.
+
+    Both tables become visible with one manifest (``sources/warehouse.py``), so a run is never seen
+    without its phases. Records are keyed by run: runs that the log holds are left out, with
+    their phases, and a ``batch`` that was committed before changes nothing, so a repeated or broken append stands once.
+    Records that a batch holds twice for one run are one (the largest).
+    """
+    log = Warehouse(runs.sparkSession, path)
+    load = log.begin(batch or f"append-{uuid.uuid4().hex[:12]}")
+    if load.before and batch is not None and log.committed(batch):
+        return load.before
+    new = runs.select("run_id", F.struct(*RUN_COLUMNS).alias("r")).groupBy("run_id").agg(F.max("r").alias("r")).select("r.*")
+    records = phases.select(*PHASE_COLUMNS).dropDuplicates()
+    if load.before:
+        known = log.read(RUNS).select("run_id")
+        new, records = new.join(known, "run_id", "left_anti"), records.join(known, "run_id", "left_anti")
+    for table, df in ((RUNS, new.select(*RUN_COLUMNS)), (PHASES, records)):
+        load.write(table, df.withColumn(APPENDED, F.lit(load.before + 1)), APPENDED)
+    return load.commit()
+
+
+def compact(spark: SparkSession, path: str) -> int:
+    """Rewrites the log's small files as one part of each table; readers see the files before or those after."""
+    log = Warehouse(spark, path)
+    load = log.begin(f"compact-{uuid.uuid4().hex[:12]}")
+    for table in (RUNS, PHASES):
+        load.write(table, log.read(table).withColumn(APPENDED, F.lit(load.before + 1)), APPENDED, replace_all=True)
+    return load.commit()
 
 
 def read_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return (spark.read.parquet(f"{path}/etl_run_history"),
-            spark.read.parquet(f"{path}/etl_phase_log"))
+    tables = Warehouse(spark, path).read_all()
+    return tables[RUNS].drop(APPENDED), tables[PHASES].drop(APPENDED)
 
 
 def to_metadata(runs: DataFrame, phases: DataFrame, pipeline: str = "flight-etl",
