@@ -20,8 +20,13 @@ Cases: a null text is encoded as empty (no ids); special tokens written out in
 a text become their ids; words of any length are walked without recursion;
 texts with characters outside Latin blocks go through the library's own
 normaliser and pre-tokeniser, others through equal, faster expressions. Each
-row is encoded by itself, so repeated rows and null ids do no harm. A worker
-keeps at most ``cached`` encoded words (about 400 bytes each), then starts afresh.
+row is encoded by itself, so repeated rows and null ids do no harm.
+
+Memory: a worker keeps what it has found (encoded words, trie steps, pairs of tokens)
+while it works on a partition, and drops it when the characters kept pass ``KEPT_CHARS``
+or the partition ends, as workers outlive a stage (only the vocabulary, about 75 MB, stays
+for the next partition). Batches are cut to ``BATCH_CHARS``, so at most one batch's words are
+held beyond the bound.
 """
 
 from __future__ import annotations
@@ -37,8 +42,9 @@ from pyspark.sql import DataFrame
 
 from contrail.llm.common import texts
 
-MAX_CACHED = 600_000
-BATCH_CHARS = 4_000_000
+KEPT_CHARS = 12_000_000  # of words, ids and tokens that a worker keeps; about ten bytes of memory each
+BATCH_CHARS = 2_000_000
+STEPS, PAIRS = 300_000, 500_000  # trie steps and pairs of tokens kept
 #: Code points for which Python and the library agree on case, classes and composition.
 PLAIN = regex.compile(r"[\t-\r -~¡-ſ]*")
 
@@ -79,12 +85,13 @@ class Vocabulary:
         self.symbols = {b: s for b, s in enumerate(symbols)}
         self.beginnings = {t.removesuffix(self.end)[:n] for t in self.ids for n in range(len(t) + 1)}
         self.steps: dict[str, tuple] = {}
-        self._edges: dict[tuple[str, int], list[tuple[str, int, float]]] = {}
+        self.edges: dict[tuple[str, int], list[tuple[str, int, float]]] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.tokens = {str(i): t for t, i in (self.ids | self.special).items()}  # by decimal id, for decoding
 
     def _edge(self, token: str, side: int) -> list[tuple[str, int, float]]:
         """The nodes at one side (0 left, 1 right) of a token's merge tree: (piece, rank that forms it, rank that uses it up)."""
-        if (found := self._edges.get((token, side))) is None:
+        if (found := self.edges.get((token, side))) is None:
             found, piece, used = [], token, float("inf")
             while True:
                 halves = self.halves.get(piece)
@@ -93,13 +100,13 @@ class Vocabulary:
                 if not halves:
                     break
                 piece, used = halves[side], formed
-            self._edges[token, side] = found
+            self.edges[token, side] = found
         return found
 
     def compatible(self, left: str, right: str) -> bool:
         """Does BPE keep these two tokens apart? A merge across them happens if both of its
         pieces stand at the border when its turn comes; of equal merges the leftmost goes first."""
-        if len(self.pairs) > 2_000_000:
+        if len(self.pairs) > PAIRS:
             self.pairs.clear()
         rank = self.rank
         self.pairs[left, right] = fits = not any(
@@ -126,7 +133,7 @@ class Vocabulary:
     def step(self, grown: str) -> tuple[str, list[tuple[str, int]], list[tuple[str, int]]]:
         """What a trie node needs of its path, given its parent's state and its symbol: the longest suffix that
         begins a token, and the tokens (with their lengths, longest first) that end there, within a word and at its end."""
-        if len(self.steps) > 1_000_000:
+        if len(self.steps) > STEPS:
             self.steps.clear()
         s = grown
         while s not in self.beginnings:
@@ -181,21 +188,34 @@ def _encode_words(v: Vocabulary, words: set[str]) -> dict[str, list[str]]:
     return out
 
 
-@lru_cache(maxsize=2)
-def _vocabulary(path: str) -> tuple[Vocabulary, dict[str, str], dict[str, str]]:
-    """The vocabulary, and what a worker knows of encoded chunks: their ids, their tokens."""
-    return Vocabulary(path), {}, {}
+class Known:
+    """What a worker knows of encoded chunks: their ids and tokens, bounded by characters."""
+
+    def __init__(self, most: int) -> None:
+        self.ids: dict[str, str] = {}
+        self.most, self.chars = most, 0
+
+    def put(self, chunk: str, ids: str) -> None:
+        self.ids[chunk] = ids
+        self.chars += len(chunk) + len(ids) + 12  # an entry's own share
+
+    def room(self) -> None:
+        if self.chars > self.most:
+            self.ids.clear()
+            self.chars = 0
+
+
+@lru_cache(maxsize=1)
+def _vocabulary(path: str) -> Vocabulary:
+    return Vocabulary(path)
 
 
-def encode_texts(path: str, batch: list[str], cached: int = MAX_CACHED) -> Iterator[tuple[str, str, int]]:
-    """(ids joined by blanks, tokens joined by blanks, number) of each text; tokens joined by blanks are
-    what the library decodes to, as the file names no decoder.
+def encode_texts(path: str, batch: list[str], known: Known) -> Iterator[tuple[str, int]]:
+    """(ids joined by blanks, number) of each text.
 
     A text is cut at its special tokens, then at white space into chunks, which no word crosses."""
-    v, ids_of, tokens_of = _vocabulary(path)
-    if len(ids_of) > cached:
-        ids_of.clear()
-        tokens_of.clear()
+    v, ids_of = _vocabulary(path), known.ids
+    known.room()
     cut = []
     for t in batch:
         chunks: list[str] = []
@@ -213,27 +233,35 @@ def encode_texts(path: str, batch: list[str], cached: int = MAX_CACHED) -> Itera
     new -= ids_of.keys()
     words = {c: v.cut(c) for c in new}
     for w, tokens in _encode_words(v, {w for ws in words.values() for w in ws} - ids_of.keys()).items():
-        ids_of[w] = " ".join([str(v.ids[t]) for t in tokens])
-        tokens_of[w] = " ".join(tokens)
+        known.put(w, " ".join([str(v.ids[t]) for t in tokens]))
     for c, ws in words.items():
         if c[0] == "\1":
-            ids_of[c], tokens_of[c] = str(v.special[c[1:]]), c[1:]
+            known.put(c, str(v.special[c[1:]]))
         elif len(ws) != 1 or ws[0] != c:
-            ids_of[c] = " ".join([ids_of[w] for w in ws])
-            tokens_of[c] = " ".join([tokens_of[w] for w in ws])
+            known.put(c, " ".join([ids_of[w] for w in ws]))
     for chunks in cut:
         ids = " ".join(map(ids_of.__getitem__, chunks))
-        yield ids, " ".join(map(tokens_of.__getitem__, chunks)), ids.count(" ") + 1 if ids else 0
+        yield ids, ids.count(" ") + 1 if ids else 0
 
 
-def encode(docs: DataFrame, path: str, keep_texts: bool = True, cached: int = MAX_CACHED) -> DataFrame:
+def encode(docs: DataFrame, path: str, keep_texts: bool = True, kept_chars: int = KEPT_CHARS) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256), with ``keep_texts`` also the ids and
-    the decoded text themselves. ``cached``: encoded words that a worker keeps at most."""
+    the decoded text themselves. ``kept_chars``: characters of encoded words that a worker keeps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from encoded(batches)
+        finally:  # workers are used again by later stages
+            v = _vocabulary(path)
+            v.steps.clear()
+            v.pairs.clear()
+            v.edges.clear()
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def sha(s: str) -> str:
             return hashlib.sha256(s.encode()).hexdigest()
 
+        known, token_of = Known(kept_chars), _vocabulary(path).tokens
         for b in batches:
             begin = 0
             column, sizes = b.column("text"), [len(t.as_py()) for t in b.column("text")]
@@ -242,12 +270,13 @@ def encode(docs: DataFrame, path: str, keep_texts: bool = True, cached: int = MA
                 while end < b.num_rows and (end == begin or chars + sizes[end] <= BATCH_CHARS):
                     chars += sizes[end]
                     end += 1
-                rows = list(encode_texts(path, column.slice(begin, end - begin).to_pylist(), cached))
-                out = [b.column("doc_id").slice(begin, end - begin), pa.array([r[2] for r in rows], pa.int64()),
-                       pa.array([sha(r[0]) for r in rows]), pa.array([sha(r[1]) for r in rows])]
+                rows = list(encode_texts(path, column.slice(begin, end - begin).to_pylist(), known))
+                decoded = [" ".join(map(token_of.__getitem__, r[0].split())) for r in rows]
+                out = [b.column("doc_id").slice(begin, end - begin), pa.array([r[1] for r in rows], pa.int64()),
+                       pa.array([sha(r[0]) for r in rows]), pa.array([sha(d) for d in decoded])]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if keep_texts:
-                    out += [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())]
+                    out += [pa.array([r[0] for r in rows], pa.string()), pa.array(decoded, pa.string())]
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(out, names)
                 begin = end
@@ -257,6 +286,5 @@ def encode(docs: DataFrame, path: str, keep_texts: bool = True, cached: int = MA
 
 
 def decode(v: Vocabulary, ids: list[int]) -> str:
-    """The text of ids: their tokens joined by blanks, special tokens included."""
-    tokens = {i: t for t, i in (v.ids | v.special).items()}
-    return " ".join(tokens[i] for i in ids if i in tokens)
+    """The text of ids: their tokens joined by blanks, special tokens included, as the file names no decoder. Unknown ids are left out."""
+    return " ".join(v.tokens[str(i)] for i in ids if str(i) in v.tokens)
