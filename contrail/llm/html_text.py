@@ -16,7 +16,8 @@ Lists and boxes in it that are mostly links are left out.
 
 Result: the kept blocks in page order joined by one ``\\n``, white space inside a
 block turned into one blank. Cases: a null or empty page, or one without text,
-gives an empty string; very deep or long pages are walked without recursion;
+gives an empty string; very deep or long pages are walked without recursion, each
+element a fixed number of times (sums go up from children to parents in one walk);
 every row is handled by itself, so nulls and repeated rows in the other columns
 do no harm; columns other than ``page_id``, ``url`` and ``html`` are ignored.
 """
@@ -24,6 +25,7 @@ do no harm; columns other than ``page_id``, ``url`` and ``html`` are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -53,13 +55,13 @@ WIDEN = ("article", "main")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "off", "chars", "linked", "points")
+    __slots__ = ("tag", "parent", "kids", "off", "chars", "linked", "points", "passed")
 
     def __init__(self, tag: str, parent: Node | None, off: bool = False) -> None:
         self.tag, self.parent, self.off = tag, parent, off
         self.kids: list[Node | str] = []
         self.chars = self.linked = 0
-        self.points = 0.0
+        self.points = self.passed = 0.0  # passed: what of the points below goes up to it
 
 
 def _set_aside(tag: str, attrs: str, inside: bool) -> bool:
@@ -85,7 +87,7 @@ def _set_aside(tag: str, attrs: str, inside: bool) -> bool:
 def parse(page: str) -> Node:
     """The element tree; text is kept undecoded as strings among the children."""
     root = node = Node("#root", None)
-    at, articles = 0, 0
+    at, articles, held = 0, 0, Counter()  # held: open elements by tag
     while m := TOKEN.search(page, at):
         if m.start() > at:
             node.kids.append(page[at:m.start()])
@@ -94,15 +96,13 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if m[1]:  # an end tag closes the nearest open element of its name
-            up = node
-            while up is not root and up.tag != tag:
-                up = up.parent
-            if up is not root:
-                while node is not up:
-                    articles -= node.tag in WIDEN
-                    node = node.parent
-                articles -= up.tag in WIDEN
-                node = up.parent
+            if held[tag]:
+                while True:
+                    closed, node = node, node.parent
+                    articles -= closed.tag in WIDEN
+                    held[closed.tag] -= 1
+                    if closed.tag == tag:
+                        break
             continue
         if tag in RAW:  # up to its end tag, whatever stands between
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -110,17 +110,20 @@ def parse(page: str) -> Node:
             continue
         closes = ("p",) if tag in ENDS_P else ()
         closes += ENDS_PEER.get(tag, ())
-        if closes:
+        if any(held[t] for t in closes):
             up = node
             while up is not root and up.tag not in closes and up.tag not in SCOPE:
                 up = up.parent
             if up is not root and up.tag in closes:
-                node = up.parent
+                while node is not up.parent:
+                    held[node.tag] -= 1
+                    node = node.parent
         child = Node(tag, node, _set_aside(tag, m[3], articles > 0))
         node.kids.append(child)
         if tag not in VOID and not m[3].endswith("/"):
             node = child
             articles += tag in WIDEN
+            held[tag] += 1
     if at < len(page):
         rest = page[at:]
         cut = re.search(r"<[a-zA-Z/!?][^>]*\Z", rest)  # a tag that the page's end cuts off
@@ -177,21 +180,19 @@ def main_text(page: str | None) -> str:
     root = parse(page)
     best = None
     for block, text, linked in _blocks(root):
-        points = 1 + text.count(",") + min(len(text) / 100, 3)
-        up, share = (block if block.tag not in ("p", "pre", "li", "td", "h1", "h2", "h3", "h4", "h5", "h6") else block.parent) or block, 1.0
-        n: Node | None = block
-        while n is not None:
-            n.chars += len(text)
-            n.linked += linked
-            n = n.parent
-        level = 0
-        while up is not None and up.tag not in ("html", "#root"):
-            up.points += points * share
-            level += 1
-            share = 0.5 if level == 1 else share / 3
-            up = up.parent
+        up = (block if block.tag not in ("p", "pre", "li", "td", "h1", "h2", "h3", "h4", "h5", "h6") else block.parent) or block
+        block.chars += len(text)
+        block.linked += linked
+        up.points += 1 + text.count(",") + min(len(text) / 100, 3)
+    for kid, _, left in _in_order(root):
+        if isinstance(kid, Node) and left:  # its children are done: own points go to the parent by half, passed ones by a third
+            up = kid.parent
+            up.chars += kid.chars
+            up.linked += kid.linked
+            own, kid.points = kid.points, kid.points + kid.passed
+            up.passed += own / 2 + kid.passed / 3
     for kid, _, left in _in_order(root):
-        if isinstance(kid, Node) and not left and not kid.off and kid.points:
+        if isinstance(kid, Node) and not left and not kid.off and kid.points and kid.tag != "html":
             kid.points *= 1 - _density(kid)
             if best is None or kid.points > best.points:
                 best = kid

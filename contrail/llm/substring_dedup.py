@@ -2,14 +2,14 @@
 
 Method
 ------
-A window is a run of ``window`` words. Windows of half that length (``base``)
-are looked at first: of the base windows in each full window, the one with the
+A window is a run of ``window`` words, of any number. Levels go from a short length
+(``BASE_WORDS`` words at most) by doubling up to it: 13, 25 and 50 words for 50 (``lengths``). On
+each level, of the windows of its length in each full window the one with the
 smallest hash stands for it, so that equal full windows always share theirs
-while only few base windows travel. Base windows that repeat in another document
-survive; only full windows whose base window survived are extended to twice the
-length and compared in turn, and so on from ``base`` to ``window`` until no
-candidates are left. A full window that also starts in a document with a
-smaller ``doc_id`` covers its words, and covered words go.
+while only few windows travel. Those that repeat in another document survive, and
+only full windows that one of them stands for are looked at on the next level, at twice the length, until no
+candidates are left or the full length is reached. A full window that also starts in a
+document with a smaller ``doc_id`` covers its words, and covered words go.
 
 Scale: documents with equal word sequences are one candidate (the smallest
 ``doc_id`` stands for them, the others lose every word if they hold a window).
@@ -40,6 +40,7 @@ from contrail.llm.common import few, texts, written
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 LAST = (1 << 63) - 1  # stands for a null doc_id
+BASE_WORDS = 16  # words of the first level at most
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -110,17 +111,42 @@ def _sketch(base: int, window: int):
     return run
 
 
+def lengths(window: int) -> list[int]:
+    """Window lengths by level: the full one halved (rounded up) until it has ``BASE_WORDS`` words at most, shortest first."""
+    out = [window]
+    while out[-1] > BASE_WORDS:
+        out.append(-(-out[-1] // 2))
+    return out[::-1]
+
+
+def _alive(hashes: np.ndarray, length: int, window: int, survivors: pa.Scalar) -> np.ndarray:
+    """Where the full windows start that a surviving window of this length stands for."""
+    return np.flatnonzero(np.isin(_least(_windows(hashes, length), window - length + 1), np.asarray(survivors.values).view(np.uint64)))
+
+
+def _level(shorter: int, longer: int, window: int):
+    """Of each text's full windows that survived at one length, the distinct ones of twice that length that stand for them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kept = []
+            for t, survivors in zip(b.column("text"), b.column("bases")):
+                h = _hashes(_words(t.as_py()))
+                kept.append(np.unique(_least(_windows(h, longer), window - longer + 1)[_alive(h, shorter, window, survivors)]))
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), _lists(kept)], ["id", "th", "bases"])
+
+    return run
+
+
 def _extend(base: int, window: int):
-    """The full windows whose representative base window survived: (hash, id, th, start)."""
+    """The full windows that a surviving window of the last level before stands for: (hash, id, th, start)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for id_, th, t, survivors in zip(*(b.column(c) for c in ("id", "th", "text", "bases"))):
-                half = _windows(_hashes(_words(t.as_py())), base)
-                alive = np.asarray(survivors.values).view(np.uint64)
-                starts = np.flatnonzero(np.isin(_least(half, window - base + 1), alive))
-                # twice the length: the hash of two halves next to each other
-                full = half[starts] * _power(BASE, base)[base] + half[starts + window - base]
+                h = _hashes(_words(t.as_py()))
+                starts = _alive(h, base, window, survivors)
+                full = _windows(h, window)[starts]
                 n = len(starts)
                 yield pa.RecordBatch.from_arrays(
                     [_signed(full), pa.array(np.full(n, id_.as_py())), pa.array(np.full(n, th.as_py())), pa.array(starts, pa.int32())],
@@ -159,17 +185,14 @@ def _remove(window: int):
 
 
 def dedup(docs: DataFrame, window: int = 50) -> DataFrame:
-    """(doc_id, n_words, n_removed, text): each text without its repeated windows' words.
-
-    ``window`` must be even: its half is the base length.
-    """
-    base = window // 2
-    if window != 2 * base or base < 1:
-        raise ValueError("window must be even")
+    """(doc_id, n_words, n_removed, text): each text without its repeated windows' words."""
+    if window < 1:
+        raise ValueError("a window has one word or more")
+    levels = lengths(window)
     rows = texts(docs).select(
         "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64("text").alias("th"), "text")
     sketch = written(rows.select("id", "th", "text").mapInArrow(
-        _sketch(base, window), "id long, th long, n_words long, sequence binary, bases array<long>"), "windows")
+        _sketch(levels[0], window), "id long, th long, n_words long, sequence binary, bases array<long>"), "windows")
 
     # documents with the same words: one stands for all
     firsts = sketch.groupBy("sequence").agg(F.min(F.struct("id", "th")).alias("first"))
@@ -178,16 +201,23 @@ def dedup(docs: DataFrame, window: int = 50) -> DataFrame:
     alone = sketch.filter(F.size("bases") > 0).join(
         firsts.select(F.col("first.id").alias("id"), F.col("first.th").alias("th")), ["id", "th"], "left_semi").dropDuplicates(["id", "th"])
 
-    # base windows that repeat in another document
-    bases = alone.select("id", "th", F.explode("bases").alias("hash"))
-    repeated = written(bases.groupBy("hash").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("hash"), "repeated")
-    survivors = written(bases.join(repeated, "hash").groupBy("id", "th").agg(F.collect_list("hash").alias("bases")), "survivors")
-
-    # extended to full windows; those that repeat cover words of all documents but the first
-    by_doc, ids = rows.select("id", "th", "text"), survivors.select("id", "th")
-    if few(ids):  # only texts with survivors are shuffled
-        by_doc = by_doc.join(F.broadcast(ids), ["id", "th"], "left_semi")
-    full = by_doc.join(survivors, ["id", "th"]).mapInArrow(_extend(base, window), "hash long, id long, th long, start int")
+    def repeated(candidates: DataFrame) -> DataFrame:
+        """(id, th, bases): of each text, the windows that repeat in another document."""
+        bases = candidates.select("id", "th", F.explode("bases").alias("hash"))
+        again = written(bases.groupBy("hash").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("hash"), "repeated")
+        return written(bases.join(again, "hash").groupBy("id", "th").agg(F.collect_list("hash").alias("bases")), "survivors")
+
+    def with_texts(survivors: DataFrame) -> DataFrame:
+        by_doc, ids = rows.select("id", "th", "text"), survivors.select("id", "th")
+        if few(ids):  # only texts with survivors are shuffled
+            by_doc = by_doc.join(F.broadcast(ids), ["id", "th"], "left_semi")
+        return by_doc.join(survivors, ["id", "th"])
+
+    survivors = repeated(alone)
+    for shorter, longer in zip(levels, levels[1:-1]):
+        survivors = repeated(with_texts(survivors).mapInArrow(_level(shorter, longer, window), "id long, th long, bases array<long>"))
+    # the full length: windows that repeat cover words of all documents but the first
+    full = with_texts(survivors).mapInArrow(_extend(levels[-2] if len(levels) > 1 else window, window), "hash long, id long, th long, start int")
     first = written(full.groupBy("hash").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("hash", "a"), "first")
     covered = written(
         full.join(first, "hash").filter("id > a").groupBy("id", "th").agg(F.collect_list("start").alias("starts")), "covered")

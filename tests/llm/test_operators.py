@@ -119,6 +119,11 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+def test_deep_pages_take_linear_time():
+    page = "<div>text, here " * 30_000 + "</i></b>" * 30_000
+    assert html_text.main_text(page).count("\n") == 29_999
+
+
 def test_extract_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x"), (None, None, None), (1, "u", "<p>x"), (2, "v", "<div>" * 20_000 + "deep")], "page_id long, url string, html string")
     assert sorted(r.text for r in html_text.extract(pages).collect()) == ["", "deep", "x", "x"]
@@ -284,25 +289,32 @@ def test_alignment_scores():
 
 # 10 ------------------------------------------------------------------------------------------
 
-def test_repeated_passages_equal_brute_force(frame, prose):
+def test_levels_double_up_to_the_window():
+    assert substring_dedup.lengths(50) == [13, 25, 50] and substring_dedup.lengths(64) == [16, 32, 64] and substring_dedup.lengths(7) == [7]
+    with pytest.raises(ValueError):
+        substring_dedup.dedup(None, 0)
+
+
+@pytest.mark.parametrize("window", [50, 64, 33, 12, 1])
+def test_repeated_passages_equal_brute_force(frame, prose, window):
     passage, r = prose(3, 70).split(), random.Random(4)
     rows = []
     for i in range(60):
         a = r.randrange(0, 25)
         rows.append((i, " ".join([prose(i, r.randint(0, 30)), *passage[a:a + r.randint(30, 60)], prose(-i, r.randint(0, 30)), *passage[:20] * (i % 2)])))
     rows += [(100, rows[5][1]), (101, rows[5][1].replace(" ", "  ")), (102, None), (103, ""), (104, "a " * 500), (105, "a " * 700)]
-    got = {x.doc_id: x for x in substring_dedup.digest(substring_dedup.dedup(frame(rows))).collect()}
+    got = {x.doc_id: x for x in substring_dedup.digest(substring_dedup.dedup(frame(rows), window)).collect()}
     seen = {}
     for i, t in sorted(rows):
         w = W.findall(t or "")
         gone = set()
-        mine = [tuple(w[k:k + 50]) for k in range(len(w) - 49)]
+        mine = [tuple(w[k:k + window]) for k in range(len(w) - window + 1)]
         for k, x in enumerate(mine):
             if seen.get(x, i) < i:
-                gone.update(range(k, k + 50))
+                gone.update(range(k, k + window))
         for x in mine:
             seen.setdefault(x, i)
         kept = " ".join(x for k, x in enumerate(w) if k not in gone)
         assert (got[i].n_words, got[i].n_removed, got[i].kept_sha256) == (len(w), len(gone), sha(kept)), i
-    assert substring_dedup.dedup(frame(ODD)).count() == len(ODD)
+    assert substring_dedup.dedup(frame(ODD), window).count() == len(ODD)
     assert substring_dedup.dedup(frame([]).limit(0)).count() == 0
