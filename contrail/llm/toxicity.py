@@ -21,8 +21,9 @@ language, source and doc_id are no inputs of a score: equal texts have equal sco
 
 Bounds: ``FIT_ROWS`` labelled ids (chosen by a hash of the doc_id) for the lexicon and
 the classifier, which learns from one row of each (rows that share an id: the one with
-the smallest hash); the lexicon holds every entry that passes ``LEAST_Z``, which these
-rows bound. Votes and rates are counted over all texts, as sums that only (voters
+the smallest hash); the lexicon holds every entry whose log-odds stand out: by ``LEAST_Z``
+standard errors, and, as very many entries are looked at in many rows, by so many that
+chance alone would let ``CHANCE`` of them through. Votes and rates are counted over all texts, as sums that only (voters
 squared) numbers of reach the driver.
 
 Cases: a null text is empty and scores by the intercept; null or repeated doc_ids
@@ -38,6 +39,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -49,6 +51,7 @@ from contrail.llm.common import few, free_name, texts, written
 
 FIT_ROWS = 20_000
 LEAST_TEXTS, LEAST_Z, LEAST_SHARE = 4, 3.0, 0.75
+CHANCE = 30
 #: An entry is dense in a text that it makes up this share of, and that holds it twice.
 DENSE = 0.01
 #: Lexicon voters of each kind: words, beginnings of 4, 5 and 6 letters; and the same, if dense.
@@ -112,11 +115,12 @@ def learn_lexicon(docs: DataFrame, rows: DataFrame) -> list[tuple[str, bool]]:
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
         return []
-    counted = labelled.select("text", "toxic").mapInArrow(_entries, "entry string, other long, toxic long").groupBy("entry").agg(
-        F.sum("toxic").alias("a"), F.sum("other").alias("c")).filter(F.col("a") + F.col("c") >= LEAST_TEXTS)
+    counted = written(labelled.select("text", "toxic").mapInArrow(_entries, "entry string, other long, toxic long").groupBy("entry").agg(
+        F.sum("toxic").alias("a"), F.sum("other").alias("c")).filter(F.col("a") + F.col("c") >= LEAST_TEXTS), "entries")
+    least = max(LEAST_Z, NormalDist().inv_cdf(1 - min(1.0, CHANCE / max(1, counted.count())) / 2))
     odds = F.log((F.col("a") + 0.5) / (n[1] - F.col("a") + 0.5)) - F.log((F.col("c") + 0.5) / (n[0] - F.col("c") + 0.5))
     z = odds / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("c") + 0.5))
-    found = (counted.withColumn("z", z).filter(F.abs("z") >= LEAST_Z)
+    found = (counted.withColumn("z", z).filter(F.abs("z") >= least)
              .select("entry", ((F.col("z") > 0) & (F.col("a") >= LEAST_SHARE * (F.col("a") + F.col("c")))).alias("votes")).collect())
     return sorted((r["entry"], r["votes"]) for r in found)
 
