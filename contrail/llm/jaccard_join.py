@@ -56,6 +56,7 @@ from contrail.llm.components import components
 SLACK = 6  # a zone is longer than p by a part of it
 COMMON = 64  # an n-gram in so many documents' zones is common
 UNIT = 64  # nodes in a random unit of a common n-gram, on average
+MEMBERS = 1 << 18  # n-grams of sets that are dealt in one batch
 ROUTES = 4  # random units that a node of common n-grams goes to in the first pass
 FACTORS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))  # fixed odd numbers
 
@@ -207,15 +208,17 @@ def _join_units(n: int, percent: int):
 
 
 def _deal(n: int):
-    """Each text's set, once for each unit that it goes to."""
+    """Each text's set, once for each unit that it goes to, in batches of bounded size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for node, text, units in zip(b.column("id"), b.column("text"), b.column("units")):
                 s = shingles(text.as_py(), n)
-                k = len(units)
-                yield pa.RecordBatch.from_arrays(
-                    [units.values, pa.array([node.as_py()] * k, pa.int64()), _lists([s] * k)], ["unit", "node", "grams"])
+                step = max(1, MEMBERS // len(s))
+                for at in range(0, len(units), step):
+                    part = units.values.slice(at, step)
+                    yield pa.RecordBatch.from_arrays(
+                        [part, pa.array([node.as_py()] * len(part), pa.int64()), _lists([s] * len(part))], ["unit", "node", "grams"])
 
     return run
 
