@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from contrail.llm import bpe, decontaminate, jaccard_join, line_dedup, toxicity
@@ -14,6 +14,21 @@ from contrail.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Whole texts travel to Python workers in batches of so many bytes and rows at most, so that a worker and its
+#: executor hold a few megabytes of texts at a time, however long these are.
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
+
+def _bounded(stage: Stage) -> Stage:
+    """A stage whose Python workers get bounded batches."""
+    @wraps(stage)
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for key, value in BATCHES.items():
+            spark.conf.set(key, value)
+        return stage(spark, docs, sf_dir)
+
+    return bounded
+
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: documents that the classifier rejects go."""
@@ -41,11 +56,11 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", remove_toxic),
-    ("line_dedup", drop_recurring_lines),
-    ("near_duplicates", keep_one_of_similar),
-    ("decontamination", remove_leaks),
-    ("bpe", encode),
+    ("toxicity", _bounded(remove_toxic)),
+    ("line_dedup", _bounded(drop_recurring_lines)),
+    ("near_duplicates", _bounded(keep_one_of_similar)),
+    ("decontamination", _bounded(remove_leaks)),
+    ("bpe", _bounded(encode)),
 ]
 
 #: SQL cannot express these stages (a trained classifier, tries, alignment); tests hold them against brute force.
