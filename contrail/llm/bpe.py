@@ -43,8 +43,8 @@ from pyspark.sql import DataFrame
 from contrail.llm.common import texts
 
 KEPT_CHARS = 12_000_000  # of words, ids and tokens that a worker keeps; about ten bytes of memory each
-BATCH_CHARS = 2_000_000
-STEPS, PAIRS = 300_000, 500_000  # trie steps and pairs of tokens kept
+BATCH_CHARS = 1_000_000
+STEPS, PAIRS = 150_000, 250_000  # trie steps and pairs of tokens kept
 #: Code points for which Python and the library agree on case, classes and composition.
 PLAIN = regex.compile(r"[\t-\r -~¡-ſ]*")
 
