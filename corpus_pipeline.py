@@ -52,7 +52,7 @@ def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: token ids of every document that is left, and the digests of ids and decoded text."""
-    return bpe.encode(docs, bpe.tokenizer_path("word_bpe_49k.json"), kept_chars=6_000_000).drop("decoded")
+    return bpe.encode(docs, bpe.tokenizer_path("word_bpe_49k.json"), kept_chars=2_000_000).drop("decoded")
 
 
 STAGES: list[tuple[str, Stage]] = [
