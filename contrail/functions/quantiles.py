@@ -2,7 +2,7 @@
 
 ``median`` and ``percentile`` gather every value of a column, with its count, in one
 task. Here the rows collapse to distinct values with their counts (partial
-aggregation, all columns in one scan); values are dealt to ranges and get the number of
+aggregation, all columns in one scan) and are written once; values are dealt to ranges and get the number of
 rows before them as prefix sums over the ranges (``ranking.prefix_counts``), and the
 values at the wanted positions are picked. A column with as many distinct values as
 rows is sorted by ranges like any other data.
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.functions.ranking import prefix_counts
+from contrail.functions.ranking import prefix_counts, written
 
 
 def quantiles(df: DataFrame, columns: dict[str, Column], probabilities, partitions: int | None = None) -> DataFrame:
@@ -25,7 +25,7 @@ def quantiles(df: DataFrame, columns: dict[str, Column], probabilities, partitio
     if not all(0 <= p <= 1 for p in ps):
         raise ValueError("probabilities lie between 0 and 1")
     values = df.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), c.cast("double").alias("x")) for n, c in columns.items()])).alias("v")).select("v.*")
-    located = values.where(F.col("x").isNotNull()).groupBy("metric", "x").agg(F.count(F.lit(1)).alias("_n"))
+    located = written(values.where(F.col("x").isNotNull()).groupBy("metric", "x").agg(F.count(F.lit(1)).alias("_n")), "quantile-values")
     placed = prefix_counts(located, ["metric", "x"], partitions)
     others = Window.orderBy("metric").rowsBetween(Window.unboundedPreceding, -1)  # a row a column
     totals = located.groupBy("metric").agg(F.sum("_n").alias("n")).select("metric", "n", F.coalesce(F.sum("n").over(others), F.lit(0)).alias("_skip"))

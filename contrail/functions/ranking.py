@@ -7,8 +7,9 @@ every row into a single task. ``rank_rows`` gives the same numbers at any size:
    joined back to are the same values (a written table is taken as it is);
 2. rows collapse to distinct order keys with their multiplicity (partial
    aggregation, so one hot key costs one row, not a third of the data);
+   which are written, as several steps read them;
 3. the edges of the ranges are drawn once from these keys and become literals, so that
-   a key's range depends on the key alone, whatever Spark recomputes;
+   a key's range depends on the key alone, whatever Spark recomputes; it is found by halving;
 4. keys are numbered inside their range by a window over the range, and the
    numbers of keys and rows in the ranges before are added (a #ranges-row table);
 5. positions are joined back on the order keys (null-safe).
@@ -41,19 +42,20 @@ def _names(order) -> list[str]:
     return [o if isinstance(o, str) else o[0] for o in order]
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table under the shared work folder."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _after(sort: list[tuple[str, bool]], edge) -> Column:
-    """Is a key at or behind an edge in the order? Both orders put NULLs at the low end of values."""
+def _after(sort: list[tuple[str, bool]], edge: Column) -> Column:
+    """Is a key at or behind an edge (a struct) in the order? Both orders put NULLs at the low end of values."""
     later = F.lit(True)  # equal in all columns
     for name, asc in reversed(sort):
-        key, at = F.col(name), F.lit(edge[name])
+        key, at = F.col(name), edge[name]
         same = key.eqNullSafe(at)
-        beyond = (key.isNotNull() & F.lit(edge[name] is None) | (key > at)) if asc else (key.isNull() & F.lit(edge[name] is not None) | (key < at))
+        beyond = (key.isNotNull() & at.isNull() | (key > at)) if asc else (key.isNull() & at.isNotNull() | (key < at))
         later = F.coalesce(beyond, F.lit(False)) | (same & later)
     return later
 
@@ -68,6 +70,17 @@ def _edges(located: DataFrame, sort: list[tuple[str, bool]], ranges: int) -> lis
     return [drawn[i * len(drawn) // ranges] for i in range(1, ranges)] if len(drawn) >= ranges else []
 
 
+def _place(located: DataFrame, sort: list[tuple[str, bool]], edges: list) -> Column:
+    """The number of edges that a key is at or behind. Edges are in order, so it is found by halving."""
+    if not edges:
+        return F.lit(0)
+    kinds = {n: located.schema[n].dataType for n, _ in sort}
+    table = F.array(*[F.struct(*[F.lit(e[n]).cast(k).alias(n) for n, k in kinds.items()]) for e in edges])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(edges).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= len(edges)) & _after(sort, F.get(table, at + step - 1)), at + step).otherwise(at))
+
+
 def rank_rows(df: DataFrame, order, kind: str = "rank", out: str = "rank",
               partitions: int | None = None, bound: int | None = None, is_table: bool = False) -> DataFrame:
     """Add ``out`` = rank / dense_rank / row_number over the global ``order``.
@@ -83,13 +96,13 @@ def rank_rows(df: DataFrame, order, kind: str = "rank", out: str = "rank",
         raise ValueError(f"unknown rank kind {kind!r}")
     keys, sort = _names(order), _sort_exprs(order)
     if not is_table and (bound is None or bound > WINDOW_ROWS):
-        df = _written(df, "rank-rows")
+        df = written(df, "rank-rows")
     if kind == "row_number" and not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
         raise ValueError(f"row_number needs an order that is unique per row; {keys} has ties")
     if bound is not None and bound <= WINDOW_ROWS:
         number = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[kind]()
         return df.withColumn(out, number.over(Window.orderBy(*sort)).cast("bigint"))  # counted rows
-    pos = prefix_counts(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), order, partitions)
+    pos = prefix_counts(written(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "rank-keys"), order, partitions)
     value = {"rank": F.col("_rows_before"), "dense_rank": F.col("_keys_before"), "row_number": F.col("_rows_before")}[kind] + 1
     pos = pos.select(*[F.col(k).alias(f"_rk_{k}") for k in keys], value.cast("bigint").alias(out))
     cond = [df[k].eqNullSafe(pos[f"_rk_{k}"]) for k in keys]
@@ -101,15 +114,12 @@ def prefix_counts(located: DataFrame, order, partitions: int | None = None) -> D
     the numbers of keys and rows that come before a key in the global ``order``.
 
     Keys are dealt to ranges by edges that are drawn once; a window numbers them inside their range, and the
-    totals of the ranges before are added. No task sees more than a range.
+    totals of the ranges before are added. No task sees more than a range. ``located`` is read several times: a
+    written table is best.
     """
     by, sort = [(o, True) if isinstance(o, str) else o for o in order], _sort_exprs(order)
     ranges = partitions or int(located.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # edges are in order: a key's range is the number of edges that it is at or behind
-    place = F.lit(0)
-    for edge in _edges(located, by, ranges):
-        place = place + _after(by, edge).cast("int")
-    located = located.withColumn("_range", place)
+    located = located.withColumn("_range", _place(located, by, _edges(located, by, ranges)))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
     offsets = (located.groupBy("_range").agg(F.count(F.lit(1)).alias("_k"), F.sum("_n").alias("_m"))
                .select("_range", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_k0"), F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_m0")))
