@@ -2,9 +2,9 @@
 
 Default order is validate -> impute -> dedupe (S3): text delays are coerced
 to numbers before medians are taken. The medians are a one-row aggregate
-cross-joined (broadcast, one row) into the data, so no value goes through the
-driver; the only eager step is ``impute``'s one-row probe of which columns
-have gaps (as the reference fills only those). De-duplication is an
+written and cross-joined (broadcast, one row) into the data, so no value goes through the
+driver; eager steps are ``impute``'s one-row probe of which columns have gaps (as the
+reference fills only those), the medians and the count of repeated hashes. De-duplication is an
 aggregate (``dropDuplicates`` / ``min_by``), optionally hash-first.
 """
 
@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail.functions.quantiles import medians
+from contrail.functions.ranking import written
 from contrail.functions.scalar import (nan_to_null, numeric_text_ok, one_row, to_number,
                                        with_scalars)
-from contrail.operators.profile import _text_columns, quality_inputs, score_from_inputs
+from contrail.operators.profile import (_text_columns, quality_inputs, repeated_hashes, row_hash,
+                                        score_from_inputs)
 from contrail.spec import DELAY_COLUMNS, FLIGHT_SPEC, TEXT_FILL, FactSpec
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -71,7 +73,7 @@ def impute(df: DataFrame, text_fill: str = TEXT_FILL, numeric: str = "median",
         values = {f"__med_{c}": nan_to_null(F.col(c).cast("double")) for c in num}
         meds = (df.agg(*[F.percentile_approx(v, 0.5).cast("double").alias(n) for n, v in values.items()]) if approx
                 else medians(df, values))
-        out = with_scalars(df, meds)
+        out = with_scalars(df, written(meds, "medians"))  # a row; what reads the result reads it, too
     else:
         out = df
     fills = {}
@@ -93,44 +95,37 @@ def impute(df: DataFrame, text_fill: str = TEXT_FILL, numeric: str = "median",
 def split_repeats(df: DataFrame, keys=None) -> tuple[DataFrame, DataFrame]:
     """Split ``df`` into rows whose key occurs once and rows whose key repeats.
 
-    The key is the column list ``keys`` or, for whole rows, an ``xxhash64`` of
-    all columns. Only the key is shuffled to count occurrences (with partial
-    aggregation); the repeated keys are then matched back (AQE broadcasts
-    them when they are few). Rows with a unique key are unique rows and never
-    move through a shuffle; only rows with a repeated key (true duplicates or
-    rare hash collisions) go on to an exact de-duplication. Returns
-    ``(singles, repeated)`` with the helper column ``__k`` dropped.
+    The key is the column list ``keys`` or the whole row. Only an ``xxhash64`` of
+    the key is shuffled to count occurrences (with partial aggregation); the
+    repeated hashes are written, counted and, while they are few, broadcast
+    (``repeated_hashes``). Rows with a unique hash have a unique key and never
+    move through a shuffle; the others (true duplicates or rare hash
+    collisions) go on to an exact de-duplication. Returns
+    ``(singles, repeated)``; with too many repeated hashes for a broadcast, no
+    row is single and ``repeated`` is ``df`` (one shuffle instead of two).
     """
-    if keys is None:
-        keyed = df.withColumn("__k", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-        kcols = ["__k"]
-    else:
-        keyed, kcols = df, list(keys)
-    rep = (keyed.groupBy(*kcols).agg(F.count(F.lit(1)).alias("__n"))
-           .where(F.col("__n") > 1).select(*[F.col(c).alias(f"__r_{c}") for c in kcols]))
-    cond = [keyed[c].eqNullSafe(rep[f"__r_{c}"]) for c in kcols]
-    singles = keyed.join(rep, cond, "left_anti")
-    repeated = keyed.join(rep, cond, "left_semi")
-    if keys is None:
-        singles, repeated = singles.drop("__k"), repeated.drop("__k")
-    return singles, repeated
-
-
-def dedupe(df: DataFrame, keys=None, order_by=None, method: str = "shuffle") -> DataFrame:
+    rep, n = repeated_hashes(df, keys)
+    if n is None:
+        return df.limit(0), df
+    hashed, rep = row_hash(df, keys), F.broadcast(rep.select("__h"))
+    return hashed.join(rep, "__h", "left_anti").drop("__h"), hashed.join(rep, "__h", "left_semi").drop("__h")
+
+
+def dedupe(df: DataFrame, keys=None, order_by=None, method: str = "hash") -> DataFrame:
     """Drop duplicate rows, keep the first.
 
-    ``method="shuffle"`` (default): whole rows with ``dropDuplicates`` (an
-    aggregate on all columns; identical rows collapse map-side); with ``keys``
-    and ``order_by``, per key the row with the smallest ``order_by`` via
-    ``min_by`` -- an aggregate with partial aggregation, so a key holding a
-    third of the rows is reduced in every task before the shuffle (a window
-    would sort that key in one task).
-
-    ``method="hash"``: ``split_repeats`` first, so rows whose hash/key occurs
-    once never move through a shuffle and only repeated ones are de-duplicated.
-    Cheaper for mostly-unique data at scale (three scans instead of a
-    full-row shuffle); when many distinct rows repeat, the anti/semi joins
-    become sort-merge joins and the plain shuffle is the better choice.
+    ``method="hash"`` (default): ``split_repeats`` first, so rows whose hash
+    occurs once never move through a shuffle and only repeated ones are
+    de-duplicated. One job counts the hashes; when many distinct rows repeat,
+    all rows take the plain shuffle.
+
+    ``method="shuffle"``: whole rows with ``dropDuplicates`` (an aggregate on
+    all columns; identical rows collapse map-side); with ``keys`` and
+    ``order_by``, per key the row with the smallest ``order_by`` via ``min_by``
+    -- an aggregate with partial aggregation, so a key holding a third of the
+    rows is reduced in every task before the shuffle (a window would sort that
+    key in one task). Lazy.
+
     Without ``order_by`` any row of a repeated key is kept.
     """
     if keys is not None:
@@ -159,7 +154,7 @@ def dedupe(df: DataFrame, keys=None, order_by=None, method: str = "shuffle") ->
 
 # --------------------------------------------------------------------------- C5
 def clean(df: DataFrame, cols=DELAY_COLUMNS, dedupe_keys=None, order_by=None) -> DataFrame:
-    """validate -> impute -> dedupe (lazy)."""
+    """validate -> impute -> dedupe."""
     return dedupe(impute(validate_numeric(df, cols)), dedupe_keys, order_by)
 
 
@@ -188,7 +183,7 @@ def clean_report(df: DataFrame, cleaned: DataFrame, spec: FactSpec = FLIGHT_SPEC
 def clean_fact(df: DataFrame, spec: FactSpec = FLIGHT_SPEC, cols=DELAY_COLUMNS,
                dedupe_keys=None, order_by=None, digits: int | None = 2,
                require_rows: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(cleaned, report), both lazy; see ``clean`` and ``clean_report``.
+    """(cleaned, report); see ``clean`` and ``clean_report``.
 
     As the reference's transform entry point, an empty input raises
     ``ValueError`` (one ``isEmpty`` probe here, not in every inner step, S16).

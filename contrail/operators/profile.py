@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from contrail.functions.ranking import written
 from contrail.functions.scalar import one_row, to_number
 from contrail.spec import (DELAY_COLUMNS, DUPLICATE_MAX, DUPLICATE_MULTIPLIER, GRADES,
                            MISSING_MAX, MISSING_MULTIPLIER, TYPE_ISSUE_FRACTION_WEIGHT,
@@ -75,18 +76,36 @@ def distinct_row_count(df: DataFrame, alias: str = "_uniq") -> DataFrame:
     8-byte ``xxhash64`` of the row is shuffled (with partial aggregation);
     rows whose hash occurs once are distinct by definition, and only rows
     whose hash repeats (true duplicates or rare collisions) are compared
-    exactly. A hot duplicated row collapses map-side in both steps. When a
-    large share of distinct rows repeat, AQE turns the semi join into a
-    sort-merge join; the count stays exact.
+    exactly. The repeated hashes are written and counted first: while they are
+    few, they are broadcast and no other row moves. A hot duplicated row
+    collapses map-side in both steps.
     """
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    hashed = df.select(F.xxhash64(*cols).alias("__h"), *cols)
-    per_hash = hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__n"))
-    singles = per_hash.agg(F.count_if(F.col("__n") == 1).alias("__s"))
-    repeated = per_hash.where(F.col("__n") > 1).select("__h")
-    exact = (hashed.join(repeated, "__h", "left_semi").distinct()
-             .agg(F.count(F.lit(1)).alias("__r")))
-    return one_row(singles, exact).select((F.col("__s") + F.col("__r")).alias(alias))
+    repeated, n = repeated_hashes(df)
+    all_rows = df.agg(F.count(F.lit(1)).alias("__a"))
+    among = repeated.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("__m"))
+    rows = df if n is None else row_hash(df).join(F.broadcast(repeated), "__h", "left_semi").drop("__h")
+    exact = rows.distinct().agg(F.count(F.lit(1)).alias("__r"))
+    if n is None:  # most of the data would have to move in any case
+        return exact.withColumnRenamed("__r", alias)
+    return one_row(all_rows, among, exact).select((F.col("__a") - F.col("__m") + F.col("__r")).alias(alias))
+
+
+def row_hash(df: DataFrame, cols=None) -> DataFrame:
+    """``df`` with ``__h``, the hash of the row or of ``cols``."""
+    return df.withColumn("__h", F.xxhash64(*[F.col(f"`{c}`") for c in cols or df.columns]))
+
+
+#: Hashes that are broadcast at most (8 bytes each and as many again for their count).
+REPEATED_MAX = 1_000_000
+
+
+def repeated_hashes(df: DataFrame, cols=None) -> tuple[DataFrame, int | None]:
+    """(__h, __n): hashes of rows (of ``cols``) that occur more than once, as a written table, and their number; None
+    if they are more than can be broadcast."""
+    found = row_hash(df, cols).groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
+    table = written(found, "repeated")
+    n = table.agg(F.count(F.lit(1))).first()[0]
+    return table, n if n <= REPEATED_MAX else None
 
 
 def duplicate_report(df: DataFrame, keys=None) -> DataFrame:

@@ -40,3 +40,20 @@ def test_quantiles_read_their_values_from_a_table(spark):
     got = quantiles.quantiles(df, {"x": F.col("x")}, [0.0, 0.25, 0.5, 1.0], partitions=8)
     assert {r.p: r.value for r in got.collect()} == {0.0: 0.0, 0.25: 249.75, 0.5: 499.5, 1.0: 999.0}
     assert "quantile-values" in plan(got) and "Scan ExistingRDD" not in plan(got)
+
+
+def test_duplicates_move_hashes_only(spark):
+    rows = [(i, f"t{i}", float(i)) for i in range(500)] + [(7, "t7", 7.0)] * 3 + [(None, None, None)] * 2
+    df = spark.createDataFrame(rows, "k int, s string, x double")
+    assert profile.distinct_row_count(df).first()[0] == 501
+    assert df.dropDuplicates().exceptAll(clean.dedupe(df)).isEmpty() and clean.dedupe(df).count() == 501
+    for got in (profile.distinct_row_count(df), clean.dedupe(df), clean.dedupe(df, ["k"], ["x"])):
+        assert "SortMergeJoin" not in plan(got) and "BroadcastHashJoin" in plan(got)
+
+
+def test_many_repeated_hashes_take_the_plain_way(spark, monkeypatch):
+    monkeypatch.setattr(profile, "REPEATED_MAX", 1)
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (2, "b"), (2, "c"), (3, None)], "k int, s string")
+    assert profile.distinct_row_count(df).first()[0] == 4
+    assert sorted(map(tuple, clean.dedupe(df).collect()), key=str) == sorted([(1, "a"), (2, "b"), (2, "c"), (3, None)], key=str)
+    assert sorted(map(tuple, clean.dedupe(df, ["k"], ["s"]).collect()), key=str) == sorted([(1, "a"), (2, "b"), (3, None)], key=str)
