@@ -12,8 +12,10 @@ the fact.
 what is asked for, else the fact, with the same columns either way. All sums are of
 doubles; minutes and miles are whole numbers, which add up exactly in any order.
 
-A grain has at most (days), (months x airlines) and (months x airport pairs) rows; all
-three come from one scan (grouping sets) with partial aggregation before the shuffle.
+A grain has at most (days), (months x airlines) and (months x airport pairs) rows. Partial
+aggregation before the shuffle reduces days, routes and the airlines that hold many rows.
+A month of any other airline has few rows, so a task's partial sums would be about as many as its rows
+and many times as wide: these rows are dealt as they are and summed up once.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ KEYS = ["date_key", "month_key", AIRLINE, ORIGIN, DESTINATION]
 LATE_GT, POSITIVE_GT = 15, 0  # the thresholds held: late departures, arrivals with a delay
 VALUES = [DEP, ARR, DIST, *(c for _, c in CAUSES)]
 POSITIVE = [ARR, *(c for _, c in CAUSES)]  # also summed over arrivals with a delay
+HOT_SHARE = 200  # airlines with more than one in so many rows are summed up before the shuffle
 MEASURES = ["_n", "_late", "_p_n", f"_f_{CANC}", f"_f_{DIVR}", *(f"_{k}_{v}" for v in VALUES for k in "sc"), *(f"_p_{k}_{v}" for v in POSITIVE for k in "sc")]
 
 
@@ -41,16 +44,30 @@ def aggregate(fact: DataFrame) -> DataFrame:
 
     late = F.col(ARR) > POSITIVE_GT
     rows = fact.withColumn("year", (F.col("date_key") / 10000).cast("int")).withColumn("month_key", (F.col("date_key") / 100).cast("int"))
-    # a row of each grain; keys that are not the grain's are NULL
-    grains = F.explode(F.array(*[
-        F.struct(F.lit(g).alias("grain"), *[(F.col(k) if k in keys else F.lit(None)).cast("int").alias(k) for k in KEYS]) for g, keys in GRAINS.items()])).alias("g")
     kept = [CANC, DIVR, *[c for c in VALUES if c in fact.columns]]
+    per = [F.count(F.lit(1)).alias("_n"), count_when(F.col(DEP) > LATE_GT).alias("_late"), count_when(late).alias("_p_n"),
+           *[count_when(is_flag(f)).alias(f"_f_{f}") for f in (CANC, DIVR)],
+           *[x for v in VALUES for x in (F.coalesce(F.sum(value(v)), F.lit(0.0)).alias(f"_s_{v}"), F.count(value(v)).alias(f"_c_{v}"))],
+           *[x for v in POSITIVE for x in (F.coalesce(F.sum(F.when(late, value(v))), F.lit(0.0)).alias(f"_p_s_{v}"), F.count(F.when(late, value(v))).alias(f"_p_c_{v}"))]]
+
+    def own_keys(grain: str) -> list:  # keys that are not the grain's are NULL
+        return [F.lit(grain).alias("grain"), *[(F.col(k) if k in GRAINS[grain] else F.lit(None)).cast("int").alias(k) for k in KEYS]]
+
+    hot = F.coalesce(F.col(AIRLINE).isin(_hot_airlines(fact)), F.lit(True))
+    # a row of each grain
+    grains = F.array(*[F.struct(*own_keys(g)) for g in GRAINS if g != "airline"])
+    grains = F.explode(F.when(hot, F.concat(grains, F.array(F.struct(*own_keys("airline"))))).otherwise(grains)).alias("g")
     spread = rows.select("year", *kept, grains).select("year", *kept, "g.*")
-    return spread.groupBy("year", "grain", *KEYS).agg(
-        F.count(F.lit(1)).alias("_n"), count_when(F.col(DEP) > LATE_GT).alias("_late"), count_when(late).alias("_p_n"),
-        *[count_when(is_flag(f)).alias(f"_f_{f}") for f in (CANC, DIVR)],
-        *[x for v in VALUES for x in (F.coalesce(F.sum(value(v)), F.lit(0.0)).alias(f"_s_{v}"), F.count(value(v)).alias(f"_c_{v}"))],
-        *[x for v in POSITIVE for x in (F.coalesce(F.sum(F.when(late, value(v))), F.lit(0.0)).alias(f"_p_s_{v}"), F.count(F.when(late, value(v))).alias(f"_p_c_{v}"))])
+    dealt = (rows.where(~hot).select("year", "month_key", AIRLINE, *kept).repartition("year", "month_key", AIRLINE)
+             .select("year", *kept, *own_keys("airline")))
+    return spread.groupBy("year", "grain", *KEYS).agg(*per).unionByName(dealt.groupBy("year", "grain", *KEYS).agg(*per))
+
+
+def _hot_airlines(fact: DataFrame) -> list[int]:
+    """Airlines that hold more than one in ``HOT_SHARE`` of the rows: fewer than ``HOT_SHARE``."""
+    held = fact.groupBy(AIRLINE).agg(F.count(F.lit(1)).alias("_n")).where(F.col(AIRLINE).isNotNull())
+    total = held.agg(F.sum("_n").alias("_all"))
+    return [r[0] for r in held.crossJoin(F.broadcast(total)).where(F.col("_n") * HOT_SHARE > F.col("_all")).select(AIRLINE).collect()]
 
 
 def merged(before: DataFrame | None, inserted: DataFrame, removed: DataFrame | None = None) -> DataFrame:

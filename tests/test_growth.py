@@ -57,3 +57,16 @@ def test_many_repeated_hashes_take_the_plain_way(spark, monkeypatch):
     assert profile.distinct_row_count(df).first()[0] == 4
     assert sorted(map(tuple, clean.dedupe(df).collect()), key=str) == sorted([(1, "a"), (2, "b"), (2, "c"), (3, None)], key=str)
     assert sorted(map(tuple, clean.dedupe(df, ["k"], ["s"]).collect()), key=str) == sorted([(1, "a"), (2, "b"), (3, None)], key=str)
+
+
+def test_airline_sums_of_small_groups_are_dealt_as_rows(spark):
+    f = fact(spark)
+    assert aggregates._hot_airlines(f) == [0]  # a third of the rows; the others have few
+    agg = aggregates.aggregate(f)
+    got = {(r.year, r.month_key, r.airline_key): (r._n, r["_s_ARRIVAL_DELAY"], r["_c_ARRIVAL_DELAY"], r["_f_CANCELLED"])
+           for r in agg.where("grain = 'airline'").collect()}
+    want = f.groupBy((F.col("date_key") / 10000).cast("int").alias("y"), (F.col("date_key") / 100).cast("int").alias("m"), "airline_key").agg(
+        F.count("*").alias("n"), F.coalesce(F.sum("ARRIVAL_DELAY"), F.lit(0.0)).alias("s"), F.count("ARRIVAL_DELAY").alias("c"), F.sum("CANCELLED").alias("f"))
+    assert got == {(r.y, r.m, r.airline_key): (r.n, r.s, r.c, r.f) for r in want.collect()}
+    assert agg.count() == agg.dropDuplicates(["year", "grain", *aggregates.KEYS]).count()
+    assert "REPARTITION_BY_COL" in plan(agg)
