@@ -9,10 +9,8 @@ paths, so the driver-side loop is bounded by the number of sources).
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,28 +23,23 @@ STATUS_SCHEMA = "name string, check string, status string, detail string"
 
 #: Distinct headers that a folder may have; more point to files without any.
 MOST_HEADERS = 1_000
-#: Larger than any file: each file is a split of its own.
-WHOLE_FILES = 1 << 60
+#: Larger than any split: each split is a task of its own.
+OPEN_COST = 1 << 40
 
 
 def headers(spark: SparkSession, path) -> DataFrame:
     """(file, header): the first line of each file under ``path``; empty files have none.
 
-    A task opens one file and reads its first lines only, whatever the file's size: the session's copy deals
-    whole files to tasks, and the task stops after the first row.
+    The session's copy gives each split of a file its own task; the first row of the split at a file's start
+    is kept. Lines are read by Spark's text reader alone, a split a task, however large the files are.
     """
     own = spark.newSession()  # shares the context, has settings of its own
-    own.conf.set("spark.sql.files.maxPartitionBytes", WHOLE_FILES)
-    own.conf.set("spark.sql.files.openCostInBytes", WHOLE_FILES)
-    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                yield b.slice(0, 1)
-                return
-
-    return own.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("header")).mapInArrow(first, "file string, header string")
+    own.conf.set("spark.sql.files.openCostInBytes", OPEN_COST)
+    own.conf.set("spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return (own.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("header"),
+                                       F.col("_metadata.file_block_start").alias("start"), in_task.alias("row"))
+            .where("start = 0 AND row = 0").select("file", "header"))
 
 
 def header_groups(spark: SparkSession, path, delimiter: str = ",") -> list[tuple[list[str], list[str]]]:

@@ -70,3 +70,16 @@ def test_airline_sums_of_small_groups_are_dealt_as_rows(spark):
     assert got == {(r.y, r.m, r.airline_key): (r.n, r.s, r.c, r.f) for r in want.collect()}
     assert agg.count() == agg.dropDuplicates(["year", "grain", *aggregates.KEYS]).count()
     assert "REPARTITION_BY_COL" in plan(agg)
+
+
+def test_headers_read_a_large_file_by_splits(spark, tmp_out):
+    with open(tmp_out + ".csv", "w") as f:
+        f.write("id,name\n" + "".join(f"{i},n{i}\n" for i in range(50_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 100_000)
+    try:
+        heads = io.headers(spark, tmp_out + ".csv")
+        assert [r.header for r in heads.collect()] == ["id,name"]
+        assert heads.rdd.getNumPartitions() > 3 and "MapInArrow" not in plan(heads)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
