@@ -1521,7 +1521,7 @@ def q_k08_content(spark, sf_dir):
     f = raw(spark, sf_dir).select(*_CONTENT)
     hit = (F.col("FLIGHT_NUMBER") == "17") & (F.col("YEAR") == 1996)
     changed = f.withColumn("DEPARTURE_DELAY", F.when(hit, F.coalesce("DEPARTURE_DELAY", F.lit(0.0)) + 1).otherwise(F.col("DEPARTURE_DELAY")))
-    return quality.reconcile_content({"raw": f, "published": f.repartition(7), "loaded": changed}, ["AIRLINE", "FLIGHT_NUMBER"])[1]
+    return quality.reconcile_content({"raw": f, "published": f.repartition("FLIGHT_NUMBER"), "loaded": changed}, ["AIRLINE", "FLIGHT_NUMBER"])[1]
 
 
 @register("q_k08_content_status", with_flights("""
@@ -1531,7 +1531,7 @@ def q_k08_status(spark, sf_dir):
     f = raw(spark, sf_dir).select(*_CONTENT)
     hit = (F.col("FLIGHT_NUMBER") == "17") & (F.col("YEAR") == 1996)
     changed = f.withColumn("DEPARTURE_DELAY", F.when(hit, F.coalesce("DEPARTURE_DELAY", F.lit(0.0)) + 1).otherwise(F.col("DEPARTURE_DELAY")))
-    return quality.reconcile_content({"raw": f, "published": f.repartition(7), "loaded": changed}, ["AIRLINE", "FLIGHT_NUMBER"])[0].drop("differing_buckets")
+    return quality.reconcile_content({"raw": f, "published": f.repartition("FLIGHT_NUMBER"), "loaded": changed}, ["AIRLINE", "FLIGHT_NUMBER"])[0].drop("differing_buckets")
 
 
 @register("q_f42_sketched_counts", with_flights("""

@@ -83,3 +83,11 @@ def test_headers_read_a_large_file_by_splits(spark, tmp_out):
         assert heads.rdd.getNumPartitions() > 3 and "MapInArrow" not in plan(heads)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_published_layer_is_dealt_by_key(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(catalog, "raw", lambda *a: spark.createDataFrame([], COLUMNS))
+    monkeypatch.setattr(catalog.quality, "reconcile_content", lambda layers, key: seen.update(layers) or (layers["raw"].withColumn("differing_buckets", F.lit(0)), None))
+    catalog.q_k08_status(spark, "")
+    assert "REPARTITION_BY_COL" in plan(seen["published"]) and "RoundRobin" not in plan(seen["published"])
