@@ -91,3 +91,14 @@ def test_published_layer_is_dealt_by_key(spark, monkeypatch):
     monkeypatch.setattr(catalog.quality, "reconcile_content", lambda layers, key: seen.update(layers) or (layers["raw"].withColumn("differing_buckets", F.lit(0)), None))
     catalog.q_k08_status(spark, "")
     assert "REPARTITION_BY_COL" in plan(seen["published"]) and "RoundRobin" not in plan(seen["published"])
+
+
+def test_flights_by_day_and_airline_are_counted_once(spark):
+    rows = [(20150101, 1), (20150101, 2), (20150101, 3), (20150102, 1), (None, 1), (20150101, None), (20150101, 9)]
+    f = spark.createDataFrame(rows, "date_key int, airline_key int")
+    days = spark.createDataFrame([(20150101, "Thursday"), (20150102, "Friday")], "date_key int, day_name string").withColumn(
+        "full_date", F.to_date(F.col("date_key").cast("string"), "yyyyMMdd"))
+    airlines = spark.createDataFrame([(1, "Same"), (2, "Same"), (3, None), (4, None)], "airline_key int, airline_name string")
+    got = metrics.carrier_by_day(Star(fact=f, dim_airline=airlines, dim_airport=airlines, dim_date=days, rows={}))
+    assert [(r.day_name, r.airline_name, r.flights) for r in got.collect()] == [("Thursday", None, 1), ("Thursday", "Same", 2), ("Friday", "Same", 1)]
+    assert plan(got).count("partial_count(1)") == 1
