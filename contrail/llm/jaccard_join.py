@@ -3,34 +3,36 @@
 Method
 ------
 A document's set holds the hashes of its distinct word n-grams. Two sets whose
-Jaccard similarity reaches the threshold share an n-gram among the first ``p``
-of each in a common order (prefix filter). The order is: n-grams that few
-documents hold by hash, then the common ones by hash. Documents that share such
-an n-gram meet in a *unit*; a unit stores its sets in a prefix tree, the n-grams
-that most of its sets share first, and each set walks the tree, sharing partial
-overlaps and leaving subtrees whose remaining lengths cannot reach the needed
-overlap (``PrefixTree``). Overlaps found this way are exact.
+Jaccard similarity reaches the threshold share many n-grams among the first of
+each by hash, and one among the first ``p`` of each in any common order (prefix
+filter). Sets that share enough meet in a *unit*; a unit stores its sets in a
+prefix tree, the n-grams that most of its sets share first, and each set walks
+the tree, sharing partial overlaps and leaving subtrees whose remaining lengths
+cannot reach the needed overlap (``PrefixTree``). Overlaps found this way are
+exact.
 
 Steps
 -----
 1. Sketch: each document's set size, the hash of its set, and its first n-grams
-   by hash (``p`` and a sixth more: its zone). Equal sets are one node.
-2. An n-gram in the zones of ``COMMON`` documents or more is common. A node whose
-   zone holds ``p`` others is *plain* and is found by these; any other node is
-   *mixed* and is found by the first ``p`` of its zone, common or not. Two plain
-   nodes are compared by uncommon n-grams, all other pairs by the first ``p`` of
-   both zones. Sizes, and for uncommon n-grams the number shared among the first
-   ``p``, rule out most pairs by a bound on the overlap.
-3. First pass: nodes meet in units with the smallest holder of most of their n-grams;
-   holders of common n-grams meet in random units of bounded size. This joins copies.
-4. Second pass: each pair left that has not met and is not connected yet is
-   compared; under one n-gram, members of its largest component are not paired with
-   each other. Holders of common n-grams are first reduced to those that share one
-   of their rarest ``p`` members, counted over their whole sets. Nothing else is
-   skipped, so no link between different parts is lost.
-
-So a group of copies costs links in proportion to its size, never all its
-pairs; units are bounded, and hot n-grams are dealt over many units.
+   by hash (its zone: ``p`` and a ``SLACK``-th of the set more). Equal sets are
+   one node.
+2. Of a set's zone at most ``p - 1`` n-grams are missing from a set that it links
+   with, so the zones share as many as the rest. Nodes that share fewer with all
+   others together link with nothing and are left out. Each other node names a hub,
+   the smallest holder of most of the n-grams that it shares.
+3. First pass: nodes of a hub meet it, and each other, in units of bounded size.
+   This joins copies.
+4. Second pass: the whole sets of the nodes left are ordered, n-grams that few of
+   them hold first. A node is a member of its own hub, and of each smaller hub with
+   a node that holds one of its first ``p``, if sizes and what nobody shares allow a
+   link and their components differ. The members of a hub that are not of its largest component are
+   stored in trees of bounded size, and all its members walk each of these. Two nodes
+   that share one of their first ``p`` and are not connected yet meet under the smaller
+   one of their hubs, so no link between different parts is lost.
+
+So no pairs are listed: a node is sent once to each unit of a hub, and a group of
+copies costs rows in proportion to its size; units are bounded, and the members of a
+large hub are dealt over many.
 
 Cases: null and empty texts, and texts without words, have an empty set and are
 their own component; texts with fewer words than ``n`` are one n-gram as a
@@ -47,17 +49,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.llm.common import BROADCAST_BYTES, few, free_name, texts, written
 from contrail.llm.components import components
 
-SLACK = 6  # a zone is longer than p by a part of it
-COMMON = 64  # an n-gram in so many documents' zones is common
-UNIT = 64  # nodes in a random unit of a common n-gram, on average
+SLACK = 12  # a zone is longer than p by this part of the set
+UNIT = 64  # nodes in a unit of the first pass, on average
+COMMON = 512  # members of a common hub that a unit of the second pass stores, on average
+PIECE = 4  # times as many walk its trees
 MEMBERS = 1 << 18  # n-grams of sets that are dealt in one batch
-ROUTES = 4  # random units that a node of common n-grams goes to in the first pass
+STORED = 1 << 20  # n-grams of sets that a unit of the second pass stores, on average
 FACTORS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))  # fixed odd numbers
 
 
@@ -89,17 +92,15 @@ def prefix_length(size: int, percent: int) -> int:
 def _sketch(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, sets, zones, ends = [], [], [], []
+            sizes, sets, zones = [], [], []
             for t in b.column("text"):
                 s = shingles(t.as_py(), n)
-                p = prefix_length(len(s), percent)
                 sizes.append(len(s))
                 sets.append(xxhash.xxh3_128_digest(s.tobytes()))
-                zones.append(s[:p + p // SLACK + 4])
-                ends.append(int(s[p - 1]) - (1 << 63) if len(s) else None)  # in the order of the unsigned hashes
+                zones.append(s[:prefix_length(len(s), percent) + len(s) // SLACK])
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("th"), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), _lists(zones), pa.array(ends, pa.int64())],
-                ["id", "th", "size", "same", "zone", "ending"])
+                [b.column("id"), b.column("th"), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), _lists(zones)],
+                ["id", "th", "size", "same", "zone"])
 
     return run
 
@@ -158,50 +159,69 @@ class PrefixTree:
             walk.extend((kid, overlap, left) for kid in node.kids.values())
 
 
-def unit_links(labels: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """A star for each connected part of a unit: (smallest label, other label)."""
-    flat, counts = np.unique(np.concatenate(sets), return_counts=True)
-    shared = counts > 1
-    rank = np.full(len(flat), -1, np.int64)
-    by = np.flatnonzero(shared)
-    by = by[np.argsort(-counts[by], kind="stable")]  # what most sets hold comes first, so that copies share paths
-    rank[by] = np.arange(len(by))
-    root = {x: x for x in labels}
-
-    def top(x: int) -> int:
+class Unit:
+    """Stored sets, compared with each other and with sets that walk their tree; labels of sets that link are joined.
+    Without ``walked``, n-grams of one stored set alone are left out."""
+
+    def __init__(self, labels: list[int], sets: list[np.ndarray], percent: int, walked: bool) -> None:
+        self.labels, self.percent = labels, percent
+        self.flat, counts = np.unique(np.concatenate(sets), return_counts=True)
+        by = np.flatnonzero(counts > (0 if walked else 1))
+        by = by[np.argsort(-counts[by], kind="stable")]  # what most sets hold comes first, so that copies share paths
+        self.universe = len(by)
+        self.rank = np.full(len(self.flat), -1, np.int64)
+        self.rank[by] = np.arange(len(by))
+        self.root: dict[int, int] = {}
+        self.tree = PrefixTree(np.zeros(0, np.int64))
+        for i, (label, s) in enumerate(zip(labels, sets)):
+            self.tree.insert(self.walk(label, s), len(s), (i, len(s)))
+
+    def top(self, x: int) -> int:
+        root = self.root
         while root[x] != x:
             root[x] = x = root[root[x]]
         return x
 
-    tree = PrefixTree(np.zeros(0, np.int64))
-    for i, (label, s) in enumerate(zip(labels, sets)):
-        r = rank[np.searchsorted(flat, s)]
+    def walk(self, label: int, s: np.ndarray) -> np.ndarray:
+        """Joins the label with those of the stored sets that link with the set; the set in the tree's order."""
+        at = np.minimum(np.searchsorted(self.flat, s), len(self.flat) - 1)
+        r = np.where(self.flat[at] == s, self.rank[at], -1)
         ordered = np.sort(r[r >= 0])
-        for j in tree.probe(ordered, len(s), len(by), percent):
-            a, b = top(labels[j]), top(label)
+        self.root.setdefault(label, label)
+        for j in self.tree.probe(ordered, len(s), self.universe, self.percent):
+            a, b = self.top(self.labels[j]), self.top(label)
             if a != b:
-                root[max(a, b)] = min(a, b)
-        tree.insert(ordered, len(s), (i, len(s)))
-    return [(top(x), x) for x in root if top(x) != x]
+                self.root[max(a, b)] = min(a, b)
+        return ordered
+
+    def links(self) -> list[tuple[int, int]]:
+        """A star for each connected part: (smallest label, other label)."""
+        return [(self.top(x), x) for x in self.root if self.top(x) != x]
 
 
-def _join_units(n: int, percent: int):
-    """Rows come sorted by unit; a unit is compared when its rows are complete."""
+def _join_units(percent: int):
+    """Rows come sorted by unit and half: first (0) the sets that a unit stores, then (1) those that walk its tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, labels, sets = None, [], []
+        current, unit, labels, sets = None, None, [], []
 
         def finish() -> pa.RecordBatch:
-            found = unit_links(labels, sets, percent) if len(sets) > 1 else []
+            whole = unit if unit or len(sets) < 2 else Unit(labels, sets, percent, walked=False)
+            found = whole.links() if whole else []
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for b in batches:
-            for u, node, grams in zip(b.column("unit").to_pylist(), b.column("node").to_pylist(), b.column("grams")):
-                if u != unit:
+            for u, half, label, grams in zip(*(b.column(c).to_pylist() for c in ("unit", "half", "label")), b.column("grams")):
+                if u != current:
                     yield finish()
-                    unit, labels, sets = u, [], []
-                labels.append(node)
-                sets.append(np.asarray(grams.values).view(np.uint64))
+                    current, unit, labels, sets = u, None, [], []
+                s = np.asarray(grams.values).view(np.uint64)
+                if half == 0:
+                    labels.append(label)
+                    sets.append(s)
+                elif sets:
+                    unit = unit or Unit(labels, sets, percent, walked=True)
+                    unit.walk(label, s)
         yield finish()
 
     return run
@@ -212,13 +232,14 @@ def _deal(n: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for node, text, units in zip(b.column("id"), b.column("text"), b.column("units")):
+            for label, text, units in zip(b.column("label"), b.column("text"), b.column("units")):
                 s = shingles(text.as_py(), n)
                 step = max(1, MEMBERS // len(s))
                 for at in range(0, len(units), step):
                     part = units.values.slice(at, step)
                     yield pa.RecordBatch.from_arrays(
-                        [part, pa.array([node.as_py()] * len(part), pa.int64()), _lists([s] * len(part))], ["unit", "node", "grams"])
+                        [part.field("unit"), part.field("half"), pa.array([label.as_py()] * len(part), pa.int64()), _lists([s] * len(part))],
+                        ["unit", "half", "label", "grams"])
 
     return run
 
@@ -228,149 +249,139 @@ def _spread(n: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for node, text in zip(b.column("id"), b.column("text")):
+            for node, text in zip(b.column("node"), b.column("text")):
                 s = shingles(text.as_py(), n)
                 yield pa.RecordBatch.from_arrays([pa.array([node.as_py()] * len(s), pa.int64()), pa.array(s.view(np.int64))], ["node", "gram"])
 
     return run
 
 
-def _links(units: DataFrame, rows: DataFrame, reps: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links found in units (unit, node). The texts that go to units are found by a broadcast of their ids
-    while these are few, else by a shuffle; their sets travel once a unit."""
-    wanted = written(units.distinct().groupBy("node").agg(F.collect_list("unit").alias("units")).withColumnRenamed("node", "id")
-                     .join(reps.select("id", "th").distinct(), "id"), "wanted")
-    size = wanted.agg(F.sum(F.size("units") * 8 + 32)).first()[0] or 0
-    texts_ = rows.join(F.broadcast(wanted) if size <= BROADCAST_BYTES else wanted, ["id", "th"]).select("id", "text", "units")
-    dealt = texts_.mapInArrow(_deal(n), "unit long, node long, grams array<long>")
-    return dealt.repartition("unit").sortWithinPartitions("unit").mapInArrow(_join_units(n, percent), "a long, b long").distinct()
-
-
-def _of(nodes: DataFrame, rows: DataFrame, reps: DataFrame) -> DataFrame:
-    """(id, text) of nodes; their ids are broadcast while they are few, else shuffled."""
-    wanted = written(nodes.distinct().withColumnRenamed("node", "id").join(reps.select("id", "th").distinct(), "id"), "nodes-wanted")
-    return rows.join(F.broadcast(wanted) if few(wanted) else wanted, ["id", "th"], "left_semi").select("id", "th", "text").dropDuplicates(["id", "th"])
-
-
-def _pairs(left: DataFrame, right: DataFrame, keys: list[str], percent: int) -> DataFrame:
-    """Pairs (a, b) under the same key whose sizes allow a link."""
-    r = right.withColumnsRenamed({c: f"_{c}" for c in right.columns if c not in keys})
-    return left.join(r, keys).filter((100 * F.least("size", "_size") >= percent * F.greatest("size", "_size")) & (F.col("node") != F.col("_node")))
+def _links(units: DataFrame, chosen: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (of labels) found in units (unit, half, node, label). The texts that go to units are found by a broadcast
+    of their nodes while these are few, else by a shuffle; their sets travel once a unit."""
+    wanted = written(units.distinct().groupBy("node", "label").agg(F.collect_list(F.struct("unit", "half")).alias("units")), "wanted")
+    size = wanted.agg(F.sum(F.size("units") * 24 + 32)).first()[0] or 0
+    texts_ = chosen.join(F.broadcast(wanted) if size <= BROADCAST_BYTES else wanted, "node").select("label", "text", "units")
+    dealt = texts_.mapInArrow(_deal(n), "unit long, half int, label long, grams array<long>")
+    return dealt.repartition("unit").sortWithinPartitions("unit", "half").mapInArrow(_join_units(percent), "a long, b long").distinct()
+
+
+def _nodes(named: DataFrame) -> DataFrame:
+    """(node, id, th, size, same) for each different set: its smallest id names it, and a hash names further sets of that id."""
+    reps = (named.groupBy("same").agg(F.min(F.struct("id", "th")).alias("first"), F.first("size").alias("size"))
+            .select("first.id", "first.th", "size", "same"))
+    least = reps.groupBy("id").agg(F.min("th").alias("least"))
+    return written(reps.join(least, "id").withColumn("node", F.when(F.col("th") == F.col("least"), F.col("id")).otherwise(F.xxhash64("id", "th")))
+                   .drop("least"), "nodes")
+
+
+def _near(named: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(node, id, th, size, hub) of the nodes whose zones share enough n-grams with others for a link."""
+    ids = nodes.select("id", "th", "node")
+    grams = named.join(F.broadcast(ids) if few(ids) else ids, ["id", "th"]).select("node", F.explode("zone").alias("gram"))
+    held = written(grams.groupBy("gram").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b").select("gram"),
+                   "held")  # a scan, so that Spark can split the join below
+    # the smallest set that a node may link with has low members; such zones share all but p - 1 of the n-grams of one
+    low = f"(({percent} * size + 99) div 100)"
+    need = f"least(({percent} * {low} + 99) div 100, {low} div {SLACK} + 1)"
+    near = written(grams.join(held, "gram").groupBy("node").agg(F.collect_set("gram").alias("grams"))
+                   .join(nodes.select("node", "id", "th", "size"), "node").filter(F.size("grams") >= F.expr(need)), "near")
+    keys = near.select("node", F.explode("grams").alias("gram"))
+    hub = written(keys.groupBy("gram").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last").select("gram", "hub"), "hubs")
+    named_ = (keys.join(hub, "gram").groupBy("node", "hub").agg(F.count("*").alias("c"))
+              .groupBy("node").agg(F.min_by("hub", F.struct((-F.col("c")).alias("c"), "hub")).alias("hub")))
+    return written(near.drop("grams").join(named_, "node"), "near-nodes")
+
+
+def _first_units(near: DataFrame) -> DataFrame:
+    """The nodes of a hub in units of bounded size, and the hub in each of these."""
+    crowd = near.groupBy("hub").agg(F.count("*").alias("n"))
+    stars = (near.join(crowd, "hub").filter("n > 1 OR node <> hub")
+             .withColumn("unit", F.expr(f"xxhash64(hub, pmod(xxhash64(node), cast(ceil(n / {UNIT}) as int)))")))
+    hubs = stars.select("unit", "hub").distinct().join(near.select(F.col("node").alias("hub"), "id"), "hub")
+    return (stars.select("unit", F.lit(0).alias("half"), "node", F.col("id").alias("label"))
+            .union(hubs.select("unit", F.lit(0), "hub", "id")))
+
+
+def _placed(chosen: DataFrame, parts: DataFrame, n: int, percent: int) -> DataFrame:
+    """(gram, node, size, hub, component, alone, early): the first p of each node's set, n-grams that few nodes hold
+    first; nobody else holds ``alone`` of its members."""
+    whole = chosen.mapInArrow(_spread(n), "node long, gram long")
+    rarity = written(whole.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1"), "rarity")
+    first_p = F.expr(f"size - ({percent} * size + 99) div 100 + 1")
+    # of two sets, the smaller one can miss fewer: it shares one of fewer first members
+    first_few = F.expr(f"size - ({2 * percent} * size + {99 + percent}) div {100 + percent} + 1")
+    of_node = Window.partitionBy("node")
+    return written(whole.join(rarity, "gram").withColumn("n", F.count("*").over(of_node))
+                   .withColumn("rank", F.row_number().over(of_node.orderBy("df", "gram"))).join(F.broadcast(parts) if few(parts) else parts, "node")
+                   .withColumn("alone", F.col("size") - F.col("n")).withColumn("place", F.col("alone") + F.col("rank"))
+                   .filter(F.col("place") <= first_p).withColumn("early", F.col("place") <= first_few)
+                   .select("gram", "node", "size", "hub", "component", "alone", "early"), "placed")
+
+
+def _members(placed: DataFrame, percent: int) -> DataFrame:
+    """(hub, node, size, component): a node is a member of its hub and of smaller ones with a node of another component
+    that it may link with. What is known of a hub's holders of an n-gram are bounds of their sizes and shares."""
+    spare = f"({100 - percent} * size - 100 * alone)"
+    held = placed.groupBy("gram", F.col("hub").alias("under")).agg(
+        F.min("size").alias("smallest"), F.max("size").alias("largest"), F.min(F.when(F.col("early"), F.col("size"))).alias("smallest_early"),
+        F.min("alone").alias("least_alone"), F.max(F.expr(spare)).alias("most_spare"),
+        F.min("component").alias("c"), F.max("component").alias("d"))
+    reached = written(
+        placed.join(held, "gram").filter("under <= hub AND (c <> component OR d <> component)")
+        .filter(f"{percent} * size <= 100 * largest AND {percent} * smallest <= 100 * size")
+        .filter("(early AND largest >= size) OR coalesce(smallest_early <= size, false)")
+        # what nobody shares is lost to the overlap
+        .filter(f"{spare} >= {percent} * least_alone AND most_spare >= {percent} * alone")
+        .select("under", "node", "size", "component", "hub").distinct(), "reached")
+    visited = reached.filter("under <> hub").select(F.col("under").alias("hub")).distinct()
+    at_home = placed.select("hub", "node", "size", "component").join(visited, "hub", "left_semi")
+    return written(reached.select(F.col("under").alias("hub"), "node", "size", "component").union(at_home).distinct(), "members")
+
+
+def _second_units(members: DataFrame) -> DataFrame:
+    """Members of a hub that are not of its largest component are stored in blocks; in pieces, all members walk each block."""
+    mixture = members.groupBy("hub", "component").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
+    sized = (mixture.groupBy("hub").agg(F.max(F.struct("n", "component", "s")).alias("m"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.count("*").alias("parts"))
+             .filter("parts > 1").select(
+                 "hub", F.col("m.component").alias("major"),
+                 F.expr(f"cast(ceil(greatest((n - m.n) / {COMMON}, (s - m.s) / {STORED})) as int)").alias("blocks"),
+                 F.expr(f"cast(ceil(n / {PIECE * COMMON}) as int)").alias("pieces")))
+    dealt = (members.join(sized, "hub").withColumn("minor", F.col("component") != F.col("major"))
+             .withColumn("own", F.expr("cast(pmod(xxhash64(node), blocks) as int)")).withColumn("piece", F.expr("cast(pmod(xxhash64(node, 1), pieces) as int)")))
+    unit = F.xxhash64("hub", "block", "piece").alias("unit")
+    stored = dealt.filter("minor").select("hub", "node", "component", F.col("own").alias("block"), F.explode(F.expr("sequence(0, pieces - 1)")).alias("piece"))
+    walking = (dealt.select("hub", "node", "component", "minor", "own", "piece", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"))
+               .filter("NOT minor OR block <> own"))
+    return (stored.select(unit, F.lit(0).alias("half"), "node", F.col("component").alias("label"))
+            .union(walking.select(unit, F.lit(1), "node", "component")))
 
 
 def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id): documents link when 100 * intersection >= percent * union."""
     rows = texts(docs).select("doc_id", F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("th"), "text")
     sketch = written(rows.select("id", "th", "text").mapInArrow(
-        _sketch(n, percent), "id long, th long, size long, same binary, zone array<long>, ending long"), "sketch")
+        _sketch(n, percent), "id long, th long, size long, same binary, zone array<long>"), "sketch")
     named = sketch.filter("size > 0 AND id IS NOT NULL")
-    # equal sets are one node, named by the smallest id
-    reps = written(named.groupBy("same").agg(F.min(F.struct("id", "th")).alias("first"), F.first("size").alias("size"), F.first("ending").alias("ending"))
-                   .select("first.id", "first.th", "size", "ending", "same")
-                   .withColumn("p", F.expr(f"size - cast(ceil({percent} * size / 100) as long) + 1")), "nodes")
-
-    # which documents share n-grams of their zones (a superset over nodes, as copies count too)
-    grams = named.select("id", "th", F.posexplode("zone").alias("pos", "gram"))
-    held = written(grams.groupBy("gram").agg(F.count("*").alias("holders")).filter("holders > 1")
-                   .select("gram", (F.col("holders") >= COMMON).alias("common")), "held")  # a scan, so that Spark can split the join below
-    by_node = (grams.join(held, "gram").groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("pos", "gram", "common"))).alias("grams"))
-               .join(reps.drop("same"), ["id", "th"])
-               .withColumn("zone", F.least("size", F.expr(f"p + p div {SLACK} + 4")))
-               .withColumn("late", F.expr("transform(filter(grams, x -> x.common), x -> x.pos)"))
-               .withColumn("plain", F.expr("zone - size(late) >= p")))
-    # a plain node's uncommon n-grams move up by the common ones before them
-    routes = written(by_node.select(F.col("id").alias("node"), "size", "plain", "p", F.expr(
-        "inline(transform(grams, x -> struct(x.pos, x.gram, x.common, x.pos - size(filter(late, y -> y < x.pos)) as place)))"))
-        .filter("pos < p OR (plain AND NOT common AND place < p)")
-        .select("node", "size", "p", "plain", (F.col("pos") < F.col("p")).alias("inner"), "gram", "common", "pos"), "routes")
-    k = routes.filter("common AND inner").groupBy("node").agg(F.count("*").alias("k"))
-    bounds = (reps.select(F.col("id").alias("node"), "size", "ending", "p").join(k, "node", "left")
-              .select("node", F.struct("ending", "p", F.coalesce("k", F.lit(0)).alias("k"), "size").alias("bound")))
-
-    # first pass: of the smallest holders of its uncommon n-grams a node meets the one that it shares most with
-    # (and others that do); holders of common n-grams meet at random
-    uncommon = routes.filter("NOT common").select("gram", "node", "size", "p", "inner")
-    hub = written(uncommon.groupBy("gram").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("gram", "hub"), "hubs")
-    hubs = (uncommon.join(hub, "gram").filter("node <> hub").groupBy("node", "hub", "p").agg(F.count("*").alias("c")).filter("4 * c >= p")
-            .groupBy("node").agg(F.max(F.struct("c", (-F.col("hub")).alias("h"))).alias("m")).select("node", (-F.col("m.h")).alias("hub")))
-    crowd = hubs.groupBy("hub").agg(F.count("*").alias("n"))
-    stars = written(hubs.join(crowd, "hub").select("node", "hub", F.expr(f"xxhash64(hub, pmod(xxhash64(node), cast(ceil(n / {UNIT}) as int)))").alias("unit")), "stars")
-    met = routes.filter("common").groupBy("gram").agg(F.count("*").alias("n"), F.max(~F.col("plain")).alias("mixed")).filter("n > 1 AND mixed").select("gram", "n")
-    hot = routes.filter("common").join(met, "gram")
-    random = (hot.filter("NOT plain").groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("pos", "gram", "n"))), 1, ROUTES).alias("g"))
-              .select("node", F.inline("g"))
-              .select(F.expr(f"xxhash64(gram, pmod(xxhash64(node, gram), cast(ceil(n / {UNIT}) as int)), 1)").alias("unit"), "node"))
-    units = stars.select("unit", "node").union(stars.select("unit", F.col("hub").alias("node"))).union(random)
-    known = components(_links(units, rows, reps, n, percent))
-
-    # second pass: pairs that have not met and are not connected
-    def of(side: str) -> DataFrame:
-        return known.withColumnsRenamed({"node": side, "component": f"c_{side}"})
-
-    def unit_of(side: str) -> DataFrame:
-        return stars.select(F.col("node").alias(side), F.col("unit").alias(f"u_{side}"), F.col("hub").alias(f"h_{side}"))
-
-    def crossing(placed: DataFrame, keys: list[str], near: Column | None = None) -> DataFrame:
-        """Pairs under one key of different components; of each key's largest component, no two."""
-        mixture = placed.groupBy("gram", "component").agg(F.count("*").alias("n"))
-        major = (mixture.groupBy("gram").agg(F.max(F.struct("n", "component")).alias("m"), F.count("*").alias("parts"))
-                 .filter("parts > 1").select("gram", F.col("m.component").alias("major")))
-        placed = written(placed.join(major, "gram").withColumn("minor", F.col("component") != F.col("major")).drop("major"), "placed")
-        minor = placed.filter("minor").drop("minor")
-        return (_pairs(minor if near is None else minor.withColumn(keys[-1], near), placed, keys, percent)
-                .filter((F.col("component") != F.col("_component")) & (~F.col("_minor") | (F.col("node") < F.col("_node"))))
-                # what nobody shares is lost to the overlap
-                .filter((100 * (F.col("size") - F.col("alone")) >= percent * (F.col("size") + F.col("_alone")))
-                        & (100 * (F.col("_size") - F.col("_alone")) >= percent * (F.col("_size") + F.col("alone"))))
-                .withColumn("a", F.least("node", "_node")).withColumn("b", F.greatest("node", "_node")))
-
-    # uncommon n-grams: c of them both hold among their first p
-    shared = routes.filter("inner").groupBy("node", "p").agg(F.count("*").alias("n")).select("node", (F.col("p") - F.col("n")).alias("alone"))
-    placed = (uncommon.join(shared, "node", "left").withColumn("alone", F.coalesce("alone", "p")).join(known, "node", "left")
-              .withColumn("component", F.coalesce("component", "node")).drop("p"))
-    both = crossing(placed, ["gram"]).groupBy("a", "b").agg(F.count(F.when(F.col("inner") & F.col("_inner"), 1)).alias("c"))
-    # all first p of the node whose p end earlier are known to both: those not among the c shared ones or the k
-    # common ones, which were not counted, are lost to the overlap
-    need = f"cast(ceil({percent} * (x.size + y.size) / {100 + percent}) as long)"
-    possible = f"c + IF(x.ending <= y.ending, x.k + x.size - x.p, y.k + y.size - y.p) >= {need}"
-    apart = (both.join(bounds.withColumnsRenamed({"node": "a", "bound": "x"}), "a").join(bounds.withColumnsRenamed({"node": "b", "bound": "y"}), "b")
-             .filter(possible).select("a", "b")
-             .join(unit_of("a"), "a", "left").join(unit_of("b"), "b", "left")
-             .filter("coalesce(h_b, -1) <> a AND coalesce(h_a, -1) <> b AND (u_a IS NULL OR u_b IS NULL OR u_a <> u_b)").select("a", "b"))
-    # holders of common n-grams: those whose sizes allow a link with a mixed one are compared by their whole sets,
-    # in the order of the number of such holders, which leaves few that share one of their first p
-    class_ = F.expr(f"cast(floor(ln(size) / {float(-np.log(percent / 100) * 1.0001)!r}) as int)") if percent < 100 else F.col("size").cast("int")
-    hot = hot.withColumn("class", class_)
-    near = hot.filter("NOT plain").select("gram", F.explode(F.expr("array(class - 1, class, class + 1)")).alias("class")).distinct()
-    holders = hot.join(near, ["gram", "class"], "left_semi").select("node", "size", "class").distinct()
-    whole = written(_of(holders.select("node"), rows, reps).mapInArrow(_spread(n), "node long, gram long"), "whole")
-    rarity = whole.groupBy("gram").agg(F.count("*").alias("df"))
-    first_p = F.expr(f"size - cast(ceil({percent} * size / 100) as long) + 1")
-    # of two sets, the smaller one can miss fewer: it shares one of fewer first members
-    first_few = F.expr(f"size - cast(ceil({2 * percent} * size / {100 + percent}) as long) + 1")
-    of_node = Window.partitionBy("node")
-    placed = (whole.join(rarity.filter("df > 1"), "gram").withColumn("n", F.count("*").over(of_node))
-              .withColumn("rank", F.row_number().over(of_node.orderBy("df", "gram"))).join(holders, "node")
-              .withColumn("alone", F.col("size") - F.col("n")).withColumn("place", F.col("alone") + F.col("rank"))
-              .filter(F.col("place") <= first_p).withColumn("early", F.col("place") <= first_few)
-              .join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-              .select("gram", "node", "size", "alone", "early", "class", "component"))
-    smaller = (F.col("size") < F.col("_size")) | ((F.col("size") == F.col("_size")) & (F.col("node") < F.col("_node")))
-    hot_pairs = (crossing(placed, ["gram", "class"], F.explode(F.expr("array(class - 1, class, class + 1)")))
-                 .filter(F.when(smaller, F.col("early")).otherwise(F.col("_early"))))
-    apart = written(apart.union(hot_pairs.select("a", "b")).distinct(), "apart")
-    of_a = apart.groupBy("a").agg(F.count("*").alias("n"))
-    dealt = apart.join(of_a, "a").withColumn("unit", F.expr(f"xxhash64(a, pmod(xxhash64(b), cast(ceil(n / {UNIT}) as int)))"))
-    units = dealt.select("unit", F.col("b").alias("node")).union(dealt.select("unit", F.col("a").alias("node")))
-    more = _links(units, rows, reps, n, percent)
-    # the second pass links parts of the first: their components, then their members'
-    of_part = components(more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b")))
-    of_part = of_part.withColumnsRenamed({"node": "part", "component": "whole"})
+    nodes = _nodes(named)
+    near = _near(named, nodes, percent)
+    ids = near.select("id", "th", "node")
+    chosen = written(rows.select("id", "th", "text").join(F.broadcast(ids) if few(ids) else ids, ["id", "th"])
+                     .groupBy("node").agg(F.first("text").alias("text")), "chosen")
+
+    # first pass: near nodes meet their hubs
+    known = components(_links(_first_units(near), chosen, n, percent))
+
+    # second pass: links between components, of all pairs that are not connected yet and share one of their first p
+    parts = written(near.select("node", "id", "size", "hub").join(known.withColumnRenamed("node", "id"), "id", "left")
+                    .select("node", "size", "hub", F.coalesce("component", "id").alias("component")), "parts")
+    more = _links(_second_units(_members(_placed(chosen, parts, n, percent), percent)), chosen, n, percent)
+    of_part = components(more).withColumnsRenamed({"node": "part", "component": "whole"})
     parts = (known.withColumnRenamed("component", "part").join(of_part, "part", "left").select("node", F.coalesce("whole", "part").alias("component"))
              .union(of_part.select("part", "whole").join(known.select(F.col("node").alias("part")), "part", "left_anti")))
 
     # back to rows: set -> node -> component
-    answer = (sketch.select("id", "th", "size", "same").join(reps.select("same", F.col("id").alias("node")), "same", "left").join(parts, "node", "left")
+    answer = (sketch.select("id", "th", "size", "same").join(nodes.select("same", F.col("id").alias("node")), "same", "left").join(parts, "node", "left")
               .select("id", "th", "size", F.when(F.col("id").isNotNull(), F.coalesce("component", "node", "id")).alias("component_id"))
               .groupBy("id", "th").agg(F.first("size").alias("n_shingles"), F.min("component_id").alias("component_id")))
     return (rows.select("doc_id", "id", "th").join(answer.withColumnsRenamed({"id": "_id", "th": "_th"}),

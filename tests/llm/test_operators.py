@@ -244,6 +244,31 @@ def test_jaccard_components_equal_brute_force(frame, prose, monkeypatch, common,
     assert got == brute_components(rows)
 
 
+@pytest.mark.parametrize("n, percent", [(4, 85), (5, 80)])
+def test_a_crowd_of_near_copies_is_dealt_in_proportion_to_its_size(frame, prose, monkeypatch, n, percent):
+    """Copies of one text, most of them edited just too far to link: nearly all pairs are candidates."""
+    r = random.Random(11)
+    base = prose(5, 160).split()
+    rows = [(0, " ".join(base))]
+    for i in range(1, 240):
+        w = list(base)
+        for at in r.sample(range(160), r.randint(3, 6)):
+            w[at] = f"edit{i}x{at}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, prose(1000 + i, 60)) for i in range(60)]
+    dealt, links = [], jaccard_join._links
+
+    def counted(units, *rest):
+        dealt.append(units.distinct().count())
+        return links(units, *rest)
+
+    monkeypatch.setattr(jaccard_join, "_links", counted)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_join.join(frame(rows), n, percent).collect()}
+    assert got == brute_components(rows, n, percent)
+    assert 1 < len({c for d, (_, c) in got.items() if d < 1000}) < 240
+    assert max(dealt) <= 3 * 240
+
+
 def test_jaccard_odd_rows(frame):
     out = jaccard_join.join(frame(ODD)).collect()
     assert len(out) == len(ODD)
