@@ -114,7 +114,7 @@ def to_number(c) -> Column:
     """
     t = stripped(c)
     v = F.when(~t.rlike(r"[0-9.][dDfF]$"), t.try_cast("double"))
-    return nan_to_null(v)
+    return F.nanvl(v, F.lit(None).cast("double"))  # v stands once, so it is parsed once
 
 
 def hours_between(later, earlier) -> Column:

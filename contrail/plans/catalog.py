@@ -1458,8 +1458,8 @@ UNION ALL SELECT 'DISTANCE', 'out of range', count(*) FROM tf WHERE DISTANCE > 5
 def q_c03_quarantine(spark, sf_dir):
     """The text feed as two CSV files with different column orders, parted into good rows and rejected cells."""
     feed, base = bindings.text_flights(spark, sf_dir), scratch_path(spark, "feed")
-    io.write_table(feed.where("MONTH <= 6"), f"{base}/first-half", fmt="csv")
-    io.write_table(feed.where("MONTH > 6").select(*reversed(feed.columns)), f"{base}/second-half", fmt="csv")
+    io.write_table(feed.where("MONTH <= 6"), f"{base}/first-half", fmt="csv", options=io.PACKED)
+    io.write_table(feed.where("MONTH > 6").select(*reversed(feed.columns)), f"{base}/second-half", fmt="csv", options=io.PACKED)
     got = quarantine.read_csv_split(spark, [f"{base}/first-half", f"{base}/second-half"], FLIGHTS_SCHEMA,
                                     required=["AIRLINE"], ranges={"DISTANCE": (0, 500)})
     rows = got.good.agg(F.count(F.lit(1)).alias("cells")).select(F.lit("*").alias("column_name"), F.lit("good").alias("reason"), "cells").unionByName(

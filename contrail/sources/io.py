@@ -25,6 +25,8 @@ STATUS_SCHEMA = "name string, check string, status string, detail string"
 MOST_HEADERS = 1_000
 #: Larger than any split: each split is a task of its own.
 OPEN_COST = 1 << 40
+#: Writer's options of large text tables between two steps: packed at little cost; as packed files are not split, they are kept small.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 1_000_000}
 
 
 def headers(spark: SparkSession, path) -> DataFrame:
@@ -156,11 +158,11 @@ def extract(spark: SparkSession, paths: dict, row_limit: int | None = None) -> S
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(),
                 mode: str = "overwrite", header: bool = True,
-                require_rows: bool = False) -> None:
-    """Idempotent (overwrite) or append write; CSV with header."""
+                require_rows: bool = False, options: dict | None = None) -> None:
+    """Idempotent (overwrite) or append write; CSV with header. ``options``: the writer's own."""
     if require_rows and df.isEmpty():
         raise ValueError(f"refusing to write an empty dataset to {path}")
-    w = df.write.mode(mode)
+    w = df.write.mode(mode).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":

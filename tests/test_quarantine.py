@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import types as T
 
 from contrail.operators import quarantine
-from contrail.sources import io
+from contrail.plans import catalog
+from contrail.sources import bindings, io
 from contrail.spec import AIRLINES_SCHEMA
 
 SCHEMA = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("delay", T.DoubleType()), T.StructField("name", T.StringType())])
@@ -81,3 +82,38 @@ def test_good_and_rejected_rows_add_up(spark, tmp_out):
 def test_quarantine_refuses_unknown_columns(spark):
     with pytest.raises(ValueError, match="no such column"):
         quarantine.split(spark.createDataFrame([("1",)], "id string"), T.StructType([T.StructField("id", T.IntegerType())]), required=["x"])
+
+
+def size(folder):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(folder) for f in files if f.startswith("part-"))
+
+
+def test_rows_are_written_once_and_small(spark, tmp_out, monkeypatch):
+    rows = [(f"{i}", f"{i % 90}.5" if i % 3 else "N/A", f"name {i % 50}") for i in range(30_000)]
+    df = spark.createDataFrame(rows, "id string, delay string, name string").repartition(3)
+    io.write_table(df.where("id < 15000"), f"{tmp_out}/raw/a", fmt="csv")
+    io.write_table(df.where("id >= 15000").select("name", "delay", "id"), f"{tmp_out}/raw/b", fmt="csv")
+    monkeypatch.setattr(quarantine, "scratch_path", lambda spark, name: f"{tmp_out}/{name}")
+    got = quarantine.read_csv_split(spark, [f"{tmp_out}/raw/a", f"{tmp_out}/raw/b"], SCHEMA, required=["id"], ranges={"id": (0, 20_000)})
+    bad = {i for i in range(30_000) if i % 3 == 0 or i > 20_000}
+    assert {r.id for r in got.good.collect()} == set(range(30_000)) - bad
+    kept = {r.row_id: json.loads(r.row) for r in got.rows.collect()}
+    assert len(kept) == len(bad) and sorted(int(r["id"]) for r in kept.values()) == sorted(bad)
+    cells = got.cells.collect()
+    assert len(cells) == sum((i % 3 == 0) + (i > 20_000) for i in bad) and all(kept[c.row_id][c.column_name] == c.value for c in cells)
+    assert size(f"{tmp_out}/quarantine") < size(f"{tmp_out}/raw") / 2  # by far more than the input when rejected rows were kept as JSON
+    assert spark.conf.get("spark.sql.codegen.wholeStage") == "true"
+
+
+def test_the_text_feed_is_packed(spark, tmp_out, monkeypatch):
+    names = ["DEPARTURE_DELAY", "DISTANCE", "CANCELLED", "MONTH", "AIRLINE"]
+    feed = spark.createDataFrame([("N/A" if i % 5 == 0 else "3.0", float(i % 1000), int(i % 5 == 0), i % 12 + 1, "UA") for i in range(6000)],
+                                 "DEPARTURE_DELAY string, DISTANCE double, CANCELLED int, MONTH int, AIRLINE string").select(names)
+    monkeypatch.setattr(bindings, "text_flights", lambda spark, sf_dir: feed)
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: f"{tmp_out}/{name}")
+    got = {(r.column_name, r.reason): r.cells for r in catalog.QUERIES["q_c03_quarantine"](spark, "unused").collect()}
+    far, cancelled = {i for i in range(6000) if i % 1000 > 500}, {i for i in range(6000) if i % 5 == 0}
+    assert got == {("*", "good"): 6000 - len(far | cancelled), ("*", "rejected"): len(far | cancelled),
+                   ("DEPARTURE_DELAY", "unparsable"): len(cancelled), ("DISTANCE", "out of range"): len(far)}
+    io.write_table(feed, f"{tmp_out}/plain", fmt="csv")
+    assert size(f"{tmp_out}/feed") < size(f"{tmp_out}/plain") / 2
