@@ -28,6 +28,7 @@ from contrail.sources.io import parsed, read_text_columns
 UNPARSABLE, MISSING, OUT_OF_RANGE = "unparsable", "missing", "out of range"
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _REAL = (T.FloatType, T.DoubleType)
+_PACKED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
 _LOCK = threading.Lock()
 
 
@@ -105,7 +106,7 @@ def split(raw: DataFrame, schema: T.StructType, required=(), ranges: dict | None
         "rejected")
     spark, path = raw.sparkSession, scratch_path(raw.sparkSession, "quarantine")
     with _split_code(spark):
-        judged.write.option("compression", "zstd").parquet(path)
+        judged.write.options(**_PACKED).parquet(path)
     kept = spark.read.schema(judged.schema).parquet(path)
     bad = kept.where("rejected").withColumn("row_id", F.concat(F.lit(f"{uuid.uuid4()}-"), F.col("number").cast("string")))
     return Quarantine(
